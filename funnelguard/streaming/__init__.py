@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The checks are batch evaluations at an explicit ``as_of`` over
+pre-aggregated tables; nothing in the behaviour being rebuilt reads a
+stream, keeps state across triggers or handles late data. A scheduler
+calls ``evaluate`` with the next ``as_of`` and ``write_alerts`` replaces
+that run's partition, which is what makes repeated runs safe.
+"""
