@@ -41,6 +41,16 @@ def count_if_any(cond: Column, col: str | Column | None = None) -> Column:
     return F.when(F.max(cond), F.count(F.when(cond, target)))
 
 
+def sum_if_rows(cond: Column, rows: str, value: str) -> Column:
+    """Over rollup rows: sum of ``value`` where ``cond``; NULL unless the matching ``rows`` counts add up to > 0.
+
+    Rollup rows carry the number of fact rows they stand for, so this is
+    ``count``/``sum`` over the fact rows of a window with the outer-join
+    meaning of a window without rows.
+    """
+    return F.when(F.sum(F.when(cond, F.col(rows))) > 0, F.sum(F.when(cond, F.col(value))))
+
+
 def ratio(numerator: str, denominator: str, on_zero: float) -> Column:
     """``num / den``; ``on_zero`` when the denominator is 0; NULL if either is NULL."""
     den = F.col(denominator)

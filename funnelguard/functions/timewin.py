@@ -55,6 +55,14 @@ class Clock:
         """Spark's convention: 1 = Sunday ... 7 = Saturday."""
         return self.now.isoweekday() % 7 + 1
 
+    @property
+    def offset_us(self) -> int:
+        """Microseconds of as_of past its clock hour."""
+        return micros(self.now) % 3_600_000_000
+
+    def us(self, value: datetime) -> int:
+        return micros(value)
+
     def ago(self, **delta: float) -> datetime:
         return self.now - timedelta(**delta)
 
@@ -62,6 +70,18 @@ class Clock:
         return self.today - timedelta(days=days)
 
 
+_EPOCH = datetime(1970, 1, 1)
+
+
+def micros(value: datetime) -> int:
+    """Epoch microseconds of a naive UTC datetime."""
+    return (value - _EPOCH) // timedelta(microseconds=1)
+
+
+def us_lit(value: datetime) -> Column:
+    return F.lit(micros(value)).cast("long")
+
+
 def _text(value: datetime) -> str:
     return value.strftime("%Y-%m-%d %H:%M:%S.%f")
 

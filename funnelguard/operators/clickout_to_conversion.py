@@ -1,8 +1,8 @@
 """clickoutToConversion (X1-X4): conversions per click-out today against the same weekday a week ago.
 
 Conversions are counted by conversion date (with a payout), click-outs by
-session date (plain row count). Both come from one pass over the
-sessions; ``count_if_any`` keeps NULL for a window without rows.
+session date (plain row count), from the conversion and session rollups;
+a window without matching fact rows gives NULL, as after an outer join.
 """
 
 from __future__ import annotations
@@ -10,36 +10,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggs import count_if_any, fired, ratio
-from ..functions.timewin import in_window
+from ..functions.aggs import fired, ratio, sum_if_rows
 from ..schemas import CLICKOUT_TO_CONVERSION, LABEL_CONTROLLED, LABEL_LAST_WEEK_CR, LABEL_TODAY
 from .records import alert_records
 from .scope import Scope
 
 
 def by_campaign(scope: Scope) -> DataFrame:
-    s, c, p = scope.facts.sessions, scope.clock, scope.params
-    week_day, week_day_end = c.days_before_today(7), c.days_before_today(6)
-    paid = F.col("conversion_payout").isNotNull()
-    clicked = F.col("postback_id").isNotNull()
-    conv_today = in_window(s, "conversion_dt", c.today, c.now) & paid
-    conv_week = in_window(s, "conversion_dt", week_day, week_day_end) & paid
-    out_today = in_window(s, "session_dt", c.today, c.now) & clicked
-    out_week = in_window(s, "session_dt", week_day, week_day_end) & clicked
-    scan = s.where(in_window(s, "conversion_dt", week_day, c.now) | in_window(s, "session_dt", week_day, c.now))
-    rows = (scan.groupBy("campaign_id")
-            .agg(count_if_any(conv_today, "session_id").alias("todays_conversions"),
-                 count_if_any(out_today, "session_id").alias("todays_clickouts"),
-                 count_if_any(conv_week, "session_id").alias("last_week_conversions"),
-                 count_if_any(out_week, "session_id").alias("last_week_clickouts")))
-    rows = (rows.withColumn("_today", F.col("todays_conversions").isNotNull() | F.col("todays_clickouts").isNotNull())
-            .withColumn("_week", F.col("last_week_conversions").isNotNull()
-                        | F.col("last_week_clickouts").isNotNull()))
+    c, p = scope.clock, scope.params
+    today = scope.within(c.today, c.now)
+    week = scope.within(c.days_before_today(7), c.days_before_today(6))
+    conversions = (scope.conversions.where(today | week)
+                   .groupBy("campaign_id")
+                   .agg(_count_if_rows(today, "n_paid", "n_paid_sid").alias("todays_conversions"),
+                        _count_if_rows(week, "n_paid", "n_paid_sid").alias("last_week_conversions")))
+    clickouts = (scope.sessions.where(today | week)
+                 .groupBy("campaign_id")
+                 .agg(_count_if_rows(today, "n_out", "n_out_sid").alias("todays_clickouts"),
+                      _count_if_rows(week, "n_out", "n_out_sid").alias("last_week_clickouts")))
+    rows = conversions.join(clickouts, "campaign_id", "full")
+    rows = rows.select(
+        "*",
+        (F.col("todays_conversions").isNotNull() | F.col("todays_clickouts").isNotNull()).alias("_today"),
+        (F.col("last_week_conversions").isNotNull() | F.col("last_week_clickouts").isNotNull()).alias("_week"))
     if p.missing == "zero":
-        for name in ("todays_conversions", "todays_clickouts", "last_week_conversions", "last_week_clickouts"):
-            rows = rows.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
-    return (rows.withColumn("todays_cr", ratio("todays_conversions", "todays_clickouts", 0.0))
-            .withColumn("last_week_cr", ratio("last_week_conversions", "last_week_clickouts", 0.0)))
+        rows = rows.fillna(0, ["todays_conversions", "todays_clickouts", "last_week_conversions",
+                               "last_week_clickouts"])
+    return rows.select("*", ratio("todays_conversions", "todays_clickouts", 0.0).alias("todays_cr"),
+                       ratio("last_week_conversions", "last_week_clickouts", 0.0).alias("last_week_cr"))
+
+
+def _count_if_rows(cond, rows: str, counted: str):
+    return sum_if_rows(cond, rows, counted).cast("long")
 
 
 def rate_today(scope: Scope) -> DataFrame:

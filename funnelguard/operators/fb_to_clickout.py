@@ -1,8 +1,8 @@
 """fbToClickout (B1-B4): ad clicks that turn into click-outs, last 24 hours against the week before.
 
-Clicks come from the hourly facts, click-outs are *distinct* sessions with a
-postback. The distinct count is a two-level aggregate: (campaign, session)
-first, which spreads a hot campaign over many shuffle keys, then campaign.
+Clicks come from the hourly rollup, click-outs are *distinct* sessions with
+a postback (``rollups.distinct_clickouts``, a two-level aggregate that
+spreads a hot campaign over as many shuffle keys as it has sessions).
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import any_row, fired, ratio
-from ..functions.timewin import column_type, in_window, ts_lit
 from ..schemas import FB_TO_CLICKOUT, LABEL_CONTROLLED, LABEL_LAST_24_HOURS, LABEL_LAST_WEEK_RATE
 from .records import alert_records
 from .scope import Scope
@@ -19,41 +18,31 @@ from .scope import Scope
 
 def by_campaign(scope: Scope) -> DataFrame:
     """Clicks and distinct click-outs for [now-24h, now) and [now-8d, now-1d), per campaign."""
-    h, s, c, p = scope.facts.hourly, scope.facts.sessions, scope.clock, scope.params
-    lo, split = c.ago(days=8), c.ago(days=1)
-
-    recent_click = F.col("timestamp") >= ts_lit(split, column_type(h, "timestamp"))
-    clicks = (h.where(in_window(h, "timestamp", lo, c.now))
+    c, p = scope.clock, scope.params
+    cur = scope.within(c.ago(days=1), c.now)
+    prev = scope.within(c.ago(days=8), c.ago(days=1))
+    clicks = (scope.hourly.where(cur | prev)
               .groupBy("campaign_id")
-              .agg(F.sum(F.when(recent_click, F.col("clicks"))).alias("current_fb_clicks"),
-                   any_row(recent_click).alias("_clicks_cur"),
-                   F.sum(F.when(~recent_click, F.col("clicks"))).alias("last_week_fb_clicks"),
-                   any_row(~recent_click).alias("_clicks_prev")))
-
-    recent_session = F.col("session_dt") >= ts_lit(split, column_type(s, "session_dt"))
-    per_session = (s.where(in_window(s, "session_dt", lo, c.now) & F.col("postback_id").isNotNull())
-                   .groupBy("campaign_id", "session_id")
-                   .agg(any_row(recent_session).alias("_cur"), any_row(~recent_session).alias("_prev")))
-    clickouts = (per_session.groupBy("campaign_id")
-                 .agg(F.count(F.when(F.col("_cur"), F.col("session_id"))).alias("current_clickouts"),
-                      any_row(F.col("_cur")).alias("_outs_cur"),
-                      F.count(F.when(F.col("_prev"), F.col("session_id"))).alias("last_week_clickouts"),
-                      any_row(F.col("_prev")).alias("_outs_prev")))
-
-    joined = clicks.join(clickouts, "campaign_id", "full")
-    cur = F.coalesce("_clicks_cur", F.lit(False)) | F.coalesce("_outs_cur", F.lit(False))
-    prev = F.coalesce("_clicks_prev", F.lit(False)) | F.coalesce("_outs_prev", F.lit(False))
-    joined = (joined.withColumn("_cur_row", cur).withColumn("_prev_row", prev)
-              # counts from the side without rows in a window are NULL, as after an outer join
-              .withColumn("current_clickouts", F.when(F.col("_outs_cur"), F.col("current_clickouts")))
-              .withColumn("last_week_clickouts", F.when(F.col("_outs_prev"), F.col("last_week_clickouts"))))
+              .agg(F.sum(F.when(cur, F.col("clicks"))).cast("long").alias("current_fb_clicks"),
+                   any_row(cur).alias("_clicks_cur"),
+                   F.sum(F.when(prev, F.col("clicks"))).cast("long").alias("last_week_fb_clicks"),
+                   any_row(prev).alias("_clicks_prev")))
+    joined = clicks.join(scope.clickouts, "campaign_id", "full")
+    flag = lambda name: F.coalesce(F.col(name), F.lit(False))
+    joined = joined.select(
+        "campaign_id", "current_fb_clicks", "last_week_fb_clicks",
+        (flag("_clicks_cur") | flag("has_current")).alias("_cur_row"),
+        (flag("_clicks_prev") | flag("has_last_week")).alias("_prev_row"),
+        # a side without rows in a window is NULL, as after an outer join
+        F.when(F.col("has_current"), F.col("current_clickouts")).alias("current_clickouts"),
+        F.when(F.col("has_last_week"), F.col("last_week_clickouts")).alias("last_week_clickouts"))
     if p.missing == "zero":
-        for name in ("current_fb_clicks", "last_week_fb_clicks", "current_clickouts", "last_week_clickouts"):
-            joined = joined.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
-    return (joined
-            .withColumn("current_fb_to_clickout_rate", ratio("current_clickouts", "current_fb_clicks", 0.0))
-            .withColumn("last_week_fb_to_clickout_rate",
-                        ratio("last_week_clickouts", "last_week_fb_clicks", 0.0)))
+        joined = joined.fillna(0, ["current_fb_clicks", "last_week_fb_clicks", "current_clickouts",
+                                   "last_week_clickouts"])
+    return joined.select(
+        "*",
+        ratio("current_clickouts", "current_fb_clicks", 0.0).alias("current_fb_to_clickout_rate"),
+        ratio("last_week_clickouts", "last_week_fb_clicks", 0.0).alias("last_week_fb_to_clickout_rate"))
 
 
 def rate_24h(scope: Scope) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggs import INF, fired
 from ..functions.stats import consecutive_gaps
-from ..functions.timewin import epoch_micros, format_ts, in_window, ts_lit
+from ..functions.timewin import format_ts, in_window, micros
 from ..schemas import FLOW_INTERRUPTION, LABEL_CONTROLLED_MINUTES, LABEL_DYNAMIC_MINUTES, LABEL_MINUTES_SINCE
 from .records import alert_records
 from .scope import Scope
@@ -23,18 +23,15 @@ MICROS_PER_MINUTE = 60_000_000
 
 
 def last_conversion(scope: Scope) -> DataFrame:
-    """(vertical_name, last_conversion_dt) over all history before as_of; NULL if none."""
-    s, c = scope.facts.sessions, scope.clock
-    per_campaign = (s.where(in_window(s, "conversion_dt", None, c.now))
-                    .groupBy("campaign_id").agg(F.max("conversion_dt").alias("_last")))
-    rolled = scope.per_vertical(per_campaign, [], [F.max("_last").alias("last_conversion_dt")])
+    """F1: (vertical_name, last_us) latest conversion before as_of, epoch micros; NULL if none."""
+    rolled = scope.per_vertical(scope.last_conversions, [], [F.max("last_us").alias("last_us")])
     return scope.verticals.join(rolled, "vertical_name", "left")
 
 
 def minutes_since_conversion(scope: Scope) -> DataFrame:
     """(vertical_name, minutes_since_conversion): whole minutes, +inf if never."""
-    now_us = F.unix_micros(ts_lit(scope.clock.now))
-    minutes = F.floor((now_us - epoch_micros("last_conversion_dt")) / F.lit(MICROS_PER_MINUTE)).cast("double")
+    now_us = F.lit(micros(scope.clock.now))
+    minutes = F.floor((now_us - F.col("last_us")) / F.lit(MICROS_PER_MINUTE)).cast("double")
     return last_conversion(scope).select(
         "vertical_name", F.coalesce(minutes, F.lit(INF)).alias("minutes_since_conversion"))
 
@@ -100,7 +97,7 @@ def automated(scope: Scope) -> DataFrame:
 def last_conversion_text(scope: Scope) -> DataFrame:
     """F1 rendered for comparison across engines: timestamp as text with microseconds."""
     return last_conversion(scope).select(
-        "vertical_name", format_ts(F.col("last_conversion_dt"), micros=True).alias("last_conversion_dt"))
+        "vertical_name", format_ts(F.timestamp_micros("last_us"), micros=True).alias("last_conversion_dt"))
 
 
 def controlled_alerts(rows: DataFrame) -> DataFrame:

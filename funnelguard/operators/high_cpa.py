@@ -8,14 +8,14 @@ weighted MAD.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggs import INF, exact_sum, fired, ratio
+from ..functions.aggs import INF, fired, ratio
 from ..functions.stats import percentile_trim, weighted_mad, weighted_median
-from ..functions.timewin import epoch_seconds, in_window
 from ..schemas import HIGH_CPA, LABEL_CONTROLLED, LABEL_LAST_6_HOURS, LABEL_WEIGHTED_MAD
 from .records import alert_records
+from .rollups import HOUR_US, hour_start, weekday
 from .scope import Scope
 
 BUCKET_SHIFT_HOURS = 6
@@ -23,24 +23,23 @@ BUCKET_SHIFT_HOURS = 6
 
 def spend_6h(scope: Scope) -> DataFrame:
     """(campaign_id, current_6h_spend) for campaigns with hourly rows in the last 6 hours."""
-    h, c = scope.facts.hourly, scope.clock
-    return (h.where(in_window(h, "timestamp", c.ago(hours=6), c.now))
-            .groupBy("campaign_id").agg(exact_sum("spend", scope.params.money_scale).alias("current_6h_spend")))
+    c = scope.clock
+    return (scope.hourly.where(scope.within(c.ago(hours=6), c.now))
+            .groupBy("campaign_id").agg(F.sum("spend").cast("double").alias("current_6h_spend")))
 
 
 def volume_6h(scope: Scope) -> DataFrame:
     """(campaign_id, current_6h_volume) conversions in the last 6 hours."""
-    s, c = scope.facts.sessions, scope.clock
-    return (s.where(in_window(s, "conversion_dt", c.ago(hours=6), c.now))
-            .groupBy("campaign_id").agg(F.count("session_id").alias("current_6h_volume")))
+    c = scope.clock
+    return (scope.conversions.where(scope.within(c.ago(hours=6), c.now))
+            .groupBy("campaign_id").agg(F.sum("n_sid").cast("long").alias("current_6h_volume")))
 
 
 def current_by_campaign(scope: Scope) -> DataFrame:
     """C3 before scoping: full outer join of C1 and C2, CPA = spend / volume (inf at volume 0)."""
     joined = spend_6h(scope).join(volume_6h(scope), "campaign_id", "full")
     if scope.params.missing == "zero":
-        joined = (joined.withColumn("current_6h_spend", F.coalesce("current_6h_spend", F.lit(0.0)))
-                  .withColumn("current_6h_volume", F.coalesce("current_6h_volume", F.lit(0).cast("long"))))
+        joined = joined.fillna({"current_6h_spend": 0.0, "current_6h_volume": 0})
     return joined.withColumn("current_6h_cpa", ratio("current_6h_spend", "current_6h_volume", INF))
 
 
@@ -49,33 +48,23 @@ def current(scope: Scope) -> DataFrame:
     return scope.per_campaign(current_by_campaign(scope))
 
 
-def _bucket(name: str):
-    """date_trunc('hour', ts - 6 hours) as epoch seconds (UTC, so whole hours shift exactly)."""
-    return ((F.floor(epoch_seconds(name) / 3600) - BUCKET_SHIFT_HOURS) * 3600).alias("window_start")
-
-
-def _history_range(scope: Scope):
+def _history(scope: Scope, rollup: DataFrame, value: Column, name: str) -> DataFrame:
+    """Per (campaign, hour bucket labelled 6 hours earlier) on the as_of weekday of the last 4 weeks."""
     c = scope.clock
-    return c.ago(days=28), (c.now if scope.params.cpa_history_includes_today else c.today)
+    hi = c.now if scope.params.cpa_history_includes_today else c.today
+    label = (hour_start() - F.lit(BUCKET_SHIFT_HOURS * HOUR_US)).alias("window_start")
+    return (rollup.where(scope.within(c.ago(days=28), hi) & (weekday() == c.dayofweek))
+            .groupBy("campaign_id", label).agg(value.alias(name)))
 
 
 def spend_history(scope: Scope) -> DataFrame:
-    """C4: (campaign_id, window_start, window_spend) on the as_of weekday of the last 4 weeks."""
-    h = scope.facts.hourly
-    lo, hi = _history_range(scope)
-    return (h.where(in_window(h, "timestamp", lo, hi) & (F.dayofweek("timestamp") == scope.clock.dayofweek))
-            .groupBy("campaign_id", _bucket("timestamp"))
-            .agg(exact_sum("spend", scope.params.money_scale).alias("window_spend")))
+    """C4: (campaign_id, window_start [epoch micros], window_spend)."""
+    return _history(scope, scope.hourly, F.sum("spend").cast("double"), "window_spend")
 
 
 def volume_history(scope: Scope) -> DataFrame:
     """(campaign_id, window_start, window_volume), same buckets on conversion time."""
-    s = scope.facts.sessions
-    lo, hi = _history_range(scope)
-    return (s.where(in_window(s, "conversion_dt", lo, hi)
-                    & (F.dayofweek("conversion_dt") == scope.clock.dayofweek))
-            .groupBy("campaign_id", _bucket("conversion_dt"))
-            .agg(F.count("session_id").alias("window_volume")))
+    return _history(scope, scope.conversions, F.sum("n_sid").cast("long"), "window_volume")
 
 
 def history(scope: Scope) -> DataFrame:

@@ -1,7 +1,7 @@
 """highLpAbandonment (L1-L6): sessions that start on a landing page but never reach the loader step.
 
-Started sessions come from the session facts (last 24 h), successes from
-the daily funnel ("loader" step, by date). Both are partial-aggregated per
+Started sessions come from the session rollup (last 24 h), successes from
+the daily funnel ("loader" step, by date). Both are aggregated per
 (campaign, page) in one pass for the current and previous windows, then
 rolled up to (vertical, page) over the vertical's active campaigns.
 """
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggs import count_if_any, fired
-from ..functions.timewin import column_type, date_lit, in_dates, in_window, ts_lit
+from ..functions.aggs import fired, sum_if_rows
+from ..functions.timewin import date_lit
 from ..schemas import HIGH_LP_ABANDONMENT, LABEL_CONTROLLED, LABEL_LAST_24_HOURS, LABEL_LAST_WEEK_RATE
 from .records import alert_records
 from .scope import Scope
@@ -21,29 +21,26 @@ LOADER_STEP = "loader"
 
 
 def _started(scope: Scope) -> DataFrame:
-    s, c = scope.facts.sessions, scope.clock
-    lo, split = c.ago(days=8), c.ago(days=1)
-    recent = F.col("session_dt") >= ts_lit(split, column_type(s, "session_dt"))
-    per_campaign = (s.where(in_window(s, "session_dt", lo, c.now))
+    c = scope.clock
+    cur = scope.within(c.ago(hours=24), c.now)
+    prev = scope.within(c.ago(days=8), c.ago(days=1))
+    per_campaign = (scope.sessions.where(cur | prev)
                     .groupBy("campaign_id", "page")
-                    .agg(count_if_any(recent, "session_id").alias("_cur"),
-                         count_if_any(~recent, "session_id").alias("_prev")))
+                    .agg(sum_if_rows(cur, "n", "n_sid").alias("_cur"),
+                         sum_if_rows(prev, "n", "n_sid").alias("_prev")))
     return scope.per_vertical(per_campaign, ["page"],
                               [F.sum("_cur").cast("long").alias("total_started"),
                                F.sum("_prev").cast("long").alias("last_week_started")])
 
 
 def _successes(scope: Scope) -> DataFrame:
-    f, c = scope.facts.funnel, scope.clock
-    first = c.ago(days=8).date()
-    cur_first = c.ago(hours=24).date()
-    prev_end = c.ago(days=1).date()
-    cur = F.col("date") >= date_lit(cur_first)
-    prev = F.col("date") < date_lit(prev_end)
-    per_campaign = (f.where((F.col("interaction_type") == LOADER_STEP) & in_dates(f, "date", first, c.today_date))
+    c = scope.clock
+    cur = F.col("date") >= date_lit(c.ago(hours=24))
+    prev = (F.col("date") >= date_lit(c.ago(days=8))) & (F.col("date") < date_lit(c.ago(days=1)))
+    per_campaign = (scope.funnel(LOADER_STEP)
                     .groupBy("campaign_id", "page")
-                    .agg(F.sum(F.when(cur, F.col("users_reached_step"))).alias("_cur"),
-                         F.sum(F.when(prev, F.col("users_reached_step"))).alias("_prev")))
+                    .agg(F.sum(F.when(cur, F.col("users"))).alias("_cur"),
+                         F.sum(F.when(prev, F.col("users"))).alias("_prev")))
     return scope.per_vertical(per_campaign, ["page"],
                               [F.sum("_cur").cast("long").alias("successful_24h_count"),
                                F.sum("_prev").cast("long").alias("last_week_successful")])

@@ -1,8 +1,9 @@
 """performanceDecline (P1-P4): today's return on spend against last week's.
 
-"ROI" is revenue / spend (payout over cost, cost not subtracted). Each
-table is read once for both windows with conditional aggregates; a
-``has_*`` flag keeps the outer-join meaning of "this side had rows".
+"ROI" is revenue / spend (payout over cost, cost not subtracted). Revenue
+comes from the conversion rollup, spend from the daily facts; each is read
+once for both windows with conditional aggregates, and a ``_rev_*`` /
+``_spend_*`` flag keeps the outer-join meaning of "this side had rows".
 """
 
 from __future__ import annotations
@@ -10,40 +11,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggs import INF, any_row, exact_sum_if, fired, ratio
-from ..functions.timewin import column_type, date_lit, in_dates, in_window, ts_lit
+from ..functions.aggs import INF, any_row, fired, ratio
+from ..functions.timewin import date_lit
 from ..schemas import LABEL_CONTROLLED, LABEL_LAST_WEEK_ROI, LABEL_TODAY, PERFORMANCE_DECLINE
 from .records import alert_records
 from .scope import Scope
 
 
 def by_campaign(scope: Scope) -> DataFrame:
-    """Revenue and spend of today and of the 7 previous days, per campaign (one pass each)."""
-    s, d, c, p = scope.facts.sessions, scope.facts.daily, scope.clock, scope.params
-    week_start = c.days_before_today(7)
-    today_conv = F.col("conversion_dt") >= ts_lit(c.today, column_type(s, "conversion_dt"))
-    revenue = (s.where(in_window(s, "conversion_dt", week_start, c.now))
+    """Revenue and spend of today and of the 7 previous days, per campaign (one pass over each rollup)."""
+    c, p = scope.clock, scope.params
+    today = scope.within(c.today, c.now)
+    week = scope.within(c.days_before_today(7), c.today)
+    revenue = (scope.conversions.where(today | week)
                .groupBy("campaign_id")
-               .agg(exact_sum_if(today_conv, "conversion_payout", p.money_scale).alias("todays_revenue"),
-                    any_row(today_conv).alias("_rev_today"),
-                    exact_sum_if(~today_conv, "conversion_payout", p.money_scale).alias("last_week_revenue"),
-                    any_row(~today_conv).alias("_rev_week")))
-    today_row = F.col("date") >= date_lit(c.today_date)
-    spend = (d.where(in_dates(d, "date", week_start, c.today_date))
+               .agg(F.sum(F.when(today, F.col("payout"))).cast("double").alias("todays_revenue"),
+                    any_row(today).alias("_rev_today"),
+                    F.sum(F.when(week, F.col("payout"))).cast("double").alias("last_week_revenue"),
+                    any_row(week).alias("_rev_week")))
+    today_row = F.col("date") == date_lit(c.today_date)
+    week_row = (F.col("date") >= date_lit(c.days_before_today(7))) & (F.col("date") < date_lit(c.today_date))
+    spend = (scope.daily_spend
              .groupBy("campaign_id")
-             .agg(exact_sum_if(today_row, "spend", p.money_scale).alias("todays_spend"),
+             .agg(F.sum(F.when(today_row, F.col("spend"))).cast("double").alias("todays_spend"),
                   any_row(today_row).alias("_spend_today"),
-                  exact_sum_if(~today_row, "spend", p.money_scale).alias("last_week_spend"),
-                  any_row(~today_row).alias("_spend_week")))
+                  F.sum(F.when(week_row, F.col("spend"))).cast("double").alias("last_week_spend"),
+                  any_row(week_row).alias("_spend_week")))
     joined = revenue.join(spend, "campaign_id", "full")
     if p.missing == "zero":
-        for name in ("todays_revenue", "todays_spend", "last_week_revenue", "last_week_spend"):
-            joined = joined.withColumn(name, F.coalesce(name, F.lit(0.0)))
-    return (joined
-            .withColumn("_today", _either("_rev_today", "_spend_today"))
-            .withColumn("_week", _either("_rev_week", "_spend_week"))
-            .withColumn("todays_roi", ratio("todays_revenue", "todays_spend", INF))
-            .withColumn("last_week_roi", ratio("last_week_revenue", "last_week_spend", INF)))
+        joined = joined.fillna(0.0, ["todays_revenue", "todays_spend", "last_week_revenue", "last_week_spend"])
+    return joined.select(
+        "*",
+        _either("_rev_today", "_spend_today").alias("_today"),
+        _either("_rev_week", "_spend_week").alias("_week"),
+        ratio("todays_revenue", "todays_spend", INF).alias("todays_roi"),
+        ratio("last_week_revenue", "last_week_spend", INF).alias("last_week_roi"))
 
 
 def _either(a: str, b: str) -> Column:

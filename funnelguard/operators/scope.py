@@ -10,16 +10,16 @@ back to a shuffled join when it is large.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import effective_threshold, exact_sum
-from ..functions.timewin import Clock, in_window
+from ..functions.materialize import Materializer
+from ..functions.timewin import Clock, in_window, micros
 from ..params import Params
 from ..schemas import CAMPAIGN_ALERTS, VERTICAL_ALERTS
 from ..sources.facts import Facts
+from . import rollups
 
 
 def active_by_spend(facts: Facts, clock: Clock, params: Params) -> DataFrame:
@@ -56,20 +56,64 @@ def active_campaigns(facts: Facts, clock: Clock, params: Params) -> DataFrame:
                     F.coalesce("_name", "campaign_id").alias("campaign_name")))
 
 
-@dataclass(frozen=True)
 class Scope:
-    """Everything one evaluation reads: facts, clock, parameters, active pairs."""
+    """Everything one evaluation reads: facts, clock, parameters, active pairs and rollups.
+
+    The active pairs and each rollup are built at most once per scope and
+    materialised (see ``functions.materialize``), so the plans of all
+    checks start from the same small tables.
+    """
 
-    facts: Facts
-    clock: Clock
-    params: Params
-    active: DataFrame
+    def __init__(self, facts: Facts, clock: Clock, params: Params, materialize: Materializer):
+        self.facts = facts
+        self.clock = clock
+        self.params = params
+        self.materialize = materialize
+        self._cache: dict[str, DataFrame] = {}
 
     @classmethod
-    def build(cls, facts: Facts, as_of, params: Params | None = None) -> "Scope":
+    def build(cls, facts: Facts, as_of, params: Params | None = None, materialize: bool = True) -> "Scope":
         params = params or Params()
         clock = as_of if isinstance(as_of, Clock) else Clock.at(as_of)
-        return cls(facts, clock, params, active_campaigns(facts, clock, params))
+        label = clock.now.strftime("%Y%m%dT%H%M%S")
+        return cls(facts, clock, params, Materializer(facts.hourly.sparkSession, label, materialize))
+
+    def _once(self, name: str, build) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = self.materialize(build(), name)
+        return self._cache[name]
+
+    @property
+    def active(self) -> DataFrame:
+        """(vertical_name, campaign_id, campaign_name) of active campaigns."""
+        return self._once("active", lambda: active_campaigns(self.facts, self.clock, self.params))
+
+    @property
+    def hourly(self) -> DataFrame:
+        return self._once("hourly", lambda: rollups.hourly_rollup(self.facts, self.clock, self.params))
+
+    @property
+    def conversions(self) -> DataFrame:
+        return self._once("conversions", lambda: rollups.conversion_rollup(self.facts, self.clock, self.params))
+
+    @property
+    def sessions(self) -> DataFrame:
+        return self._once("sessions", lambda: rollups.session_rollup(self.facts, self.clock))
+
+    @property
+    def clickouts(self) -> DataFrame:
+        return self._once("clickouts", lambda: rollups.distinct_clickouts(self.facts, self.clock))
+
+    @property
+    def last_conversions(self) -> DataFrame:
+        return self._once("last_conversions", lambda: rollups.last_conversions(self.facts, self.clock))
+
+    @property
+    def daily_spend(self) -> DataFrame:
+        return self._once("daily_spend", lambda: rollups.daily_spend_rollup(self.facts, self.clock, self.params))
+
+    def funnel(self, loader_step: str) -> DataFrame:
+        return self._once(f"funnel_{loader_step}", lambda: rollups.funnel_rollup(self.facts, self.clock, loader_step))
 
     @property
     def pairs(self) -> DataFrame:
@@ -79,6 +123,15 @@ class Scope:
     def verticals(self) -> DataFrame:
         return self.active.select("vertical_name").distinct()
 
+    def within(self, lo, hi, col: str = "b") -> Column:
+        """Bucket start in [lo, hi) (datetimes; either may be None)."""
+        cond = F.col(col).isNotNull()
+        if lo is not None:
+            cond = cond & (F.col(col) >= F.lit(micros(lo)))
+        if hi is not None:
+            cond = cond & (F.col(col) < F.lit(micros(hi)))
+        return cond
+
     def per_campaign(self, metrics: DataFrame, with_name: bool = False) -> DataFrame:
         """Attach the vertical (and name) to per-campaign metrics of active campaigns only."""
         side = self.active if with_name else self.pairs

@@ -1,9 +1,9 @@
 """volumeDrop (V1-V5): conversions in the last hour of a vertical against the same hour of past days.
 
-One pass over the sessions gives, per campaign, the last-hour count and
-the same-hour count of each of the 7 previous days (seven conditional
-counts instead of a per-day group); campaigns are then rolled up to their
-vertical. Verticals without conversions keep a row with 0.
+One pass over the conversion rollup gives, per campaign, the last-hour
+count and the same-hour count of each of the 7 previous days (seven
+conditional sums instead of a per-day group); campaigns are then rolled up
+to their vertical. Verticals without conversions keep a row with 0.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import fired
-from ..functions.timewin import in_window
 from ..schemas import LABEL_CONTROLLED, LABEL_LAST_1_HOUR, LABEL_SAME_HOUR_AVG, VOLUME_DROP
 from .records import alert_records
 from .scope import Scope
@@ -28,17 +27,17 @@ def _day_col(k: int) -> str:
 
 def _conversions(scope: Scope) -> DataFrame:
     """Per vertical: last-hour conversions and same-hour conversions of each previous day."""
-    s, c = scope.facts.sessions, scope.clock
+    c = scope.clock
     hour_start = c.today + timedelta(hours=c.hour)
-    counts = [F.count(F.when(in_window(s, "conversion_dt", c.ago(hours=1), c.now), F.lit(1)))
-              .alias("_last_hour")]
-    for k in range(1, HISTORY_DAYS + 1):
-        lo = hour_start - timedelta(days=k)
-        counts.append(F.count(F.when(in_window(s, "conversion_dt", lo, lo + timedelta(hours=1)), F.lit(1)))
-                      .alias(_day_col(k)))
-    per_campaign = (s.where(in_window(s, "conversion_dt", min(c.days_before_today(HISTORY_DAYS), c.ago(hours=1)),
-                                      c.now))
-                    .groupBy("campaign_id").agg(*counts))
+    last_hour = scope.within(c.ago(hours=1), c.now)
+    days = [scope.within(hour_start - timedelta(days=k), hour_start - timedelta(days=k, hours=-1))
+            for k in range(1, HISTORY_DAYS + 1)]
+    wanted = last_hour
+    for day in days:
+        wanted = wanted | day
+    per_campaign = (scope.conversions.where(wanted).groupBy("campaign_id")
+                    .agg(F.sum(F.when(last_hour, F.col("n"))).alias("_last_hour"),
+                         *[F.sum(F.when(day, F.col("n"))).alias(_day_col(k)) for k, day in enumerate(days, 1)]))
     rolled = scope.per_vertical(per_campaign, [],
                                 [F.sum("_last_hour").cast("long").alias("_last_hour")]
                                 + [F.sum(_day_col(k)).cast("long").alias(_day_col(k))
@@ -48,11 +47,10 @@ def _conversions(scope: Scope) -> DataFrame:
 
 def spend_today(scope: Scope) -> DataFrame:
     """V2: (vertical_name, spend_today) from the hourly facts since midnight; 0 when none."""
-    h, c = scope.facts.hourly, scope.clock
+    c = scope.clock
+    per_campaign = (scope.hourly.where(scope.within(c.today, c.now))
+                    .groupBy("campaign_id").agg(F.sum("spend").alias("_spend")))
     # campaign partials stay DECIMAL so the vertical total is still exact
-    money = f"decimal(18,{scope.params.money_scale})"
-    per_campaign = (h.where(in_window(h, "timestamp", c.today, c.now))
-                    .groupBy("campaign_id").agg(F.sum(F.col("spend").cast(money)).alias("_spend")))
     rolled = scope.per_vertical(per_campaign, [], [F.sum("_spend").cast("double").alias("spend_today")])
     return (scope.verticals.join(rolled, "vertical_name", "left")
             .select("vertical_name", F.coalesce("spend_today", F.lit(0.0)).alias("spend_today")))

@@ -54,7 +54,7 @@ class Fixture:
 
 
 def _window_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("time_window_start", format_ts(F.timestamp_seconds("window_start"))).drop("window_start")
+    return df.withColumn("time_window_start", format_ts(F.timestamp_micros("window_start"))).drop("window_start")
 
 
 def _campaign_history(fn: Callable[[Scope], DataFrame]) -> Callable[[Fixture], DataFrame]:
