@@ -60,23 +60,22 @@ def rate_week_ago(scope: Scope) -> DataFrame:
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Rate below the fixed threshold with at least the minimum click-outs."""
     p = scope.params
-    rows = by_campaign(scope).where("_today").select("campaign_id", "todays_cr", "todays_clickouts")
-    return (scope.active.join(rows, "campaign_id", "inner")
-            .join(F.broadcast(thresholds), "vertical_name", "left")
-            .withColumn("fired", fired((F.col("todays_cr") < F.col("effective_threshold"))
-                                       & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert))))
+    return (scope.campaign_metrics.where("cr_today_row").join(F.broadcast(thresholds), "vertical_name", "left")
+            .select("vertical_name", "campaign_id", "campaign_name", "todays_cr", "todays_clickouts",
+                    "base_threshold", "effective_threshold",
+                    fired((F.col("todays_cr") < F.col("effective_threshold"))
+                          & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert)).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Rate below the week-ago rate times the factor (week-ago rate > 0)."""
     p = scope.params
-    rows = (by_campaign(scope).where(F.col("_today") & F.col("_week"))
-            .select("campaign_id", "todays_cr", "todays_clickouts", "last_week_cr"))
-    return (scope.active.join(rows, "campaign_id", "inner")
-            .withColumn("benchmark", F.col("last_week_cr") * p.clickout_to_conversion_factor)
-            .withColumn("fired", fired((F.col("last_week_cr") > 0)
-                                       & (F.col("todays_cr") < F.col("benchmark"))
-                                       & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert))))
+    benchmark = F.col("last_week_cr") * p.clickout_to_conversion_factor
+    return (scope.campaign_metrics.where(F.col("cr_today_row") & F.col("cr_week_row"))
+            .select("campaign_id", "vertical_name", "campaign_name", "todays_cr", "todays_clickouts",
+                    "last_week_cr", benchmark.alias("benchmark"),
+                    fired((F.col("last_week_cr") > 0) & (F.col("todays_cr") < benchmark)
+                          & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert)).alias("fired")))
 
 
 def controlled_alerts(rows: DataFrame) -> DataFrame:

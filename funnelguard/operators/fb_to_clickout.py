@@ -62,25 +62,23 @@ def rate_prev_week(scope: Scope) -> DataFrame:
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Rate below the fixed threshold with at least the minimum clicks."""
     p = scope.params
-    rows = (by_campaign(scope).where("_cur_row")
-            .select("campaign_id", "current_fb_to_clickout_rate", "current_fb_clicks"))
-    return (scope.active.join(rows, "campaign_id", "inner")
-            .join(F.broadcast(thresholds), "vertical_name", "left")
-            .withColumn("fired", fired((F.col("current_fb_to_clickout_rate") < F.col("effective_threshold"))
-                                       & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout))))
+    return (scope.campaign_metrics.where("fb_cur_row").join(F.broadcast(thresholds), "vertical_name", "left")
+            .select("vertical_name", "campaign_id", "campaign_name", "current_fb_to_clickout_rate",
+                    "current_fb_clicks", "base_threshold", "effective_threshold",
+                    fired((F.col("current_fb_to_clickout_rate") < F.col("effective_threshold"))
+                          & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout)).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Rate below last week's rate times the drop factor (last week's rate > 0)."""
     p = scope.params
-    rows = (by_campaign(scope).where(F.col("_cur_row") & F.col("_prev_row"))
-            .select("campaign_id", "current_fb_to_clickout_rate", "current_fb_clicks",
-                    "last_week_fb_to_clickout_rate"))
-    return (scope.active.join(rows, "campaign_id", "inner")
-            .withColumn("benchmark", F.col("last_week_fb_to_clickout_rate") * p.fb_to_clickout_drop_factor)
-            .withColumn("fired", fired((F.col("last_week_fb_to_clickout_rate") > 0)
-                                       & (F.col("current_fb_to_clickout_rate") < F.col("benchmark"))
-                                       & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout))))
+    benchmark = F.col("last_week_fb_to_clickout_rate") * p.fb_to_clickout_drop_factor
+    return (scope.campaign_metrics.where(F.col("fb_cur_row") & F.col("fb_prev_row"))
+            .select("campaign_id", "vertical_name", "campaign_name", "current_fb_to_clickout_rate",
+                    "current_fb_clicks", "last_week_fb_to_clickout_rate", benchmark.alias("benchmark"),
+                    fired((F.col("last_week_fb_to_clickout_rate") > 0)
+                          & (F.col("current_fb_to_clickout_rate") < benchmark)
+                          & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout)).alias("fired")))
 
 
 def controlled_alerts(rows: DataFrame) -> DataFrame:

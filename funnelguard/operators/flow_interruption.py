@@ -17,7 +17,6 @@ from ..functions.timewin import format_ts, in_window, micros
 from ..schemas import FLOW_INTERRUPTION, LABEL_CONTROLLED_MINUTES, LABEL_DYNAMIC_MINUTES, LABEL_MINUTES_SINCE
 from .records import alert_records
 from .scope import Scope
-from .volume_drop import spend_today
 
 MICROS_PER_MINUTE = 60_000_000
 
@@ -72,26 +71,26 @@ def gap_threshold(scope: Scope) -> DataFrame:
                    median * p.flow_interruption_automated_multiplier).cast("double"))
 
 
-def _current(scope: Scope) -> DataFrame:
-    return minutes_since_conversion(scope).join(spend_today(scope), "vertical_name", "inner")
-
-
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """minutes since the last conversion above the fixed threshold while spending today."""
     p = scope.params
-    return (_current(scope).join(F.broadcast(thresholds), "vertical_name", "left")
-            .withColumn("fired", fired((F.col("spend_today") > p.min_spend_for_cpa_alert)
-                                       & (F.col("minutes_since_conversion") > F.col("effective_threshold")))))
+    return (scope.vertical_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
+            .select("vertical_name", "minutes_since_conversion", "spend_today", "base_threshold",
+                    "effective_threshold",
+                    fired((F.col("spend_today") > p.min_spend_for_cpa_alert)
+                          & (F.col("minutes_since_conversion") > F.col("effective_threshold"))).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """minutes above the dynamic threshold, with enough history and a positive median."""
     p = scope.params
-    return (_current(scope).join(gap_threshold(scope), "vertical_name", "inner")
-            .withColumn("fired", fired((F.col("num_gaps") >= p.flow_interruption_min_historical_gaps)
-                                       & (F.coalesce("median_gap_minutes", F.lit(0.0)) > 0)
-                                       & (F.col("minutes_since_conversion") > F.col("dynamic_threshold"))
-                                       & (F.col("spend_today") > p.min_spend_for_cpa_alert))))
+    return (scope.vertical_metrics
+            .select("vertical_name", "minutes_since_conversion", "spend_today", "median_gap_minutes", "num_gaps",
+                    "dynamic_threshold",
+                    fired((F.col("num_gaps") >= p.flow_interruption_min_historical_gaps)
+                          & (F.coalesce("median_gap_minutes", F.lit(0.0)) > 0)
+                          & (F.col("minutes_since_conversion") > F.col("dynamic_threshold"))
+                          & (F.col("spend_today") > p.min_spend_for_cpa_alert)).alias("fired")))
 
 
 def last_conversion_text(scope: Scope) -> DataFrame:

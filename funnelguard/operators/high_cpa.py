@@ -106,30 +106,28 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     (NULL read as 0); one without rows has CPA inf and spend 0, so it never
     fires. ``thresholds``: (vertical_name, base_threshold, effective_threshold).
     """
-    cur = current_by_campaign(scope).withColumn("_present", F.lit(True))
-    present = F.col("_present").isNotNull()
     p = scope.params
-    return (scope.active.join(cur, "campaign_id", "left")
-            .join(F.broadcast(thresholds), "vertical_name", "left")
-            .select("vertical_name", "campaign_id", "campaign_name",
-                    F.when(present, F.coalesce("current_6h_cpa", F.lit(0.0))).otherwise(F.lit(INF))
-                    .alias("current_6h_cpa"),
-                    F.when(present, F.col("current_6h_spend")).otherwise(F.lit(0.0)).alias("current_6h_spend"),
-                    F.when(present, F.coalesce("current_6h_volume", F.lit(0).cast("long")))
-                    .otherwise(F.lit(0).cast("long")).alias("current_6h_volume"),
-                    "base_threshold", "effective_threshold")
-            .withColumn("fired", fired((F.col("current_6h_cpa") > F.col("effective_threshold"))
-                                       & (F.col("current_6h_spend") > p.min_spend_for_cpa_alert))))
+    present = F.col("cpa_present")
+    cpa = F.when(present, F.coalesce("current_6h_cpa", F.lit(0.0))).otherwise(F.lit(INF))
+    spend = F.when(present, F.col("current_6h_spend")).otherwise(F.lit(0.0))
+    volume = F.when(present, F.coalesce("current_6h_volume", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    return (scope.campaign_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
+            .select("vertical_name", "campaign_id", "campaign_name", cpa.alias("current_6h_cpa"),
+                    spend.alias("current_6h_spend"), volume.alias("current_6h_volume"),
+                    "base_threshold", "effective_threshold",
+                    fired((cpa > F.col("effective_threshold"))
+                          & (spend > p.min_spend_for_cpa_alert)).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Current CPA of active campaigns with a benchmark, and whether it exceeds it."""
     p = scope.params
-    return (scope.active.join(current_by_campaign(scope), "campaign_id", "inner")
-            .join(benchmark(scope), "campaign_id", "inner")
-            .withColumn("fired", fired((F.col("current_6h_cpa") > F.col("high_cpa_threshold"))
-                                       & (F.col("high_cpa_threshold") != F.lit(INF))
-                                       & (F.col("current_6h_spend") > p.min_spend_for_cpa_alert))))
+    return (scope.campaign_metrics.where(F.col("cpa_present") & F.col("high_cpa_threshold").isNotNull())
+            .select("campaign_id", "vertical_name", "campaign_name", "current_6h_spend", "current_6h_volume",
+                    "current_6h_cpa", "weighted_median_cpa", "weighted_mad_cpa", "high_cpa_threshold",
+                    fired((F.col("current_6h_cpa") > F.col("high_cpa_threshold"))
+                          & (F.col("high_cpa_threshold") != F.lit(INF))
+                          & (F.col("current_6h_spend") > p.min_spend_for_cpa_alert)).alias("fired")))
 
 
 def controlled_alerts(rows: DataFrame) -> DataFrame:

@@ -83,23 +83,27 @@ def abandonment_prev_week(scope: Scope) -> DataFrame:
                         .otherwise(F.col("last_week_abandoned") / F.col("last_week_started"))))
 
 
+_CURRENT = ("vertical_name", "page", "total_started", "successful_24h_count", "total_abandoned", "current_rate")
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Pages whose rate exceeds the fixed threshold, with at least the minimum sessions."""
     p = scope.params
-    return (abandonment_24h(scope).join(F.broadcast(thresholds), "vertical_name", "left")
-            .withColumn("fired", fired((F.col("current_rate") > F.col("effective_threshold"))
-                                       & (F.col("total_started") >= p.min_sessions_for_lp_abandonment))))
+    return (scope.page_metrics.where("cur_row").join(F.broadcast(thresholds), "vertical_name", "left")
+            .select(*_CURRENT, "base_threshold", "effective_threshold",
+                    fired((F.col("current_rate") > F.col("effective_threshold"))
+                          & (F.col("total_started") >= p.min_sessions_for_lp_abandonment)).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Pages whose rate exceeds last week's times the factor (last week's rate > 0)."""
     p = scope.params
-    prev = abandonment_prev_week(scope).select("vertical_name", "page", "last_week_rate")
-    return (abandonment_24h(scope).join(prev, ["vertical_name", "page"], "inner")
-            .withColumn("benchmark", F.col("last_week_rate") * p.lp_abandonment_benchmark_factor)
-            .withColumn("fired", fired((F.col("current_rate") > F.col("benchmark"))
-                                       & (F.col("total_started") >= p.min_sessions_for_lp_abandonment)
-                                       & (F.col("last_week_rate") > 0))))
+    benchmark = F.col("last_week_rate") * p.lp_abandonment_benchmark_factor
+    return (scope.page_metrics.where(F.col("cur_row") & F.col("prev_row"))
+            .select(*_CURRENT, "last_week_rate", benchmark.alias("benchmark"),
+                    fired((F.col("current_rate") > benchmark)
+                          & (F.col("total_started") >= p.min_sessions_for_lp_abandonment)
+                          & (F.col("last_week_rate") > 0)).alias("fired")))
 
 
 def controlled_alerts(rows: DataFrame) -> DataFrame:

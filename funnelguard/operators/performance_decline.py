@@ -67,24 +67,24 @@ def roi_last_week(scope: Scope) -> DataFrame:
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Active campaigns with rows today, ROI below the fixed threshold and spend above the minimum."""
     p = scope.params
-    rows = by_campaign(scope).where("_today").select("campaign_id", "todays_roi", "todays_spend")
-    return (scope.active.join(rows, "campaign_id", "inner")
-            .join(F.broadcast(thresholds), "vertical_name", "left")
-            .withColumn("fired", fired((F.col("todays_spend") > p.min_spend_for_roi_alert)
-                                       & (F.col("todays_roi") < F.col("effective_threshold")))))
+    return (scope.campaign_metrics.where("roi_today_row").join(F.broadcast(thresholds), "vertical_name", "left")
+            .select("vertical_name", "campaign_id", "campaign_name", "todays_roi", "todays_spend",
+                    "base_threshold", "effective_threshold",
+                    fired((F.col("todays_spend") > p.min_spend_for_roi_alert)
+                          & (F.col("todays_roi") < F.col("effective_threshold"))).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """today's ROI below last week's times the drop factor, both spends above the minimum."""
     p = scope.params
-    rows = (by_campaign(scope).where(F.col("_today") & F.col("_week"))
-            .select("campaign_id", "todays_roi", "todays_spend", "last_week_roi", "last_week_spend"))
-    return (scope.active.join(rows, "campaign_id", "inner")
-            .withColumn("benchmark", F.col("last_week_roi") * p.performance_decline_drop_factor)
-            .withColumn("fired", fired((F.col("todays_spend") > p.min_spend_for_roi_alert)
-                                       & (F.col("last_week_spend") > p.min_spend_for_roi_alert)
-                                       & (F.col("last_week_roi") != F.lit(INF))
-                                       & (F.col("todays_roi") < F.col("benchmark")))))
+    benchmark = F.col("last_week_roi") * p.performance_decline_drop_factor
+    return (scope.campaign_metrics.where(F.col("roi_today_row") & F.col("roi_week_row"))
+            .select("campaign_id", "vertical_name", "campaign_name", "todays_roi", "todays_spend",
+                    "last_week_roi", "last_week_spend", benchmark.alias("benchmark"),
+                    fired((F.col("todays_spend") > p.min_spend_for_roi_alert)
+                          & (F.col("last_week_spend") > p.min_spend_for_roi_alert)
+                          & (F.col("last_week_roi") != F.lit(INF))
+                          & (F.col("todays_roi") < benchmark)).alias("fired")))
 
 
 def controlled_alerts(rows: DataFrame) -> DataFrame:

@@ -78,9 +78,11 @@ class Scope:
         label = clock.now.strftime("%Y%m%dT%H%M%S")
         return cls(facts, clock, params, Materializer(facts.hourly.sparkSession, label, materialize))
 
-    def _once(self, name: str, build) -> DataFrame:
+    def _once(self, name: str, build, write: bool = True) -> DataFrame:
+        """Build a shared intermediate once per scope; ``write`` materialises it."""
         if name not in self._cache:
-            self._cache[name] = self.materialize(build(), name)
+            df = build()
+            self._cache[name] = self.materialize(df, name) if write else df
         return self._cache[name]
 
     @property
@@ -90,30 +92,52 @@ class Scope:
 
     @property
     def hourly(self) -> DataFrame:
-        return self._once("hourly", lambda: rollups.hourly_rollup(self.facts, self.clock, self.params))
+        return self._once("hourly", lambda: rollups.hourly_rollup(self.facts, self.clock, self.params),
+                          write=self.params.materialize_rollups)
 
     @property
     def conversions(self) -> DataFrame:
-        return self._once("conversions", lambda: rollups.conversion_rollup(self.facts, self.clock, self.params))
+        return self._once("conversions", lambda: rollups.conversion_rollup(self.facts, self.clock, self.params),
+                          write=self.params.materialize_rollups)
 
     @property
     def sessions(self) -> DataFrame:
-        return self._once("sessions", lambda: rollups.session_rollup(self.facts, self.clock))
+        return self._once("sessions", lambda: rollups.session_rollup(self.facts, self.clock),
+                          write=self.params.materialize_rollups)
 
     @property
     def clickouts(self) -> DataFrame:
-        return self._once("clickouts", lambda: rollups.distinct_clickouts(self.facts, self.clock))
+        return self._once("clickouts", lambda: rollups.distinct_clickouts(self.facts, self.clock),
+                          write=self.params.materialize_rollups)
 
     @property
     def last_conversions(self) -> DataFrame:
-        return self._once("last_conversions", lambda: rollups.last_conversions(self.facts, self.clock))
+        return self._once("last_conversions", lambda: rollups.last_conversions(self.facts, self.clock),
+                          write=self.params.materialize_rollups)
 
     @property
     def daily_spend(self) -> DataFrame:
-        return self._once("daily_spend", lambda: rollups.daily_spend_rollup(self.facts, self.clock, self.params))
+        return self._once("daily_spend", lambda: rollups.daily_spend_rollup(self.facts, self.clock, self.params),
+                          write=self.params.materialize_rollups)
 
     def funnel(self, loader_step: str) -> DataFrame:
-        return self._once(f"funnel_{loader_step}", lambda: rollups.funnel_rollup(self.facts, self.clock, loader_step))
+        return self._once(f"funnel_{loader_step}", lambda: rollups.funnel_rollup(self.facts, self.clock, loader_step),
+                          write=self.params.materialize_rollups)
+
+    @property
+    def campaign_metrics(self) -> DataFrame:
+        from .metrics import campaign_metrics
+        return self._once("campaign_metrics", lambda: campaign_metrics(self))
+
+    @property
+    def vertical_metrics(self) -> DataFrame:
+        from .metrics import vertical_metrics
+        return self._once("vertical_metrics", lambda: vertical_metrics(self))
+
+    @property
+    def page_metrics(self) -> DataFrame:
+        from .metrics import page_metrics
+        return self._once("page_metrics", lambda: page_metrics(self))
 
     @property
     def pairs(self) -> DataFrame:

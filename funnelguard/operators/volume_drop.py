@@ -79,26 +79,25 @@ def same_hour_average(scope: Scope) -> DataFrame:
         with_rows.cast("long").alias("days_with_conversions"))
 
 
-def _current(scope: Scope) -> DataFrame:
-    return conversions_last_hour(scope).join(spend_today(scope), "vertical_name", "inner")
-
-
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """V4: last-hour volume below the fixed threshold while the vertical spends today."""
     p = scope.params
-    return (_current(scope).join(F.broadcast(thresholds), "vertical_name", "left")
-            .withColumn("fired", fired((F.col("conversions_last_hour") < F.col("effective_threshold"))
-                                       & (F.col("spend_today") > p.min_spend_for_cpa_alert))))
+    return (scope.vertical_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
+            .select("vertical_name", "conversions_last_hour", "spend_today", "base_threshold",
+                    "effective_threshold",
+                    fired((F.col("conversions_last_hour") < F.col("effective_threshold"))
+                          & (F.col("spend_today") > p.min_spend_for_cpa_alert)).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """V5: last-hour volume below the same-hour average times (1 - drop percentage)."""
     p = scope.params
-    return (_current(scope).join(same_hour_average(scope), "vertical_name", "inner")
-            .withColumn("benchmark", F.col("same_hour_avg") * p.volume_drop_factor)
-            .withColumn("fired", fired((F.col("same_hour_avg") > 0)
-                                       & (F.col("conversions_last_hour") < F.col("benchmark"))
-                                       & (F.col("spend_today") > p.min_spend_for_cpa_alert))))
+    benchmark = F.col("same_hour_avg") * p.volume_drop_factor
+    return (scope.vertical_metrics
+            .select("vertical_name", "conversions_last_hour", "spend_today", "same_hour_avg",
+                    "days_with_conversions", benchmark.alias("benchmark"),
+                    fired((F.col("same_hour_avg") > 0) & (F.col("conversions_last_hour") < benchmark)
+                          & (F.col("spend_today") > p.min_spend_for_cpa_alert)).alias("fired")))
 
 
 def controlled_alerts(rows: DataFrame) -> DataFrame:

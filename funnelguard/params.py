@@ -36,6 +36,10 @@ class Params:
     # Width of the time slices the conversion-gap lag is split into; a
     # slice is one sort task, the slices are stitched afterwards.
     gap_slice_seconds: int = 3600
+    # Also write the fact rollups (not only the per-campaign / vertical /
+    # page metric tables) to the checkpoint folder. Worth it when several
+    # evaluations or ad-hoc queries share one scope.
+    materialize_rollups: bool = False
     # 'null': a window with no rows on one side of a ratio yields NULL
     # (the reference's outer-join behaviour). 'zero': that side counts 0.
     missing: str = "null"

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.timewin import format_ts
 from ..operators import (clickout_to_conversion, fb_to_clickout, flow_interruption, high_cpa,
                          lp_abandonment, performance_decline, volume_drop)
+from ..params import Params
 from ..operators.scope import (Scope, active_by_sessions, active_by_spend, alert_modes, scope_row_counts,
                                thresholds_for)
 from ..schemas import (CLICKOUT_TO_CONVERSION, FB_TO_CLICKOUT, FLOW_INTERRUPTION, HIGH_CPA,
@@ -31,10 +32,11 @@ from .sinks import alert_payloads, alert_summary
 class Fixture:
     """Scope, config and modes of the fixture run over one scale directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, policy: str = "intended"):
+    def __init__(self, spark: SparkSession, sf_dir: str, policy: str = "intended", store_facts: bool = True,
+                 params: Params | None = None):
         self.spark = spark
-        self.facts = fixture.fixture_facts(spark, sf_dir)
-        self.scope = Scope.build(self.facts, fixture.AS_OF)
+        self.facts = fixture.fixture_facts(spark, sf_dir, store=store_facts)
+        self.scope = Scope.build(self.facts, fixture.AS_OF, params)
         self.config = explode_config(config_frame(spark, fixture.CONFIG))
         self.policy = policy
 

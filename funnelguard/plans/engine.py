@@ -57,9 +57,8 @@ def evaluate(facts: Facts, config: DataFrame, as_of: datetime | str, params: Par
     """All alerts fired at ``as_of`` as rows of the 12-field alert schema.
 
     ``config`` is the nested config (see ``sources.config``). Every check
-    appears at most twice in the plan (its controlled and its automated
-    branch), each restricted by a join to the verticals whose mode selects
-    it, so a check no vertical uses is left out entirely.
+    appears twice in the plan (its controlled and its automated branch),
+    each restricted by a join to the verticals whose mode selects it.
     """
     scope = Scope.build(facts, as_of, params)
     modes = alert_modes(explode_config(config), policy)
@@ -67,27 +66,24 @@ def evaluate(facts: Facts, config: DataFrame, as_of: datetime | str, params: Par
 
 
 def evaluate_scope(scope: Scope, modes: DataFrame, alerts: tuple[str, ...] | None = None) -> DataFrame:
+    """Union of the fired alerts of every check branch, each gated by its rows of ``modes``.
+
+    Both branches of every check are always planned; a branch whose mode no
+    vertical selects joins an empty mode table and yields nothing. Nothing
+    is fetched to the driver to decide this.
+    """
     checks = _checks(scope.params)
-    wanted = alerts or tuple(checks)
-    # The config is a small driver-side document: reading the names of the
-    # (alert, mode) combinations in use decides which branches to plan.
-    used = {(r.alert_name, r.mode) for r in modes.select("alert_name", "mode").distinct().collect()}
     parts = []
-    for name in wanted:
+    for name in alerts or tuple(checks):
         ctrl_rows, ctrl_records, auto_rows, auto_records = checks[name]
         mine = modes.where(F.col("alert_name") == name)
-        if (name, CONTROLLED) in used:
-            thresholds = (mine.where(F.col("mode") == CONTROLLED)
-                          .select("vertical_name", "base_threshold", "effective_threshold"))
-            rows = ctrl_rows(scope, thresholds).where(F.col("effective_threshold").isNotNull())
-            parts.append(ctrl_records(rows))
-        if (name, AUTOMATED) in used:
-            verticals = mine.where(F.col("mode") == AUTOMATED).select("vertical_name")
-            rows = auto_rows(scope).join(F.broadcast(verticals), "vertical_name", "left_semi")
-            parts.append(auto_records(rows))
-    if not parts:
-        from ..schemas import ALERT
-        return scope.active.sparkSession.createDataFrame([], ALERT)
+        thresholds = (mine.where(F.col("mode") == CONTROLLED)
+                      .select("vertical_name", "base_threshold", "effective_threshold"))
+        rows = ctrl_rows(scope, thresholds).where(F.col("effective_threshold").isNotNull())
+        parts.append(ctrl_records(rows))
+        verticals = mine.where(F.col("mode") == AUTOMATED).select("vertical_name")
+        rows = auto_rows(scope).join(F.broadcast(verticals), "vertical_name", "left_semi")
+        parts.append(auto_records(rows))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

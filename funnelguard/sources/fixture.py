@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.materialize import Materializer
 from .facts import DAILY, FUNNEL, HOURLY, SESSIONS, Facts, facts_from_frames
 
 AS_OF = "2024-01-30 15:00:00"
@@ -76,10 +77,16 @@ CONFIG: list[dict] = [
 # --- End of fixed values ---
 
 
-def fixture_facts(spark: SparkSession, sf_dir: str) -> Facts:
-    """The four fact views over ``<sf_dir>/events.parquet``."""
+def fixture_facts(spark: SparkSession, sf_dir: str, store: bool = False) -> Facts:
+    """The four fact views over ``<sf_dir>/events.parquet``.
+
+    ``store=True`` writes them once as Parquet tables under the checkpoint
+    folder (when the session names one), so the checks read stored fact
+    tables with real scans and pushdown, as they would in production.
+    """
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    save = Materializer(spark, "fixture-facts", store)
     frames: dict[str, DataFrame] = {}
     for name, text in VIEW_SQL.items():
-        frames[name] = spark.sql(text.replace("from events", "from {events}"), events=events)
+        frames[name] = save(spark.sql(text.replace("from events", "from {events}"), events=events), name)
     return facts_from_frames(frames)
