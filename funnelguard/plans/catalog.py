@@ -52,7 +52,8 @@ class Fixture:
         return alert_modes(self.config, self.policy).join(self.active_verticals, "vertical_name", "left_semi")
 
     def alerts(self) -> DataFrame:
-        return evaluate_scope(self.scope, self.modes())
+        # the metric tables hold active verticals only, so the modes need no restriction here
+        return evaluate_scope(self.scope, alert_modes(self.config, self.policy))
 
 
 def _window_text(df: DataFrame) -> DataFrame:
