@@ -94,10 +94,11 @@ def distinct_clickouts(facts: Facts, clock: Clock) -> DataFrame:
                  F.max("_prev").alias("has_last_week")))
 
 
-def last_conversions(facts: Facts, clock: Clock) -> DataFrame:
-    """(campaign_id, last_us): latest conversion before as_of over all history, epoch micros."""
+def last_conversions(facts: Facts, clock: Clock, lookback_days: int | None = None) -> DataFrame:
+    """(campaign_id, last_us): latest conversion before as_of (over all history by default), epoch micros."""
     s = facts.sessions
-    return (s.where(in_window(s, "conversion_dt", None, clock.now))
+    lo = None if lookback_days is None else clock.ago(days=lookback_days)
+    return (s.where(in_window(s, "conversion_dt", lo, clock.now))
             .groupBy("campaign_id").agg(F.max(epoch_micros("conversion_dt")).alias("last_us")))
 
 

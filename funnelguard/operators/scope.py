@@ -112,7 +112,8 @@ class Scope:
 
     @property
     def last_conversions(self) -> DataFrame:
-        return self._once("last_conversions", lambda: rollups.last_conversions(self.facts, self.clock),
+        return self._once("last_conversions", lambda: rollups.last_conversions(self.facts, self.clock,
+                                                                      self.params.last_conversion_lookback_days),
                           write=self.params.materialize_rollups)
 
     @property
