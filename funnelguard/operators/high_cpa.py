@@ -76,10 +76,13 @@ def history(scope: Scope) -> DataFrame:
 
 
 def trimmed(scope: Scope) -> DataFrame:
-    """Buckets whose CPA is inside the campaign's [p10, p90] (approximate, accuracy 1000)."""
+    """Buckets whose CPA is inside the campaign's [p10, p90] (approximate, accuracy 1000).
+
+    Materialised once per scope: the median and the MAD both read it.
+    """
     p = scope.params
-    return percentile_trim(history(scope), ["campaign_id"], "cpa", p.cpa_trim_low, p.cpa_trim_high,
-                           p.cpa_trim_accuracy)
+    return scope.shared("cpa_trimmed", lambda: percentile_trim(history(scope), ["campaign_id"], "cpa", p.cpa_trim_low,
+                                                               p.cpa_trim_high, p.cpa_trim_accuracy))
 
 
 def benchmark(scope: Scope) -> DataFrame:

@@ -85,6 +85,10 @@ class Scope:
             self._cache[name] = self.materialize(df, name) if write else df
         return self._cache[name]
 
+    def shared(self, name: str, build) -> DataFrame:
+        """A check's own intermediate, built and materialised once per scope."""
+        return self._once(name, build)
+
     @property
     def active(self) -> DataFrame:
         """(vertical_name, campaign_id, campaign_name) of active campaigns."""

@@ -27,10 +27,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint directory named by ``spark.checkpoint.dir``; a scratch one only when unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only when it is unset *and* the master is local (tests, benchmarks) is a
+    scratch folder created; on a cluster without the setting nothing is set
+    and intermediates simply stay lazy.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            return None
         current = tempfile.mkdtemp(prefix="funnelguard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
