@@ -19,28 +19,11 @@ def exact_sum(col: str | Column, scale: int) -> Column:
     return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
 
 
-def exact_sum_if(cond: Column, col: str | Column, scale: int) -> Column:
-    """``exact_sum`` over the rows where ``cond`` holds; NULL if none (or all values NULL)."""
-    col = F.col(col) if isinstance(col, str) else col
-    return exact_sum(F.when(cond, col), scale)
-
-
 def any_row(cond: Column) -> Column:
     """True if at least one row of the group satisfies ``cond``."""
     return F.coalesce(F.max(cond), F.lit(False))
 
 
-def count_if_any(cond: Column, col: str | Column | None = None) -> Column:
-    """``count(col)`` over rows matching ``cond``; NULL when no row matches.
-
-    This is what ``filter(cond).groupBy(k).agg(count(col))`` followed by an
-    outer join yields for a key without matching rows, computed in the same
-    pass as other windows.
-    """
-    target = F.lit(1) if col is None else (F.col(col) if isinstance(col, str) else col)
-    return F.when(F.max(cond), F.count(F.when(cond, target)))
-
-
 def sum_if_rows(cond: Column, rows: str, value: str) -> Column:
     """Over rollup rows: sum of ``value`` where ``cond``; NULL unless the matching ``rows`` counts add up to > 0.
 

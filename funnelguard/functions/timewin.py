@@ -78,10 +78,6 @@ def micros(value: datetime) -> int:
     return (value - _EPOCH) // timedelta(microseconds=1)
 
 
-def us_lit(value: datetime) -> Column:
-    return F.lit(micros(value)).cast("long")
-
-
 def _text(value: datetime) -> str:
     return value.strftime("%Y-%m-%d %H:%M:%S.%f")
 

@@ -2,10 +2,10 @@
 
 The active set is (vertical, campaign) pairs; it is tiny next to the facts
 and every check joins its *pre-aggregated* per-campaign metrics to it, so
-raw fact rows are never shuffled to attach a vertical. Whether that join
-is broadcast is left to adaptive execution, which measures the pair table
-at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and falls
-back to a shuffled join when it is large.
+raw fact rows are never shuffled to attach a vertical. The pair table is
+materialised, so the planner knows its size: adaptive execution broadcasts
+it when it measures under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+and falls back to a shuffled join when it is large.
 """
 
 from __future__ import annotations

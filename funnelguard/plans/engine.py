@@ -2,11 +2,11 @@
 
 The driver loops of a per-campaign implementation (one set of actions per
 vertical and campaign) become joins with the active pairs and the mode
-table; the result is a single plan whose size does not grow with the
-number of verticals or campaigns, and which runs as one action at the sink.
-Identical sub-plans shared by several checks (the active pairs, the
-spend-today rollup, per-campaign aggregates) are deduplicated by Spark's
-exchange reuse.
+table. Evaluation has two halves: the scope materialises the active pairs,
+the fact rollups and three metric tables (a fixed number of writes), then
+every check branch is a filter and projection of a metric table gated by
+the configured modes, unioned into one DataFrame that runs as one action
+at the sink. Neither half grows with the number of verticals or campaigns.
 """
 
 from __future__ import annotations
