@@ -62,25 +62,43 @@ def success_24h(scope: Scope) -> DataFrame:
             .select("vertical_name", "page", "successful_24h_count"))
 
 
+def _current_columns() -> list:
+    """total_started, successful_24h_count, total_abandoned (clamped at 0), current_rate."""
+    successful = F.coalesce("successful_24h_count", F.lit(0).cast("long"))
+    abandoned = F.greatest(F.col("total_started") - successful, F.lit(0).cast("long"))
+    return [F.col("total_started"), successful.alias("successful_24h_count"), abandoned.alias("total_abandoned"),
+            F.when(F.col("total_started") == 0, F.lit(0.0))
+            .otherwise(abandoned / F.col("total_started")).alias("current_rate")]
+
+
+def _previous_columns() -> list:
+    """last_week_started, last_week_successful, last_week_abandoned (not clamped), last_week_rate."""
+    successful = F.coalesce("last_week_successful", F.lit(0).cast("long"))
+    abandoned = F.col("last_week_started") - successful
+    return [F.col("last_week_started"), successful.alias("last_week_successful"),
+            abandoned.alias("last_week_abandoned"),
+            F.when(F.col("last_week_started") == 0, F.lit(0.0))
+            .otherwise(abandoned / F.col("last_week_started")).alias("last_week_rate")]
+
+
 def abandonment_24h(scope: Scope) -> DataFrame:
     """L3: current abandonment rate per page; abandoned sessions clamped at 0."""
-    rows = by_page(scope).where(F.col("total_started").isNotNull())
-    abandoned = F.col("total_started") - F.coalesce("successful_24h_count", F.lit(0).cast("long"))
-    return (rows.select("vertical_name", "page", "total_started",
-                        F.coalesce("successful_24h_count", F.lit(0).cast("long")).alias("successful_24h_count"),
-                        F.greatest(abandoned, F.lit(0).cast("long")).alias("total_abandoned"))
-            .withColumn("current_rate", F.when(F.col("total_started") == 0, F.lit(0.0))
-                        .otherwise(F.col("total_abandoned") / F.col("total_started"))))
+    return (by_page(scope).where(F.col("total_started").isNotNull())
+            .select("vertical_name", "page", *_current_columns()))
 
 
 def abandonment_prev_week(scope: Scope) -> DataFrame:
     """L4: the same for [now-8d, now-1d), not clamped (so the rate may be negative)."""
-    rows = by_page(scope).where(F.col("last_week_started").isNotNull())
-    successful = F.coalesce("last_week_successful", F.lit(0).cast("long"))
-    return (rows.select("vertical_name", "page", "last_week_started", successful.alias("last_week_successful"),
-                        (F.col("last_week_started") - successful).alias("last_week_abandoned"))
-            .withColumn("last_week_rate", F.when(F.col("last_week_started") == 0, F.lit(0.0))
-                        .otherwise(F.col("last_week_abandoned") / F.col("last_week_started"))))
+    return (by_page(scope).where(F.col("last_week_started").isNotNull())
+            .select("vertical_name", "page", *_previous_columns()))
+
+
+def both_windows(scope: Scope) -> DataFrame:
+    """L3 and L4 side by side from one plan; ``cur_row``/``prev_row`` flag the windows that had sessions."""
+    return by_page(scope).select(
+        "vertical_name", "page", *_current_columns(), *_previous_columns()[1:],
+        F.col("total_started").isNotNull().alias("cur_row"),
+        F.col("last_week_started").isNotNull().alias("prev_row"))
 
 
 _CURRENT = ("vertical_name", "page", "total_started", "successful_24h_count", "total_abandoned", "current_rate")

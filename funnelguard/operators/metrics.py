@@ -44,16 +44,12 @@ def campaign_metrics(scope) -> DataFrame:
 
 def vertical_metrics(scope) -> DataFrame:
     """One row per vertical with active campaigns: volume, spend today, minutes since and gap statistics."""
-    return (volume_drop.conversions_last_hour(scope)
+    return (volume_drop.volumes(scope)
             .join(volume_drop.spend_today(scope), "vertical_name", "left")
-            .join(volume_drop.same_hour_average(scope), "vertical_name", "left")
             .join(flow_interruption.minutes_since_conversion(scope), "vertical_name", "left")
             .join(flow_interruption.gap_threshold(scope), "vertical_name", "left"))
 
 
 def page_metrics(scope) -> DataFrame:
     """One row per (vertical, page) with sessions in either window; ``cur_row``/``prev_row`` say which."""
-    cur = lp_abandonment.abandonment_24h(scope).withColumn("cur_row", F.lit(True))
-    prev = lp_abandonment.abandonment_prev_week(scope).select("vertical_name", "page", "last_week_rate",
-                                                              F.lit(True).alias("prev_row"))
-    return cur.join(prev, ["vertical_name", "page"], "full").fillna(False, ["cur_row", "prev_row"])
+    return lp_abandonment.both_windows(scope)

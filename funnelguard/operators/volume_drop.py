@@ -56,10 +56,11 @@ def spend_today(scope: Scope) -> DataFrame:
             .select("vertical_name", F.coalesce("spend_today", F.lit(0.0)).alias("spend_today")))
 
 
+
+
 def conversions_last_hour(scope: Scope) -> DataFrame:
     """V1: (vertical_name, conversions_last_hour)."""
-    return _conversions(scope).select(
-        "vertical_name", F.coalesce("_last_hour", F.lit(0).cast("long")).alias("conversions_last_hour"))
+    return volumes(scope).select("vertical_name", "conversions_last_hour")
 
 
 def same_hour_average(scope: Scope) -> DataFrame:
@@ -69,12 +70,18 @@ def same_hour_average(scope: Scope) -> DataFrame:
     over the days that have conversions (or over all 7 with
     ``volume_avg_zero_fill``); 0 when there are none.
     """
+    return volumes(scope).select("vertical_name", "same_hour_avg", "days_with_conversions")
+
+
+def volumes(scope: Scope) -> DataFrame:
+    """V1 and V3 from one pass: (vertical_name, conversions_last_hour, same_hour_avg, days_with_conversions)."""
     days = [F.coalesce(F.col(_day_col(k)), F.lit(0).cast("long")) for k in range(1, HISTORY_DAYS + 1)]
     total = sum(days[1:], days[0])
     with_rows = sum([F.when(d > 0, 1).otherwise(0) for d in days[1:]], F.when(days[0] > 0, 1).otherwise(0))
     divisor = F.lit(HISTORY_DAYS) if scope.params.volume_avg_zero_fill else with_rows
     return _conversions(scope).select(
         "vertical_name",
+        F.coalesce("_last_hour", F.lit(0).cast("long")).alias("conversions_last_hour"),
         F.when(with_rows > 0, total / divisor).otherwise(F.lit(0.0)).cast("double").alias("same_hour_avg"),
         with_rows.cast("long").alias("days_with_conversions"))
 
