@@ -11,6 +11,8 @@ it is measured to be small. The folder is the one the cluster names in
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,20 @@ class Materializer:
         path = f"{self.folder}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
+
+
+def run_concurrently(tasks: Sequence[Callable[[], object]], threads: int) -> list:
+    """Run independent driver-side tasks (each submitting Spark jobs) on a small thread pool.
+
+    Job-group and other local properties of the calling thread are carried
+    into the workers, so the jobs stay attributable.
+    """
+    from pyspark.util import inheritable_thread_target
+
+    if threads <= 1 or len(tasks) <= 1:
+        return [task() for task in tasks]
+    session = SparkSession.getActiveSession()
+    inherit = inheritable_thread_target(session) if session is not None else inheritable_thread_target
+    wrapped = [inherit(task) for task in tasks]
+    with ThreadPoolExecutor(max_workers=min(threads, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(task) for task in wrapped]]

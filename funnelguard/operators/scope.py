@@ -10,11 +10,13 @@ and falls back to a shuffled join when it is large.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import effective_threshold, exact_sum
-from ..functions.materialize import Materializer
+from ..functions.materialize import Materializer, run_concurrently
 from ..functions.timewin import Clock, in_window, micros
 from ..params import Params
 from ..schemas import CAMPAIGN_ALERTS, VERTICAL_ALERTS
@@ -70,6 +72,8 @@ class Scope:
         self.params = params
         self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     @classmethod
     def build(cls, facts: Facts, as_of, params: Params | None = None, materialize: bool = True) -> "Scope":
@@ -79,11 +83,37 @@ class Scope:
         return cls(facts, clock, params, Materializer(facts.hourly.sparkSession, label, materialize))
 
     def _once(self, name: str, build, write: bool = True) -> DataFrame:
-        """Build a shared intermediate once per scope; ``write`` materialises it."""
-        if name not in self._cache:
-            df = build()
-            self._cache[name] = self.materialize(df, name) if write else df
-        return self._cache[name]
+        """Build a shared intermediate once per scope; ``write`` materialises it.
+
+        Safe to call from several driver threads: a second caller of the same
+        name waits for the first instead of computing it again.
+        """
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._cache:
+                df = build()
+                self._cache[name] = self.materialize(df, name) if write else df
+            return self._cache[name]
+
+    def prepare(self, threads: int = 4) -> "Scope":
+        """Materialise everything the checks read, running independent writes concurrently.
+
+        Three waves: the active pairs; the fact rollups (independent scans of
+        different tables and windows); the three metric tables. Jobs of one
+        wave are submitted from ``threads`` driver threads so the scheduler
+        overlaps them instead of running many small jobs back to back.
+        """
+        from .lp_abandonment import LOADER_STEP
+        waves = [
+            [lambda: self.active],
+            [lambda: self.hourly, lambda: self.conversions, lambda: self.sessions, lambda: self.clickouts,
+             lambda: self.last_conversions, lambda: self.daily_spend, lambda: self.funnel(LOADER_STEP)],
+            [lambda: self.campaign_metrics, lambda: self.vertical_metrics, lambda: self.page_metrics],
+        ]
+        for wave in waves:
+            run_concurrently(wave, threads)
+        return self
 
     def shared(self, name: str, build) -> DataFrame:
         """A check's own intermediate, built and materialised once per scope."""

@@ -72,6 +72,8 @@ def evaluate_scope(scope: Scope, modes: DataFrame, alerts: tuple[str, ...] | Non
     vertical selects joins an empty mode table and yields nothing. Nothing
     is fetched to the driver to decide this.
     """
+    if scope.materialize.enabled:
+        scope.prepare()
     checks = _checks(scope.params)
     parts = []
     for name in alerts or tuple(checks):

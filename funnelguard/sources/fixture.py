@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.materialize import Materializer
+from ..functions.materialize import Materializer, run_concurrently
 from .facts import DAILY, FUNNEL, HOURLY, SESSIONS, Facts, facts_from_frames
 
 AS_OF = "2024-01-30 15:00:00"
@@ -86,7 +86,7 @@ def fixture_facts(spark: SparkSession, sf_dir: str, store: bool = False) -> Fact
     """
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     save = Materializer(spark, "fixture-facts", store)
-    frames: dict[str, DataFrame] = {}
-    for name, text in VIEW_SQL.items():
-        frames[name] = save(spark.sql(text.replace("from events", "from {events}"), events=events), name)
-    return facts_from_frames(frames)
+    names = list(VIEW_SQL)
+    views = [spark.sql(VIEW_SQL[name].replace("from events", "from {events}"), events=events) for name in names]
+    stored = run_concurrently([lambda v=v, n=n: save(v, n) for v, n in zip(views, names)], threads=4)
+    return facts_from_frames(dict(zip(names, stored)))
