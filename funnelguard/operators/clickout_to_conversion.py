@@ -7,13 +7,13 @@ a window without matching fact rows gives NULL, as after an outer join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import fired, ratio, sum_if_rows
 from ..schemas import CLICKOUT_TO_CONVERSION, LABEL_CONTROLLED, LABEL_LAST_WEEK_CR, LABEL_TODAY
-from .records import alert_records
-from .scope import Scope
+from .records import record
+from .scope import AUTOMATED, CONTROLLED, Scope
 
 
 def by_campaign(scope: Scope) -> DataFrame:
@@ -57,35 +57,49 @@ def rate_week_ago(scope: Scope) -> DataFrame:
                                           "last_week_cr"))
 
 
+def _controlled_fired(p, eff: Column) -> Column:
+    return fired((F.col("todays_cr") < eff) & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert))
+
+
+def _benchmark(p) -> Column:
+    return F.col("last_week_cr") * p.clickout_to_conversion_factor
+
+
+def _automated_fired(p) -> Column:
+    return fired((F.col("last_week_cr") > 0) & (F.col("todays_cr") < _benchmark(p))
+                 & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert))
+
+
+def _automated_row() -> Column:
+    return F.col("cr_today_row") & F.col("cr_week_row")
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Rate below the fixed threshold with at least the minimum click-outs."""
-    p = scope.params
     return (scope.campaign_metrics.where("cr_today_row").join(F.broadcast(thresholds), "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", "todays_cr", "todays_clickouts",
                     "base_threshold", "effective_threshold",
-                    fired((F.col("todays_cr") < F.col("effective_threshold"))
-                          & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert)).alias("fired")))
+                    _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Rate below the week-ago rate times the factor (week-ago rate > 0)."""
     p = scope.params
-    benchmark = F.col("last_week_cr") * p.clickout_to_conversion_factor
-    return (scope.campaign_metrics.where(F.col("cr_today_row") & F.col("cr_week_row"))
+    return (scope.campaign_metrics.where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "todays_cr", "todays_clickouts",
-                    "last_week_cr", benchmark.alias("benchmark"),
-                    fired((F.col("last_week_cr") > 0) & (F.col("todays_cr") < benchmark)
-                          & (F.col("todays_clickouts") >= p.min_clickouts_for_cr_alert)).alias("fired")))
-
-
-def controlled_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), CLICKOUT_TO_CONVERSION, campaign=True,
-                         value="todays_cr", value_timeframe=LABEL_TODAY,
-                         benchmark="effective_threshold", benchmark_timeframe=LABEL_CONTROLLED)
-
-
-def automated_alerts(rows: DataFrame, factor: float) -> DataFrame:
-    return alert_records(rows.where("fired"), CLICKOUT_TO_CONVERSION, campaign=True,
-                         value="todays_cr", value_timeframe=LABEL_TODAY,
-                         benchmark="benchmark", benchmark_timeframe=LABEL_LAST_WEEK_CR.format(factor=factor),
-                         base_threshold=None)
+                    "last_week_cr", _benchmark(p).alias("benchmark"), _automated_fired(p).alias("fired")))
+
+
+def branches(p) -> dict:
+    """Alert branches over campaign_metrics: mode -> f(base, effective) -> (fires, record)."""
+    def ctrl(base: Column, eff: Column):
+        return F.col("cr_today_row") & _controlled_fired(p, eff), record(
+            CLICKOUT_TO_CONVERSION, campaign=True, value="todays_cr", value_timeframe=LABEL_TODAY,
+            benchmark=eff, benchmark_timeframe=LABEL_CONTROLLED, base_threshold=base)
+
+    def auto(base: Column, eff: Column):
+        return _automated_row() & _automated_fired(p), record(
+            CLICKOUT_TO_CONVERSION, campaign=True, value="todays_cr", value_timeframe=LABEL_TODAY,
+            benchmark=_benchmark(p),
+            benchmark_timeframe=LABEL_LAST_WEEK_CR.format(factor=p.clickout_to_conversion_factor))
+    return {CONTROLLED: ctrl, AUTOMATED: auto}

@@ -7,13 +7,13 @@ spreads a hot campaign over as many shuffle keys as it has sessions).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import any_row, fired, ratio
 from ..schemas import FB_TO_CLICKOUT, LABEL_CONTROLLED, LABEL_LAST_24_HOURS, LABEL_LAST_WEEK_RATE
-from .records import alert_records
-from .scope import Scope
+from .records import record
+from .scope import AUTOMATED, CONTROLLED, Scope
 
 
 def by_campaign(scope: Scope) -> DataFrame:
@@ -59,36 +59,53 @@ def rate_prev_week(scope: Scope) -> DataFrame:
                                           "last_week_fb_to_clickout_rate"))
 
 
+def _controlled_fired(p, eff: Column) -> Column:
+    return fired((F.col("current_fb_to_clickout_rate") < eff)
+                 & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout))
+
+
+def _benchmark(p) -> Column:
+    return F.col("last_week_fb_to_clickout_rate") * p.fb_to_clickout_drop_factor
+
+
+def _automated_fired(p) -> Column:
+    return fired((F.col("last_week_fb_to_clickout_rate") > 0)
+                 & (F.col("current_fb_to_clickout_rate") < _benchmark(p))
+                 & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout))
+
+
+def _automated_row() -> Column:
+    return F.col("fb_cur_row") & F.col("fb_prev_row")
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Rate below the fixed threshold with at least the minimum clicks."""
-    p = scope.params
     return (scope.campaign_metrics.where("fb_cur_row").join(F.broadcast(thresholds), "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", "current_fb_to_clickout_rate",
                     "current_fb_clicks", "base_threshold", "effective_threshold",
-                    fired((F.col("current_fb_to_clickout_rate") < F.col("effective_threshold"))
-                          & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout)).alias("fired")))
+                    _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Rate below last week's rate times the drop factor (last week's rate > 0)."""
     p = scope.params
-    benchmark = F.col("last_week_fb_to_clickout_rate") * p.fb_to_clickout_drop_factor
-    return (scope.campaign_metrics.where(F.col("fb_cur_row") & F.col("fb_prev_row"))
+    return (scope.campaign_metrics.where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "current_fb_to_clickout_rate",
-                    "current_fb_clicks", "last_week_fb_to_clickout_rate", benchmark.alias("benchmark"),
-                    fired((F.col("last_week_fb_to_clickout_rate") > 0)
-                          & (F.col("current_fb_to_clickout_rate") < benchmark)
-                          & (F.col("current_fb_clicks") >= p.min_clicks_for_fb_to_clickout)).alias("fired")))
-
-
-def controlled_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), FB_TO_CLICKOUT, campaign=True,
-                         value="current_fb_to_clickout_rate", value_timeframe=LABEL_LAST_24_HOURS,
-                         benchmark="effective_threshold", benchmark_timeframe=LABEL_CONTROLLED)
-
-
-def automated_alerts(rows: DataFrame, factor: float) -> DataFrame:
-    return alert_records(rows.where("fired"), FB_TO_CLICKOUT, campaign=True,
-                         value="current_fb_to_clickout_rate", value_timeframe=LABEL_LAST_24_HOURS,
-                         benchmark="benchmark", benchmark_timeframe=LABEL_LAST_WEEK_RATE.format(factor=factor),
-                         base_threshold=None)
+                    "current_fb_clicks", "last_week_fb_to_clickout_rate", _benchmark(p).alias("benchmark"),
+                    _automated_fired(p).alias("fired")))
+
+
+def branches(p) -> dict:
+    """Alert branches over campaign_metrics: mode -> f(base, effective) -> (fires, record)."""
+    def ctrl(base: Column, eff: Column):
+        return F.col("fb_cur_row") & _controlled_fired(p, eff), record(
+            FB_TO_CLICKOUT, campaign=True, value="current_fb_to_clickout_rate",
+            value_timeframe=LABEL_LAST_24_HOURS, benchmark=eff, benchmark_timeframe=LABEL_CONTROLLED,
+            base_threshold=base)
+
+    def auto(base: Column, eff: Column):
+        return _automated_row() & _automated_fired(p), record(
+            FB_TO_CLICKOUT, campaign=True, value="current_fb_to_clickout_rate",
+            value_timeframe=LABEL_LAST_24_HOURS, benchmark=_benchmark(p),
+            benchmark_timeframe=LABEL_LAST_WEEK_RATE.format(factor=p.fb_to_clickout_drop_factor))
+    return {CONTROLLED: ctrl, AUTOMATED: auto}

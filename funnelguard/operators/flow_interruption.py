@@ -8,15 +8,15 @@ parallel instead of one whole vertical in a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import INF, fired
 from ..functions.stats import consecutive_gaps
 from ..functions.timewin import format_ts, in_window, micros
 from ..schemas import FLOW_INTERRUPTION, LABEL_CONTROLLED_MINUTES, LABEL_DYNAMIC_MINUTES, LABEL_MINUTES_SINCE
-from .records import alert_records
-from .scope import Scope
+from .records import record
+from .scope import AUTOMATED, CONTROLLED, Scope
 
 MICROS_PER_MINUTE = 60_000_000
 
@@ -71,26 +71,30 @@ def gap_threshold(scope: Scope) -> DataFrame:
                    median * p.flow_interruption_automated_multiplier).cast("double"))
 
 
+def _controlled_fired(p, eff: Column) -> Column:
+    return fired((F.col("spend_today") > p.min_spend_for_cpa_alert) & (F.col("minutes_since_conversion") > eff))
+
+
+def _automated_fired(p) -> Column:
+    return fired((F.col("num_gaps") >= p.flow_interruption_min_historical_gaps)
+                 & (F.coalesce("median_gap_minutes", F.lit(0.0)) > 0)
+                 & (F.col("minutes_since_conversion") > F.col("dynamic_threshold"))
+                 & (F.col("spend_today") > p.min_spend_for_cpa_alert))
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """minutes since the last conversion above the fixed threshold while spending today."""
-    p = scope.params
     return (scope.vertical_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
             .select("vertical_name", "minutes_since_conversion", "spend_today", "base_threshold",
                     "effective_threshold",
-                    fired((F.col("spend_today") > p.min_spend_for_cpa_alert)
-                          & (F.col("minutes_since_conversion") > F.col("effective_threshold"))).alias("fired")))
+                    _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """minutes above the dynamic threshold, with enough history and a positive median."""
-    p = scope.params
     return (scope.vertical_metrics
             .select("vertical_name", "minutes_since_conversion", "spend_today", "median_gap_minutes", "num_gaps",
-                    "dynamic_threshold",
-                    fired((F.col("num_gaps") >= p.flow_interruption_min_historical_gaps)
-                          & (F.coalesce("median_gap_minutes", F.lit(0.0)) > 0)
-                          & (F.col("minutes_since_conversion") > F.col("dynamic_threshold"))
-                          & (F.col("spend_today") > p.min_spend_for_cpa_alert)).alias("fired")))
+                    "dynamic_threshold", _automated_fired(scope.params).alias("fired")))
 
 
 def last_conversion_text(scope: Scope) -> DataFrame:
@@ -99,15 +103,15 @@ def last_conversion_text(scope: Scope) -> DataFrame:
         "vertical_name", format_ts(F.timestamp_micros("last_us"), micros=True).alias("last_conversion_dt"))
 
 
-def controlled_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), FLOW_INTERRUPTION,
-                         value="minutes_since_conversion", value_timeframe=LABEL_MINUTES_SINCE,
-                         benchmark="effective_threshold", benchmark_timeframe=LABEL_CONTROLLED_MINUTES,
-                         spend="spend_today")
-
+def branches(p) -> dict:
+    """Alert branches over vertical_metrics: mode -> f(base, effective) -> (fires, record)."""
+    def ctrl(base: Column, eff: Column):
+        return _controlled_fired(p, eff), record(
+            FLOW_INTERRUPTION, value="minutes_since_conversion", value_timeframe=LABEL_MINUTES_SINCE,
+            benchmark=eff, benchmark_timeframe=LABEL_CONTROLLED_MINUTES, spend="spend_today", base_threshold=base)
 
-def automated_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), FLOW_INTERRUPTION,
-                         value="minutes_since_conversion", value_timeframe=LABEL_MINUTES_SINCE,
-                         benchmark="dynamic_threshold", benchmark_timeframe=LABEL_DYNAMIC_MINUTES,
-                         spend="spend_today", base_threshold=None)
+    def auto(base: Column, eff: Column):
+        return _automated_fired(p), record(
+            FLOW_INTERRUPTION, value="minutes_since_conversion", value_timeframe=LABEL_MINUTES_SINCE,
+            benchmark="dynamic_threshold", benchmark_timeframe=LABEL_DYNAMIC_MINUTES, spend="spend_today")
+    return {CONTROLLED: ctrl, AUTOMATED: auto}

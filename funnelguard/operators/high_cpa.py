@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.aggs import INF, fired, ratio
 from ..functions.stats import percentile_trim, weighted_mad, weighted_median
 from ..schemas import HIGH_CPA, LABEL_CONTROLLED, LABEL_LAST_6_HOURS, LABEL_WEIGHTED_MAD
-from .records import alert_records
+from .records import record
 from .rollups import HOUR_US, hour_start, weekday
-from .scope import Scope
+from .scope import AUTOMATED, CONTROLLED, Scope
 
 BUCKET_SHIFT_HOURS = 6
 
@@ -102,6 +102,25 @@ def benchmark(scope: Scope) -> DataFrame:
             .where(F.col("high_cpa_threshold").isNotNull() & (F.col("high_cpa_threshold") != F.lit(INF))))
 
 
+def _controlled_values(p, eff: Column):
+    """CPA, spend, volume as the fixed-threshold rule reads them, and whether it fires."""
+    present = F.col("cpa_present")
+    cpa = F.when(present, F.coalesce("current_6h_cpa", F.lit(0.0))).otherwise(F.lit(INF))
+    spend = F.when(present, F.col("current_6h_spend")).otherwise(F.lit(0.0))
+    volume = F.when(present, F.coalesce("current_6h_volume", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    return cpa, spend, volume, fired((cpa > eff) & (spend > p.min_spend_for_cpa_alert))
+
+
+def _automated_row() -> Column:
+    return F.col("cpa_present") & F.col("high_cpa_threshold").isNotNull()
+
+
+def _automated_fired(p) -> Column:
+    return fired((F.col("current_6h_cpa") > F.col("high_cpa_threshold"))
+                 & (F.col("high_cpa_threshold") != F.lit(INF))
+                 & (F.col("current_6h_spend") > p.min_spend_for_cpa_alert))
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """C11: every active campaign against its vertical's fixed threshold.
 
@@ -109,39 +128,32 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     (NULL read as 0); one without rows has CPA inf and spend 0, so it never
     fires. ``thresholds``: (vertical_name, base_threshold, effective_threshold).
     """
-    p = scope.params
-    present = F.col("cpa_present")
-    cpa = F.when(present, F.coalesce("current_6h_cpa", F.lit(0.0))).otherwise(F.lit(INF))
-    spend = F.when(present, F.col("current_6h_spend")).otherwise(F.lit(0.0))
-    volume = F.when(present, F.coalesce("current_6h_volume", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    cpa, spend, volume, fire = _controlled_values(scope.params, F.col("effective_threshold"))
     return (scope.campaign_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", cpa.alias("current_6h_cpa"),
                     spend.alias("current_6h_spend"), volume.alias("current_6h_volume"),
-                    "base_threshold", "effective_threshold",
-                    fired((cpa > F.col("effective_threshold"))
-                          & (spend > p.min_spend_for_cpa_alert)).alias("fired")))
+                    "base_threshold", "effective_threshold", fire.alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Current CPA of active campaigns with a benchmark, and whether it exceeds it."""
-    p = scope.params
-    return (scope.campaign_metrics.where(F.col("cpa_present") & F.col("high_cpa_threshold").isNotNull())
+    return (scope.campaign_metrics.where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "current_6h_spend", "current_6h_volume",
                     "current_6h_cpa", "weighted_median_cpa", "weighted_mad_cpa", "high_cpa_threshold",
-                    fired((F.col("current_6h_cpa") > F.col("high_cpa_threshold"))
-                          & (F.col("high_cpa_threshold") != F.lit(INF))
-                          & (F.col("current_6h_spend") > p.min_spend_for_cpa_alert)).alias("fired")))
-
-
-def controlled_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), HIGH_CPA, campaign=True,
-                         value="current_6h_cpa", value_timeframe=LABEL_LAST_6_HOURS,
-                         benchmark="effective_threshold", benchmark_timeframe=LABEL_CONTROLLED,
-                         spend="current_6h_spend", leads="current_6h_volume")
-
-
-def automated_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), HIGH_CPA, campaign=True,
-                         value="current_6h_cpa", value_timeframe=LABEL_LAST_6_HOURS,
-                         benchmark="high_cpa_threshold", benchmark_timeframe=LABEL_WEIGHTED_MAD,
-                         spend="current_6h_spend", leads="current_6h_volume", base_threshold=None)
+                    _automated_fired(scope.params).alias("fired")))
+
+
+def branches(p) -> dict:
+    """Alert branches over campaign_metrics: mode -> f(base, effective) -> (fires, record)."""
+    def ctrl(base: Column, eff: Column):
+        cpa, spend, volume, fire = _controlled_values(p, eff)
+        return fire, record(HIGH_CPA, campaign=True, value=cpa, value_timeframe=LABEL_LAST_6_HOURS,
+                            benchmark=eff, benchmark_timeframe=LABEL_CONTROLLED,
+                            spend=spend, leads=volume, base_threshold=base)
+
+    def auto(base: Column, eff: Column):
+        return _automated_row() & _automated_fired(p), record(
+            HIGH_CPA, campaign=True, value="current_6h_cpa", value_timeframe=LABEL_LAST_6_HOURS,
+            benchmark="high_cpa_threshold", benchmark_timeframe=LABEL_WEIGHTED_MAD,
+            spend="current_6h_spend", leads="current_6h_volume")
+    return {CONTROLLED: ctrl, AUTOMATED: auto}

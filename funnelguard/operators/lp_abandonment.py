@@ -8,14 +8,14 @@ rolled up to (vertical, page) over the vertical's active campaigns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import fired, sum_if_rows
 from ..functions.timewin import date_lit
 from ..schemas import HIGH_LP_ABANDONMENT, LABEL_CONTROLLED, LABEL_LAST_24_HOURS, LABEL_LAST_WEEK_RATE
-from .records import alert_records
-from .scope import Scope
+from .records import record
+from .scope import AUTOMATED, CONTROLLED, Scope
 
 LOADER_STEP = "loader"
 
@@ -104,34 +104,48 @@ def both_windows(scope: Scope) -> DataFrame:
 _CURRENT = ("vertical_name", "page", "total_started", "successful_24h_count", "total_abandoned", "current_rate")
 
 
+def _controlled_fired(p, eff: Column) -> Column:
+    return fired((F.col("current_rate") > eff) & (F.col("total_started") >= p.min_sessions_for_lp_abandonment))
+
+
+def _benchmark(p) -> Column:
+    return F.col("last_week_rate") * p.lp_abandonment_benchmark_factor
+
+
+def _automated_fired(p) -> Column:
+    return fired((F.col("current_rate") > _benchmark(p))
+                 & (F.col("total_started") >= p.min_sessions_for_lp_abandonment)
+                 & (F.col("last_week_rate") > 0))
+
+
+def _automated_row() -> Column:
+    return F.col("cur_row") & F.col("prev_row")
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Pages whose rate exceeds the fixed threshold, with at least the minimum sessions."""
-    p = scope.params
     return (scope.page_metrics.where("cur_row").join(F.broadcast(thresholds), "vertical_name", "left")
             .select(*_CURRENT, "base_threshold", "effective_threshold",
-                    fired((F.col("current_rate") > F.col("effective_threshold"))
-                          & (F.col("total_started") >= p.min_sessions_for_lp_abandonment)).alias("fired")))
+                    _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """Pages whose rate exceeds last week's times the factor (last week's rate > 0)."""
     p = scope.params
-    benchmark = F.col("last_week_rate") * p.lp_abandonment_benchmark_factor
-    return (scope.page_metrics.where(F.col("cur_row") & F.col("prev_row"))
-            .select(*_CURRENT, "last_week_rate", benchmark.alias("benchmark"),
-                    fired((F.col("current_rate") > benchmark)
-                          & (F.col("total_started") >= p.min_sessions_for_lp_abandonment)
-                          & (F.col("last_week_rate") > 0)).alias("fired")))
-
-
-def controlled_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), HIGH_LP_ABANDONMENT, landing_page="page",
-                         value="current_rate", value_timeframe=LABEL_LAST_24_HOURS,
-                         benchmark="effective_threshold", benchmark_timeframe=LABEL_CONTROLLED)
-
-
-def automated_alerts(rows: DataFrame, factor: float) -> DataFrame:
-    return alert_records(rows.where("fired"), HIGH_LP_ABANDONMENT, landing_page="page",
-                         value="current_rate", value_timeframe=LABEL_LAST_24_HOURS,
-                         benchmark="benchmark", benchmark_timeframe=LABEL_LAST_WEEK_RATE.format(factor=factor),
-                         base_threshold=None)
+    return (scope.page_metrics.where(_automated_row())
+            .select(*_CURRENT, "last_week_rate", _benchmark(p).alias("benchmark"), _automated_fired(p).alias("fired")))
+
+
+def branches(p) -> dict:
+    """Alert branches over page_metrics: mode -> f(base, effective) -> (fires, record)."""
+    def ctrl(base: Column, eff: Column):
+        return F.col("cur_row") & _controlled_fired(p, eff), record(
+            HIGH_LP_ABANDONMENT, landing_page="page", value="current_rate", value_timeframe=LABEL_LAST_24_HOURS,
+            benchmark=eff, benchmark_timeframe=LABEL_CONTROLLED, base_threshold=base)
+
+    def auto(base: Column, eff: Column):
+        return _automated_row() & _automated_fired(p), record(
+            HIGH_LP_ABANDONMENT, landing_page="page", value="current_rate", value_timeframe=LABEL_LAST_24_HOURS,
+            benchmark=_benchmark(p),
+            benchmark_timeframe=LABEL_LAST_WEEK_RATE.format(factor=p.lp_abandonment_benchmark_factor))
+    return {CONTROLLED: ctrl, AUTOMATED: auto}

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.aggs import INF, any_row, fired, ratio
 from ..functions.timewin import date_lit
 from ..schemas import LABEL_CONTROLLED, LABEL_LAST_WEEK_ROI, LABEL_TODAY, PERFORMANCE_DECLINE
-from .records import alert_records
-from .scope import Scope
+from .records import record
+from .scope import AUTOMATED, CONTROLLED, Scope
 
 
 def by_campaign(scope: Scope) -> DataFrame:
@@ -64,38 +64,53 @@ def roi_last_week(scope: Scope) -> DataFrame:
     return scope.per_campaign(rows.select("campaign_id", "last_week_revenue", "last_week_spend", "last_week_roi"))
 
 
+def _controlled_fired(p, eff: Column) -> Column:
+    return fired((F.col("todays_spend") > p.min_spend_for_roi_alert) & (F.col("todays_roi") < eff))
+
+
+def _benchmark(p) -> Column:
+    return F.col("last_week_roi") * p.performance_decline_drop_factor
+
+
+def _automated_fired(p) -> Column:
+    return fired((F.col("todays_spend") > p.min_spend_for_roi_alert)
+                 & (F.col("last_week_spend") > p.min_spend_for_roi_alert)
+                 & (F.col("last_week_roi") != F.lit(INF))
+                 & (F.col("todays_roi") < _benchmark(p)))
+
+
+def _automated_row() -> Column:
+    return F.col("roi_today_row") & F.col("roi_week_row")
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Active campaigns with rows today, ROI below the fixed threshold and spend above the minimum."""
-    p = scope.params
     return (scope.campaign_metrics.where("roi_today_row").join(F.broadcast(thresholds), "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", "todays_roi", "todays_spend",
                     "base_threshold", "effective_threshold",
-                    fired((F.col("todays_spend") > p.min_spend_for_roi_alert)
-                          & (F.col("todays_roi") < F.col("effective_threshold"))).alias("fired")))
+                    _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """today's ROI below last week's times the drop factor, both spends above the minimum."""
     p = scope.params
-    benchmark = F.col("last_week_roi") * p.performance_decline_drop_factor
-    return (scope.campaign_metrics.where(F.col("roi_today_row") & F.col("roi_week_row"))
+    return (scope.campaign_metrics.where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "todays_roi", "todays_spend",
-                    "last_week_roi", "last_week_spend", benchmark.alias("benchmark"),
-                    fired((F.col("todays_spend") > p.min_spend_for_roi_alert)
-                          & (F.col("last_week_spend") > p.min_spend_for_roi_alert)
-                          & (F.col("last_week_roi") != F.lit(INF))
-                          & (F.col("todays_roi") < benchmark)).alias("fired")))
-
-
-def controlled_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), PERFORMANCE_DECLINE, campaign=True,
-                         value="todays_roi", value_timeframe=LABEL_TODAY,
-                         benchmark="effective_threshold", benchmark_timeframe=LABEL_CONTROLLED,
-                         spend="todays_spend")
-
-
-def automated_alerts(rows: DataFrame, factor: float) -> DataFrame:
-    return alert_records(rows.where("fired"), PERFORMANCE_DECLINE, campaign=True,
-                         value="todays_roi", value_timeframe=LABEL_TODAY,
-                         benchmark="benchmark", benchmark_timeframe=LABEL_LAST_WEEK_ROI.format(factor=factor),
-                         spend="todays_spend", base_threshold=None)
+                    "last_week_roi", "last_week_spend", _benchmark(p).alias("benchmark"),
+                    _automated_fired(p).alias("fired")))
+
+
+def branches(p) -> dict:
+    """Alert branches over campaign_metrics: mode -> f(base, effective) -> (fires, record)."""
+    def ctrl(base: Column, eff: Column):
+        return F.col("roi_today_row") & _controlled_fired(p, eff), record(
+            PERFORMANCE_DECLINE, campaign=True, value="todays_roi", value_timeframe=LABEL_TODAY,
+            benchmark=eff, benchmark_timeframe=LABEL_CONTROLLED, spend="todays_spend", base_threshold=base)
+
+    def auto(base: Column, eff: Column):
+        return _automated_row() & _automated_fired(p), record(
+            PERFORMANCE_DECLINE, campaign=True, value="todays_roi", value_timeframe=LABEL_TODAY,
+            benchmark=_benchmark(p),
+            benchmark_timeframe=LABEL_LAST_WEEK_ROI.format(factor=p.performance_decline_drop_factor),
+            spend="todays_spend")
+    return {CONTROLLED: ctrl, AUTOMATED: auto}

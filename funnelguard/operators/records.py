@@ -1,8 +1,8 @@
-"""K1: project check results onto the fixed 12-field alert record."""
+"""K1: the fixed 12-field alert record, as a struct column built from a metric row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import ALERT
@@ -14,12 +14,12 @@ def _col(value: str | Column | None) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def alert_records(df: DataFrame, alert_name: str, *, value: str | Column, value_timeframe: str,
-                  benchmark: str | Column, benchmark_timeframe: str,
-                  campaign: bool = False, landing_page: str | None = None,
-                  spend: str | Column | None = None, leads: str | Column | None = None,
-                  base_threshold: str | Column | None = "base_threshold") -> DataFrame:
-    """Rows of ``df`` as alert records; fields that do not apply are NULL (rendered "N/A")."""
+def record(alert_name: str, *, value: str | Column, value_timeframe: str,
+           benchmark: str | Column, benchmark_timeframe: str,
+           campaign: bool = False, landing_page: str | None = None,
+           spend: str | Column | None = None, leads: str | Column | None = None,
+           base_threshold: str | Column | None = None) -> Column:
+    """The alert of the current row; fields that do not apply are NULL (rendered "N/A")."""
     fields = {
         "alert_name": F.lit(alert_name),
         "vertical_name": F.col("vertical_name"),
@@ -34,4 +34,4 @@ def alert_records(df: DataFrame, alert_name: str, *, value: str | Column, value_
         "leads": _col(leads),
         "base_threshold": _col(base_threshold),
     }
-    return df.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in ALERT.fields])
+    return F.struct(*[fields[f.name].cast(f.dataType).alias(f.name) for f in ALERT.fields])

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import fired
 from ..schemas import LABEL_CONTROLLED, LABEL_LAST_1_HOUR, LABEL_SAME_HOUR_AVG, VOLUME_DROP
-from .records import alert_records
-from .scope import Scope
+from .records import record
+from .scope import AUTOMATED, CONTROLLED, Scope
 
 HISTORY_DAYS = 7
 
@@ -86,36 +86,44 @@ def volumes(scope: Scope) -> DataFrame:
         with_rows.cast("long").alias("days_with_conversions"))
 
 
+def _controlled_fired(p, eff: Column) -> Column:
+    return fired((F.col("conversions_last_hour") < eff) & (F.col("spend_today") > p.min_spend_for_cpa_alert))
+
+
+def _benchmark(p) -> Column:
+    return F.col("same_hour_avg") * p.volume_drop_factor
+
+
+def _automated_fired(p) -> Column:
+    return fired((F.col("same_hour_avg") > 0) & (F.col("conversions_last_hour") < _benchmark(p))
+                 & (F.col("spend_today") > p.min_spend_for_cpa_alert))
+
+
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """V4: last-hour volume below the fixed threshold while the vertical spends today."""
-    p = scope.params
     return (scope.vertical_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
             .select("vertical_name", "conversions_last_hour", "spend_today", "base_threshold",
                     "effective_threshold",
-                    fired((F.col("conversions_last_hour") < F.col("effective_threshold"))
-                          & (F.col("spend_today") > p.min_spend_for_cpa_alert)).alias("fired")))
+                    _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
 
 
 def automated(scope: Scope) -> DataFrame:
     """V5: last-hour volume below the same-hour average times (1 - drop percentage)."""
     p = scope.params
-    benchmark = F.col("same_hour_avg") * p.volume_drop_factor
     return (scope.vertical_metrics
             .select("vertical_name", "conversions_last_hour", "spend_today", "same_hour_avg",
-                    "days_with_conversions", benchmark.alias("benchmark"),
-                    fired((F.col("same_hour_avg") > 0) & (F.col("conversions_last_hour") < benchmark)
-                          & (F.col("spend_today") > p.min_spend_for_cpa_alert)).alias("fired")))
-
+                    "days_with_conversions", _benchmark(p).alias("benchmark"), _automated_fired(p).alias("fired")))
 
-def controlled_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), VOLUME_DROP,
-                         value="conversions_last_hour", value_timeframe=LABEL_LAST_1_HOUR,
-                         benchmark="effective_threshold", benchmark_timeframe=LABEL_CONTROLLED,
-                         spend="spend_today")
 
+def branches(p) -> dict:
+    """Alert branches over vertical_metrics: mode -> f(base, effective) -> (fires, record)."""
+    def ctrl(base: Column, eff: Column):
+        return _controlled_fired(p, eff), record(
+            VOLUME_DROP, value="conversions_last_hour", value_timeframe=LABEL_LAST_1_HOUR, benchmark=eff,
+            benchmark_timeframe=LABEL_CONTROLLED, spend="spend_today", base_threshold=base)
 
-def automated_alerts(rows: DataFrame) -> DataFrame:
-    return alert_records(rows.where("fired"), VOLUME_DROP,
-                         value="conversions_last_hour", value_timeframe=LABEL_LAST_1_HOUR,
-                         benchmark="benchmark", benchmark_timeframe=LABEL_SAME_HOUR_AVG,
-                         spend="spend_today", base_threshold=None)
+    def auto(base: Column, eff: Column):
+        return _automated_fired(p), record(
+            VOLUME_DROP, value="conversions_last_hour", value_timeframe=LABEL_LAST_1_HOUR,
+            benchmark=_benchmark(p), benchmark_timeframe=LABEL_SAME_HOUR_AVG, spend="spend_today")
+    return {CONTROLLED: ctrl, AUTOMATED: auto}

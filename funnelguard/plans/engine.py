@@ -11,7 +11,6 @@ at the sink. Neither half grows with the number of verticals or campaigns.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (clickout_to_conversion, fb_to_clickout, flow_interruption, high_cpa,
                          lp_abandonment, performance_decline, volume_drop)
-from ..operators.scope import AUTOMATED, CONTROLLED, Scope, alert_modes
+from ..operators.scope import Scope, alert_modes
 from ..params import Params
 from ..schemas import (CLICKOUT_TO_CONVERSION, FB_TO_CLICKOUT, FLOW_INTERRUPTION, HIGH_CPA,
                        HIGH_LP_ABANDONMENT, PERFORMANCE_DECLINE, VOLUME_DROP)
@@ -27,29 +26,13 @@ from ..sources.config import explode_config
 from ..sources.facts import Facts
 
 
-def _checks(p: Params) -> dict[str, tuple[Callable, Callable, Callable, Callable]]:
-    """alert name -> (controlled rows, controlled records, automated rows, automated records)."""
-    return {
-        VOLUME_DROP: (volume_drop.controlled, volume_drop.controlled_alerts,
-                      volume_drop.automated, volume_drop.automated_alerts),
-        FLOW_INTERRUPTION: (flow_interruption.controlled, flow_interruption.controlled_alerts,
-                            flow_interruption.automated, flow_interruption.automated_alerts),
-        HIGH_CPA: (high_cpa.controlled, high_cpa.controlled_alerts,
-                   high_cpa.automated, high_cpa.automated_alerts),
-        PERFORMANCE_DECLINE: (performance_decline.controlled, performance_decline.controlled_alerts,
-                              performance_decline.automated,
-                              lambda r: performance_decline.automated_alerts(r, p.performance_decline_drop_factor)),
-        FB_TO_CLICKOUT: (fb_to_clickout.controlled, fb_to_clickout.controlled_alerts,
-                         fb_to_clickout.automated,
-                         lambda r: fb_to_clickout.automated_alerts(r, p.fb_to_clickout_drop_factor)),
-        CLICKOUT_TO_CONVERSION: (clickout_to_conversion.controlled, clickout_to_conversion.controlled_alerts,
-                                 clickout_to_conversion.automated,
-                                 lambda r: clickout_to_conversion.automated_alerts(
-                                     r, p.clickout_to_conversion_factor)),
-        HIGH_LP_ABANDONMENT: (lp_abandonment.controlled, lp_abandonment.controlled_alerts,
-                              lp_abandonment.automated,
-                              lambda r: lp_abandonment.automated_alerts(r, p.lp_abandonment_benchmark_factor)),
-    }
+# Metric table -> the checks evaluated on its rows, with their alert names.
+CHECKS_BY_TABLE = {
+    "campaign_metrics": ((HIGH_CPA, high_cpa), (PERFORMANCE_DECLINE, performance_decline),
+                         (FB_TO_CLICKOUT, fb_to_clickout), (CLICKOUT_TO_CONVERSION, clickout_to_conversion)),
+    "vertical_metrics": ((VOLUME_DROP, volume_drop), (FLOW_INTERRUPTION, flow_interruption)),
+    "page_metrics": ((HIGH_LP_ABANDONMENT, lp_abandonment),),
+}
 
 
 def evaluate(facts: Facts, config: DataFrame, as_of: datetime | str, params: Params | None = None,
@@ -66,26 +49,37 @@ def evaluate(facts: Facts, config: DataFrame, as_of: datetime | str, params: Par
 
 
 def evaluate_scope(scope: Scope, modes: DataFrame, alerts: tuple[str, ...] | None = None) -> DataFrame:
-    """Union of the fired alerts of every check branch, each gated by its rows of ``modes``.
+    """Fired alerts of every check, one pass over each metric table.
 
-    Both branches of every check are always planned; a branch whose mode no
-    vertical selects joins an empty mode table and yields nothing. Nothing
-    is fetched to the driver to decide this.
+    The modes are pivoted to one row per vertical (mode, base and effective
+    threshold of each alert) and broadcast-joined to each metric table once;
+    every row then yields the records of the branches that its vertical's
+    mode selects and that fire, exploded into alert rows. Nothing is fetched
+    to the driver.
     """
     if scope.materialize.enabled:
         scope.prepare()
-    checks = _checks(scope.params)
+    p = scope.params
+    wanted = alerts or tuple(a for checks in CHECKS_BY_TABLE.values() for a, _ in checks)
+    per_vertical = modes.groupBy("vertical_name").agg(*[
+        F.max(F.when(F.col("alert_name") == a, F.col(c))).alias(f"{a}__{c}")
+        for a in wanted for c in ("mode", "base_threshold", "effective_threshold")])
     parts = []
-    for name in alerts or tuple(checks):
-        ctrl_rows, ctrl_records, auto_rows, auto_records = checks[name]
-        mine = modes.where(F.col("alert_name") == name)
-        thresholds = (mine.where(F.col("mode") == CONTROLLED)
-                      .select("vertical_name", "base_threshold", "effective_threshold"))
-        rows = ctrl_rows(scope, thresholds).where(F.col("effective_threshold").isNotNull())
-        parts.append(ctrl_records(rows))
-        verticals = mine.where(F.col("mode") == AUTOMATED).select("vertical_name")
-        rows = auto_rows(scope).join(F.broadcast(verticals), "vertical_name", "left_semi")
-        parts.append(auto_records(rows))
+    for table, checks in CHECKS_BY_TABLE.items():
+        candidates = []
+        for alert_name, check in checks:
+            if alert_name not in wanted:
+                continue
+            mode = F.col(f"{alert_name}__mode")
+            base, eff = F.col(f"{alert_name}__base_threshold"), F.col(f"{alert_name}__effective_threshold")
+            for branch_mode, branch in check.branches(p).items():
+                fires, rec = branch(base, eff)
+                candidates.append(F.when((mode == branch_mode) & fires, rec))
+        if not candidates:
+            continue
+        rows = getattr(scope, table).join(F.broadcast(per_vertical), "vertical_name", "inner")
+        fired_records = F.filter(F.array(*candidates), lambda r: r.isNotNull())
+        parts.append(rows.select(F.explode(fired_records).alias("alert")).select("alert.*"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
