@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import timedelta
 
 from factories import AS_OF, config, hourly, make_facts, session
@@ -17,8 +18,8 @@ from funnelguard.sources.facts import FACT_TABLES
 H = timedelta(hours=1)
 
 
-def test_load_facts_from_a_parquet_directory(spark, tmp_path_factory):
-    root = f"{ensure_checkpoint_dir(spark)}/api-facts-{tmp_path_factory.mktemp('f').name}"
+def test_load_facts_from_a_parquet_directory(spark):
+    root = f"{ensure_checkpoint_dir(spark)}/api-facts-{uuid.uuid4().hex}"
     for name, df in fixture.fixture_facts(spark, "/root/testdata/sf0.001").by_name().items():
         df.write.parquet(f"{root}/{name}")
     facts = load_facts(spark, root, fmt="parquet")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 import math
 
 from funnelguard.plans.sinks import alert_payloads, alert_summary, write_alerts
@@ -27,9 +28,9 @@ def test_payload_renders_not_applicable_and_infinity(spark):
     assert cpa["campaign_id"] == "c1" and cpa["leads"] == 1 and cpa["landing_page"] == "N/A"
 
 
-def test_write_is_idempotent_per_as_of(spark, tmp_path_factory):
+def test_write_is_idempotent_per_as_of(spark):
     root = ensure_checkpoint_dir(spark)
-    path = f"{root}/sink-test-{tmp_path_factory.mktemp('x').name}"
+    path = f"{root}/sink-test-{uuid.uuid4().hex}"
     alerts = spark.createDataFrame(ROWS, ALERT)
     write_alerts(alerts, path, "2024-01-30 15:00:00")
     write_alerts(alerts, path, "2024-01-30 15:00:00")
