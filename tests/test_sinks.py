@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-import uuid
 import math
+import uuid
 
 from funnelguard.plans.sinks import alert_payloads, alert_summary, write_alerts
 from funnelguard.schemas import ALERT
