@@ -145,3 +145,20 @@ def test_conversion_rate_week_ago_and_today(spark):
     scope = Scope.build(make_facts(spark, session_rows=rows), AS_OF)
     row = clickout_to_conversion.automated(scope).first()
     assert (row.todays_cr, row.last_week_cr) == (0.5, 1.0) and row.fired
+
+
+def test_no_history_gives_no_learned_cpa_benchmark(spark):
+    facts = make_facts(spark, hourly_rows=[hourly(at=AS_OF - 2 * H, spend=60.0)],
+                       session_rows=[session(1, at=AS_OF - 3 * H, conversion=AS_OF - 2 * H)])
+    scope = Scope.build(facts, AS_OF, Params(cpa_history_includes_today=False))
+    assert high_cpa.benchmark(scope).count() == 0
+    assert high_cpa.automated(scope).count() == 0
+
+
+def test_configured_vertical_without_active_campaigns_raises_nothing(spark):
+    facts = make_facts(spark, hourly_rows=[hourly(at=AS_OF - 2 * H, spend=60.0, vertical="v")],
+                       session_rows=[session(1, at=AS_OF - 3 * H, conversion=AS_OF - 2 * H, vertical="v")])
+    cfg = config(spark, vertical="other", highCPA={"globalBaseThreshold": 0.0},
+                 volumeDrop={"globalBaseThreshold": 100.0, "automated": True},
+                 flowInterruption={"globalBaseThreshold": 0.0, "automated": True})
+    assert evaluate(facts, cfg, AS_OF).count() == 0
