@@ -44,7 +44,8 @@ class Materializer:
         return self.spark.read.parquet(path)
 
 
-def run_concurrently(tasks: Sequence[Callable[[], object]], threads: int) -> list:
+def run_concurrently(tasks: Sequence[Callable[[], object]], threads: int,
+                     spark: SparkSession | None = None) -> list:
     """Run independent driver-side tasks (each submitting Spark jobs) on a small thread pool.
 
     Job-group and other local properties of the calling thread are carried
@@ -54,7 +55,7 @@ def run_concurrently(tasks: Sequence[Callable[[], object]], threads: int) -> lis
 
     if threads <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
-    session = SparkSession.getActiveSession()
+    session = spark or SparkSession.getActiveSession()
     inherit = inheritable_thread_target(session) if session is not None else inheritable_thread_target
     wrapped = [inherit(task) for task in tasks]
     with ThreadPoolExecutor(max_workers=min(threads, len(tasks))) as pool:

@@ -99,22 +99,24 @@ class Scope:
     def prepare(self, threads: int = 4) -> "Scope":
         """Materialise everything the checks read, running independent writes concurrently.
 
-        Three waves: the active pairs; the fact rollups (independent scans of
-        different tables and windows); the three metric tables. Jobs of one
-        wave are submitted from ``threads`` driver threads so the scheduler
-        overlaps them instead of running many small jobs back to back.
+        Two waves: the active pairs and the fact rollups (independent scans of
+        different tables and windows), then the three metric tables. Jobs of
+        one wave are submitted from ``threads`` driver threads so the
+        scheduler overlaps them instead of running many small jobs back to back.
         """
-        from .lp_abandonment import LOADER_STEP
-        waves = [
-            [lambda: self.active],
-            [lambda: self.hourly, lambda: self.conversions, lambda: self.sessions, lambda: self.clickouts,
-             lambda: self.last_conversions, lambda: self.daily_spend, lambda: self.funnel(LOADER_STEP)],
-            [lambda: self.campaign_metrics, lambda: self.vertical_metrics, lambda: self.page_metrics],
-        ]
-        for wave in waves:
-            run_concurrently(wave, threads)
+        self._warm(("active", "hourly", "conversions", "sessions", "clickouts", "last_conversions", "daily_spend",
+                    "funnel"), threads)
+        run_concurrently([lambda: self.campaign_metrics, lambda: self.vertical_metrics,
+                          lambda: self.page_metrics], threads, self.materialize.spark)
         return self
 
+    def _warm(self, names, threads: int = 4) -> None:
+        """Build the named shared inputs concurrently (no-op for those already built)."""
+        from .lp_abandonment import LOADER_STEP
+        getters = {"funnel": lambda: self.funnel(LOADER_STEP)}
+        run_concurrently([getters.get(n, lambda n=n: getattr(self, n)) for n in names], threads,
+                         self.materialize.spark)
+
     def shared(self, name: str, build) -> DataFrame:
         """A check's own intermediate, built and materialised once per scope."""
         return self._once(name, build)
@@ -162,16 +164,22 @@ class Scope:
     @property
     def campaign_metrics(self) -> DataFrame:
         from .metrics import campaign_metrics
+        if "campaign_metrics" not in self._cache:
+            self._warm(("active", "hourly", "conversions", "sessions", "clickouts", "daily_spend"))
         return self._once("campaign_metrics", lambda: campaign_metrics(self))
 
     @property
     def vertical_metrics(self) -> DataFrame:
         from .metrics import vertical_metrics
+        if "vertical_metrics" not in self._cache:
+            self._warm(("active", "hourly", "conversions", "last_conversions"))
         return self._once("vertical_metrics", lambda: vertical_metrics(self))
 
     @property
     def page_metrics(self) -> DataFrame:
         from .metrics import page_metrics
+        if "page_metrics" not in self._cache:
+            self._warm(("active", "sessions", "funnel"))
         return self._once("page_metrics", lambda: page_metrics(self))
 
     @property

@@ -88,5 +88,5 @@ def fixture_facts(spark: SparkSession, sf_dir: str, store: bool = False) -> Fact
     save = Materializer(spark, "fixture-facts", store)
     names = list(VIEW_SQL)
     views = [spark.sql(VIEW_SQL[name].replace("from events", "from {events}"), events=events) for name in names]
-    stored = run_concurrently([lambda v=v, n=n: save(v, n) for v, n in zip(views, names)], threads=4)
+    stored = run_concurrently([lambda v=v, n=n: save(v, n) for v, n in zip(views, names)], threads=4, spark=spark)
     return facts_from_frames(dict(zip(names, stored)))
