@@ -34,4 +34,8 @@ def record(alert_name: str, *, value: str | Column, value_timeframe: str,
         "leads": _col(leads),
         "base_threshold": _col(base_threshold),
     }
-    return F.struct(*[fields[f.name].cast(f.dataType).alias(f.name) for f in ALERT.fields])
+    return F.struct(*[fields[name].cast(type_name).alias(name) for name, type_name in _FIELD_TYPES])
+
+
+# (name, type name) of the record fields; casting by name avoids a JVM type parse per column
+_FIELD_TYPES = tuple((f.name, f.dataType.simpleString()) for f in ALERT.fields)
