@@ -4,9 +4,10 @@ The driver loops of a per-campaign implementation (one set of actions per
 vertical and campaign) become joins with the active pairs and the mode
 table. Evaluation has two halves: the scope materialises the active pairs,
 the fact rollups and three metric tables (a fixed number of writes), then
-every check branch is a filter and projection of a metric table gated by
-the configured modes, unioned into one DataFrame that runs as one action
-at the sink. Neither half grows with the number of verticals or campaigns.
+each metric table is read once and every row emits the records of the
+check branches its vertical's mode selects and that fire; the three
+results are unioned into one DataFrame that runs as one action at the
+sink. Neither half grows with the number of verticals or campaigns.
 """
 
 from __future__ import annotations
@@ -39,9 +40,9 @@ def evaluate(facts: Facts, config: DataFrame, as_of: datetime | str, params: Par
              policy: str = "intended", alerts: tuple[str, ...] | None = None) -> DataFrame:
     """All alerts fired at ``as_of`` as rows of the 12-field alert schema.
 
-    ``config`` is the nested config (see ``sources.config``). Every check
-    appears twice in the plan (its controlled and its automated branch),
-    each restricted by a join to the verticals whose mode selects it.
+    ``config`` is the nested config (see ``sources.config``). Each check has
+    a fixed-threshold and a learned-benchmark branch; the vertical's mode
+    decides which one (if any) can raise an alert for it.
     """
     scope = Scope.build(facts, as_of, params)
     modes = alert_modes(explode_config(config), policy)
