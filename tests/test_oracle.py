@@ -11,6 +11,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
+TYPE_NAMES = {"double": "DOUBLE", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
 SUBSET = ("alerts_all", "active_campaigns", "alert_modes", "same_hour_7d_avg", "conversion_gaps", "gap_median",
           "cpa_history", "cpa_trimmed", "cpa_threshold", "high_cpa_controlled", "roi_today",
           "clickout_rate_prev_week", "conversion_rate_week_ago", "lp_abandonment_automated")
@@ -34,6 +35,9 @@ def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     rel = con.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    for field in df.schema.fields:
+        assert TYPE_NAMES[field.dataType.simpleString()] == duck_types[field.name], field
     order = [rel.columns.index(c) for c in df.columns]
     expect = [tuple(r[i] for i in order) for r in rel.fetchall()]
     assert _rows(df.collect()) == _rows(expect)
