@@ -20,23 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .byte_table import byte_characters
 from .chunk_encoder import ChunkEncoder
 from .work import id_and_text, id_type
 
 
-def byte_characters() -> list[str]:
-    """The character of each of the 256 bytes."""
-    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    chars, spare = [], 0x100
-    for b in range(256):
-        if b in prints:
-            chars.append(chr(b))
-        else:
-            chars.append(chr(spare))
-            spare += 1
-    return chars
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}

@@ -8,13 +8,19 @@ cache of the worker; the others go to the library in one batch.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Cached chunks and their characters a worker holds at most; past either, the cache starts again.
-CACHE_CHUNKS, CACHE_CHARS = 300_000, 8_000_000
+from .byte_table import byte_characters
+
+#: Chunks and characters of a cache generation of a worker, of which there are two.
+CACHE_CHUNKS, CACHE_CHARS = 700_000, 10_000_000
+#: Words up to this many characters go to the model one by one, also with one of these marks behind.
+WORD_CHARS, MARKS = 100, frozenset(".,;:!?|)")
 #: Characters handed to the library at once.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 200_000
 
 
 def ends_in_space(part: str) -> bool:
@@ -39,31 +45,80 @@ class ChunkEncoder:
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        vocab = tokenizer.get_vocab(with_added_tokens=False)
+        # a token of a byte-level vocabulary has a character for each byte
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.bytes_of[i] = len(token)
+        self.model = tokenizer.model
+        self.letters = {b: ord(c) for b, c in enumerate(byte_characters())}
+        self.marks: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.chars = 0
 
-    def _learn(self, cache: dict[str, bytes], chunks: list[str], lead: str) -> None:
-        batch, chars = [], 0
-        for k, chunk in enumerate(chunks):
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
+
+    def _joined(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk with its leading space: the chunks go to the library as one text, whose ids are then parted."""
+        spaced = [f" {c}" for c in chunks]
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.cumsum(np.fromiter((len(c.encode()) for c in spaced), np.int64, len(spaced)))
+        cuts = (4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+    def _word(self, word: str) -> bytes:
+        """The ids of letters after one space, which are one match of the pre-tokenisation: the model alone is asked."""
+        name = f" {word}".encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self._whole([mark])[0]
+        return self.marks[mark]
+
+    def _learn(self, chunks: set[str]) -> None:
+        batch, chars, recent, older = [], 0, self.recent, self.older
+        for chunk in chunks:
+            # str.isalpha() is \p{L} throughout, so what follows the letters is the next match
+            if len(chunk) < WORD_CHARS and chunk[:-1].isalpha():
+                if chunk[-1].isalpha():
+                    recent[chunk] = self._word(chunk)
+                    continue
+                if chunk[-1] in MARKS:
+                    word = chunk[:-1]
+                    ids = recent.get(word) or older.get(word) or self._word(word)
+                    recent[word] = ids
+                    recent[chunk] = ids + self._mark(chunk[-1])
+                    continue
             batch.append(chunk)
             chars += len(chunk) + 1
-            if chars >= BATCH_CHARS or k == len(chunks) - 1:
-                done = self.tokenizer.encode_batch_fast([lead + c for c in batch], add_special_tokens=False)
-                for c, e in zip(batch, done, strict=True):
-                    cache[c] = np.array(e.ids, dtype="<u4").tobytes()
-                self.chars += chars
+            if chars >= BATCH_CHARS:
+                self.recent.update(zip(batch, self._joined(batch), strict=True))
                 batch, chars = [], 0
+        if batch:
+            self.recent.update(zip(batch, self._joined(batch), strict=True))
+        self.chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
-            self.first, self.later, self.chars = {}, {}, 0
+        if len(self.recent) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
+            self.older, self.recent, self.chars = self.recent, {}, 0
         docs = [t.split(" ") for t in texts]
         loose = {p for p in set().union(*(d[1:-1] for d in docs)) if ends_in_space(p)}
         for i, d in enumerate(docs):
             if (loose and not loose.isdisjoint(d[1:-1])) or (len(d) > 1 and d[0] and d[0][-1].isspace()):
                 docs[i] = cut(texts[i])
-        first, later = self.first, self.later
-        self._learn(first, list({d[0] for d in docs} - first.keys()), "")
-        self._learn(later, list(set().union(*(d[1:] for d in docs)) - later.keys()), " ")
-        return [first[d[0]] + b"".join(map(later.__getitem__, d[1:])) for d in docs]
+        recent = self.recent
+        # a text's first chunk has no leading space, and its last one may end in white space
+        ends = [(d.pop() if len(d) > 1 and ends_in_space(d[-1]) else None) for d in docs]
+        outer = list({d[0] for d in docs} | {f" {e}" for e in ends if e is not None})
+        outer = dict(zip(outer, self._whole(outer), strict=True))
+        new = set().union(*(d[1:] for d in docs)) - recent.keys()
+        for chunk in new & self.older.keys():
+            recent[chunk] = self.older[chunk]
+        self._learn(new - recent.keys())
+        return [outer[d[0]] + b"".join(map(recent.__getitem__, d[1:])) + (outer[f" {e}"] if e is not None else b"")
+                for d, e in zip(docs, ends, strict=True)]
