@@ -21,29 +21,26 @@ UNITS, WINDOW = 5, 4
 DOCS_PER_RANGE = 5_000
 
 
-def chosen(text: Column, units: int = UNITS, window: int = WINDOW) -> Column:
-    """array<struct<hash, pos>> of the chosen k-grams, by position (from 0, in units); empty for texts without units.
+def with_chosen(rows: DataFrame, text: str, put: str, units: int = UNITS, window: int = WINDOW) -> DataFrame:
+    """``rows`` and a column ``put``: array<struct<hash, pos>>, the chosen k-grams of column ``text`` with their positions.
 
-    A text of fewer than ``units`` units is hashed as one; one of fewer hashes than ``window`` has one window.
+    Positions count units from 0. A text of fewer than ``units`` units is hashed as one; one of fewer hashes
+    than ``window`` has one window; one without units (empty, white space) has an empty array, a null none.
     """
-    hashes = F.transform(F.regexp_extract_all(text, F.lit(UNIT), F.lit(0)), lambda u: F.xxhash64(u))
-    return _least(_grams(hashes, units), window)
+    def runs(of: str, length: int) -> Column:
+        return F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(of) - (length - 1)))
 
-
-def _grams(hashes: Column, units: int) -> Column:
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(hashes) - (units - 1)))
+    # each step is a column of its own, so that it is worked out once and not at each place that uses it
+    hashed = rows.withColumn("__h", F.transform(F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)), lambda u: F.xxhash64(u)))
     # positions count down, so that the rightmost of equal hashes is the least
-    return F.when(F.size(hashes) > 0, F.transform(starts, lambda i: F.struct(
-        F.xxhash64(F.slice(hashes, i, F.lit(units))).alias("hash"), (F.lit(0) - i).alias("back")))).otherwise(
-        F.expr("CAST(array() AS array<struct<hash:bigint,back:int>>)"))
-
-
-def _least(grams: Column, window: int) -> Column:
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(grams) - (window - 1)))
-    least = F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(grams, i, F.lit(window)))))
-    return F.when(F.size(grams) > 0, F.transform(least, lambda g: F.struct(
-        g["hash"].alias("hash"), (F.lit(-1) - g["back"]).alias("pos")))).otherwise(
-        F.expr("CAST(array() AS array<struct<hash:bigint,pos:int>>)"))
+    grams = hashed.withColumn("__g", F.when(F.size("__h") > 0, F.transform(
+        runs("__h", units), lambda i: F.struct(F.xxhash64(F.slice("__h", i, F.lit(units))).alias("hash"),
+                                               (F.lit(1) - i).alias("back")))))
+    least = grams.withColumn("__l", F.when(F.size("__g") > 0, F.array_distinct(F.transform(
+        runs("__g", window), lambda i: F.array_min(F.slice("__g", i, F.lit(window)))))))
+    none = F.expr("CAST(array() AS array<struct<hash:bigint,pos:int>>)")
+    return least.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(F.transform("__l", lambda g: F.struct(
+        g["hash"].alias("hash"), (F.lit(0) - g["back"]).alias("pos"))), none))).drop("__h", "__g", "__l")
 
 
 def digest(found: Column) -> Column:
@@ -67,7 +64,7 @@ def fingerprints(docs: DataFrame, units: int = UNITS, window: int = WINDOW, id_c
 
     Null and empty texts have none. An empty table gives no rows.
     """
-    return id_and_text(docs, id_col, text_col).select("doc_id", chosen(F.col("text"), units, window).alias("found"))
+    return with_chosen(id_and_text(docs, id_col, text_col), "text", "found", units, window).select("doc_id", "found")
 
 
 def in_ranges(texts: DataFrame, per_range: int, folder: str) -> DataFrame:
@@ -113,10 +110,10 @@ def with_next(docs: DataFrame, units: int = UNITS, window: int = WINDOW, id_col:
     order = Window.partitionBy("range").orderBy("ghost", "doc_id", "tie")
     joined = (placed.withColumn("tie", F.xxhash64("text"))
               .withColumn("next_text", F.lead("text").over(order)))
-    found = joined.select("range", "ghost", "doc_id", "tie", F.char_length("text").alias("n_chars"),
-                          F.when(~F.col("ghost"), edited(F.col("text"), F.col("next_text"))).alias("edited_text"),
-                          chosen(F.col("text"), units, window).alias("found"))
-    both = found.withColumn("edited_found", F.when(~F.col("ghost"), chosen(F.col("edited_text"), units, window)))
+    found = with_chosen(joined.select(
+        "range", "ghost", "doc_id", "tie", F.char_length("text").alias("n_chars"), "text",
+        F.when(~F.col("ghost"), edited(F.col("text"), F.col("next_text"))).alias("edited_text")), "text", "found", units, window)
+    both = with_chosen(found.drop("text"), "edited_text", "edited_found", units, window)
     hashes = both.select("*", F.array_distinct(F.col("found.hash")).alias("own"),
                          F.array_distinct(F.col("edited_found.hash")).alias("changed"))
     paired = hashes.withColumn("next", F.lead("own").over(order)).filter(~F.col("ghost"))

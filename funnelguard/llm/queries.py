@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, line_dedup, packing, secret_scan, simhash
+from . import bpe, exact_dedup, fingerprints, line_dedup, packing, quality, secret_scan, simhash
 from .work import documents
 
 
@@ -23,6 +23,11 @@ def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.classify(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.with_next(documents(spark, sf_dir))
     return found.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
@@ -49,6 +54,7 @@ QUERIES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_exact_dedup": exact,
     "op4_byte_bpe": byte_level_bpe,
+    "op5_quality_classifier": quality_classifier,
     "op6_document_fingerprints": document_fingerprints,
     "op7_line_dedup": line_dedup_bitmaps,
     "op8_simhash_near_dedup": simhash_near_dedup,

@@ -35,10 +35,13 @@ MARK, MARK_IN_TEXT = "\ue000", "\ue001"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
-def spans(text: Column, pattern: str, kind: int, holds=None) -> Column:
-    """Start (code points), kind and end of the leftmost matches of ``pattern`` that do not overlap, if ``holds`` of the match."""
-    # matches are set between marks; of the pieces between marks, every second one is a match
-    pieces = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK)
+def pieces(text: Column, pattern: str) -> Column:
+    """``text`` parted around the leftmost matches of ``pattern`` that do not overlap: every second piece is a match."""
+    return F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK)
+
+
+def spans(parted: str, kind: int, holds=None) -> Column:
+    """Start (code points), kind and end of the matches among the pieces of column ``parted``, if ``holds`` of the match."""
     start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), F.expr(f"CAST(array() AS {SPAN})").alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
@@ -48,17 +51,19 @@ def spans(text: Column, pattern: str, kind: int, holds=None) -> Column:
         return F.struct(end.alias("at"), (~state["inside"]).alias("inside"),
                         F.when(wanted, F.concat(state["found"], span)).otherwise(state["found"]).alias("found"))
 
-    return F.when(F.size(pieces) > 1, F.aggregate(pieces, start, step)["found"]).otherwise(F.expr(f"CAST(array() AS {SPAN})"))
+    return F.when(F.size(parted) > 1, F.aggregate(parted, start, step)["found"]).otherwise(F.expr(f"CAST(array() AS {SPAN})"))
 
 
 def with_base_spans(texts: DataFrame) -> DataFrame:
-    """``texts`` (with a column text) and the arrays assign, access and hex of base spans."""
+    """``texts`` (with a column text) with columns clean, and assign, access and hex: the arrays of base spans."""
+    # each step is a column of its own, so that no pattern is run twice
     clean = texts.withColumn("clean", F.replace(F.col("text"), F.lit(MARK), F.lit(MARK_IN_TEXT)))
-    return clean.select(
+    parted = clean.select("*", pieces(F.col("clean"), ASSIGN).alias("by_assign"), pieces(F.col("clean"), ACCESS).alias("by_access"),
+                          pieces(F.col("clean"), HEX).alias("by_hex"))
+    return parted.select(
         *texts.columns, "clean",
-        spans(F.col("clean"), ASSIGN, 0, lambda m: F.char_length(F.regexp_extract(m, ASSIGN, 2)) >= ASSIGN_CHARS).alias("assign"),
-        spans(F.col("clean"), ACCESS, 1, lambda m: F.char_length(m) >= ACCESS_CHARS).alias("access"),
-        spans(F.col("clean"), HEX, 2).alias("hex"))
+        spans("by_assign", 0, lambda m: F.char_length(F.regexp_extract(m, ASSIGN, 2)) >= ASSIGN_CHARS).alias("assign"),
+        spans("by_access", 1, lambda m: F.char_length(m) >= ACCESS_CHARS).alias("access"), spans("by_hex", 2).alias("hex"))
 
 
 def overlaps(a: Column, spans_of: Column) -> Column:
@@ -72,9 +77,8 @@ def labelled_tokens(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str =
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20))))
     base = with_base_spans(chosen.select("text"))
     secret = F.concat("assign", "access", "hex")
-    token = spans(F.col("clean"), LEARNT, 3)
-    rows = base.select("text", secret.alias("secret"), token.alias("tokens")).select(
-        "text", "secret", F.explode("tokens").alias("t"))
+    rows = base.select("text", secret.alias("secret"), pieces(F.col("clean"), LEARNT).alias("parted")).select(
+        "text", "secret", F.explode(spans("parted", 3)).alias("t"))
     cut = F.expr("substring(text, t.start + 1, t.end - t.start)")
     return rows.select(cut.alias("token"), overlaps(F.col("t"), F.col("secret")).alias("random"))
 
@@ -114,13 +118,15 @@ def find_secrets(docs: DataFrame, table: list[float], least_ratio: float = LEAST
     markov has the tokens of ``JUDGED`` characters whose ratio reaches ``least_ratio`` and that no base span touches.
     """
     base = with_base_spans(docs)
-    tokens = base.select(*[c for c in base.columns if c != "clean"], spans(F.col("clean"), JUDGED, 3).alias("judged"))
-
-    def secret(t: Column) -> Column:
-        token = F.substring(F.col("text"), t["start"] + 1, t["end"] - t["start"])
-        return ~overlaps(t, F.concat("assign", "access", "hex")) & (ratio(token, table) >= least_ratio)
-
-    return tokens.select(*[c for c in tokens.columns if c != "judged"], F.filter("judged", secret).alias("markov"))
+    own = [c for c in base.columns if c != "clean"]
+    parted = base.select(*own, F.concat("assign", "access", "hex").alias("base"), pieces(F.col("clean"), JUDGED).alias("parted"))
+    judged = parted.select(*own, "base", spans("parted", 3).alias("judged"))
+    free = judged.select(*own, F.filter("judged", lambda t: ~overlaps(t, F.col("base"))).alias("judged"))
+    # a token's own text goes with it, so that it is cut out of the document once
+    tokens = free.select(*own, F.transform("judged", lambda t: F.struct(t.alias("span"), F.substring(
+        F.col("text"), t["start"] + 1, t["end"] - t["start"]).alias("token"))).alias("judged"))
+    return tokens.select(*own, F.transform(F.filter("judged", lambda t: ratio(t["token"], table) >= least_ratio),
+                                           lambda t: t["span"]).alias("markov"))
 
 
 def listed(found: Column) -> Column:
