@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, line_dedup, packing, quality, secret_scan, simhash
+from . import bpe, exact_dedup, fingerprints, kneser_ney, line_dedup, packing, quality, secret_scan, simhash
 from .work import documents
 
 
@@ -18,6 +18,11 @@ def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(documents(spark, sf_dir))
 
 
+def kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return kneser_ney.score(docs, kneser_ney.train(docs))
+
+
 def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                           public_tokenizers.PATTERN)
@@ -53,6 +58,7 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_exact_dedup": exact,
+    "op3_kneser_ney": kneser_ney_scores,
     "op4_byte_bpe": byte_level_bpe,
     "op5_quality_classifier": quality_classifier,
     "op6_document_fingerprints": document_fingerprints,
