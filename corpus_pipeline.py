@@ -2,20 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelguard.llm import exact_dedup
-from funnelguard.llm.work import stored, workspace
+from funnelguard.llm import exact_dedup, packing, quality, secret_scan, simhash
+from funnelguard.llm.work import small_batches, stored, workspace
 
 
-def deduplicate_exactly(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    small_batches(spark)
+    return quality.keep_good(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of equal texts, that of the largest doc_id."""
+    small_batches(spark)
     return exact_dedup.deduplicate(docs)
 
 
+def keep_dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the smallest doc_id."""
+    small_batches(spark)
+    return simhash.deduplicate(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced."""
+    return secret_scan.redact(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids, placed in sequences of 1024."""
+    small_batches(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
-    ("exact dedup", deduplicate_exactly),
+    ("quality classifier", keep_quality),
+    ("exact dedup", keep_distinct),
+    ("SimHash near-dedup", keep_dissimilar),
+    ("secret scans", without_secrets),
+    ("best-fit packing", pack_sequences),
 ]
 
+#: The classifier, SimHash and the tokenizer have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

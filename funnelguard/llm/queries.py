@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, kneser_ney, line_dedup, packing, quality, secret_scan, simhash
+from . import bpe, exact_dedup, fingerprints, kneser_ney, line_dedup, packing, quality, secret_scan, simhash, suffix_dedup
 from .work import documents
 
 
@@ -55,6 +55,10 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_markov", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.deduplicate_strings(documents(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_exact_dedup": exact,
@@ -65,6 +69,7 @@ QUERIES = {
     "op7_line_dedup": line_dedup_bitmaps,
     "op8_simhash_near_dedup": simhash_near_dedup,
     "op9_secret_scans": secret_scans,
+    "op10_suffix_array_dedup": suffix_array_dedup,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
