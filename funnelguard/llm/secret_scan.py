@@ -4,7 +4,7 @@ Three fixed patterns give the base spans. Two character Markov models, of
 random strings and of ordinary identifiers, add spans: a token of key
 characters is a secret when its log-likelihood ratio passes a threshold.
 Both models are trained here, from tokens that the base patterns label: what
-a pattern has found is random, other tokens are ordinary.
+a pattern has found is random, other tokens without digits are ordinary.
 """
 
 from __future__ import annotations
@@ -25,10 +25,11 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 
 #: Tokens the models judge, tokens they learn from, and the characters of both.
-JUDGED, LEARNT = "[A-Za-z0-9+/_=-]{16,}", "[A-Za-z0-9+/_=-]{8,}"
+JUDGED, LEARNT = "[A-Za-z0-9+/_=-]{16,}", "[A-Za-z0-9+/_-]{8,}"
+ORDINARY, KEYWORD = "^[A-Za-z_-]+$", "(?i)^(password|passwd|secret|token|api_?key)$"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 #: Documents to learn from, at most about; log-likelihood ratio from which a token is a secret; added count of each pair.
-TRAIN_DOCS, LEAST_RATIO, ADDED = 20_000, 12.0, 0.5
+TRAIN_DOCS, LEAST_RATIO, ADDED = 20_000, 12.0, 1.0
 
 #: A private-use character that marks matches, and the one that stands for it where a text has it itself.
 MARK, MARK_IN_TEXT = "\ue000", "\ue001"
@@ -80,7 +81,8 @@ def labelled_tokens(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str =
     rows = base.select("text", secret.alias("secret"), pieces(F.col("clean"), LEARNT).alias("parted")).select(
         "text", "secret", F.explode(spans("parted", 3)).alias("t"))
     cut = F.expr("substring(text, t.start + 1, t.end - t.start)")
-    return rows.select(cut.alias("token"), overlaps(F.col("t"), F.col("secret")).alias("random"))
+    labelled = rows.select(cut.alias("token"), overlaps(F.col("t"), F.col("secret")).alias("random"))
+    return labelled.filter(F.when(F.col("random"), ~F.col("token").rlike(KEYWORD)).otherwise(F.col("token").rlike(ORDINARY)))
 
 
 def pair_ratios(tokens: DataFrame) -> list[float]:
