@@ -8,15 +8,9 @@ from pyspark.sql import functions as F
 INF = float("inf")
 
 
-def exact_sum(col: str | Column, scale: int) -> Column:
-    """Sum of a money column, exact at ``scale`` decimals, returned as DOUBLE.
-
-    A DOUBLE sum depends on the order rows arrive in; DECIMAL(18, scale)
-    inputs stay in the long-backed fast path and give one answer on any
-    partitioning.
-    """
-    col = F.col(col) if isinstance(col, str) else col
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
+def money_sum(col: str | Column) -> Column:
+    """Sum of a money column in its own type (DOUBLE or DECIMAL), returned as DOUBLE."""
+    return F.sum(col).cast("double")
 
 
 def any_row(cond: Column) -> Column:

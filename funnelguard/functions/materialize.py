@@ -5,11 +5,15 @@ many checks read it, (ii) cuts the lineage, so a lost executor does not
 send the recomputation back to the fact scans, and (iii) gives the
 planner real file sizes, so joins with the result are broadcast only when
 it is measured to be small. The folder is the one the cluster names in
-``spark.checkpoint.dir``; without it the plan simply stays lazy.
+``spark.checkpoint.dir``; without it there is an error, as a lazy plan would
+read the fact tables once for every value. ``close()`` deletes the run's
+folder; what is left open goes when the application ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -27,18 +31,24 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 class Materializer:
     """Writes DataFrames as Parquet tables under one run folder of the checkpoint directory."""
 
-    def __init__(self, spark: SparkSession, label: str, enabled: bool = True):
+    def __init__(self, spark: SparkSession, label: str, work_dir: str | None = None):
         self.spark = spark
-        root = checkpoint_root(spark) if enabled else None
-        self.folder = f"{root.rstrip('/')}/funnelguard/{label}-{uuid.uuid4().hex[:12]}" if root else None
+        root = work_dir or checkpoint_root(spark)
+        if not root:
+            raise ValueError("name a work folder that driver and executors share: work_dir or spark.checkpoint.dir")
+        self.folder = f"{root.rstrip('/')}/funnelguard/{label}-{uuid.uuid4().hex[:12]}"
+        atexit.register(self._close_quietly)
 
-    @property
-    def enabled(self) -> bool:
-        return self.folder is not None
+    def close(self) -> None:
+        """Delete the run's folder."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _close_quietly(self) -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            self.close()
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.enabled:
-            return df
         path = f"{self.folder}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)

@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .timewin import epoch_seconds
-
 
 def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str,
                     out: str = "weighted_median") -> DataFrame:
@@ -65,28 +63,28 @@ def percentile_trim(df: DataFrame, keys: Sequence[str], value: str, low: float,
             .drop("_q"))
 
 
-def consecutive_gaps(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int,
+def consecutive_gaps(df: DataFrame, keys: Sequence[str], second: str, count: str, slice_seconds: int,
                      out: str = "gap_seconds") -> DataFrame:
-    """Per key: differences between consecutive timestamps (whole seconds), in time order.
-
-    Equivalent to ``lag(ts) over (partition by keys order by ts)`` with the
-    first row of each key dropped, without sorting a whole key in one task:
-    the lag runs inside time slices of ``slice_seconds`` (one sort task per
-    key and slice), and each slice's first row is stitched to the last row
-    of the previous non-empty slice through a per-slice min/max table.
-    Returns ``keys + [out]`` (bigint seconds), one row per gap.
+    """Per key: differences between consecutive instants, from counts per whole second.
+
+    ``df`` has one row per key and second; ``count`` rows stand at a second,
+    which makes ``count - 1`` gaps of 0. Equivalent to ``lag`` over the single
+    rows of a key, without sorting them, nor a whole key in one task: the lag
+    runs inside slices of ``slice_seconds``, and each slice's first row is
+    stitched to the last row of the previous non-empty slice. Returns
+    ``keys + [out, "n"]``: gaps (bigint seconds) and how many of each there are at a place.
     """
     keys = list(keys)
-    rows = (df.where(F.col(ts).isNotNull())
-            .select(*keys, epoch_seconds(ts).alias("_s"))
-            .withColumn("_slice", F.floor(F.col("_s") / F.lit(slice_seconds))))
+    rows = df.select(*keys, F.col(second).alias("_s"), F.col(count).alias("_n")).withColumn(
+        "_slice", F.floor(F.col("_s") / F.lit(slice_seconds)))
+    again = rows.where("_n > 1").select(*keys, F.lit(0).cast("long").alias(out), (F.col("_n") - 1).alias("n"))
     in_slice = Window.partitionBy(*keys, "_slice").orderBy("_s")
     inner = (rows.withColumn("_prev", F.lag("_s").over(in_slice))
              .where(F.col("_prev").isNotNull())
-             .select(*keys, (F.col("_s") - F.col("_prev")).alias(out)))
+             .select(*keys, (F.col("_s") - F.col("_prev")).alias(out), F.lit(1).cast("long").alias("n")))
     edges = rows.groupBy(*keys, "_slice").agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"))
     across = Window.partitionBy(*keys).orderBy("_slice")
     stitched = (edges.withColumn("_prev", F.lag("_last").over(across))
                 .where(F.col("_prev").isNotNull())
-                .select(*keys, (F.col("_first") - F.col("_prev")).alias(out)))
-    return inner.unionByName(stitched)
+                .select(*keys, (F.col("_first") - F.col("_prev")).alias(out), F.lit(1).cast("long").alias("n")))
+    return again.unionByName(inner).unionByName(stitched)

@@ -4,9 +4,9 @@ Every window is ``[lo, hi)`` with literal bounds computed on the driver from
 ``as_of``, so Catalyst sees plain comparisons of a raw column with constants
 and pushes them to the Parquet scan. Bounds are typed like the column they
 are compared with (TIMESTAMP or TIMESTAMP_NTZ) so the column is never
-wrapped in a cast. Calendar parts (day, hour, weekday) follow the session
-time zone, which must be UTC for the day boundaries to line up with the
-driver-side ones.
+wrapped in a cast. Calendar parts (day, hour, weekday) are those of UTC and
+a TIMESTAMP_NTZ column holds UTC wall-clock time; nothing depends on the
+time zone of the session.
 """
 
 from __future__ import annotations
@@ -84,8 +84,9 @@ def _text(value: datetime) -> str:
 
 def ts_lit(value: datetime, like: T.DataType | None = None) -> Column:
     """A timestamp literal typed like ``like`` (TIMESTAMP unless it is NTZ)."""
-    target = "timestamp_ntz" if isinstance(like, T.TimestampNTZType) else "timestamp"
-    return F.lit(_text(value)).cast(target)
+    if isinstance(like, T.TimestampNTZType):
+        return F.lit(_text(value)).cast("timestamp_ntz")
+    return F.timestamp_micros(F.lit(micros(value)))
 
 
 def date_lit(value: date | datetime) -> Column:
@@ -125,13 +126,25 @@ def _as_date(value: date | datetime) -> date:
     return value.date() if isinstance(value, datetime) else value
 
 
-def epoch_seconds(name: str) -> Column:
+def epoch_micros(df: DataFrame, name: str) -> Column:
+    """Epoch microseconds of a TIMESTAMP or (as UTC) a TIMESTAMP_NTZ column."""
+    if isinstance(column_type(df, name), T.TimestampNTZType):
+        since = F.col(name) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return (since.cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("long")
+    return F.unix_micros(F.col(name).cast("timestamp"))
+
+
+def epoch_seconds(df: DataFrame, name: str) -> Column:
     """Whole epoch seconds (floored) of a TIMESTAMP or TIMESTAMP_NTZ column."""
-    return F.unix_seconds(F.col(name).cast("timestamp"))
+    return F.floor(epoch_micros(df, name) / F.lit(1_000_000)).cast("long")
 
 
-def epoch_micros(name: str) -> Column:
-    return F.unix_micros(F.col(name).cast("timestamp"))
+def utc_date(df: DataFrame, name: str) -> Column:
+    """The UTC date of a DATE, TIMESTAMP or TIMESTAMP_NTZ column."""
+    if isinstance(column_type(df, name), T.DateType):
+        return F.col(name)
+    days = F.floor(epoch_micros(df, name) / F.lit(86_400_000_000)).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
 
 
 def format_ts(col: Column, micros: bool = False) -> Column:

@@ -76,7 +76,7 @@ def _automated_row() -> Column:
 
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Rate below the fixed threshold with at least the minimum click-outs."""
-    return (scope.campaign_metrics.where("cr_today_row").join(F.broadcast(thresholds), "vertical_name", "left")
+    return (scope.rows("campaign_metrics", (CLICKOUT_TO_CONVERSION,)).where("cr_today_row").join(thresholds, "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", "todays_cr", "todays_clickouts",
                     "base_threshold", "effective_threshold",
                     _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
@@ -85,7 +85,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
 def automated(scope: Scope) -> DataFrame:
     """Rate below the week-ago rate times the factor (week-ago rate > 0)."""
     p = scope.params
-    return (scope.campaign_metrics.where(_automated_row())
+    return (scope.rows("campaign_metrics", (CLICKOUT_TO_CONVERSION,)).where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "todays_cr", "todays_clickouts",
                     "last_week_cr", _benchmark(p).alias("benchmark"), _automated_fired(p).alias("fired")))
 

@@ -80,7 +80,7 @@ def _automated_row() -> Column:
 
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Rate below the fixed threshold with at least the minimum clicks."""
-    return (scope.campaign_metrics.where("fb_cur_row").join(F.broadcast(thresholds), "vertical_name", "left")
+    return (scope.rows("campaign_metrics", (FB_TO_CLICKOUT,)).where("fb_cur_row").join(thresholds, "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", "current_fb_to_clickout_rate",
                     "current_fb_clicks", "base_threshold", "effective_threshold",
                     _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
@@ -89,7 +89,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
 def automated(scope: Scope) -> DataFrame:
     """Rate below last week's rate times the drop factor (last week's rate > 0)."""
     p = scope.params
-    return (scope.campaign_metrics.where(_automated_row())
+    return (scope.rows("campaign_metrics", (FB_TO_CLICKOUT,)).where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "current_fb_to_clickout_rate",
                     "current_fb_clicks", "last_week_fb_to_clickout_rate", _benchmark(p).alias("benchmark"),
                     _automated_fired(p).alias("fired")))

@@ -1,6 +1,6 @@
 """flowInterruption (F1-F7): minutes since a vertical's last conversion against its usual gap.
 
-The usual gap is the approximate median of the gaps between consecutive
+The usual gap is the lower median of the gaps between consecutive
 conversions of the last four weeks (gaps over 12 hours ignored). Gaps are
 computed per vertical with ``consecutive_gaps``, which sorts hour slices in
 parallel instead of one whole vertical in a single task.
@@ -12,19 +12,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import INF, fired
-from ..functions.stats import consecutive_gaps
-from ..functions.timewin import format_ts, in_window, micros
+from ..functions.stats import consecutive_gaps, weighted_median
+from ..functions.timewin import format_ts, micros
 from ..schemas import FLOW_INTERRUPTION, LABEL_CONTROLLED_MINUTES, LABEL_DYNAMIC_MINUTES, LABEL_MINUTES_SINCE
 from .records import record
+from .rollups import older_conversions
 from .scope import AUTOMATED, CONTROLLED, Scope
 
 MICROS_PER_MINUTE = 60_000_000
 
 
 def last_conversion(scope: Scope) -> DataFrame:
-    """F1: (vertical_name, last_us) latest conversion before as_of, epoch micros; NULL if none."""
-    rolled = scope.per_vertical(scope.last_conversions, [], [F.max("last_us").alias("last_us")])
-    return scope.verticals.join(rolled, "vertical_name", "left")
+    """F1: (vertical_name, last_us) latest conversion before as_of, epoch micros; NULL if none.
+
+    Read from the conversion rollup; only the campaigns of verticals without
+    any conversion in it are searched for in the older facts.
+    """
+    recent = scope.per_vertical(scope.conversions.groupBy("campaign_id").agg(F.max("last_us").alias("last_us")), [],
+                                [F.max("last_us").alias("last_us")])
+    silent = scope.shared("silent_campaigns", lambda: scope.pairs.join(recent, "vertical_name", "left_anti")
+                          .select("campaign_id").distinct())
+    older = scope.per_vertical(older_conversions(scope.facts, scope.clock, silent), [], [F.max("last_us").alias("last_us")])
+    found = recent.unionByName(older).groupBy("vertical_name").agg(F.max("last_us").alias("last_us"))
+    return scope.verticals.join(found, "vertical_name", "left")
 
 
 def minutes_since_conversion(scope: Scope) -> DataFrame:
@@ -35,27 +45,34 @@ def minutes_since_conversion(scope: Scope) -> DataFrame:
         "vertical_name", F.coalesce(minutes, F.lit(INF)).alias("minutes_since_conversion"))
 
 
-def conversion_gaps(scope: Scope) -> DataFrame:
-    """(vertical_name, gap_minutes), one row per consecutive pair of conversions.
+def gap_counts(scope: Scope) -> DataFrame:
+    """(vertical_name, gap_seconds, n): gaps between consecutive conversions of a vertical's active campaigns.
 
-    Conversions in [as_of - 4 weeks, midnight of as_of) of the vertical's
-    active campaigns; whole-second differences divided by 60.
+    Conversions in [as_of - 4 weeks, midnight of as_of), counted per campaign
+    and second before anything is shuffled, so the rows per vertical are at
+    most the seconds of four weeks, whatever its volume.
     """
-    s, c = scope.facts.sessions, scope.clock
-    rows = (s.where(in_window(s, "conversion_dt", c.ago(days=28), c.today))
-            .select("campaign_id", "conversion_dt"))
-    scoped = scope.pairs.join(rows, "campaign_id", "inner")
-    gaps = consecutive_gaps(scoped, ["vertical_name"], "conversion_dt", scope.params.gap_slice_seconds)
-    return gaps.select("vertical_name", (F.col("gap_seconds") / 60).alias("gap_minutes"))
+    per_second = scope.per_vertical(scope.conversion_seconds, ["s"], [F.sum("n").alias("n")])
+    return consecutive_gaps(per_second, ["vertical_name"], "s", "n", scope.params.gap_slice_seconds)
+
+
+def conversion_gaps(scope: Scope) -> DataFrame:
+    """(vertical_name, gap_minutes), one row per consecutive pair of conversions; whole seconds divided by 60."""
+    rows = gap_counts(scope).select("vertical_name", "gap_seconds", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    return rows.select("vertical_name", (F.col("gap_seconds") / 60).alias("gap_minutes"))
 
 
 def gap_median(scope: Scope) -> DataFrame:
-    """(vertical_name, median_gap_minutes, num_gaps) over gaps up to the relevant maximum."""
+    """(vertical_name, median_gap_minutes, num_gaps) over gaps up to the relevant maximum.
+
+    The exact lower median, over a histogram of whole-second gaps.
+    """
     p = scope.params
-    stats = (conversion_gaps(scope).where(F.col("gap_minutes") <= p.flow_max_relevant_gap_minutes)
-             .groupBy("vertical_name")
-             .agg(F.percentile_approx("gap_minutes", 0.5, p.gap_median_accuracy).alias("median_gap_minutes"),
-                  F.count("gap_minutes").alias("num_gaps")))
+    gaps = gap_counts(scope).select("vertical_name", (F.col("gap_seconds") / 60).alias("gap_minutes"), "n")
+    counts = (gaps.where(F.col("gap_minutes") <= p.flow_max_relevant_gap_minutes)
+              .groupBy("vertical_name", "gap_minutes").agg(F.sum("n").alias("n")))
+    stats = weighted_median(counts, ["vertical_name"], "gap_minutes", "n", "median_gap_minutes").join(
+        counts.groupBy("vertical_name").agg(F.sum("n").alias("num_gaps")), "vertical_name")
     return (scope.verticals.join(stats, "vertical_name", "left")
             .select("vertical_name", "median_gap_minutes",
                     F.coalesce("num_gaps", F.lit(0).cast("long")).alias("num_gaps")))
@@ -84,7 +101,7 @@ def _automated_fired(p) -> Column:
 
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """minutes since the last conversion above the fixed threshold while spending today."""
-    return (scope.vertical_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
+    return (scope.rows("vertical_metrics", (FLOW_INTERRUPTION,)).join(thresholds, "vertical_name", "left")
             .select("vertical_name", "minutes_since_conversion", "spend_today", "base_threshold",
                     "effective_threshold",
                     _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
@@ -92,7 +109,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
 
 def automated(scope: Scope) -> DataFrame:
     """minutes above the dynamic threshold, with enough history and a positive median."""
-    return (scope.vertical_metrics
+    return (scope.rows("vertical_metrics", (FLOW_INTERRUPTION,))
             .select("vertical_name", "minutes_since_conversion", "spend_today", "median_gap_minutes", "num_gaps",
                     "dynamic_threshold", _automated_fired(scope.params).alias("fired")))
 

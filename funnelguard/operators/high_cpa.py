@@ -129,7 +129,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     fires. ``thresholds``: (vertical_name, base_threshold, effective_threshold).
     """
     cpa, spend, volume, fire = _controlled_values(scope.params, F.col("effective_threshold"))
-    return (scope.campaign_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
+    return (scope.rows("campaign_metrics", (HIGH_CPA,)).join(thresholds, "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", cpa.alias("current_6h_cpa"),
                     spend.alias("current_6h_spend"), volume.alias("current_6h_volume"),
                     "base_threshold", "effective_threshold", fire.alias("fired")))
@@ -137,7 +137,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
 
 def automated(scope: Scope) -> DataFrame:
     """Current CPA of active campaigns with a benchmark, and whether it exceeds it."""
-    return (scope.campaign_metrics.where(_automated_row())
+    return (scope.rows("campaign_metrics", (HIGH_CPA,)).where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "current_6h_spend", "current_6h_volume",
                     "current_6h_cpa", "weighted_median_cpa", "weighted_mad_cpa", "high_cpa_threshold",
                     _automated_fired(scope.params).alias("fired")))

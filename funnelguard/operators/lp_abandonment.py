@@ -37,7 +37,7 @@ def _successes(scope: Scope) -> DataFrame:
     c = scope.clock
     cur = F.col("date") >= date_lit(c.ago(hours=24))
     prev = (F.col("date") >= date_lit(c.ago(days=8))) & (F.col("date") < date_lit(c.ago(days=1)))
-    per_campaign = (scope.funnel(LOADER_STEP)
+    per_campaign = (scope.funnel
                     .groupBy("campaign_id", "page")
                     .agg(F.sum(F.when(cur, F.col("users"))).alias("_cur"),
                          F.sum(F.when(prev, F.col("users"))).alias("_prev")))
@@ -124,7 +124,7 @@ def _automated_row() -> Column:
 
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Pages whose rate exceeds the fixed threshold, with at least the minimum sessions."""
-    return (scope.page_metrics.where("cur_row").join(F.broadcast(thresholds), "vertical_name", "left")
+    return (scope.rows("page_metrics", (HIGH_LP_ABANDONMENT,)).where("cur_row").join(thresholds, "vertical_name", "left")
             .select(*_CURRENT, "base_threshold", "effective_threshold",
                     _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
 
@@ -132,7 +132,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
 def automated(scope: Scope) -> DataFrame:
     """Pages whose rate exceeds last week's times the factor (last week's rate > 0)."""
     p = scope.params
-    return (scope.page_metrics.where(_automated_row())
+    return (scope.rows("page_metrics", (HIGH_LP_ABANDONMENT,)).where(_automated_row())
             .select(*_CURRENT, "last_week_rate", _benchmark(p).alias("benchmark"), _automated_fired(p).alias("fired")))
 
 

@@ -85,7 +85,7 @@ def _automated_row() -> Column:
 
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """Active campaigns with rows today, ROI below the fixed threshold and spend above the minimum."""
-    return (scope.campaign_metrics.where("roi_today_row").join(F.broadcast(thresholds), "vertical_name", "left")
+    return (scope.rows("campaign_metrics", (PERFORMANCE_DECLINE,)).where("roi_today_row").join(thresholds, "vertical_name", "left")
             .select("vertical_name", "campaign_id", "campaign_name", "todays_roi", "todays_spend",
                     "base_threshold", "effective_threshold",
                     _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
@@ -94,7 +94,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
 def automated(scope: Scope) -> DataFrame:
     """today's ROI below last week's times the drop factor, both spends above the minimum."""
     p = scope.params
-    return (scope.campaign_metrics.where(_automated_row())
+    return (scope.rows("campaign_metrics", (PERFORMANCE_DECLINE,)).where(_automated_row())
             .select("campaign_id", "vertical_name", "campaign_name", "todays_roi", "todays_spend",
                     "last_week_roi", "last_week_spend", _benchmark(p).alias("benchmark"),
                     _automated_fired(p).alias("fired")))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timewin import Clock, epoch_micros, in_dates, in_window
+from ..functions.timewin import Clock, epoch_micros, epoch_seconds, in_dates, in_window, utc_date
 from ..params import Params
 from ..sources.facts import Facts
 
@@ -26,40 +26,37 @@ DAY_US = 24 * HOUR_US
 HISTORY_DAYS = 28
 
 
-def split_hour_bucket(name: str, offset_us: int) -> Column:
+def split_hour_bucket(df: DataFrame, name: str, offset_us: int) -> Column:
     """Start (epoch micros) of the split-hour bucket holding ``name``."""
-    us = epoch_micros(name)
+    us = epoch_micros(df, name)
     hour = us - F.pmod(us, F.lit(HOUR_US))
     if offset_us == 0:
         return hour
     return F.when(us - hour >= F.lit(offset_us), hour + F.lit(offset_us)).otherwise(hour)
 
 
-def money(col: str, params: Params) -> Column:
-    return F.col(col).cast(f"decimal(18,{params.money_scale})")
-
-
 def hourly_rollup(facts: Facts, clock: Clock, params: Params) -> DataFrame:
-    """(campaign_id, b, n, spend DECIMAL, clicks) over [as_of - 28 days, as_of)."""
+    """(campaign_id, b, n, spend, clicks) over [as_of - 28 days, as_of)."""
     h = facts.hourly
     return (h.where(in_window(h, "timestamp", clock.ago(days=HISTORY_DAYS), clock.now))
-            .groupBy("campaign_id", split_hour_bucket("timestamp", clock.offset_us).alias("b"))
+            .groupBy("campaign_id", split_hour_bucket(h, "timestamp", clock.offset_us).alias("b"))
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum(money("spend", params)).alias("spend"),
+                 F.sum("spend").alias("spend"),
                  F.sum("clicks").alias("clicks")))
 
 
 def conversion_rollup(facts: Facts, clock: Clock, params: Params) -> DataFrame:
-    """(campaign_id, b, n, n_sid, n_paid, n_paid_sid, payout DECIMAL) by conversion time, last 28 days."""
+    """(campaign_id, b, n, n_sid, n_paid, n_paid_sid, payout, last_us) by conversion time, last 28 days."""
     s = facts.sessions
     paid = F.col("conversion_payout").isNotNull()
     return (s.where(in_window(s, "conversion_dt", clock.ago(days=HISTORY_DAYS), clock.now))
-            .groupBy("campaign_id", split_hour_bucket("conversion_dt", clock.offset_us).alias("b"))
+            .groupBy("campaign_id", split_hour_bucket(s, "conversion_dt", clock.offset_us).alias("b"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.count("session_id").alias("n_sid"),
                  F.count(F.when(paid, F.lit(1))).alias("n_paid"),
                  F.count(F.when(paid, F.col("session_id"))).alias("n_paid_sid"),
-                 F.sum(money("conversion_payout", params)).alias("payout")))
+                 F.sum("conversion_payout").alias("payout"),
+                 F.max(epoch_micros(s, "conversion_dt")).alias("last_us")))
 
 
 def session_rollup(facts: Facts, clock: Clock) -> DataFrame:
@@ -67,7 +64,7 @@ def session_rollup(facts: Facts, clock: Clock) -> DataFrame:
     s = facts.sessions
     out = F.col("postback_id").isNotNull()
     return (s.where(in_window(s, "session_dt", clock.ago(days=8), clock.now))
-            .groupBy("campaign_id", "page", split_hour_bucket("session_dt", clock.offset_us).alias("b"))
+            .groupBy("campaign_id", "page", split_hour_bucket(s, "session_dt", clock.offset_us).alias("b"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.count("session_id").alias("n_sid"),
                  F.count(F.when(out, F.lit(1))).alias("n_out"),
@@ -94,20 +91,31 @@ def distinct_clickouts(facts: Facts, clock: Clock) -> DataFrame:
                  F.max("_prev").alias("has_last_week")))
 
 
-def last_conversions(facts: Facts, clock: Clock, lookback_days: int | None = None) -> DataFrame:
-    """(campaign_id, last_us): latest conversion before as_of (over all history by default), epoch micros."""
+def older_conversions(facts: Facts, clock: Clock, campaigns: DataFrame) -> DataFrame:
+    """(campaign_id, last_us): latest conversion before the rollup's 28 days, of the given campaigns only.
+
+    ``campaigns`` holds those whose vertical has none in the rollup; when it
+    is empty, adaptive execution drops the scan.
+    """
+    s = facts.sessions
+    return (s.where(in_window(s, "conversion_dt", None, clock.ago(days=HISTORY_DAYS)))
+            .join(campaigns, "campaign_id", "left_semi")
+            .groupBy("campaign_id").agg(F.max(epoch_micros(s, "conversion_dt")).alias("last_us")))
+
+
+def conversion_seconds(facts: Facts, clock: Clock) -> DataFrame:
+    """(campaign_id, s, n): conversions per whole second in [as_of - 28 days, midnight of as_of)."""
     s = facts.sessions
-    lo = None if lookback_days is None else clock.ago(days=lookback_days)
-    return (s.where(in_window(s, "conversion_dt", lo, clock.now))
-            .groupBy("campaign_id").agg(F.max(epoch_micros("conversion_dt")).alias("last_us")))
+    return (s.where(in_window(s, "conversion_dt", clock.ago(days=HISTORY_DAYS), clock.today))
+            .groupBy("campaign_id", epoch_seconds(s, "conversion_dt").alias("s")).agg(F.count(F.lit(1)).alias("n")))
 
 
 def daily_spend_rollup(facts: Facts, clock: Clock, params: Params) -> DataFrame:
-    """(campaign_id, date, spend DECIMAL) for the as_of date and the 7 days before it."""
+    """(campaign_id, date, spend) for the as_of date and the 7 days before it."""
     d = facts.daily
     return (d.where(in_dates(d, "date", clock.days_before_today(7), clock.today_date))
-            .groupBy("campaign_id", F.to_date("date").alias("date"))
-            .agg(F.sum(money("spend", params)).alias("spend")))
+            .groupBy("campaign_id", utc_date(d, "date").alias("date"))
+            .agg(F.sum("spend").alias("spend")))
 
 
 def funnel_rollup(facts: Facts, clock: Clock, loader_step: str) -> DataFrame:
@@ -115,7 +123,7 @@ def funnel_rollup(facts: Facts, clock: Clock, loader_step: str) -> DataFrame:
     f = facts.funnel
     return (f.where((F.col("interaction_type") == loader_step)
                     & in_dates(f, "date", clock.ago(days=8), clock.today_date))
-            .groupBy("campaign_id", "page", F.to_date("date").alias("date"))
+            .groupBy("campaign_id", "page", utc_date(f, "date").alias("date"))
             .agg(F.sum("users_reached_step").alias("users")))
 
 

@@ -15,7 +15,7 @@ import threading
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggs import effective_threshold, exact_sum
+from ..functions.aggs import effective_threshold, money_sum
 from ..functions.materialize import Materializer, run_concurrently
 from ..functions.timewin import Clock, in_window, micros
 from ..params import Params
@@ -29,7 +29,7 @@ def active_by_spend(facts: Facts, clock: Clock, params: Params) -> DataFrame:
     h = facts.hourly
     return (h.where(in_window(h, "timestamp", clock.ago(hours=24), clock.now))
             .groupBy(F.col("vertical").alias("vertical_name"), "campaign_id", "campaign_name")
-            .agg(exact_sum("spend", params.money_scale).alias("recent_spend"))
+            .agg(money_sum("spend").alias("recent_spend"))
             .where(F.col("recent_spend") > 0))
 
 
@@ -66,24 +66,32 @@ class Scope:
     checks start from the same small tables.
     """
 
-    def __init__(self, facts: Facts, clock: Clock, params: Params, materialize: Materializer):
+    def __init__(self, facts: Facts, clock: Clock, params: Params, materialize: Materializer,
+                 configured: DataFrame | None = None):
         self.facts = facts
         self.clock = clock
         self.params = params
         self.materialize = materialize
+        self.configured = configured
         self._cache: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = {}
         self._guard = threading.Lock()
 
     @classmethod
-    def build(cls, facts: Facts, as_of, params: Params | None = None, materialize: bool = True) -> "Scope":
+    def build(cls, facts: Facts, as_of, params: Params | None = None, configured: DataFrame | None = None,
+              work_dir: str | None = None) -> "Scope":
+        """``configured``: vertical_name of verticals that are checked even without active campaigns."""
         params = params or Params()
         clock = as_of if isinstance(as_of, Clock) else Clock.at(as_of)
         label = clock.now.strftime("%Y%m%dT%H%M%S")
-        return cls(facts, clock, params, Materializer(facts.hourly.sparkSession, label, materialize))
+        return cls(facts, clock, params, Materializer(facts.hourly.sparkSession, label, work_dir), configured)
 
-    def _once(self, name: str, build, write: bool = True) -> DataFrame:
-        """Build a shared intermediate once per scope; ``write`` materialises it.
+    def close(self) -> None:
+        """Delete the intermediate tables; DataFrames of this scope can no longer be read."""
+        self.materialize.close()
+
+    def _once(self, name: str, build) -> DataFrame:
+        """Build and materialise a shared intermediate once per scope.
 
         Safe to call from several driver threads: a second caller of the same
         name waits for the first instead of computing it again.
@@ -92,30 +100,26 @@ class Scope:
             lock = self._locks.setdefault(name, threading.Lock())
         with lock:
             if name not in self._cache:
-                df = build()
-                self._cache[name] = self.materialize(df, name) if write else df
+                self._cache[name] = self.materialize(build(), name)
             return self._cache[name]
 
-    def prepare(self, threads: int = 4) -> "Scope":
-        """Materialise everything the checks read, running independent writes concurrently.
+    def prepare(self, alerts=CAMPAIGN_ALERTS + VERTICAL_ALERTS, threads: int = 4) -> "Scope":
+        """Materialise what the given alerts read, running independent writes concurrently.
 
-        Two waves: the active pairs and the fact rollups (independent scans of
-        different tables and windows), then the three metric tables. Jobs of
-        one wave are submitted from ``threads`` driver threads so the
-        scheduler overlaps them instead of running many small jobs back to back.
+        Three waves: the active pairs, the fact rollups (independent scans of
+        different tables and windows), then the metric tables. Jobs of one
+        wave are submitted from ``threads`` driver threads so the scheduler
+        overlaps them instead of running many small jobs back to back.
         """
-        self._warm(("active", "hourly", "conversions", "sessions", "clickouts", "last_conversions", "daily_spend",
-                    "funnel"), threads)
-        run_concurrently([lambda: self.campaign_metrics, lambda: self.vertical_metrics,
-                          lambda: self.page_metrics], threads, self.materialize.spark)
+        from . import metrics
+        self.active  # noqa: B018
+        self._warm(sorted({i for a in alerts for i in metrics.INPUTS[a]}), threads)
+        run_concurrently([lambda t=t: self.rows(t, alerts) for t in metrics.tables_of(alerts)], threads, self.materialize.spark)
         return self
 
     def _warm(self, names, threads: int = 4) -> None:
         """Build the named shared inputs concurrently (no-op for those already built)."""
-        from .lp_abandonment import LOADER_STEP
-        getters = {"funnel": lambda: self.funnel(LOADER_STEP)}
-        run_concurrently([getters.get(n, lambda n=n: getattr(self, n)) for n in names], threads,
-                         self.materialize.spark)
+        run_concurrently([lambda n=n: getattr(self, n) for n in names], threads, self.materialize.spark)
 
     def shared(self, name: str, build) -> DataFrame:
         """A check's own intermediate, built and materialised once per scope."""
@@ -128,59 +132,45 @@ class Scope:
 
     @property
     def hourly(self) -> DataFrame:
-        return self._once("hourly", lambda: rollups.hourly_rollup(self.facts, self.clock, self.params),
-                          write=self.params.materialize_rollups)
+        return self._once("hourly", lambda: rollups.hourly_rollup(self.scoped, self.clock, self.params))
 
     @property
     def conversions(self) -> DataFrame:
-        return self._once("conversions", lambda: rollups.conversion_rollup(self.facts, self.clock, self.params),
-                          write=self.params.materialize_rollups)
+        return self._once("conversions", lambda: rollups.conversion_rollup(self.scoped, self.clock, self.params))
 
     @property
     def sessions(self) -> DataFrame:
-        return self._once("sessions", lambda: rollups.session_rollup(self.facts, self.clock),
-                          write=self.params.materialize_rollups)
+        return self._once("sessions", lambda: rollups.session_rollup(self.scoped, self.clock))
 
     @property
     def clickouts(self) -> DataFrame:
-        return self._once("clickouts", lambda: rollups.distinct_clickouts(self.facts, self.clock),
-                          write=self.params.materialize_rollups)
+        return self._once("clickouts", lambda: rollups.distinct_clickouts(self.scoped, self.clock))
 
     @property
-    def last_conversions(self) -> DataFrame:
-        return self._once("last_conversions", lambda: rollups.last_conversions(self.facts, self.clock,
-                                                                      self.params.last_conversion_lookback_days),
-                          write=self.params.materialize_rollups)
+    def conversion_seconds(self) -> DataFrame:
+        return self._once("conversion_seconds", lambda: rollups.conversion_seconds(self.scoped, self.clock))
 
     @property
     def daily_spend(self) -> DataFrame:
-        return self._once("daily_spend", lambda: rollups.daily_spend_rollup(self.facts, self.clock, self.params),
-                          write=self.params.materialize_rollups)
-
-    def funnel(self, loader_step: str) -> DataFrame:
-        return self._once(f"funnel_{loader_step}", lambda: rollups.funnel_rollup(self.facts, self.clock, loader_step),
-                          write=self.params.materialize_rollups)
+        return self._once("daily_spend", lambda: rollups.daily_spend_rollup(self.scoped, self.clock, self.params))
 
     @property
-    def campaign_metrics(self) -> DataFrame:
-        from .metrics import campaign_metrics
-        if "campaign_metrics" not in self._cache:
-            self._warm(("active", "hourly", "conversions", "sessions", "clickouts", "daily_spend"))
-        return self._once("campaign_metrics", lambda: campaign_metrics(self))
+    def funnel(self) -> DataFrame:
+        from .lp_abandonment import LOADER_STEP
+        return self._once("funnel", lambda: rollups.funnel_rollup(self.scoped, self.clock, LOADER_STEP))
 
-    @property
-    def vertical_metrics(self) -> DataFrame:
-        from .metrics import vertical_metrics
-        if "vertical_metrics" not in self._cache:
-            self._warm(("active", "hourly", "conversions", "last_conversions"))
-        return self._once("vertical_metrics", lambda: vertical_metrics(self))
+    def rows(self, table: str, alerts) -> DataFrame:
+        """The metric table ``table`` (see ``metrics.TABLES``) with the columns that ``alerts`` need."""
+        from . import metrics
+        own = tuple(a for a in metrics.TABLES[table] if a in alerts)
+        self._warm(sorted({i for a in own for i in metrics.INPUTS[a]}))
+        return self._once("-".join((table, *own)), lambda: getattr(metrics, table)(self, own))
 
     @property
-    def page_metrics(self) -> DataFrame:
-        from .metrics import page_metrics
-        if "page_metrics" not in self._cache:
-            self._warm(("active", "sessions", "funnel"))
-        return self._once("page_metrics", lambda: page_metrics(self))
+    def scoped(self) -> Facts:
+        """The facts of active campaigns: the semi-join is below every rollup's aggregate."""
+        ids = self.active.select("campaign_id").distinct()
+        return Facts(*(df.join(ids, "campaign_id", "left_semi") for df in self.facts.by_name().values()))
 
     @property
     def pairs(self) -> DataFrame:
@@ -188,7 +178,9 @@ class Scope:
 
     @property
     def verticals(self) -> DataFrame:
-        return self.active.select("vertical_name").distinct()
+        """Verticals with active campaigns, and the configured ones: those without data are checked too."""
+        active = self.active.select("vertical_name")
+        return (active if self.configured is None else active.unionByName(self.configured.select("vertical_name"))).distinct()
 
     def within(self, lo, hi, col: str = "b") -> Column:
         """Bucket start in [lo, hi) (datetimes; either may be None)."""
@@ -210,18 +202,25 @@ class Scope:
                 .groupBy("vertical_name", *keys).agg(*aggs))
 
 
-def scope_row_counts(scope: Scope) -> DataFrame:
-    """Rows of each fact table that belong to an active campaign, per vertical.
+def scope_facts(facts: Facts, active: DataFrame) -> Facts:
+    """The four fact tables limited to active campaigns, with ``vertical_name`` from the active pairs.
 
-    Each table is counted per campaign first (a partial aggregate), then
-    joined to the active pairs: the vertical comes from the active list,
-    never from the fact's own column.
+    A campaign active in two verticals has its rows in both. ``active`` is
+    small next to the facts and joined as adaptive execution measures it.
     """
+    pairs = active.select("vertical_name", "campaign_id")
+    return Facts(*(df.join(pairs, "campaign_id") for df in facts.by_name().values()))
+
+
+def scope_row_counts(scope: Scope) -> DataFrame:
+    """O4 reported: rows, and the sum of a measure, of each restricted table per vertical."""
+    measures = {"hourly_ad_performance_metrics": "spend", "daily_ad_performance_metrics": "spend",
+                "sessions_full_lifecycle": "conversion_payout", "daily_actions_funnel": "users_reached_step"}
     out = None
-    for name, df in scope.facts.by_name().items():
-        counted = df.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("_n"))
-        part = (scope.per_vertical(counted, [], [F.sum("_n").cast("long").alias("row_count")])
-                .select(F.lit(name).alias("table_name"), "vertical_name", "row_count"))
+    for name, df in scope_facts(scope.facts, scope.active).by_name().items():
+        part = (df.groupBy("vertical_name")
+                .agg(F.count(F.lit(1)).alias("row_count"), money_sum(measures[name]).alias("measure_sum"))
+                .select(F.lit(name).alias("table_name"), "vertical_name", "row_count", "measure_sum"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -50,7 +50,6 @@ def spend_today(scope: Scope) -> DataFrame:
     c = scope.clock
     per_campaign = (scope.hourly.where(scope.within(c.today, c.now))
                     .groupBy("campaign_id").agg(F.sum("spend").alias("_spend")))
-    # campaign partials stay DECIMAL so the vertical total is still exact
     rolled = scope.per_vertical(per_campaign, [], [F.sum("_spend").cast("double").alias("spend_today")])
     return (scope.verticals.join(rolled, "vertical_name", "left")
             .select("vertical_name", F.coalesce("spend_today", F.lit(0.0)).alias("spend_today")))
@@ -101,7 +100,7 @@ def _automated_fired(p) -> Column:
 
 def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
     """V4: last-hour volume below the fixed threshold while the vertical spends today."""
-    return (scope.vertical_metrics.join(F.broadcast(thresholds), "vertical_name", "left")
+    return (scope.rows("vertical_metrics", (VOLUME_DROP,)).join(thresholds, "vertical_name", "left")
             .select("vertical_name", "conversions_last_hour", "spend_today", "base_threshold",
                     "effective_threshold",
                     _controlled_fired(scope.params, F.col("effective_threshold")).alias("fired")))
@@ -110,7 +109,7 @@ def controlled(scope: Scope, thresholds: DataFrame) -> DataFrame:
 def automated(scope: Scope) -> DataFrame:
     """V5: last-hour volume below the same-hour average times (1 - drop percentage)."""
     p = scope.params
-    return (scope.vertical_metrics
+    return (scope.rows("vertical_metrics", (VOLUME_DROP,))
             .select("vertical_name", "conversions_last_hour", "spend_today", "same_hour_avg",
                     "days_with_conversions", _benchmark(p).alias("benchmark"), _automated_fired(p).alias("fired")))
 

@@ -27,28 +27,14 @@ class Params:
     cpa_trim_low: float = 0.1
     cpa_trim_high: float = 0.9
     cpa_trim_accuracy: int = 1000
-    gap_median_accuracy: int = 10000
     # --- End of fixed values ---
 
-    # Money columns are summed exactly as DECIMAL(18, money_scale), then
-    # turned back into DOUBLE, so totals do not depend on row order.
-    money_scale: int = 6
     # Width of the time slices the conversion-gap lag is split into; a
     # slice is one sort task, the slices are stitched afterwards.
     gap_slice_seconds: int = 3600
-    # Write the fact rollups to the checkpoint folder too (not only the
-    # per-campaign / vertical / page metric tables). Without it, every
-    # consumer's window filter is pushed below the rollup aggregate, so
-    # each consumer rescans the facts; with it each fact table is read once.
-    materialize_rollups: bool = True
     # 'null': a window with no rows on one side of a ratio yields NULL
     # (the reference's outer-join behaviour). 'zero': that side counts 0.
     missing: str = "null"
-    # Days of history searched for the last conversion (flowInterruption).
-    # None searches all history, as the rule is defined; a bound turns a
-    # full-history scan of one column into a bounded one, and a vertical
-    # without conversions inside it reads as "never" (+inf minutes).
-    last_conversion_lookback_days: int | None = None
     # Include the as_of day itself in the highCPA same-weekday history.
     cpa_history_includes_today: bool = True
     # Average the same-hour volume over all 7 days (days without

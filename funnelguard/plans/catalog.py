@@ -23,10 +23,10 @@ from ..params import Params
 from ..schemas import (CLICKOUT_TO_CONVERSION, FB_TO_CLICKOUT, FLOW_INTERRUPTION, HIGH_CPA,
                        HIGH_LP_ABANDONMENT, PERFORMANCE_DECLINE, VOLUME_DROP)
 from ..sources import fixture
-from ..sources.config import config_frame, explode_config
+from ..sources.config import explode_config
 from ..sources.facts import row_counts
 from .engine import evaluate_scope
-from .sinks import alert_payloads, alert_summary
+from .sinks import alert_payloads, alert_summary, payload_fields
 
 
 class Fixture:
@@ -36,24 +36,20 @@ class Fixture:
                  params: Params | None = None):
         self.spark = spark
         self.facts = fixture.fixture_facts(spark, sf_dir, store=store_facts)
-        self.scope = Scope.build(self.facts, fixture.AS_OF, params)
-        self.config = explode_config(config_frame(spark, fixture.CONFIG))
+        document = fixture.fixture_config(spark, sf_dir)
+        self.scope = Scope.build(self.facts, fixture.AS_OF, params, document.select("vertical_name"))
+        self.config = explode_config(document)
         self.policy = policy
 
-    @property
-    def active_verticals(self) -> DataFrame:
-        return self.scope.verticals
-
     def thresholds(self, alert_name: str) -> DataFrame:
         return thresholds_for(self.config, alert_name)
 
     def modes(self) -> DataFrame:
-        """Modes of configured alerts, for verticals that have active campaigns."""
-        return alert_modes(self.config, self.policy).join(self.active_verticals, "vertical_name", "left_semi")
+        """Modes of configured alerts."""
+        return alert_modes(self.config, self.policy)
 
     def alerts(self) -> DataFrame:
-        # the metric tables hold active verticals only, so the modes need no restriction here
-        return evaluate_scope(self.scope, alert_modes(self.config, self.policy))
+        return evaluate_scope(self.scope, self.modes())
 
 
 def _window_text(df: DataFrame) -> DataFrame:
@@ -66,11 +62,6 @@ def _campaign_history(fn: Callable[[Scope], DataFrame]) -> Callable[[Fixture], D
     return run
 
 
-def _q_alert_config(fx: Fixture) -> DataFrame:
-    present = fx.facts.hourly.select(F.col("vertical").alias("vertical_name")).distinct()
-    return fx.config.join(present, "vertical_name", "left_semi")
-
-
 def _q_effective_thresholds(fx: Fixture) -> DataFrame:
     return (fx.modes().where(F.col("effective_threshold").isNotNull())
             .select("vertical_name", "alert_name", "base_threshold", "percent_increase", "effective_threshold"))
@@ -110,12 +101,12 @@ def _automated(check) -> Callable[[Fixture], DataFrame]:
     return run
 
 
-QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
+_QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     # sources, configuration, sinks
     "load_facts": lambda fx: row_counts(fx.facts),
-    "alert_config": _q_alert_config,
+    "alert_config": lambda fx: fx.config,
     "alerts_all": lambda fx: fx.alerts(),
-    "alert_payload_json": lambda fx: alert_payloads(fx.alerts(), fixture.AS_OF),
+    "alert_payload_json": lambda fx: payload_fields(alert_payloads(fx.alerts(), fixture.AS_OF)),
     "alert_summary": lambda fx: alert_summary(fx.alerts()),
     # scoping and dispatch
     "active_campaigns_by_spend": lambda fx: active_by_spend(fx.facts, fx.scope.clock, fx.scope.params),
@@ -176,5 +167,16 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
 }
 
 
+def _rounded(query: Callable[[Fixture], DataFrame]) -> Callable[[Fixture], DataFrame]:
+    """``query`` with its DOUBLE columns rounded to 6 decimals: sums of doubles depend on the order of rows in either engine."""
+    def run(fx: Fixture) -> DataFrame:
+        df = query(fx)
+        return df.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in df.dtypes])
+    return run
+
+
+QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {name: _rounded(q) for name, q in _QUERIES.items()}
+
+
 def run_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES[name](Fixture(spark, sf_dir))

@@ -45,31 +45,11 @@ CONST = {
     "D_NOW_M8D": _d(NOW - timedelta(days=8)),
     "D_NOW_M1D": _d(NOW - timedelta(days=1)),
     "HOUR": str(NOW.hour),
-    "MONEY": f"DECIMAL(18,{P.money_scale})",
     "INF": "CAST('inf' AS DOUBLE)",
+    "STAMP": f"'{NOW.strftime('%Y-%m-%dT%H-%M-%S.%f')}'",
 }
 
 
-def _sql_value(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, (int, float)):
-        return repr(float(v))
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def _config_values() -> str:
-    rows = []
-    for project in fixture.CONFIG:
-        for name, s in project["alerts"].items():
-            rows.append("(" + ", ".join(_sql_value(x) for x in (
-                project["vertical_name"], name, s.get("globalBaseThreshold"), s.get("globalPercent"),
-                s.get("automated"))) + ")")
-    return ",\n    ".join(rows)
-
-
 CAMPAIGN_ALERTS = "('highCPA', 'performanceDecline', 'fbToClickout', 'clickoutToConversion')"
 VERTICAL_ALERTS = "('volumeDrop', 'flowInterruption', 'highLpAbandonment')"
 
@@ -79,19 +59,18 @@ CTES = f"""
 {HOURLY} AS ({fixture.VIEW_SQL[HOURLY]}),
 {DAILY} AS ({fixture.VIEW_SQL[DAILY]}),
 {FUNNEL} AS ({fixture.VIEW_SQL[FUNNEL]}),
-cfg_raw(vertical_name, alert_name, gbt, gp, auto) AS (VALUES
-    {_config_values()}),
+cfg_raw AS ({fixture.CONFIG_SQL}),
 cfg AS (
-  SELECT vertical_name, alert_name, CAST(gbt AS DOUBLE) AS base_threshold,
-         CAST(COALESCE(gp, 0) AS DOUBLE) AS percent_increase, COALESCE(auto, FALSE) AS automated
+  SELECT vertical_name, alert_name, base AS base_threshold,
+         COALESCE(pct, 0.0) AS percent_increase, COALESCE(auto, FALSE) AS automated
   FROM cfg_raw),
 act_spend AS (
   SELECT vertical AS vertical_name, campaign_id, campaign_name,
-         CAST(SUM(CAST(spend AS $MONEY)) AS DOUBLE) AS recent_spend
+         CAST(SUM(spend) AS DOUBLE) AS recent_spend
   FROM {HOURLY}
   WHERE "timestamp" >= $NOW_M24H AND "timestamp" < $NOW
   GROUP BY 1, 2, 3
-  HAVING SUM(CAST(spend AS $MONEY)) > 0),
+  HAVING SUM(spend) > 0),
 act_sessions AS (
   SELECT vertical AS vertical_name, campaign_id, CAST(COUNT(session_id) AS BIGINT) AS recent_sessions
   FROM {SESSIONS}
@@ -107,7 +86,7 @@ act AS (
          COALESCE(FIRST(nm ORDER BY recent_spend DESC, nm) FILTER (WHERE nm IS NOT NULL), campaign_id)
            AS campaign_name
   FROM act_union GROUP BY 1, 2),
-verticals AS (SELECT DISTINCT vertical_name FROM act),
+verticals AS (SELECT vertical_name FROM act UNION SELECT vertical_name FROM cfg_raw),
 modes0 AS (
   SELECT vertical_name, alert_name, base_threshold, percent_increase,
          CASE WHEN alert_name IN {CAMPAIGN_ALERTS} THEN 'campaign'
@@ -125,7 +104,7 @@ modes AS (
               WHEN percent_increase > 0 THEN base_threshold * (1 + percent_increase / 100)
               ELSE base_threshold END AS effective_threshold
   FROM modes0
-  WHERE mode IS NOT NULL AND vertical_name IN (SELECT vertical_name FROM verticals)),
+  WHERE mode IS NOT NULL),
 thr AS (
   SELECT vertical_name, alert_name, base_threshold,
          CASE WHEN percent_increase > 0 THEN base_threshold * (1 + percent_increase / 100)
@@ -143,7 +122,7 @@ vd_cur AS (
 spend_today AS (
   SELECT v.vertical_name, COALESCE(x.sp, 0.0) AS spend_today
   FROM verticals v LEFT JOIN (
-    SELECT a.vertical_name, CAST(SUM(CAST(h.spend AS $MONEY)) AS DOUBLE) AS sp
+    SELECT a.vertical_name, CAST(SUM(h.spend) AS DOUBLE) AS sp
     FROM {HOURLY} h JOIN act a USING (campaign_id)
     WHERE h."timestamp" >= $TODAY_TS AND h."timestamp" < $NOW
     GROUP BY 1) x USING (vertical_name)),
@@ -224,7 +203,7 @@ fi_auto AS (
 
 -- highCPA
 cpa_sp AS (
-  SELECT campaign_id, CAST(SUM(CAST(spend AS $MONEY)) AS DOUBLE) AS current_6h_spend
+  SELECT campaign_id, CAST(SUM(spend) AS DOUBLE) AS current_6h_spend
   FROM {HOURLY} WHERE "timestamp" >= $NOW_M6H AND "timestamp" < $NOW GROUP BY 1),
 cpa_vo AS (
   SELECT campaign_id, CAST(COUNT(session_id) AS BIGINT) AS current_6h_volume
@@ -236,7 +215,7 @@ cpa_cur AS (
   FROM cpa_sp sp FULL OUTER JOIN cpa_vo vo ON sp.campaign_id = vo.campaign_id),
 cpa_hsp AS (
   SELECT campaign_id, date_trunc('hour', "timestamp" - INTERVAL 6 HOUR) AS ws,
-         CAST(SUM(CAST(spend AS $MONEY)) AS DOUBLE) AS window_spend
+         CAST(SUM(spend) AS DOUBLE) AS window_spend
   FROM {HOURLY}
   WHERE "timestamp" >= $NOW_M28D AND "timestamp" < $NOW AND dayofweek("timestamp") = dayofweek($NOW)
   GROUP BY 1, 2),
@@ -259,25 +238,23 @@ cpa_trim AS (
   SELECT h.* FROM cpa_hist h JOIN cpa_q q USING (campaign_id)
   WHERE h.cpa >= q.p10 AND h.cpa <= q.p90 AND q.p10 IS NOT NULL AND q.p90 IS NOT NULL),
 cpa_med AS (
-  SELECT campaign_id,
-         MIN(CASE WHEN cum >= tot / 2.0 AND (cum - w < tot / 2.0 OR w = tot / 2.0) THEN cpa END)
-           AS weighted_median_cpa
-  FROM (SELECT campaign_id, cpa, window_volume AS w,
-               SUM(window_volume) OVER (PARTITION BY campaign_id ORDER BY cpa
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-               SUM(window_volume) OVER (PARTITION BY campaign_id) AS tot
-        FROM cpa_trim) r
-  GROUP BY 1),
+  -- the least value at or below which lies half of the weight
+  SELECT campaign_id, MIN(cpa) AS weighted_median_cpa
+  FROM (SELECT v.campaign_id, v.cpa,
+               (SELECT SUM(b.window_volume) FROM cpa_trim b WHERE b.campaign_id = v.campaign_id AND b.cpa <= v.cpa) AS upto,
+               (SELECT SUM(b.window_volume) FROM cpa_trim b WHERE b.campaign_id = v.campaign_id) AS total
+        FROM cpa_trim v) x
+  WHERE 2 * upto >= total GROUP BY 1),
+cpa_dev AS (
+  SELECT t.campaign_id, ABS(t.cpa - m.weighted_median_cpa) AS dev, t.window_volume
+  FROM cpa_trim t JOIN cpa_med m USING (campaign_id)),
 cpa_mad AS (
-  SELECT campaign_id,
-         MIN(CASE WHEN cum >= tot / 2.0 AND (cum - w < tot / 2.0 OR w = tot / 2.0) THEN dev END)
-           AS weighted_mad_cpa
-  FROM (SELECT t.campaign_id, ABS(t.cpa - m.weighted_median_cpa) AS dev, t.window_volume AS w,
-               SUM(t.window_volume) OVER (PARTITION BY t.campaign_id ORDER BY ABS(t.cpa - m.weighted_median_cpa)
-                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-               SUM(t.window_volume) OVER (PARTITION BY t.campaign_id) AS tot
-        FROM cpa_trim t JOIN cpa_med m USING (campaign_id)) r
-  GROUP BY 1),
+  SELECT campaign_id, MIN(dev) AS weighted_mad_cpa
+  FROM (SELECT v.campaign_id, v.dev,
+               (SELECT SUM(b.window_volume) FROM cpa_dev b WHERE b.campaign_id = v.campaign_id AND b.dev <= v.dev) AS upto,
+               (SELECT SUM(b.window_volume) FROM cpa_dev b WHERE b.campaign_id = v.campaign_id) AS total
+        FROM cpa_dev v) x
+  WHERE 2 * upto >= total GROUP BY 1),
 cpa_thr AS (
   SELECT * FROM (
     SELECT m.campaign_id, m.weighted_median_cpa, d.weighted_mad_cpa,
@@ -307,21 +284,21 @@ cpa_auto AS (
 
 -- performanceDecline
 pd_rev_t AS (
-  SELECT campaign_id, CAST(SUM(CAST(conversion_payout AS $MONEY)) AS DOUBLE) AS todays_revenue
+  SELECT campaign_id, CAST(SUM(conversion_payout) AS DOUBLE) AS todays_revenue
   FROM {SESSIONS} WHERE CAST(conversion_dt AS DATE) = $TODAY AND conversion_dt < $NOW GROUP BY 1),
 pd_sp_t AS (
-  SELECT campaign_id, CAST(SUM(CAST(spend AS $MONEY)) AS DOUBLE) AS todays_spend
+  SELECT campaign_id, CAST(SUM(spend) AS DOUBLE) AS todays_spend
   FROM {DAILY} WHERE "date" = $TODAY GROUP BY 1),
 pd_t AS (
   SELECT COALESCE(r.campaign_id, s.campaign_id) AS campaign_id, r.todays_revenue, s.todays_spend,
          CASE WHEN s.todays_spend = 0 THEN $INF ELSE r.todays_revenue / s.todays_spend END AS todays_roi
   FROM pd_rev_t r FULL OUTER JOIN pd_sp_t s ON r.campaign_id = s.campaign_id),
 pd_rev_w AS (
-  SELECT campaign_id, CAST(SUM(CAST(conversion_payout AS $MONEY)) AS DOUBLE) AS last_week_revenue
+  SELECT campaign_id, CAST(SUM(conversion_payout) AS DOUBLE) AS last_week_revenue
   FROM {SESSIONS}
   WHERE CAST(conversion_dt AS DATE) >= $TODAY_M7 AND CAST(conversion_dt AS DATE) <= $TODAY_M1 GROUP BY 1),
 pd_sp_w AS (
-  SELECT campaign_id, CAST(SUM(CAST(spend AS $MONEY)) AS DOUBLE) AS last_week_spend
+  SELECT campaign_id, CAST(SUM(spend) AS DOUBLE) AS last_week_spend
   FROM {DAILY} WHERE "date" >= $TODAY_M7 AND "date" <= $TODAY_M1 GROUP BY 1),
 pd_w AS (
   SELECT COALESCE(r.campaign_id, s.campaign_id) AS campaign_id, r.last_week_revenue, s.last_week_spend,
@@ -567,24 +544,30 @@ SELECT '{HOURLY}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {HOU
 UNION ALL SELECT '{DAILY}', CAST(COUNT(*) AS BIGINT) FROM {DAILY}
 UNION ALL SELECT '{SESSIONS}', CAST(COUNT(*) AS BIGINT) FROM {SESSIONS}
 UNION ALL SELECT '{FUNNEL}', CAST(COUNT(*) AS BIGINT) FROM {FUNNEL}""",
-    "alert_config": f"""
-SELECT vertical_name, alert_name, base_threshold, percent_increase, automated FROM cfg
-WHERE vertical_name IN (SELECT vertical FROM {HOURLY})""",
+    "alert_config": "SELECT vertical_name, alert_name, base_threshold, percent_increase, automated FROM cfg",
     "alerts_all": "SELECT * FROM alerts",
+    "alert_payload_json": """
+SELECT $STAMP AS as_of,
+       '["' || $STAMP || '","' || alert_name || '","' || vertical_name || '","' || COALESCE(campaign_id, 'N/A')
+         || '","' || COALESCE(landing_page, 'N/A') || '"]' AS alert_key,
+       alert_name, vertical_name, COALESCE(campaign_name, 'N/A') AS campaign_name,
+       COALESCE(campaign_id, 'N/A') AS campaign_id, calculated_value_timeframe, benchmark_timeframe,
+       COALESCE(landing_page, 'N/A') AS landing_page,
+       CASE WHEN isfinite(calculated_value) THEN calculated_value END AS calculated_value,
+       CASE WHEN isfinite(benchmark) THEN benchmark END AS benchmark, spend, CAST(leads AS DOUBLE) AS leads, base_threshold,
+       spend IS NOT NULL AS spend_applies, leads IS NOT NULL AS leads_applies,
+       calculated_value IS NOT NULL AND NOT isfinite(calculated_value) AS calculated_value_is_infinite
+FROM alerts""",
     "alert_summary": """
 SELECT alert_name, vertical_name, CAST(COUNT(*) AS BIGINT) AS alert_count FROM alerts GROUP BY 1, 2""",
     "active_campaigns_by_spend": "SELECT * FROM act_spend",
     "active_campaigns_by_sessions": "SELECT * FROM act_sessions",
     "active_campaigns": "SELECT * FROM act",
-    "scope_to_active": f"""
-SELECT '{HOURLY}' AS table_name, a.vertical_name, CAST(COUNT(*) AS BIGINT) AS row_count
-FROM {HOURLY} t JOIN act a USING (campaign_id) GROUP BY 1, 2
-UNION ALL SELECT '{DAILY}', a.vertical_name, CAST(COUNT(*) AS BIGINT)
-FROM {DAILY} t JOIN act a USING (campaign_id) GROUP BY 1, 2
-UNION ALL SELECT '{SESSIONS}', a.vertical_name, CAST(COUNT(*) AS BIGINT)
-FROM {SESSIONS} t JOIN act a USING (campaign_id) GROUP BY 1, 2
-UNION ALL SELECT '{FUNNEL}', a.vertical_name, CAST(COUNT(*) AS BIGINT)
-FROM {FUNNEL} t JOIN act a USING (campaign_id) GROUP BY 1, 2""",
+    "scope_to_active": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, a.vertical_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
+        f"CAST(SUM(t.{measure}) AS DOUBLE) AS measure_sum FROM {name} t JOIN act a USING (campaign_id) GROUP BY 1, 2"
+        for name, measure in ((HOURLY, "spend"), (DAILY, "spend"), (SESSIONS, "conversion_payout"),
+                              (FUNNEL, "users_reached_step"))),
     "alert_modes": "SELECT * FROM modes",
     "effective_thresholds": """
 SELECT vertical_name, alert_name, base_threshold, percent_increase, effective_threshold
@@ -648,6 +631,54 @@ FROM act a JOIN cpa_thr x USING (campaign_id)""",
 }
 
 
+#: The DOUBLE columns of each query, which both engines round to 6 decimals.
+DOUBLES: dict[str, str] = {
+    "alert_config": "base_threshold percent_increase",
+    "alerts_all": "calculated_value benchmark spend base_threshold",
+    "alert_payload_json": "calculated_value benchmark spend leads base_threshold",
+    "active_campaigns_by_spend": "recent_spend",
+    "scope_to_active": "measure_sum",
+    "alert_modes": "base_threshold percent_increase effective_threshold",
+    "effective_thresholds": "base_threshold percent_increase effective_threshold",
+    "spend_today": "spend_today",
+    "same_hour_7d_avg": "same_hour_avg",
+    "volume_drop_controlled": "spend_today base_threshold effective_threshold",
+    "volume_drop_automated": "spend_today same_hour_avg benchmark",
+    "minutes_since_conversion": "minutes_since_conversion",
+    "conversion_gaps": "gap_minutes",
+    "gap_median": "median_gap_minutes",
+    "gap_threshold": "median_gap_minutes dynamic_threshold",
+    "flow_interruption_controlled": "minutes_since_conversion spend_today base_threshold effective_threshold",
+    "flow_interruption_automated": "minutes_since_conversion spend_today median_gap_minutes dynamic_threshold",
+    "cpa_spend_6h": "current_6h_spend",
+    "cpa_current": "current_6h_spend current_6h_cpa",
+    "cpa_spend_history": "window_spend",
+    "cpa_history": "window_spend cpa",
+    "cpa_trimmed": "cpa",
+    "weighted_median": "weighted_median_cpa",
+    "weighted_mad": "weighted_median_cpa weighted_mad_cpa",
+    "cpa_threshold": "weighted_median_cpa weighted_mad_cpa high_cpa_threshold",
+    "high_cpa_controlled": "current_6h_cpa current_6h_spend base_threshold effective_threshold",
+    "high_cpa_automated": "current_6h_spend current_6h_cpa weighted_median_cpa weighted_mad_cpa high_cpa_threshold",
+    "roi_today": "todays_revenue todays_spend todays_roi",
+    "roi_last_week": "last_week_revenue last_week_spend last_week_roi",
+    "performance_decline_controlled": "todays_roi todays_spend base_threshold effective_threshold",
+    "performance_decline_automated": "todays_roi todays_spend last_week_roi last_week_spend benchmark",
+    "clickout_rate_24h": "current_fb_to_clickout_rate",
+    "clickout_rate_prev_week": "last_week_fb_to_clickout_rate",
+    "fb_to_clickout_controlled": "current_fb_to_clickout_rate base_threshold effective_threshold",
+    "fb_to_clickout_automated": "current_fb_to_clickout_rate last_week_fb_to_clickout_rate benchmark",
+    "conversion_rate_today": "todays_cr",
+    "conversion_rate_week_ago": "last_week_cr",
+    "clickout_to_conversion_controlled": "todays_cr base_threshold effective_threshold",
+    "clickout_to_conversion_automated": "todays_cr last_week_cr benchmark",
+    "lp_abandonment_24h": "current_rate",
+    "lp_abandonment_prev_week": "last_week_rate",
+    "lp_abandonment_controlled": "current_rate base_threshold effective_threshold",
+    "lp_abandonment_automated": "current_rate last_week_rate benchmark",
+}
+
+
 def _render(text: str) -> str:
     # longest names first so $NOW does not eat $NOW_M1H
     for key in sorted(CONST, key=len, reverse=True):
@@ -658,4 +689,10 @@ def _render(text: str) -> str:
 def oracle_sql() -> dict[str, str]:
     """Query name -> DuckDB SQL over the pre-registered ``events`` view."""
     prefix = "WITH " + _render(CTES).strip() + "\n"
-    return {name: prefix + _render(body).strip() for name, body in BODIES.items()}
+    return {name: prefix + _rounded(_render(body).strip(), DOUBLES.get(name, "").split()) for name, body in BODIES.items()}
+
+
+def _rounded(body: str, names: list[str]) -> str:
+    if not names:
+        return body
+    return f"SELECT * REPLACE ({', '.join(f'round({n}, 6) AS {n}' for n in names)}) FROM (\n{body}) AS q"

@@ -9,7 +9,7 @@ TS = (T.TimestampType, T.TimestampNTZType)
 NUM = (T.DoubleType, T.FloatType, T.DecimalType, T.LongType, T.IntegerType, T.ShortType)
 INT = (T.LongType, T.IntegerType, T.ShortType)
 STR = (T.StringType,)
-DATE = (T.DateType, T.TimestampType, T.TimestampNTZType)
+DATE = (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
 # Required columns per fact table and the type families each may have.
 FACT_COLUMNS: dict[str, dict[str, tuple]] = {

@@ -32,7 +32,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
     Only when it is unset *and* the master is local (tests, benchmarks) is a
     scratch folder created; on a cluster without the setting nothing is set
-    and intermediates simply stay lazy.
+    and evaluations raise an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:

@@ -26,14 +26,16 @@ EXPLODED_COLUMNS = ("vertical_name", "alert_name", "base_threshold", "percent_in
 def config_frame(spark: SparkSession, document: Iterable[Mapping] | str | DataFrame | None) -> DataFrame:
     """Nested config (vertical_name, alerts map) from a list of dicts, a JSON path, or a DataFrame.
 
-    ``None`` (a failed fetch) gives an empty config, which raises no alert.
+    ``None`` (a failed fetch) gives an empty config, which raises no alert. A
+    document that cannot be read whole, or has a value of another type than
+    the schema's, is an error.
     """
     if document is None:
         return spark.createDataFrame([], ALERT_CONFIG)
     if isinstance(document, DataFrame):
         return document
     if isinstance(document, str):
-        return spark.read.schema(ALERT_CONFIG).option("multiLine", "true").json(document)
+        return spark.read.schema(ALERT_CONFIG).option("multiLine", "true").option("mode", "FAILFAST").json(document)
     rows = []
     for project in document:
         alerts = {}
@@ -49,7 +51,18 @@ def config_frame(spark: SparkSession, document: Iterable[Mapping] | str | DataFr
 
 
 def _float(value):
-    return None if value is None else float(value)
+    if value is None:
+        return None
+    if isinstance(value, bool) or not isinstance(value, (int, float)):
+        raise ValueError(f"a threshold must be a number: {value!r}")
+    return float(value)
+
+
+def check_verticals(config: DataFrame) -> None:
+    """Raise an error if an entry has no vertical, or two entries have the same."""
+    bad = config.groupBy("vertical_name").count().where("vertical_name IS NULL OR count > 1").limit(5).collect()
+    if bad:
+        raise ValueError(f"verticals without a name or with several entries: {[r.vertical_name for r in bad]}")
 
 
 def explode_config(config: DataFrame) -> DataFrame:

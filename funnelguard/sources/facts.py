@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import FACT_COLUMNS, check_columns
 
@@ -41,7 +43,8 @@ def facts_from_frames(frames: Mapping[str, DataFrame], check: bool = True) -> Fa
         df = frames[name]
         if check:
             check_columns(df, name)
-        picked[name] = df.select(*FACT_COLUMNS[name].keys())
+        picked[name] = df.select(*[F.to_date(c).alias(c) if c == "date" and isinstance(df.schema[c].dataType, T.StringType)
+                                   else F.col(c) for c in FACT_COLUMNS[name]])
     return Facts(picked[HOURLY], picked[DAILY], picked[SESSIONS], picked[FUNNEL])
 
 
@@ -72,7 +75,7 @@ def _read_path(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     reader = spark.read.format(fmt)
     try:
         return reader.load(path)
-    except Exception:
+    except AnalysisException:  # no such path
         if fmt == "parquet" and not path.endswith(".parquet"):
             return reader.load(path + ".parquet")
         raise

@@ -21,4 +21,4 @@ def test_automated_checks_match_the_fixture_table(spark):
     assert _count(fx, "clickout_to_conversion_automated")[1] == 1
     assert _count(fx, "lp_abandonment_automated") == (4, 2)
     gaps = {r.vertical_name: r.num_gaps for r in QUERIES["gap_median"](fx).collect()}
-    assert gaps == {"v0": 77, "v1": 63}
+    assert gaps == {"v0": 77, "v1": 63, "v2": 0, "v3": 0}

@@ -8,6 +8,7 @@ from factories import (AS_OF, DAILY_SCHEMA, FUNNEL_SCHEMA, HOURLY_SCHEMA, SESSIO
                        session)
 from pyspark.sql import functions as F
 
+from funnelguard.operators import metrics
 from funnelguard.operators.scope import Scope
 from funnelguard.plans.catalog import QUERIES
 from funnelguard.sources import fixture
@@ -24,8 +25,8 @@ def _append(spark, df, rows, schema):
 def _metrics(facts):
     scope = Scope.build(facts, fixture.AS_OF)
     out = {}
-    for name in ("campaign_metrics", "vertical_metrics", "page_metrics"):
-        df = getattr(scope, name)
+    for name, alerts in metrics.TABLES.items():
+        df = scope.rows(name, alerts)
         out[name] = sorted(tuple(str(v) for v in r) for r in df.select(*sorted(df.columns)).collect())
     return out
 

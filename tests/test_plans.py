@@ -23,7 +23,7 @@ def test_rollup_scan_pushes_time_range_and_prunes_columns(spark):
 
 def test_no_python_udf_and_no_unpartitioned_window(spark):
     fx = Fixture(spark, SF)
-    for df in (fx.alerts(), high_cpa.benchmark(fx.scope), fx.scope.vertical_metrics):
+    for df in (fx.alerts(), high_cpa.benchmark(fx.scope), fx.scope.rows("vertical_metrics", ("volumeDrop", "flowInterruption"))):
         plan = _plan(df)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
         assert "SinglePartition" not in plan
@@ -61,3 +61,21 @@ def test_action_count_does_not_grow_with_campaigns(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert few == many, (few, many)
+
+
+def test_a_full_run_scans_the_sessions_table_a_fixed_number_of_times(spark, monkeypatch):
+    """Scans of the raw sessions that are not dropped, over every table the run writes; no raw conversion is shuffled."""
+    from funnelguard.functions.materialize import Materializer
+
+    plans = []
+    write = Materializer.__call__
+    monkeypatch.setattr(Materializer, "__call__", lambda self, df, name: (plans.append((name, _plan(df))), write(self, df, name))[1])
+    fx = Fixture(spark, SF)
+    plans.clear()
+    fx.alerts().collect()
+    scans = [name for name, plan in plans for line in plan.splitlines()
+             if "FileScan parquet" in line and "fixture-facts" in line and "session_id" in line.split("ReadSchema:")[1] + line]
+    reads = {name: plan.count("sessions_full_lifecycle") for name, plan in plans}
+    assert sum(n > 0 for n in reads.values()) <= 7, reads
+    assert len(scans) <= 12, scans
+    assert all("Exchange hashpartitioning(conversion_dt" not in plan for _, plan in plans)

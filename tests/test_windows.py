@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
-from funnelguard.functions.timewin import Clock, micros, to_utc_naive
+from funnelguard.functions.timewin import Clock, epoch_micros, micros, to_utc_naive
 from funnelguard.operators.rollups import HOUR_US, hour_start, split_hour_bucket, weekday
 
 
@@ -40,9 +40,8 @@ def test_split_hour_buckets_are_exact_for_every_window(spark):
             for edge in (lo, hi):
                 stamps += [edge, edge - timedelta(microseconds=1), edge + timedelta(microseconds=1)]
         stamps += [as_of - timedelta(seconds=rnd.randint(0, 30 * 86400)) for _ in range(300)]
-        df = (spark.createDataFrame([(s,) for s in stamps], "t timestamp_ntz")
-              .select("t", split_hour_bucket("t", c.offset_us).alias("b"),
-                      F.unix_micros(F.col("t").cast("timestamp")).alias("us")))
+        df = (spark.createDataFrame([(s,) for s in stamps], "t timestamp_ntz"))
+        df = df.select("t", split_hour_bucket(df, "t", c.offset_us).alias("b"), epoch_micros(df, "t").alias("us"))
         rows = df.collect()
         for lo, hi in _windows(c):
             lo_us, hi_us = micros(lo), micros(hi)
@@ -53,7 +52,7 @@ def test_split_hour_buckets_are_exact_for_every_window(spark):
 def test_bucket_hour_and_weekday_match_spark(spark):
     c = Clock(datetime(2024, 1, 30, 15, 23))
     stamps = [datetime(2024, 1, 1) + timedelta(minutes=37 * i) for i in range(2000)]
-    df = (spark.createDataFrame([(s,) for s in stamps], "t timestamp_ntz")
-          .withColumn("b", split_hour_bucket("t", c.offset_us)))
+    df = (spark.createDataFrame([(s,) for s in stamps], "t timestamp_ntz"))
+    df = df.withColumn("b", split_hour_bucket(df, "t", c.offset_us))
     bad = df.where((F.dayofweek("t") != weekday()) | (F.hour("t") * F.lit(HOUR_US) != F.pmod(hour_start(), 24 * HOUR_US)))
     assert bad.count() == 0

@@ -47,14 +47,14 @@ def main() -> None:
         "conversion rollup": rollups.conversion_rollup(fx.facts, sc.clock, sc.params),
         "session rollup": rollups.session_rollup(fx.facts, sc.clock),
         "distinct click-outs": rollups.distinct_clickouts(fx.facts, sc.clock),
-        "last conversions": rollups.last_conversions(fx.facts, sc.clock),
+        "conversions per second": rollups.conversion_seconds(fx.facts, sc.clock),
         "funnel rollup": rollups.funnel_rollup(fx.facts, sc.clock, LOADER_STEP),
     }
     sc.prepare()
     stages.update({
-        "campaign metrics (from rollups)": metrics.campaign_metrics(sc),
-        "vertical metrics (from rollups)": metrics.vertical_metrics(sc),
-        "page metrics (from rollups)": metrics.page_metrics(sc),
+        "campaign metrics (from rollups)": metrics.campaign_metrics(sc, metrics.TABLES["campaign_metrics"]),
+        "vertical metrics (from rollups)": metrics.vertical_metrics(sc, metrics.TABLES["vertical_metrics"]),
+        "page metrics (from rollups)": metrics.page_metrics(sc, metrics.TABLES["page_metrics"]),
         "alerts (from metric tables)": fx.alerts(),
     })
     for name, df in stages.items():
