@@ -67,7 +67,7 @@ def test_no_documents(frame):
 def units(t):
     out = []
     for word in re.findall(r"[^ \t\n\x0b\x0c\r]+", t or ""):
-        out += [word[i: i + 4] for i in range(0, len(word), 4)]
+        out += [word[i: i + 6] for i in range(0, len(word), 6)]
     return out
 
 
@@ -75,7 +75,7 @@ def rows_of(spark, sql):
     return spark.sql(sql).collect()
 
 
-def brute_chosen(hashes, k=5, w=4):
+def brute_chosen(hashes, w=4):
     """Positions chosen from hashes of k-grams, the rightmost least of each window."""
     spans = range(max(1, len(hashes) - w + 1)) if hashes else ()
     return sorted({max(i for i in range(s, min(s + w, len(hashes))) if hashes[i] == min(hashes[s: s + w])) for s in spans})
@@ -83,8 +83,8 @@ def brute_chosen(hashes, k=5, w=4):
 
 def test_winnowing(frame, edge_texts, spark):
     texts = [*edge_texts, "a b c d e", "a b c d e f g h", "same " * 50, "ab cd ef gh ij kl mn op qr st uv wx yz " * 3]
-    grams = [(i, p, u[p: p + 5]) for i, t in enumerate(texts) for u in [units(t)] for p in range(max(1, len(u) - 4) if u else 0)]
-    hashed = spark.createDataFrame(grams, "i int, p int, u array<string>").selectExpr("i", "p", "xxhash64(transform(u, x -> xxhash64(x))) AS h").collect()
+    grams = [(i, p, u[p: p + 4]) for i, t in enumerate(texts) for u in [units(t)] for p in range(max(1, len(u) - 3) if u else 0)]
+    hashed = spark.createDataFrame(grams, "i int, p int, u array<string>").selectExpr("i", "p", "xxhash64(u) AS h").collect()
     by_text = {}
     for r in sorted(hashed, key=lambda r: (r.i, r.p)):
         by_text.setdefault(r.i, []).append(r.h)
