@@ -1,10 +1,10 @@
 """Document fingerprints by winnowing (operator 6), in DataFrame and SQL functions only.
 
-A text is cut into units, runs of up to four characters without white
-space counted from the start of each word. k units in a row are hashed at every unit,
-and of each window of w hashes the least is chosen, the rightmost of equal
-ones, with its position. Two texts that share w + k - 1 units in a row
-therefore share a chosen hash, and none is chosen from fewer than k.
+A text is cut into units, runs of up to six characters without white
+space counted from the start of each word. k units in a row are hashed at
+every unit, and of each window of w hashes the least is chosen, the rightmost
+of equal ones, with its position. Two texts that share w + k - 1 units in a
+row therefore share a chosen hash, and none is chosen from fewer than k.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from .work import id_and_text, parts, stored, workspace
 
-UNIT = r"\S{1,4}"
+UNIT = r"\S{1,6}"
 #: Units hashed together, and hashes in a window.
-UNITS, WINDOW = 5, 4
+UNITS, WINDOW = 4, 4
+#: Low bits of a hash that give way to its position while windows are compared.
+PLACE = (1 << 28) - 1
 #: Documents in one range of ids.
-DOCS_PER_RANGE = 5_000
+DOCS_PER_RANGE = 1_000
 
 
 def with_chosen(rows: DataFrame, text: str, put: str, units: int = UNITS, window: int = WINDOW) -> DataFrame:
@@ -26,21 +28,27 @@ def with_chosen(rows: DataFrame, text: str, put: str, units: int = UNITS, window
 
     Positions count units from 0. A text of fewer than ``units`` units is hashed as one; one of fewer hashes
     than ``window`` has one window; one without units (empty, white space) has an empty array, a null none.
+    Hashes are compared by their upper 36 bits and then by position, from the right.
     """
-    def runs(of: str, length: int) -> Column:
-        return F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(of) - (length - 1)))
-
-    # each step is a column of its own, so that it is worked out once and not at each place that uses it
-    hashed = rows.withColumn("__h", F.transform(F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)), lambda u: F.xxhash64(u)))
-    # positions count down, so that the rightmost of equal hashes is the least
-    grams = hashed.withColumn("__g", F.when(F.size("__h") > 0, F.transform(
-        runs("__h", units), lambda i: F.struct(F.xxhash64(F.slice("__h", i, F.lit(units))).alias("hash"),
-                                               (F.lit(1) - i).alias("back")))))
-    least = grams.withColumn("__l", F.when(F.size("__g") > 0, F.array_distinct(F.transform(
-        runs("__g", window), lambda i: F.array_min(F.slice("__g", i, F.lit(window)))))))
+    def gram(i: Column) -> Column:
+        # past the end there is null, which a hash passes over
+        return F.xxhash64(*(F.get("__u", i + j) for j in range(units)))
+
+    def starts(of: str, length: int) -> Column:
+        return F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(of) - length))
+
+    # each step is a column of its own, so that it is worked out once and not at each place that uses it; elements are
+    # fetched one by one, as slice() and array_distinct() of structs take time with the whole array
+    cut = rows.withColumn("__u", F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)))
+    keys = cut.withColumn("__k", F.when(F.size("__u") > 0, F.transform(
+        starts("__u", units), lambda i: gram(i).bitwiseAND(F.lit(~PLACE)).bitwiseOR((F.lit(PLACE) - i).cast("long")))))
+    least = keys.withColumn("__l", F.when(F.size("__k") > 0, F.transform(
+        starts("__k", window), lambda i: F.least(*(F.get("__k", i + j) for j in range(window))) if window > 1 else F.get("__k", i))))
+    fresh = least.withColumn("__f", F.filter("__l", lambda k, i: (i == 0) | (k != F.get("__l", F.greatest(i - 1, F.lit(0))))))
     none = F.expr("CAST(array() AS array<struct<hash:bigint,pos:int>>)")
-    return least.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(F.transform("__l", lambda g: F.struct(
-        g["hash"].alias("hash"), (F.lit(0) - g["back"]).alias("pos"))), none))).drop("__h", "__g", "__l")
+    placed = fresh.withColumn("__p", F.transform("__f", lambda k: (F.lit(PLACE) - k.bitwiseAND(F.lit(PLACE))).cast("int")))
+    return placed.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(F.transform(
+        "__p", lambda i: F.struct(gram(i).alias("hash"), i.alias("pos"))), none))).drop("__u", "__k", "__l", "__f", "__p")
 
 
 def digest(found: Column) -> Column:
@@ -77,11 +85,20 @@ def in_ranges(texts: DataFrame, per_range: int, folder: str) -> DataFrame:
     ranges = parts(texts.count(), per_range)
     bounds = stored(ids.repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id().alias("at"))
                     .agg(F.min(F.struct("doc_id")).alias("low")).filter("low IS NOT NULL"), f"{folder}/bounds")
-    # a sorted array of at most `ranges` ids
+    # one row: the sorted first ids of the ranges, in chunks, so that a range is found in two short searches
     lows = bounds.agg(F.array_sort(F.collect_list("low")).alias("lows"))
-    placed = texts.join(F.broadcast(lows)).select(
-        "doc_id", "text", "lows", F.greatest(F.lit(1), F.aggregate("lows", F.lit(0), lambda n, low: n + F.when(
-            low <= F.struct("doc_id"), F.lit(1)).otherwise(F.lit(0)))).alias("range"))
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("lows"))).cast("int"))
+    lows = lows.withColumn("width", width).withColumn("chunks", F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("lows") - 1) / F.col("width")).cast("int"))),
+        lambda c: F.slice("lows", c * F.col("width") + 1, F.col("width"))))
+
+    def at_most(some: Column, low) -> Column:
+        return F.aggregate(some, F.lit(0), lambda n, x: n + F.when(low(x) <= F.struct("doc_id"), F.lit(1)).otherwise(F.lit(0)))
+
+    found = texts.join(F.broadcast(lows)).withColumn("chunk", F.greatest(F.lit(1), at_most(F.col("chunks"), lambda c: F.get(c, F.lit(0)))))
+    placed = found.select("doc_id", "text", "lows", (
+        (F.col("chunk") - 1) * F.col("width") + F.greatest(F.lit(1), at_most(F.get("chunks", F.col("chunk") - 1), lambda x: x))
+        ).alias("range"))
     first = F.get("lows", F.col("range") - 1)["doc_id"]
     before = F.when(F.col("range") > 1, F.col("range") - 1).otherwise(F.size("lows"))
     here = F.struct("range", F.lit(False).alias("ghost"))
