@@ -10,6 +10,7 @@ print them identically.
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,13 @@ class Fixture:
         self.config = explode_config(document)
         self.policy = policy
 
+    def variant(self, policy: str = "intended", **params) -> "Fixture":
+        """The same facts and configuration under other options."""
+        other = copy(self)
+        other.policy = policy
+        other.scope = Scope.build(self.facts, fixture.AS_OF, Params(**params), self.scope.configured)
+        return other
+
     def thresholds(self, alert_name: str) -> DataFrame:
         return thresholds_for(self.config, alert_name)
 
@@ -164,6 +172,11 @@ _QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "lp_abandonment_prev_week": lambda fx: lp_abandonment.abandonment_prev_week(fx.scope),
     "lp_abandonment_controlled": _controlled(lp_abandonment, HIGH_LP_ABANDONMENT),
     "lp_abandonment_automated": _automated(lp_abandonment),
+    # options
+    "alert_modes_observed": lambda fx: fx.variant(policy="observed").modes(),
+    "same_hour_7d_avg_zero_fill": lambda fx: volume_drop.same_hour_average(fx.variant(volume_avg_zero_fill=True).scope),
+    "cpa_history_without_today": lambda fx: _q_cpa_history(fx.variant(cpa_history_includes_today=False)),
+    "roi_today_missing_zero": lambda fx: performance_decline.roi_today(fx.variant(missing="zero").scope),
 }
 
 

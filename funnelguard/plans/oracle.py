@@ -628,11 +628,36 @@ FROM act a JOIN cpa_thr x USING (campaign_id)""",
     "lp_abandonment_prev_week": "SELECT * FROM lp_w",
     "lp_abandonment_controlled": "SELECT * FROM lp_ctrl",
     "lp_abandonment_automated": "SELECT * FROM lp_auto",
+    "alert_modes_observed": """
+SELECT * REPLACE (CASE WHEN level = 'campaign' AND mode = 'controlled' THEN 'inert' ELSE mode END AS mode) FROM modes""",
+    "same_hour_7d_avg_zero_fill": """
+SELECT v.vertical_name, COALESCE(SUM(x.n), 0) / 7.0 AS same_hour_avg, CAST(COUNT(x.d) AS BIGINT) AS days_with_conversions
+FROM verticals v LEFT JOIN vd_days x USING (vertical_name) GROUP BY 1""",
+    "cpa_history_without_today": f"""
+SELECT a.vertical_name, campaign_id, strftime(ws, '%Y-%m-%d %H:%M:%S') AS time_window_start, sp.window_spend, vo.window_volume,
+       CASE WHEN vo.window_volume = 0 THEN $INF ELSE sp.window_spend / vo.window_volume END AS cpa
+FROM (SELECT campaign_id, date_trunc('hour', "timestamp" - INTERVAL 6 HOUR) AS ws, SUM(spend) AS window_spend
+      FROM {HOURLY} WHERE "timestamp" >= $NOW_M28D AND "timestamp" < $TODAY_TS AND dayofweek("timestamp") = dayofweek($NOW)
+      GROUP BY 1, 2) sp
+FULL JOIN (SELECT campaign_id, date_trunc('hour', conversion_dt - INTERVAL 6 HOUR) AS ws,
+                  CAST(COUNT(session_id) AS BIGINT) AS window_volume
+           FROM {SESSIONS} WHERE conversion_dt >= $NOW_M28D AND conversion_dt < $TODAY_TS
+             AND dayofweek(conversion_dt) = dayofweek($NOW) GROUP BY 1, 2) vo USING (campaign_id, ws)
+JOIN act a USING (campaign_id)""",
+    "roi_today_missing_zero": """
+SELECT a.vertical_name, x.campaign_id, COALESCE(x.todays_revenue, 0.0) AS todays_revenue,
+       COALESCE(x.todays_spend, 0.0) AS todays_spend,
+       CASE WHEN COALESCE(x.todays_spend, 0.0) = 0 THEN $INF ELSE COALESCE(x.todays_revenue, 0.0) / x.todays_spend END AS todays_roi
+FROM act a JOIN pd_t x USING (campaign_id)""",
 }
 
 
 #: The DOUBLE columns of each query, which both engines round to 6 decimals.
 DOUBLES: dict[str, str] = {
+    "alert_modes_observed": "base_threshold percent_increase effective_threshold",
+    "same_hour_7d_avg_zero_fill": "same_hour_avg",
+    "cpa_history_without_today": "window_spend cpa",
+    "roi_today_missing_zero": "todays_revenue todays_spend todays_roi",
     "alert_config": "base_threshold percent_increase",
     "alerts_all": "calculated_value benchmark spend base_threshold",
     "alert_payload_json": "calculated_value benchmark spend leads base_threshold",
