@@ -16,6 +16,11 @@ are left. Their bytes are fetched, and the suffixes of a shard's phrases are
 ranked by prefix doubling to ``length`` bytes; of suffixes of equal rank all
 but the first in corpus order are repeats. This is exact, byte by byte.
 
+Very frequent triggers, which no single task could hold, are looked for in a
+sample first. Their strings are compared one by one by 128 bits of hash,
+dealt by that hash, instead of with their trigger's phrases. Which of both
+ways a trigger takes does not change the result.
+
 What is found comes back to the texts through sorted arrays in the shared
 folder, which tasks map into memory: texts are never shuffled.
 """
@@ -36,9 +41,13 @@ from .work import id_and_text, parts, stored, workspace
 
 LENGTH, GRAM = 100, 32
 #: Bytes of texts parsed together, window starts handled at once, bytes of text for each shard, phrases ranked in one shard.
-GROUP_BYTES, SEGMENT, BYTES_PER_SHARD, PHRASES_PER_SHARD = 8 << 20, 1 << 22, 16_000_000, 20_000
+GROUP_BYTES, SEGMENT, BYTES_PER_SHARD, PHRASES_PER_SHARD = 4 << 20, 1 << 20, 16_000_000, 8_000
 #: What a row of the parse holds.
-PHRASES, REPEATS, ENTRIES = 0, 1, 2
+PHRASES, REPEATS, ENTRIES, STRINGS = 0, 1, 2, 3
+#: One of so many documents is searched for triggers that hold more than 1 / FREQUENT of all phrases, and LEAST in the sample.
+SAMPLE, FREQUENT, LEAST = 16, 4096, 64
+#: Strings hashed at once.
+HASH_ROWS = 1 << 13
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 NO_ID = -(1 << 63)
 
@@ -110,6 +119,8 @@ def triggers(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
 TRIGGER = np.dtype([("h", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("ver", "<u4"), ("pos", "<u4"), ("right", "u1")])
 #: One repeat: bytes from start to end of a document go.
 REPEAT = np.dtype([("doc", "<i8"), ("ver", "<u4"), ("start", "<u4"), ("end", "<u4")])
+#: One string of a frequent trigger: its hash and where it starts.
+STRING = np.dtype([("w1", "<u8"), ("w2", "<u8"), ("doc", "<i8"), ("ver", "<u4"), ("start", "<u4")])
 
 
 def _blob(rows: np.ndarray) -> bytes:
@@ -220,22 +231,90 @@ def _settled(rows: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[first == np.arange(len(rows))], _whole_phrases(rows[other], reach)
 
 
-def _parse(texts: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    """Rows (kind, shard, n, blob): phrases by shards of triggers, and repeats found within a group of texts."""
+def _group_rows(doc: np.ndarray, ver: np.ndarray, text: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """The bytes of a group of texts, their ends, and its triggers with their places among the bytes."""
+    sizes = np.array([len(t) for t in text], np.int64)
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"".join(text), np.uint8)
+    place, h, c = triggers(data, ends, length, gram)
+    which = np.searchsorted(ends, place, side="right")
+    rows = np.empty(len(place), TRIGGER)
+    rows["h"], rows["c"], rows["doc"], rows["ver"] = h, c, doc[which], ver[which]
+    rows["pos"], rows["right"] = place - (ends - sizes)[which], np.minimum(ends[which] - place, length)
+    return data, ends, rows, place
+
+
+def frequent_triggers(texts: DataFrame, size: int, length: int, gram: int, sample: int = SAMPLE, least: int = LEAST) -> np.ndarray:
+    """Ascending hashes of the triggers that stand in very many different phrases: FREQUENT of them at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, ver, text in _in_groups(batches):
+            rows = _group_rows(doc, ver, text, length, gram)[2]
+            found, n = np.unique(np.unique(rows[["h", "c"]])["h"], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1])], ["h", "n"])
+
+    phrases = 2 * size // sample // (length - gram + 2)
+    some = texts.filter(F.pmod(F.xxhash64("doc", "ver"), F.lit(sample)) == 0).mapInArrow(run, "h long, n long")
+    # the counts add up to no more than the sample's phrases, so FREQUENT rows at most come back
+    rows = some.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(least, phrases // FREQUENT)).collect()
+    return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
+
+
+def _string_hashes(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of the ``length`` bytes from each place."""
+    factors = np.random.default_rng(length).integers(0, 1 << 64, (2, length), dtype=np.uint64)
+    view = np.lib.stride_tricks.sliding_window_view(data, length)
+    out = np.empty((2, len(at)), np.uint64)
+    for lo in range(0, len(at), HASH_ROWS):
+        some = view[at[lo: lo + HASH_ROWS]].astype(np.uint64) + np.uint64(1)
+        for k in (0, 1):
+            out[k, lo: lo + HASH_ROWS] = _mixed((some * factors[k]).sum(axis=1, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def _strings_of(data: np.ndarray, ends: np.ndarray, doc: np.ndarray, ver: np.ndarray, place: np.ndarray, length: int,
+                reach: int) -> np.ndarray:
+    """All strings over the triggers at these places of a group, each once."""
+    starts = np.concatenate(([0], ends[:-1]))
+    which = np.searchsorted(ends, place, side="right")
+    # a running count over the group marks the starts that any trigger reaches
+    edge = np.zeros(len(data) + 1, np.int32)
+    np.add.at(edge, np.maximum(place - reach, starts[which]), 1)
+    np.add.at(edge, np.minimum(place, ends[which] - length) + 1, -1)
+    at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+    which = np.searchsorted(ends, at, side="right")
+    out = np.empty(len(at), STRING)
+    out["w1"], out["w2"] = _string_hashes(data, at, length)
+    out["doc"], out["ver"], out["start"] = doc[which], ver[which], at - starts[which]
+    return out
+
+
+def _settled_strings(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each string in corpus order, and the repeats that the others are."""
+    rows = rows[np.lexsort((rows["start"], rows["ver"], rows["doc"], rows["w2"], rows["w1"]))]
+    new = np.r_[True, (rows["w1"][1:] != rows["w1"][:-1]) | (rows["w2"][1:] != rows["w2"][:-1])] if len(rows) else np.zeros(0, bool)
+    first = np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0)) if len(rows) else np.zeros(0, np.int64)
+    other = rows[(rows["doc"] != rows["doc"][first]) | (rows["ver"] != rows["ver"][first]) | (rows["start"] != rows["start"][first])]
+    out = np.empty(len(other), REPEAT)
+    out["doc"], out["ver"], out["start"], out["end"] = other["doc"], other["ver"], other["start"], other["start"] + length
+    return rows[new], _joined_ranges(out)
+
+
+def _parse(texts: DataFrame, shards: int, length: int, gram: int, frequent: np.ndarray) -> DataFrame:
+    """Rows (kind, shard, n, blob): phrases by shards of triggers, strings of frequent ones, and repeats within a group of texts."""
     reach = length - gram
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT hashes at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, ver, text in _in_groups(batches):
-            ends = np.cumsum([len(t) for t in text])
-            place, h, c = triggers(np.frombuffer(b"".join(text), np.uint8), ends, length, gram)
-            which = np.searchsorted(ends, place, side="right")
-            start = ends[which] - np.array([len(t) for t in text], np.int64)[which] if len(which) else place
-            rows = np.empty(len(place), TRIGGER)
-            rows["h"], rows["c"], rows["doc"], rows["ver"] = h, c, doc[which], ver[which]
-            rows["pos"], rows["right"] = place - start, np.minimum(ends[which] - place, length) if len(which) else 0
-            first, repeats = _settled(rows, reach)
+            data, ends, rows, place = _group_rows(doc, ver, text, length, gram)
+            often = np.isin(rows["h"], frequent.value)
+            first, repeats = _settled(rows[~often], reach)
             yield from _batches(_dealt(PHRASES, first, (first["h"] % np.uint64(shards)).astype(np.int64)))
             yield from _batches(_dealt(REPEATS, repeats, _doc_shard(repeats["doc"], shards)))
+            if often.any():
+                first, repeats = _settled_strings(_strings_of(data, ends, doc, ver, place[often], length, reach), length)
+                yield from _batches(_dealt(STRINGS, first, (first["w1"] % np.uint64(shards)).astype(np.int64)))
+                yield from _batches(_dealt(REPEATS, repeats, _doc_shard(repeats["doc"], shards)))
 
     return texts.mapInArrow(run, DEALT)
 
@@ -256,12 +335,16 @@ def _joined_ranges(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _keep_or_settle(shards: int, reach: int):
+def _keep_or_settle(shards: int, length: int, reach: int):
     """Phrases of all texts: repeats and the entries of the dictionary that share a trigger; repeats are joined."""
     def finish(kind: int, shard: int, blobs: list[bytes]) -> Iterator[dict]:
         if kind == REPEATS:
             yield from _dealt(REPEATS, found := _joined_ranges(np.concatenate([_rows(b, REPEAT) for b in blobs])), np.full(len(found), shard))
             return
+        if kind == STRINGS:
+            repeats = _settled_strings(np.concatenate([_rows(b, STRING) for b in blobs]), length)[1]
+            yield from _dealt(REPEATS, repeats, _doc_shard(repeats["doc"], shards))
+            return
         first, repeats = _settled(np.concatenate([_rows(b, TRIGGER) for b in blobs]), reach)
         yield from _dealt(REPEATS, repeats, _doc_shard(repeats["doc"], shards))
         same = first["h"][1:] == first["h"][:-1]
@@ -415,15 +498,17 @@ def _repeated_suffixes(rows: np.ndarray, length: int, reach: int, most: int = PH
 
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                 bytes_per_shard: int = BYTES_PER_SHARD, phrases_per_shard: int = PHRASES_PER_SHARD,
-                 folder: str | None = None) -> tuple:
+                 bytes_per_shard: int = BYTES_PER_SHARD, phrases_per_shard: int = PHRASES_PER_SHARD, sample: int = SAMPLE,
+                 least: int = LEAST, folder: str | None = None) -> tuple:
     """Find all strings of ``length`` bytes that also start earlier; arguments of :class:`_Index` for the joined ranges."""
     work = folder or workspace(docs.sparkSession, "suffix-dedup")
     at, reach = packed.shared_folder(work) + "/index", length - gram
     texts = _texts(docs, id_col, text_col)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = parts(size, bytes_per_shard)
-    parsed = stored(_gathered(_parse(texts, shards, length, gram), 2 * shards, _keep_or_settle(shards, reach)), f"{work}/parsed")
+    frequent = frequent_triggers(texts, size, length, gram, sample, least)
+    parsed = stored(_gathered(_parse(texts, shards, length, gram, frequent), 3 * shards, _keep_or_settle(shards, length, reach)),
+                    f"{work}/parsed")
     entries = parsed.filter(F.col("kind") == ENTRIES)
     index = (at, "entries", shards, _indexed(entries, shards, at, "entries", TRIGGER))
     ranked = parts(entries.agg(F.sum("n")).first()[0] or 0, phrases_per_shard)

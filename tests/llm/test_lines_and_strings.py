@@ -75,7 +75,7 @@ def corpus(seed, n=60):
     return texts
 
 
-@pytest.mark.parametrize("limits", [{}, {"bytes_per_shard": 3000, "phrases_per_shard": 20}, {"phrases_per_shard": 2}])
+@pytest.mark.parametrize("limits", [{}, {"bytes_per_shard": 3000, "phrases_per_shard": 20}, {"phrases_per_shard": 2}, {"sample": 1, "least": 3}, {"sample": 1, "least": 0}])
 def test_strings_against_brute_force(frame, edge_texts, limits):
     texts = corpus(3)
     rows = [*enumerate([*edge_texts, *texts]), (3, "\n"), (30, texts[-1]), (30, texts[-1]), (None, texts[5]), (200, "ab" * 400),
