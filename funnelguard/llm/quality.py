@@ -68,14 +68,18 @@ class Model:
 
 def _fit(positive: np.ndarray, unlabelled: np.ndarray, gradient, rounds: int) -> tuple[np.ndarray, float]:
     """Full-batch Adam on standardised features; weights for the features as they are."""
-    both = np.concatenate([positive, unlabelled])
-    mean, spread = both.mean(0), both.std(0) + 1e-3
-    p, u = (positive - mean) / spread, (unlabelled - mean) / spread
+    n = len(positive) + len(unlabelled)
+    mean = (positive.sum(0, dtype=np.float64) + unlabelled.sum(0, dtype=np.float64)) / n
+    square = (np.square(positive).sum(0, dtype=np.float64) + np.square(unlabelled).sum(0, dtype=np.float64)) / n
+    spread = np.sqrt(np.maximum(square - mean ** 2, 0)) + 1e-3
+    # single precision: half the driver's memory
+    p, u = (((x - mean.astype(x.dtype)) / spread.astype(x.dtype)) for x in (positive, unlabelled))
     w, b = np.zeros(p.shape[1]), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for k in range(1, rounds + 1):
-        on_p, on_u = gradient(p @ w + b, u @ w + b)
-        g = np.append(p.T @ on_p + u.T @ on_u + DECAY * w, on_p.sum() + on_u.sum())
+        single = w.astype(p.dtype)
+        on_p, on_u = gradient((p @ single).astype(np.float64) + b, (u @ single).astype(np.float64) + b)
+        g = np.append(on_p.astype(p.dtype) @ p + on_u.astype(p.dtype) @ u + DECAY * w, on_p.sum() + on_u.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = RATE * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.999 ** k)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -142,8 +146,8 @@ def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     found = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", row("text").alias("row")).collect()
     found.sort(key=lambda r: (r["doc_id"], r["row"]))
     if not found:
-        return np.zeros((0, PAIRS + SHARES))
-    return np.frombuffer(b"".join(r["row"] for r in found), np.float32).reshape(len(found), -1).astype(np.float64)
+        return np.zeros((0, PAIRS + SHARES), np.float32)
+    return np.frombuffer(b"".join(r["row"] for r in found), np.float32).reshape(len(found), -1)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
