@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from .byte_table import byte_characters
 
 #: Chunks and characters of a cache generation of a worker, of which there are two.
-CACHE_CHUNKS, CACHE_CHARS = 700_000, 10_000_000
+CACHE_CHUNKS, CACHE_CHARS = 500_000, 7_500_000
 #: Words up to this many characters go to the model one by one, also with one of these marks behind.
 WORD_CHARS, MARKS = 100, frozenset(".,;:!?|)")
 #: Characters handed to the library at once.
@@ -40,6 +40,11 @@ def cut(text: str) -> list[str]:
     return chunks
 
 
+def _loose_end(chunks: list[str]) -> str | None:
+    """Take off the last chunk if it ends in white space, unless it is the only one."""
+    return chunks.pop() if len(chunks) > 1 and ends_in_space(chunks[-1]) else None
+
+
 class ChunkEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -52,6 +57,7 @@ class ChunkEncoder:
             self.bytes_of[i] = len(token)
         self.model = tokenizer.model
         self.letters = {b: ord(c) for b, c in enumerate(byte_characters())}
+        self.space = chr(self.letters[0x20])
         self.marks: dict[str, bytes] = {}
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -72,7 +78,8 @@ class ChunkEncoder:
 
     def _word(self, word: str) -> bytes:
         """The ids of letters after one space, which are one match of the pre-tokenisation: the model alone is asked."""
-        name = f" {word}".encode().decode("latin-1").translate(self.letters)
+        # ASCII letters stand for themselves
+        name = self.space + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))
         return array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
 
     def _mark(self, mark: str) -> bytes:
@@ -97,26 +104,29 @@ class ChunkEncoder:
             batch.append(chunk)
             chars += len(chunk) + 1
             if chars >= BATCH_CHARS:
-                self.recent.update(zip(batch, self._joined(batch), strict=True))
+                recent.update(zip(batch, self._joined(batch), strict=True))
                 batch, chars = [], 0
         if batch:
-            self.recent.update(zip(batch, self._joined(batch), strict=True))
+            recent.update(zip(batch, self._joined(batch), strict=True))
         self.chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.recent) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
             self.older, self.recent, self.chars = self.recent, {}, 0
+        recent = self.recent
         docs = [t.split(" ") for t in texts]
-        loose = {p for p in set().union(*(d[1:-1] for d in docs)) if ends_in_space(p)}
+        ends = [_loose_end(d) for d in docs]
+        new = set().union(*(d[1:] for d in docs)) - recent.keys()
+        loose = {p for p in new if ends_in_space(p)}  # never cached, so always new
         for i, d in enumerate(docs):
-            if (loose and not loose.isdisjoint(d[1:-1])) or (len(d) > 1 and d[0] and d[0][-1].isspace()):
+            if (loose and not loose.isdisjoint(d[1:])) or (len(d) > 1 and d[0] and d[0][-1].isspace()):
                 docs[i] = cut(texts[i])
-        recent = self.recent
+                ends[i] = _loose_end(docs[i])
+                new.update(c for c in docs[i][1:] if c not in recent)
+        new -= loose
         # a text's first chunk has no leading space, and its last one may end in white space
-        ends = [(d.pop() if len(d) > 1 and ends_in_space(d[-1]) else None) for d in docs]
         outer = list({d[0] for d in docs} | {f" {e}" for e in ends if e is not None})
         outer = dict(zip(outer, self._whole(outer), strict=True))
-        new = set().union(*(d[1:] for d in docs)) - recent.keys()
         for chunk in new & self.older.keys():
             recent[chunk] = self.older[chunk]
         self._learn(new - recent.keys())
