@@ -1,13 +1,16 @@
-"""Language-model scoring by an interpolated modified Kneser-Ney bigram model (operator 3).
+"""Language-model scoring by an interpolated modified Kneser-Ney model of two or three words (operator 3).
 
-Counting is two Spark shuffles of packed, map-side combined counts: of words
-by hash, which numbers the vocabulary, and of pairs of word numbers by
-context. Each task writes its range of the model as sorted arrays to the
+Counting is Spark shuffles of packed, map-side combined counts: of words
+by hash, which numbers the vocabulary, of pairs of word numbers by context,
+and, for three words, of triples by the place of their first pair among all
+pairs. Each task writes its range of the model as sorted arrays to the
 shared folder; workers map them into memory and search them for a batch's
 distinct words and pairs, so no worker holds the model.
 
 p(w | v) = max(c(v w) - D, 0) / c(v) + (D1 n1(v) + D2 n2(v) + D3 n3(v)) / c(v) * p(w), where p(w) does the
 same with the number of distinct words before w, over a uniform share for each known word and one unknown one.
+With triples, p(w | u v) is worked out so from c(u v w), and p(w | v) from the numbers of distinct words before
+the pairs v w in place of c(v w). Two starts stand before a text.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,19 +29,14 @@ from . import packed
 from .work import id_and_text, id_type, parts, stored, workspace
 
 FOLDS, HELD_OUT = 7, 2
+#: Words of the longest n-grams in the registered query.
+ORDER = 3
 #: Stand-ins for the start and the end of a text; no word holds white space.
 START, END = b" ", b"\n"
 #: Tokens whose counts a task combines before it sends them, and input characters for each shard of the model.
 COMBINE, CHARS_PER_SHARD = 4_000_000, 16_000_000
 
 
-def tokens(raw: bytes) -> list[bytes]:
-    """Words of a text with A-Z lower-cased, and its end."""
-    words = raw.lower().split()  # of bytes: A-Z, and the six ASCII white-space characters
-    words.append(END)
-    return words
-
-
 def word_hash(word: bytes) -> int:
     from xxhash import xxh64_intdigest
 
@@ -49,15 +48,26 @@ def held_out(id_col: Column, folds: int = FOLDS, fold: int = HELD_OUT) -> Column
     return F.coalesce(F.crc32(id_col.cast("string")) % folds == fold, F.lit(True))
 
 
-def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct tokens, each token's place among them, and each text's number of tokens."""
-    docs = [tokens(t) for t in texts]
-    every = [w for d in docs for w in d]
-    place: dict[bytes, int] = dict.fromkeys(every)
-    for i, w in enumerate(place):
-        place[w] = i
-    codes = np.fromiter(map(place.__getitem__, every), np.int64, len(every))
-    return np.array([word_hash(w) for w in place], np.uint64), codes, np.array([len(d) for d in docs], np.int64)
+def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens, each token's place among them, and each text's number of tokens.
+
+    Tokens are the words of a text with A-Z lower-cased, parted at the six ASCII white-space characters, and its end.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    sizes, words = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+    empty = pc.binary_length(words).to_numpy(zero_copy_only=False) == 0  # before and after white space at the edges
+    if empty.any():
+        sizes = sizes - np.bincount(np.repeat(np.arange(len(sizes)), sizes)[empty], minlength=len(sizes))
+        words = words.filter(pa.array(~empty))
+    found = words.dictionary_encode()
+    distinct = [*found.dictionary.cast(pa.binary()).to_pylist(), END]
+    sizes = sizes + 1
+    ends = np.cumsum(sizes) - 1
+    codes = np.full(len(words) + len(sizes), len(distinct) - 1, np.int64)
+    inside = np.ones(len(codes), bool)
+    inside[ends] = False
+    codes[inside] = found.indices.to_numpy(zero_copy_only=False)
+    return np.array([word_hash(w) for w in distinct], np.uint64), codes, sizes
 
 
 def _by_shard(keys: np.ndarray, counts: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
@@ -155,6 +165,9 @@ class Model:
     word_discounts: tuple[float, float, float]
     followers: int
     spare: float
+    order: int = 2
+    triple_sizes: tuple[int, ...] = ()
+    triple_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
 
 class _Mapped:
@@ -172,6 +185,15 @@ class _Mapped:
         self.contexts = [packed.mapped(at, f"contexts-{b}") if n else np.zeros((4, w), np.int64)
                          for b, (n, w) in enumerate(zip(model.pair_sizes, width, strict=True))]
         self.before = [packed.mapped(at, f"before-{b}") for b in range(shards)]
+        if model.order == 3:
+            sizes = list(model.triple_sizes)
+            self.bits = np.uint64(word_bits(model.words))
+            self.first_place = shard_words(sum(model.pair_sizes), len(sizes))
+            self.first_triple = self.first_place[:-1].astype(np.uint64) << self.bits
+            self.triples = packed.SortedShards(at, "triples", sizes)
+            self.triple_counts = [packed.mapped(at, f"triple-counts-{b}") if n else np.zeros(0, np.int64) for b, n in enumerate(sizes)]
+            self.many = [packed.mapped(at, f"many-{b}") if n else np.zeros(0, np.uint64) for b, n in enumerate(sizes)]
+            self.many_counts = [packed.mapped(at, f"many-counts-{b}") if n else np.zeros((4, 0), np.int64) for b, n in enumerate(sizes)]
 
     def unigram(self, numbers: np.ndarray) -> np.ndarray:
         m = self.model
@@ -181,16 +203,11 @@ class _Mapped:
             return np.full(len(numbers), share)
         return np.maximum(seen - _discount(seen, m.word_discounts), 0) / m.followers + share
 
-    def bigram(self, contexts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        """p(word | context) of distinct pairs; a word number of -1 is unknown, a context of -1 too."""
+    def bigram(self, contexts: np.ndarray, numbers: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """p(word | context) of distinct pairs at ``place`` among all pairs; -1 is unknown, of words, contexts and places."""
         m, p = self.model, self.unigram(numbers)
         total, n1, n2, n3 = (_gather([c[k] for c in self.contexts], self.first_word, contexts) for k in range(4))
         known = total > 0
-        keys = (np.maximum(contexts, 0).astype(np.uint64) << np.uint64(32)) | np.maximum(numbers, 0).astype(np.uint64)
-        order = np.argsort(keys)
-        place = np.empty(len(keys), np.int64)
-        place[order] = self.pairs.find(keys[order], self.first_pair)
-        place[(contexts < 0) | (numbers < 0)] = -1
         count = _gather(self.pair_counts, self.pairs.base, place)
         d1, d2, d3 = m.pair_discounts
         left = np.where(known, d1 * n1 + d2 * n2 + d3 * n3, 1.0)
@@ -198,13 +215,75 @@ class _Mapped:
         return np.where(known, np.maximum(count - _discount(count, m.pair_discounts), 0) / total + left / total * p, p)
 
 
+    def followed(self, places: np.ndarray) -> np.ndarray:
+        """Of ascending places of pairs: how often a word follows, and how many do once, twice and more often."""
+        out = np.zeros((4, len(places)), np.int64)
+        cuts = np.append(np.searchsorted(places, self.first_place[:-1]), len(places))
+        for b, keys in enumerate(self.triples.files):
+            lo, hi = cuts[b], cuts[b + 1]
+            if lo < hi and len(keys):
+                wanted = places[lo:hi].astype(np.uint64)
+                at = np.minimum(np.searchsorted(keys, wanted << self.bits), len(keys) - 1)
+                out[0, lo:hi] = np.where(keys[at] >> self.bits == wanted, self.triple_counts[b][at], 0)
+                for k in (1, 2, 3):
+                    out[k, lo:hi] = np.minimum(out[0, lo:hi], 3) == k
+                if len(self.many[b]):
+                    at = np.minimum(np.searchsorted(self.many[b], wanted), len(self.many[b]) - 1)
+                    hit = np.flatnonzero(self.many[b][at] == wanted)
+                    out[:, lo + hit] = self.many_counts[b][:, at[hit]]
+        return out
+
+    def trigram(self, place: np.ndarray, p: np.ndarray, back: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """p(word | two words before) of each token.
+
+        ``place`` has the ascending places of distinct pairs among all pairs (-1: not learnt), ``p`` their
+        p(word | last word), ``back`` each token's pair.
+        """
+        places = np.append(place, self.pairs.base[-1])  # two starts
+        known = np.flatnonzero(places >= 0)
+        followed = np.zeros((4, len(places)), np.int64)
+        followed[:, known] = self.followed(places[known])
+        total, n1, n2, n3 = followed
+        d1, d2, d3 = self.model.triple_discounts
+        left = np.where(total > 0, d1 * n1 + d2 * n2 + d3 * n3, 1.0) / np.maximum(total, 1)
+        before = _pair_before(back, sizes, len(place))
+        there = np.flatnonzero((total > 0)[before] & (numbers >= 0))
+        keys = (places[before[there]].astype(np.uint64) << self.bits) | numbers[there].astype(np.uint64)
+        order = np.argsort(keys)
+        keys, count = keys[order], np.zeros(len(keys), np.int64)
+        cuts = np.append(np.searchsorted(keys, self.first_triple), len(keys))
+        for b, learnt in enumerate(self.triples.files):
+            lo, hi = cuts[b], cuts[b + 1]
+            if lo < hi and len(learnt):
+                at = np.minimum(np.searchsorted(learnt, keys[lo:hi]), len(learnt) - 1)
+                count[order[lo:hi]] = np.where(learnt[at] == keys[lo:hi], self.triple_counts[b][at], 0)
+        out = left[before] * p[back]
+        out[there] += np.maximum(count - _discount(count, self.model.triple_discounts), 0) / total[before[there]]
+        return out
+
+
+def word_bits(words: int) -> int:
+    """Bits of a word number in the key of a triple."""
+    return max(1, words.bit_length())
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """``counts`` in the least unsigned type that holds them."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))) if counts.size else counts
+
+
 def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3)]
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None,
-          chars_per_shard: int = CHARS_PER_SHARD) -> Model:
-    """Count the documents that are not held out and write the model's arrays to ``folder``, which must be shared."""
+          chars_per_shard: int = CHARS_PER_SHARD, order: int = 2) -> Model:
+    """Count the documents that are not held out and write the model's arrays to ``folder``, which must be shared.
+
+    ``order`` is the number of words of the longest n-grams, two or three.
+    """
+    if order not in (2, 3):
+        raise ValueError(f"the order of the model is 2 or 3, not {order}")
     spark = docs.sparkSession
     work = folder or workspace(spark, "kneser-ney")
     at = packed.shared_folder(work) + "/model"
@@ -216,7 +295,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folde
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            hashes, codes, _ = coded(batch.column(0).cast(pa.binary()).to_pylist())
+            hashes, codes, _ = coded(batch.column(0))
             held.append((hashes, np.bincount(codes, minlength=len(hashes))))
             size += len(hashes)
             if size >= COMBINE:
@@ -243,7 +322,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folde
         vocabulary = _Vocabulary(at, word_sizes)
         held, size = [], 0
         for batch in batches:
-            keys, n = np.unique(_pairs(batch.column(0).cast(pa.binary()).to_pylist(), vocabulary, words)[0], return_counts=True)
+            keys, n = np.unique(_pairs(batch.column(0), vocabulary, words)[0], return_counts=True)
             held.append((keys, n))
             size += len(keys)
             if size >= COMBINE:
@@ -254,18 +333,25 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folde
 
     def keep_pairs(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
         packed.save(at, f"pairs-{shard}", keys)
-        packed.save(at, f"pair-counts-{shard}", counts.astype(np.uint32) if counts.max() < 1 << 32 else counts)
+        if order == 2:
+            keep_counts(shard, keys, counts)
+        after, n = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
+        out = _by_shard(after, n, first_word[:-1].astype(np.uint64)).to_pylist()
+        return [{"shard": r["shard"], "blob": r["blob"]} for r in out] + [
+            {"shard": -1 - shard, "blob": len(keys).to_bytes(8, "little") + tally(counts)}]
+
+    def keep_counts(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
+        packed.save(at, f"pair-counts-{shard}", _narrow(counts))
         context = (keys >> np.uint64(32)).astype(np.int64) - first_word[shard]
         table = np.zeros((4, first_word[shard + 1] - first_word[shard]), np.int64)
         table[0] = np.bincount(context, weights=counts, minlength=table.shape[1])
         for k in (1, 2, 3):
             table[k] = np.bincount(context[np.minimum(counts, 3) == k], minlength=table.shape[1])
         packed.save(at, f"contexts-{shard}", table)
-        after, n = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-        out = _by_shard(after, n, first_word[:-1].astype(np.uint64)).to_pylist()
-        tally = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype("<i8").tobytes()
-        return [{"shard": r["shard"], "blob": r["blob"]} for r in out] + [
-            {"shard": -1 - shard, "blob": len(keys).to_bytes(8, "little") + tally}]
+        return [{"shard": shard, "tally": tally(counts)}]
+
+    def tally(counts: np.ndarray) -> bytes:
+        return np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype("<i8").tobytes()
 
     counted = stored(_merge_shards(texts.mapInArrow(count_pairs, "shard int, blob binary"), shards, keep_pairs,
                                    "shard int,blob binary"), f"{work}/before")
@@ -290,10 +376,71 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folde
     d = discounts(word_n)
     many = words - word_n[0] - word_n[1]
     spare = (d[0] * word_n[0] + d[1] * word_n[1] + d[2] * many) / followers if followers else 1.0
-    return Model(at, word_sizes, pair_sizes, words, train_tokens, discounts(pair_n), d, followers, spare)
+    if order == 2:
+        return Model(at, word_sizes, pair_sizes, words, train_tokens, discounts(pair_n), d, followers, spare)
 
+    pairs, bits = sum(pair_sizes), np.uint64(word_bits(words))
+    if (pairs + 1).bit_length() + int(bits) > 64:
+        raise ValueError("the place of a pair and a word number have 64 bits together")
+    first_place = shard_words(pairs, shards)  # the place after the last pair stands for two starts
+    first_triple = first_place[:-1].astype(np.uint64) << bits
 
-def _pairs(texts: list[bytes], vocabulary: _Vocabulary, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, known = _Vocabulary(at, word_sizes), packed.SortedShards(at, "pairs", pair_sizes)
+        held, size = [], 0
+        for batch in batches:
+            keys, numbers, _, sizes = _pairs(batch.column(0), vocabulary, words)
+            distinct, back = np.unique(keys, return_inverse=True)
+            places = np.append(known.find(distinct, first_pair), pairs)[_pair_before(back, sizes, len(distinct))]
+            keys, n = np.unique((places.astype(np.uint64) << bits) | numbers.astype(np.uint64), return_counts=True)
+            held.append((keys, n))
+            size += len(keys)
+            if size >= COMBINE:
+                yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), first_triple)
+                held, size = [], 0
+        if held:
+            yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), first_triple)
+
+    def keep_triples(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
+        packed.save(at, f"triples-{shard}", keys)
+        packed.save(at, f"triple-counts-{shard}", _narrow(counts))
+        places = keys >> bits
+        starts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+        width = np.diff(np.append(starts, len(keys)))
+        # a pair with one follower has all that is wanted of it in that triple
+        many = np.flatnonzero(width > 1)
+        table = np.array([np.add.reduceat(counts, starts), *(np.add.reduceat((np.minimum(counts, 3) == k).astype(np.int64), starts)
+                                                             for k in (1, 2, 3))])[:, many]
+        packed.save(at, f"many-{shard}", places[starts[many]])
+        packed.save(at, f"many-counts-{shard}", _narrow(table))
+        known = packed.SortedShards(at, "pairs", pair_sizes)
+        place = places[starts].astype(np.int64)
+        last = np.where(place == pairs, words, _gather(known.files, known.base, place) & 0xFFFFFFFF).astype(np.uint64)
+        ends, n = np.unique((np.repeat(last, width) << np.uint64(32)) | (keys & ((np.uint64(1) << bits) - np.uint64(1))), return_counts=True)
+        return [{"shard": r["shard"], "blob": r["blob"]} for r in _by_shard(ends, n, first_pair).to_pylist()] + [
+            {"shard": -1 - shard, "blob": len(keys).to_bytes(8, "little") + tally(counts)}]
+
+    ended = stored(_merge_shards(texts.mapInArrow(count_triples, "shard int, blob binary"), shards, keep_triples,
+                                 "shard int,blob binary"), f"{work}/before-pairs")
+    # every pair ends a triple, so that counts and pairs stand in the same order
+    middle = [np.frombuffer(bytes(r.tally), "<i8") for r in _merge_shards(
+        ended.filter("shard >= 0"), shards, keep_counts, "shard int,tally binary").collect()]  # a row for each shard
+    tallies = {-1 - r.shard: np.frombuffer(bytes(r.blob), "<i8") for r in ended.filter("shard < 0").collect()}
+    triple_sizes = tuple(int(tallies[b][0]) if b in tallies else 0 for b in range(shards))
+    pair_n = [int(sum(t[k] for t in middle)) for k in range(4)]
+    triple_n = [int(sum(t[k] for t in tallies.values())) for k in range(1, 5)]
+    return Model(at, word_sizes, pair_sizes, words, train_tokens, discounts(pair_n), d, followers, spare,
+                 3, triple_sizes, discounts(triple_n))
+
+
+def _pair_before(back: np.ndarray, sizes: np.ndarray, starts: int) -> np.ndarray:
+    """For each token, the pair before it, from each token's pair; ``starts`` stands for two starts."""
+    before = np.roll(back, 1)
+    before[np.cumsum(sizes) - sizes] = starts
+    return before
+
+
+def _pairs(texts: pa.Array, vocabulary: _Vocabulary, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pair keys (context number, word number), word numbers, context numbers and tokens of each text; unknown: -1."""
     hashes, codes, sizes = coded(texts)
     numbers = vocabulary.numbers(hashes)[codes]
@@ -322,10 +469,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         view = _views[model.folder]
         floor = math.log10(model.train_tokens + model.words + 1)
         for batch in batches:
-            keys, numbers, contexts, sizes = _pairs(batch.column(2).cast(pa.binary()).to_pylist(), view.vocabulary, model.words)
+            keys, numbers, contexts, sizes = _pairs(batch.column(2), view.vocabulary, model.words)
             # unknown words make different pairs alike, which is right: only their context and their being unknown matter
-            _, first, back = np.unique(keys, return_index=True, return_inverse=True)
-            logs = np.log10(view.bigram(contexts[first], numbers[first]))[back]
+            distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
+            place = view.pairs.find(distinct, view.first_pair)
+            likely = view.bigram(contexts[first], numbers[first], place)
+            likely = view.trigram(place, likely, back, sizes, numbers) if model.order == 3 else likely[back]
+            logs = np.log10(likely)
             seen, where = np.unique(numbers, return_inverse=True)
             base = (np.log10(view.vocabulary.count(seen) + 1.0) - floor)[where]
             starts = np.cumsum(sizes) - sizes

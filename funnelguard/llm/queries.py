@@ -20,7 +20,7 @@ def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return kneser_ney.score(docs, kneser_ney.train(docs))
+    return kneser_ney.score(docs, kneser_ney.train(docs, order=kneser_ney.ORDER))
 
 
 def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

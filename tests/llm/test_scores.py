@@ -91,6 +91,67 @@ def test_whole_table_beats_the_base_on_held_out_texts(spark):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
+def brute_triples(rows):
+    tri = Counter()
+    for d, t in rows:
+        if not held(d):
+            w = words(t)
+            tri.update(zip([" ", " ", *w], [" ", *w], w))
+    vocabulary = {w for *_, w in tri}
+    bi = Counter((v, w) for _, v, w in tri)
+    uni = Counter(w for _, w in bi)
+    d = [discounts(Counter(c.values())) for c in (uni, bi, tri)]
+    spare = sum(d[0][min(c, 3)] for c in uni.values()) / len(bi)
+
+    def mixed(counts, off):
+        total, left = Counter(), Counter()
+        for (*context, _), c in counts.items():
+            total[tuple(context)] += c
+            left[tuple(context)] += off[min(c, 3)]
+        return total, left
+
+    (two, two_left), (three, three_left) = mixed(bi, d[1]), mixed(tri, d[2])
+
+    def p(u, v, w):
+        r = max(uni[w] - d[0][min(uni[w], 3)], 0) / len(bi) + spare / (len(vocabulary) + 1)
+        if two[(v,)]:
+            r = (max(bi[v, w] - d[1][min(bi[v, w], 3)], 0) + two_left[(v,)] * r) / two[(v,)]
+        if three[u, v]:
+            r = (max(tri[u, v, w] - d[2][min(tri[u, v, w], 3)], 0) + three_left[u, v] * r) / three[u, v]
+        return r
+
+    some = max(three, key=three.get)
+    assert math.isclose(sum(p(*some, w) for w in [*vocabulary, "never seen"]), 1, rel_tol=1e-9)
+    return [(d, sum(math.log10(p(*x)) for x in zip([" ", " ", *w], [" ", *w], w))) for d, t in rows for w in [words(t)]]
+
+
+@pytest.mark.parametrize("limits", [{}, {"chars_per_shard": 500}])
+def test_triples(frame, edge_texts, limits):
+    rows = [*enumerate(edge_texts), (3, "\n"), (None, "the cat sat"), (None, "new words"),
+            *((100 + i, "the cat sat on the mat and the dog sat on the cat " * (i % 4)) for i in range(20))]
+    df = frame(rows)
+    got = sorted((str(r.doc_id), r.score) for r in kneser_ney.score(df, kneser_ney.train(df, order=3, **limits)).collect())
+    want = sorted((str(d), s) for d, s in brute_triples(rows))
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], atol=1e-6)
+
+
+def test_query_scores_by_triples(spark):
+    from funnelguard.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r.score for r in queries.kneser_ney_scores(spark, "/root/testdata/sf0.001").collect()}
+    want = dict(brute_triples([(r.doc_id, r.text) for r in docs.collect()]))
+    assert got.keys() == want.keys() and np.allclose([got[d] for d in want], list(want.values()), atol=1e-5)
+
+
+def test_no_triples(frame):
+    model = kneser_ney.train(frame([]), order=3)
+    assert [r.score for r in kneser_ney.score(frame([(1, "a b")]), model).collect()] == [0.0]
+    with pytest.raises(ValueError):
+        kneser_ney.train(frame([]), order=4)
+
+
 def test_nothing_to_learn_from(frame):
     assert kneser_ney.score(frame([]), kneser_ney.train(frame([]))).collect() == []
     check(frame([(None, "a b")]), [(None, "a b")])
