@@ -1,10 +1,14 @@
 """Document fingerprints by winnowing (operator 6), in DataFrame and SQL functions only.
 
-A text is cut into units, runs of up to six characters without white
-space counted from the start of each word. k units in a row are hashed at
-every unit, and of each window of w hashes the least is chosen, the rightmost
-of equal ones, with its position. Two texts that share w + k - 1 units in a
-row therefore share a chosen hash, and none is chosen from fewer than k.
+The characters of a text without its white space are hashed k in a row, at
+every character, and of each window of w hashes the least is chosen, the
+rightmost of equal ones, with its position. Two texts that share w + k - 1
+characters in a row therefore share a chosen hash, wherever those stand, and
+none is chosen from fewer than k.
+
+:func:`with_chosen` does the same over units, runs of up to six characters
+counted from the start of each word: a character more or less in a long run
+without white space changes all units after it.
 """
 
 from __future__ import annotations
@@ -17,6 +21,10 @@ from .work import id_and_text, parts, stored, workspace
 UNIT = r"\S{1,6}"
 #: Units hashed together, and hashes in a window.
 UNITS, WINDOW = 4, 4
+#: Characters hashed together, and hashes in a window (a power of two).
+CHARS, CHAR_WINDOW = 24, 16
+#: Bytes of a character in UTF-32, and the low bits of a hash that give way to the place of its first byte, from 1.
+WIDE, BYTES = 4, (1 << 31) - 1
 #: Low bits of a hash that give way to its position while windows are compared.
 PLACE = (1 << 28) - 1
 #: Documents in one range of ids.
@@ -51,6 +59,58 @@ def with_chosen(rows: DataFrame, text: str, put: str, units: int = UNITS, window
         "__p", lambda i: F.struct(gram(i).alias("hash"), i.alias("pos"))), none))).drop("__u", "__k", "__l", "__f", "__p")
 
 
+def bare(text: Column) -> Column:
+    return F.regexp_replace(text, r"\s+", "")
+
+
+def with_chosen_chars(rows: DataFrame, text: str, put: str, chars: int = CHARS, window: int = CHAR_WINDOW) -> DataFrame:
+    """``rows`` and a column ``put``: array<struct<hash, pos, at>>, the chosen k-grams of characters of column ``text``.
+
+    Positions count characters that are not white space, from 0; ``at`` is the first window that has chosen the
+    k-gram. Short, empty and null texts as in :func:`with_chosen`. Hashes are compared by their upper 33 bits and
+    then by position, from the right.
+    """
+    if window < 1 or window & (window - 1):
+        raise ValueError(f"the window is a power of two, not {window}")
+
+    def gram(place: Column) -> Column:
+        # characters are all as wide, so that a k-gram is cut out without a walk from the start
+        return F.xxhash64(F.substring(F.col("__b"), place, F.lit(WIDE * chars)))
+
+    wide = rows.withColumn("__b", F.encode(bare(F.col(text)), "UTF-32"))
+    last = F.greatest(F.lit(1), F.octet_length("__b") - WIDE * chars + 1)
+    least = wide.withColumn("__k", F.when(F.octet_length("__b") > 0, F.transform(
+        F.sequence(F.lit(1), last, F.lit(WIDE)), lambda j: gram(j).bitwiseOR(F.lit(BYTES)) - j)))
+    width, names = 1, ["__k"]
+    while width < window:  # the least of twice as many hashes at each step; past the end there is null, which least() passes over
+        of = names[-1]
+        names.append(f"__l{width}")
+        least = least.withColumn(names[-1], F.transform(of, lambda x, i: F.least(x, F.get(of, i + width))))  # noqa: B023
+        width *= 2
+    of = names[-1]
+    full = F.greatest(F.lit(0), F.size("__k") - window)
+    fresh = least.withColumn("__f", F.filter(of, lambda x, i: (i == 0) | ((x != F.get(of, i - 1)) & (i <= full))))
+
+    def place(x: Column) -> Column:
+        return (F.lit(BYTES) - x.bitwiseAND(F.lit(BYTES))).cast("int")
+
+    def pos(x: Column) -> Column:
+        return F.floor((place(x) - 1) / WIDE).cast("int")
+
+    # the window goes on to a k-gram when that enters as the least, or when the one before has left
+    at = lambda x, i: F.when(i == 0, F.lit(0)).when(x < F.get("__f", i - 1), pos(x) - (window - 1)).otherwise(
+        pos(F.get("__f", i - 1)) + 1)
+    none = F.expr("CAST(array() AS array<struct<hash:bigint,pos:int,at:int>>)")
+    return fresh.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(F.transform(
+        "__f", lambda x, i: F.struct(gram(place(x)).alias("hash"), pos(x).alias("pos"), at(x, i).alias("at"))), none))).drop(
+            "__b", "__f", *names)
+
+
+def placed_hashes(found: Column, by=0) -> Column:
+    """Hash and position of chosen k-grams, ``by`` further on."""
+    return F.transform(found, lambda x: F.struct(x["hash"].alias("hash"), (x["pos"] + by).alias("pos")))
+
+
 def digest(found: Column) -> Column:
     """32 hexadecimal digits that equal fingerprints share."""
     def digits(h: Column) -> Column:
@@ -67,12 +127,16 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, units: int = UNITS, window: int = WINDOW, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", chars: int | None = None) -> DataFrame:
     """doc_id and found, the chosen hashes with their positions, one row per row of ``docs``.
 
-    Null and empty texts have none. An empty table gives no rows.
+    With ``chars``, of that many characters in a row, else of units. Null and empty texts have none. An empty
+    table gives no rows.
     """
-    return with_chosen(id_and_text(docs, id_col, text_col), "text", "found", units, window).select("doc_id", "found")
+    rows = id_and_text(docs, id_col, text_col)
+    if chars is None:
+        return with_chosen(rows, "text", "found", units, window).select("doc_id", "found")
+    return with_chosen_chars(rows, "text", "found", chars, window).select("doc_id", placed_hashes(F.col("found")).alias("found"))
 
 
 def in_ranges(texts: DataFrame, per_range: int, folder: str) -> DataFrame:
@@ -114,7 +178,7 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - quarter), F.substring(following, F.lit(1), quarter))
 
 
-def with_next(docs: DataFrame, units: int = UNITS, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+def with_next(docs: DataFrame, chars: int = CHARS, window: int = CHAR_WINDOW, id_col: str = "doc_id", text_col: str = "text",
               per_range: int = DOCS_PER_RANGE, folder: str | None = None) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and of the next document, ascending doc_id.
 
@@ -125,15 +189,33 @@ def with_next(docs: DataFrame, units: int = UNITS, window: int = WINDOW, id_col:
     folder = folder or workspace(docs.sparkSession, "fingerprints")
     placed = in_ranges(id_and_text(docs, id_col, text_col), per_range, folder)
     order = Window.partitionBy("range").orderBy("ghost", "doc_id", "tie")
-    joined = (placed.withColumn("tie", F.xxhash64("text"))
-              .withColumn("next_text", F.lead("text").over(order)))
-    found = with_chosen(joined.select(
-        "range", "ghost", "doc_id", "tie", F.char_length("text").alias("n_chars"), "text",
-        F.when(~F.col("ghost"), edited(F.col("text"), F.col("next_text"))).alias("edited_text")), "text", "found", units, window)
-    both = with_chosen(found.drop("text"), "edited_text", "edited_found", units, window)
-    hashes = both.select("*", F.array_distinct(F.col("found.hash")).alias("own"),
-                         F.array_distinct(F.col("edited_found.hash")).alias("changed"))
-    paired = hashes.withColumn("next", F.lead("own").over(order)).filter(~F.col("ghost"))
-    return paired.select("doc_id", "n_chars", "edited_text", "found", "edited_found",
+    # texts are dealt and sorted before they are hashed, so that the shuffle carries texts alone
+    followed = placed.withColumn("tie", F.xxhash64("text")).withColumn("next_text", F.lead("text").over(order))
+    own = with_chosen_chars(followed, "text", "found", chars, window)
+    joined = own.withColumn("next_found", F.lead("found").over(order)).filter(~F.col("ghost"))
+    n = F.char_length("text")
+    quarter = F.floor(n / 4).cast("int")
+    halves = joined.select(
+        "doc_id", n.alias("n_chars"), "found", "next_found",
+        edited(F.col("text"), F.col("next_text")).alias("edited_text"), bare(F.substring(F.col("text"), F.lit(1), n - quarter)).alias("__a"),
+        bare(F.substring(F.col("next_text"), F.lit(1), quarter)).alias("__b"))
+    # windows that lie within either part of an edited text have chosen what they chose in its own text, so that only
+    # those across the seam are looked at
+    reach = chars + window - 1
+    a, b = F.char_length("__a"), F.char_length("__b")
+    long = halves.withColumns({"na": a, "nb": b, "long": (a >= reach) & (b >= reach)})
+    seam = long.withColumn("seam", F.when(F.col("long"), F.concat(
+        F.substring(F.col("__a"), F.col("na") - (reach - 2), F.lit(reach - 1)), F.substring(F.col("__b"), F.lit(1), F.lit(reach - 1))
+        )).otherwise(F.concat("__a", "__b"))).drop("__a", "__b")
+    chosen = with_chosen_chars(seam, "seam", "across", chars, window)
+    parts_of = chosen.withColumn("__all", F.concat(
+        placed_hashes(F.filter("found", lambda x: F.col("long") & (x["at"] <= F.col("na") - reach))),
+        placed_hashes(F.col("across"), F.when(F.col("long"), F.col("na") - (reach - 1)).otherwise(0)),
+        placed_hashes(F.filter("next_found", lambda x: F.col("long") & (x["at"] <= F.col("nb") - reach)), F.col("na"))))
+    both = parts_of.withColumn("edited_found", F.filter(
+        "__all", lambda x, i: (i == 0) | (x["pos"] != F.get("__all", i - 1)["pos"])))
+    paired = both.withColumns({"own": F.array_distinct(F.col("found.hash")), "changed": F.array_distinct(F.col("edited_found.hash")),
+                               "next": F.array_distinct(F.col("next_found.hash"))})
+    return paired.select("doc_id", "n_chars", "edited_text", placed_hashes(F.col("found")).alias("found"), "edited_found",
                          likeness(F.col("own"), F.col("changed")).alias("near_edited"),
                          likeness(F.col("own"), F.col("next")).alias("near_next"))

@@ -94,6 +94,41 @@ def test_winnowing(frame, edge_texts, spark):
         assert [(f.hash, f.pos) for f in got[i]] == [(h[p], p) for p in brute_chosen(h)], texts[i]
 
 
+def chars_of(spark, texts, k):
+    bare = [re.sub("[ \t\n\x0b\x0c\r]", "", t or "") for t in texts]
+    grams = [(i, p, bytearray(t[p: p + k].encode("utf-32-be"))) for i, t in enumerate(bare) for p in range(max(1, len(t) - k + 1) if t else 0)]
+    hashes = {i: [] for i in range(len(texts))}
+    for r in sorted(spark.createDataFrame(grams, "i int, p int, b binary").selectExpr("i", "p", "xxhash64(b) AS h").collect()):
+        hashes[r.i].append(r.h)
+    return hashes
+
+
+def test_winnowing_of_characters(frame, edge_texts, spark):
+    texts = [*edge_texts, "same " * 50, "ab cd ef gh ij kl mn op qr st uv wx yz " * 3]
+    for k, w in ((24, 16), (3, 4), (2, 1)):
+        hashes = chars_of(spark, texts, k)
+        got = {r.doc_id: r.found for r in fingerprints.fingerprints(frame(texts, extra=True), window=w, chars=k).collect()}
+        for i, t in enumerate(texts):
+            assert [(f.hash, f.pos) for f in got[i]] == [(hashes[i][p], p) for p in brute_chosen(hashes[i], w)], t
+
+
+def test_edited_texts_have_the_fingerprints_of_their_whole_text(frame, edge_texts, spark):
+    rng = np.random.default_rng(5)
+    rows = [*enumerate(edge_texts), *((100 + i, "".join(rng.choice(list("abcd 日🙂\n"), rng.integers(0, 700)))) for i in range(60))]
+    for k, w in ((24, 16), (3, 4)):
+        got = fingerprints.with_next(frame(rows, extra=True), chars=k, window=w, per_range=7).collect()
+        again = {r.doc_id: r.found for r in fingerprints.fingerprints(frame([(r.doc_id, r.edited_text) for r in got]), window=w, chars=k).collect()}
+        assert all(r.edited_found == again[r.doc_id] for r in got)
+
+
+def test_a_character_more_in_a_long_run_changes_little(frame):
+    rng = np.random.default_rng(6)
+    for letters in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", [chr(0x4E00 + i) for i in range(3000)]):
+        run = "".join(rng.choice(list(letters), 4000))
+        got = {r.doc_id: r for r in fingerprints.with_next(frame([(1, run), (2, run[:3] + "x" + run[3:])])).collect()}
+        assert got[1].near_next > 0.95 and got[2].near_next > 0.95
+
+
 def test_next_and_edited_texts(frame, edge_texts):
     rows = [*enumerate(edge_texts), *((100 + i, f"number {i} of some texts " * (i % 5)) for i in range(40))]
     order = sorted(rows)
