@@ -2,9 +2,11 @@
 
 Three fixed patterns give the base spans. Two character Markov models, of
 random strings and of ordinary identifiers, add spans: a token of key
-characters is a secret when its log-likelihood ratio passes a threshold.
-Both models are trained here, from tokens that the base patterns label: what
-a pattern has found is random, other tokens without digits are ordinary.
+characters is a secret when its log-likelihood ratio a pair of characters
+passes a threshold. Both models are trained here, from tokens that the base
+patterns label: what a pattern has found is random, all other tokens, with
+digits and slashes or without, are ordinary. As secrets that no pattern finds
+are among those, a pair counts once less there than it is seen.
 """
 
 from __future__ import annotations
@@ -26,10 +28,11 @@ ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 
 #: Tokens the models judge, tokens they learn from, and the characters of both.
 JUDGED, LEARNT = "[A-Za-z0-9+/_=-]{16,}", "[A-Za-z0-9+/_-]{8,}"
-ORDINARY, KEYWORD = "^[A-Za-z_-]+$", "(?i)^(password|passwd|secret|token|api_?key)$"
+KEYWORD = "(?i)^(password|passwd|secret|token|api_?key)$"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-#: Documents to learn from, at most about; log-likelihood ratio from which a token is a secret; added count of each pair.
-TRAIN_DOCS, LEAST_RATIO, ADDED = 20_000, 12.0, 1.0
+#: Documents to learn from, at most about; log-likelihood ratio a pair of characters from which a token is a secret; added
+#: count of each pair; what an ordinary pair's count is less than seen; most that one pair speaks for a secret.
+TRAIN_DOCS, LEAST_RATIO, ADDED, ONCE, MOST = 20_000, 0.4, 1.0, 1, 2.0
 
 #: A private-use character that marks matches, and the one that stands for it where a text has it itself.
 MARK, MARK_IN_TEXT = "\ue000", "\ue001"
@@ -82,13 +85,13 @@ def labelled_tokens(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str =
         "text", "secret", F.explode(spans("parted", 3)).alias("t"))
     cut = F.expr("substring(text, t.start + 1, t.end - t.start)")
     labelled = rows.select(cut.alias("token"), overlaps(F.col("t"), F.col("secret")).alias("random"))
-    return labelled.filter(F.when(F.col("random"), ~F.col("token").rlike(KEYWORD)).otherwise(F.col("token").rlike(ORDINARY)))
+    return labelled.filter(~F.col("random") | ~F.col("token").rlike(KEYWORD))
 
 
 def pair_ratios(tokens: DataFrame) -> list[float]:
     """log P(random) - log P(ordinary) of each pair of characters in :data:`ALPHABET`, row by row: a table of fixed size.
 
-    Without examples of a label its model is uniform.
+    At most :data:`MOST`, so that a few pairs that were never seen do not outweigh the rest of a token. Without examples of a label its model is uniform.
     """
     n = len(ALPHABET)
     pairs = tokens.select("random", F.explode(F.sequence(F.lit(1), F.char_length("token") - 1)).alias("i"), "token").select(
@@ -97,13 +100,14 @@ def pair_ratios(tokens: DataFrame) -> list[float]:
     # at most 2 * 68 * 68 rows, whatever the corpus
     for r in pairs.groupBy("random", "pair").count().collect():
         if all(c in ALPHABET for c in r["pair"]):
-            counts[r["random"]][ALPHABET.index(r["pair"][0])][ALPHABET.index(r["pair"][1])] += r["count"]
-    return [math.log(counts[True][a][b] / sum(counts[True][a])) - math.log(counts[False][a][b] / sum(counts[False][a]))
+            counts[r["random"]][ALPHABET.index(r["pair"][0])][ALPHABET.index(r["pair"][1])] += (
+                r["count"] if r["random"] else max(r["count"] - ONCE, 0))
+    return [min(MOST, math.log(counts[True][a][b] / sum(counts[True][a])) - math.log(counts[False][a][b] / sum(counts[False][a])))
             for a in range(n) for b in range(n)]
 
 
 def ratio(token: Column, table: list[float]) -> Column:
-    """The log-likelihood ratio of a token over its pairs of characters."""
+    """The log-likelihood ratio of a token, a pair of its characters."""
     pairs = F.sequence(F.lit(1), F.char_length(token) - 1)
     scores = F.array(*(F.lit(x) for x in table))
 
@@ -111,7 +115,7 @@ def ratio(token: Column, table: list[float]) -> Column:
         return F.instr(F.lit(ALPHABET), F.substring(token, at, F.lit(1)))
 
     return F.aggregate(pairs, F.lit(0.0), lambda total, i: total + F.get(
-        scores, (place(i) - 1) * len(ALPHABET) + place(i + 1) - 1))
+        scores, (place(i) - 1) * len(ALPHABET) + place(i + 1) - 1)) / (F.char_length(token) - 1)
 
 
 def find_secrets(docs: DataFrame, table: list[float], least_ratio: float = LEAST_RATIO) -> DataFrame:

@@ -50,6 +50,23 @@ def test_models_add_random_tokens_and_leave_words(frame):
     assert all(r.n_markov == 0 for i, r in got.items() if i < 300)
 
 
+def test_identifiers_with_digits_stay(frame):
+    rng = np.random.default_rng(7)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    names = ["windows7-home-x86", "IMG_20190102_101112", "test_case_00042_ok", "covid19-cases-2020", "x86_64-linux-gnu-ld", "document20221114v3",
+             "https//www/example/org/b2c3", "libfoo-1-2-13-amd64", "release/2023-10-05/notes", "configuration_manager"]
+    texts = [f"{rng.choice(names)} token={''.join(rng.choice(letters, 32))} and {rng.choice(names)}" for _ in range(400)]
+    stay = ["windows10-pro-x64", "IMG_20230415_123456", "test_case_00123_ok", "covid19-vaccination-2021", "x86_64-linux-gnu-gcc",
+            "document20240130v2", "https//www/example/com/a1b2"]
+    texts += [f"see {name} here" for name in stay] + ["see " + "".join(rng.choice(letters, n)) for n in (24, 32, 40)]
+    df = frame(texts)
+    got = {r.doc_id: r for r in secret_scan.scan(df).collect()}
+    assert [got[400 + i].spans for i in range(len(stay))] == [""] * len(stay)
+    assert [got[407 + i].spans for i in range(3)] == ["markov:4:28", "markov:4:36", "markov:4:44"]
+    kept = {r.doc_id: r.text for r in secret_scan.redact(df.selectExpr("*", "length(text) AS n_chars")).collect()}
+    assert all(kept[400 + i] == texts[400 + i] for i in range(len(stay)))
+
+
 def test_redaction(frame):
     df = frame([(1, "a password = 'abcDEF123456/+' b deadbeefdeadbeef"), (2, None), (3, "clean"), (4, "")], extra=True).selectExpr("*", "length(text) AS n_chars")
     out = secret_scan.redact(df)
