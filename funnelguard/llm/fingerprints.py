@@ -73,14 +73,18 @@ def with_chosen_chars(rows: DataFrame, text: str, put: str, chars: int = CHARS,
     if window < 1 or window & (window - 1):
         raise ValueError(f"the window is a power of two, not {window}")
 
-    def gram(place: Column) -> Column:
+    def gram(whole: Column, place: Column) -> Column:
         # characters are all as wide, so that a k-gram is cut out without a walk from the start
-        return F.xxhash64(F.substring(F.col("__b"), place, F.lit(WIDE * chars)))
+        return F.xxhash64(F.substring(whole, place, F.lit(WIDE * chars)))
+
+    def once(run) -> Column:
+        # as a variable of a function the bytes are fetched once; a column of bytes is copied at each use
+        return F.get(F.transform(F.array("__b"), run), F.lit(0))
 
     wide = rows.withColumn("__b", F.encode(bare(F.col(text)), "UTF-32"))
     last = F.greatest(F.lit(1), F.octet_length("__b") - WIDE * chars + 1)
-    least = wide.withColumn("__k", F.when(F.octet_length("__b") > 0, F.transform(
-        F.sequence(F.lit(1), last, F.lit(WIDE)), lambda j: gram(j).bitwiseOR(F.lit(BYTES)) - j)))
+    least = wide.withColumn("__k", F.when(F.octet_length("__b") > 0, once(lambda b: F.transform(
+        F.sequence(F.lit(1), last, F.lit(WIDE)), lambda j: gram(b, j).bitwiseOR(F.lit(BYTES)) - j))))
     width, names = 1, ["__k"]
     while width < window:  # the least of twice as many hashes at each step; past the end there is null, which least() passes over
         of = names[-1]
@@ -101,8 +105,8 @@ def with_chosen_chars(rows: DataFrame, text: str, put: str, chars: int = CHARS,
     at = lambda x, i: F.when(i == 0, F.lit(0)).when(x < F.get("__f", i - 1), pos(x) - (window - 1)).otherwise(
         pos(F.get("__f", i - 1)) + 1)
     none = F.expr("CAST(array() AS array<struct<hash:bigint,pos:int,at:int>>)")
-    return fresh.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(F.transform(
-        "__f", lambda x, i: F.struct(gram(place(x)).alias("hash"), pos(x).alias("pos"), at(x, i).alias("at"))), none))).drop(
+    return fresh.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(once(lambda b: F.transform(
+        "__f", lambda x, i: F.struct(gram(b, place(x)).alias("hash"), pos(x).alias("pos"), at(x, i).alias("at")))), none))).drop(
             "__b", "__f", *names)
 
 
