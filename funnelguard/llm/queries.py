@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, kneser_ney, line_dedup, packing, quality, secret_scan, simhash, suffix_dedup
-from .work import documents
+from . import (bpe, centroids, exact_dedup, fingerprints, kneser_ney, line_dedup, merkle, minhash, oracle, packing, quality, secret_scan, simhash,
+               suffix_dedup)
+from .work import documents, small_batches
 
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,19 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.deduplicate_strings(documents(spark, sf_dir)))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return centroids.report(*centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_exact_dedup": exact,
@@ -70,11 +84,14 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash_near_dedup,
     "op9_secret_scans": secret_scans,
     "op10_suffix_array_dedup": suffix_array_dedup,
+    "op11_merkle_manifest": merkle_manifest,
+    "op12_minhash_near_dedup": minhash_near_dedup,
+    "op13_centroid_clustering": centroid_clustering,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-ORACLE_SQL = {
+ORACLE_SQL = oracle.ORACLE_SQL | {
     "op2_exact_dedup": f"""
 WITH t AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256 FROM documents)

@@ -26,14 +26,15 @@ def documents():
 
 def test_one_query_for_each_operator():
     numbers = Counter(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == Counter(range(1, 11))
+    assert numbers == Counter(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{Path(SF) / 'documents.parquet'}'")
+    for table in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{Path(SF) / f'{table}.parquet'}'")
     rel = con.sql(oracle_sql()[name])
     df = queries()[name](spark, SF)
     assert sorted(df.columns) == sorted(rel.columns)
