@@ -19,6 +19,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def checkpoint_root(spark: SparkSession) -> str | None:
@@ -48,10 +49,14 @@ class Materializer:
         with contextlib.suppress(Exception):  # the session may have ended before
             self.close()
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """``by``: a column of few values whose rows are stored apart, so that a reader of one value reads only its files."""
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        # the schema is known: no job to infer it, also where a partition column has no value yet
+        schema = df.schema if by is None else T.StructType([f for f in df.schema if f.name != by] + [df.schema[by]])
+        return self.spark.read.schema(schema).parquet(path)
 
 
 def run_concurrently(tasks: Sequence[Callable[[], object]], threads: int,

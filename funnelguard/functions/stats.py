@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -63,28 +63,57 @@ def percentile_trim(df: DataFrame, keys: Sequence[str], value: str, low: float,
             .drop("_q"))
 
 
+#: Slices whose ends are stitched together in the lower level of the tree.
+SLICES_TOGETHER = 24
+
+
+def gap_segments(df: DataFrame, keys: Sequence[str], second: str, count: str, slice_seconds: int, extra: Sequence[Column] = ()) -> DataFrame:
+    """A segment for each key and slice of time: keys + [slice, first, last, gaps] and the aggregates ``extra``.
+
+    ``df`` has counts per key and whole second; ``count`` rows at a second make ``count - 1`` gaps of 0. ``gaps`` are the
+    differences of neighbouring instants inside the slice, as (gap, n). Segments of one key merge in the order of
+    their slices: gaps add up, and one more lies between the last instant of one and the first of the next.
+    At most ``slice_seconds`` entries are collected for a slice, however many rows stand in it.
+    """
+    keys = list(keys)
+    # one array per slice, from rows that are already one per second: no window, and no sort of a whole key
+    rows = (df.groupBy(*keys, F.floor(F.col(second) / F.lit(slice_seconds)).alias("slice"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col(second).cast("long").alias("s"), F.col(count).cast("long").alias("n")))).alias("at"), *extra))
+    others = [c for c in rows.columns if c not in (*keys, "slice", "at")]
+    inner = F.expr("transform(slice(at, 2, size(at) - 1), (x, i) -> struct(x.s - at[i].s as gap, 1L as n))")
+    again = F.expr("transform(filter(at, x -> x.n > 1), x -> struct(0L as gap, x.n - 1 as n))")
+    return rows.select(*keys, "slice", F.element_at("at", 1)["s"].alias("first"), F.element_at("at", -1)["s"].alias("last"),
+                       F.concat(inner, again).alias("gaps"), *others)
+
+
+def _stitched(ends: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """keys + [first, last, gaps] of the ends (first, last) of consecutive segments: the gaps between them."""
+    rows = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, "first", "last"))).alias("at"))
+    between = F.expr("transform(slice(at, 2, size(at) - 1), (x, i) -> struct(x.first - at[i].last as gap, 1L as n))")
+    return rows.select(*keys, F.element_at("at", 1)["first"].alias("first"), F.element_at("at", -1)["last"].alias("last"),
+                       between.alias("gaps"))
+
+
+def segment_gaps(segments: DataFrame, keys: Sequence[str], out: str = "gap_seconds") -> DataFrame:
+    """The gaps of merged segments, keys + [out, "n"]: a histogram, one row per key and distinct gap.
+
+    The ends of segments go up a tree of two levels (:data:`SLICES_TOGETHER` slices, then a key); their histograms
+    never do, they are added up by gap.
+    """
+    keys = list(keys)
+    days = _stitched(segments.select(*keys, F.floor(F.col("slice") / SLICES_TOGETHER).alias("day"), "slice", "first", "last"),
+                     [*keys, "day"], "slice")
+    whole = _stitched(days, keys, "day")
+    every = [df.select(*keys, F.explode("gaps").alias("g")) for df in (segments, days, whole)]
+    rows = every[0].unionByName(every[1]).unionByName(every[2])
+    return rows.groupBy(*keys, F.col("g.gap").alias(out)).agg(F.sum("g.n").alias("n"))
+
+
 def consecutive_gaps(df: DataFrame, keys: Sequence[str], second: str, count: str, slice_seconds: int,
                      out: str = "gap_seconds") -> DataFrame:
     """Per key: differences between consecutive instants, from counts per whole second.
 
-    ``df`` has one row per key and second; ``count`` rows stand at a second,
-    which makes ``count - 1`` gaps of 0. Equivalent to ``lag`` over the single
-    rows of a key, without sorting them, nor a whole key in one task: the lag
-    runs inside slices of ``slice_seconds``, and each slice's first row is
-    stitched to the last row of the previous non-empty slice. Returns
-    ``keys + [out, "n"]``: gaps (bigint seconds) and how many of each there are at a place.
+    Equivalent to ``lag`` over the single rows of a key, without sorting them, nor a whole key in one task. Returns
+    ``keys + [out, "n"]``: distinct gaps (bigint seconds) and how many of each there are.
     """
-    keys = list(keys)
-    rows = df.select(*keys, F.col(second).alias("_s"), F.col(count).alias("_n")).withColumn(
-        "_slice", F.floor(F.col("_s") / F.lit(slice_seconds)))
-    again = rows.where("_n > 1").select(*keys, F.lit(0).cast("long").alias(out), (F.col("_n") - 1).alias("n"))
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy("_s")
-    inner = (rows.withColumn("_prev", F.lag("_s").over(in_slice))
-             .where(F.col("_prev").isNotNull())
-             .select(*keys, (F.col("_s") - F.col("_prev")).alias(out), F.lit(1).cast("long").alias("n")))
-    edges = rows.groupBy(*keys, "_slice").agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    stitched = (edges.withColumn("_prev", F.lag("_last").over(across))
-                .where(F.col("_prev").isNotNull())
-                .select(*keys, (F.col("_first") - F.col("_prev")).alias(out), F.lit(1).cast("long").alias("n")))
-    return again.unionByName(inner).unionByName(stitched)
+    return segment_gaps(gap_segments(df, keys, second, count, slice_seconds), keys, out)

@@ -1,8 +1,9 @@
 """fbToClickout (B1-B4): ad clicks that turn into click-outs, last 24 hours against the week before.
 
 Clicks come from the hourly rollup, click-outs are *distinct* sessions with
-a postback (``rollups.distinct_clickouts``, a two-level aggregate that
-spreads a hot campaign over as many shuffle keys as it has sessions).
+a postback (``rollups.clickouts_of``, from rows grouped by campaign, session
+and window, which spread a hot campaign over as many shuffle keys as it has
+sessions; or ``rollups.bitmap_clickouts``).
 """
 
 from __future__ import annotations

@@ -2,8 +2,8 @@
 
 The usual gap is the lower median of the gaps between consecutive
 conversions of the last four weeks (gaps over 12 hours ignored). Gaps are
-computed per vertical with ``consecutive_gaps``, which sorts hour slices in
-parallel instead of one whole vertical in a single task.
+computed per vertical and slice of time, as segments that merge in the order
+of their slices, instead of one sort of a whole vertical in a single task.
 """
 
 from __future__ import annotations
@@ -12,11 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import INF, fired
-from ..functions.stats import consecutive_gaps, weighted_median
+from ..functions.stats import segment_gaps, weighted_median
 from ..functions.timewin import format_ts, micros
 from ..schemas import FLOW_INTERRUPTION, LABEL_CONTROLLED_MINUTES, LABEL_DYNAMIC_MINUTES, LABEL_MINUTES_SINCE
 from .records import record
-from .rollups import older_conversions
 from .scope import AUTOMATED, CONTROLLED, Scope
 
 MICROS_PER_MINUTE = 60_000_000
@@ -25,14 +24,16 @@ MICROS_PER_MINUTE = 60_000_000
 def last_conversion(scope: Scope) -> DataFrame:
     """F1: (vertical_name, last_us) latest conversion before as_of, epoch micros; NULL if none.
 
-    Read from the conversion rollup; only the campaigns of verticals without
-    any conversion in it are searched for in the older facts.
+    Read from today's conversions and the segments of the four weeks before; only the campaigns of verticals without
+    any conversion in these are searched for in the older facts.
     """
-    recent = scope.per_vertical(scope.conversions.groupBy("campaign_id").agg(F.max("last_us").alias("last_us")), [],
-                                [F.max("last_us").alias("last_us")])
+    today = scope.per_vertical(scope.conversions.where(scope.within(scope.clock.today, scope.clock.now)), [],
+                               [F.max("last_us").alias("last_us")])
+    recent = (today.unionByName(scope.conversion_segments.select("vertical_name", "last_us"))
+              .groupBy("vertical_name").agg(F.max("last_us").alias("last_us")))
     silent = scope.shared("silent_campaigns", lambda: scope.pairs.join(recent, "vertical_name", "left_anti")
                           .select("campaign_id").distinct())
-    older = scope.per_vertical(older_conversions(scope.facts, scope.clock, silent), [], [F.max("last_us").alias("last_us")])
+    older = scope.per_vertical(scope.older_conversions(silent), [], [F.max("last_us").alias("last_us")])
     found = recent.unionByName(older).groupBy("vertical_name").agg(F.max("last_us").alias("last_us"))
     return scope.verticals.join(found, "vertical_name", "left")
 
@@ -48,12 +49,9 @@ def minutes_since_conversion(scope: Scope) -> DataFrame:
 def gap_counts(scope: Scope) -> DataFrame:
     """(vertical_name, gap_seconds, n): gaps between consecutive conversions of a vertical's active campaigns.
 
-    Conversions in [as_of - 4 weeks, midnight of as_of), counted per campaign
-    and second before anything is shuffled, so the rows per vertical are at
-    most the seconds of four weeks, whatever its volume.
+    Conversions in [as_of - 4 weeks, midnight of as_of); a histogram, merged from segments of time.
     """
-    per_second = scope.per_vertical(scope.conversion_seconds, ["s"], [F.sum("n").alias("n")])
-    return consecutive_gaps(per_second, ["vertical_name"], "s", "n", scope.params.gap_slice_seconds)
+    return segment_gaps(scope.conversion_segments, ["vertical_name"])
 
 
 def conversion_gaps(scope: Scope) -> DataFrame:

@@ -26,7 +26,7 @@ INPUTS = {
     FB_TO_CLICKOUT: ("hourly", "clickouts"),
     CLICKOUT_TO_CONVERSION: ("conversions", "sessions"),
     VOLUME_DROP: ("hourly", "conversions"),
-    FLOW_INTERRUPTION: ("hourly", "conversions", "conversion_seconds"),
+    FLOW_INTERRUPTION: ("hourly", "conversions", "conversion_segments"),
     HIGH_LP_ABANDONMENT: ("sessions", "funnel"),
 }
 

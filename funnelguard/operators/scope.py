@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggs import effective_threshold, money_sum
 from ..functions.materialize import Materializer, run_concurrently
+from ..functions.stats import gap_segments
 from ..functions.timewin import Clock, in_window, micros
 from ..params import Params
 from ..schemas import CAMPAIGN_ALERTS, VERTICAL_ALERTS
@@ -43,21 +44,34 @@ def active_by_sessions(facts: Facts, clock: Clock) -> DataFrame:
 
 
 def active_campaigns(facts: Facts, clock: Clock, params: Params) -> DataFrame:
-    """O3: union of O1 and O2, one row per (vertical, campaign), with a display name.
+    """O3: union of O1 and O2, one row per (vertical, campaign), with a display name."""
+    return named_pairs(active_by_spend(facts, clock, params), active_by_sessions(facts, clock))
+
+
+def named_pairs(by_spend: DataFrame, by_sessions: DataFrame) -> DataFrame:
+    """One row per (vertical, campaign) of O1 and O2.
 
     When one id has several names, the one with the most recent spend wins
     (ties: the smallest name); a NULL or empty name falls back to the id.
     """
     named = F.when(F.col("campaign_name").isNotNull() & (F.col("campaign_name") != ""), F.col("campaign_name"))
     order = F.when(named.isNotNull(), F.struct(-F.col("recent_spend"), F.col("campaign_name")))
-    both = (active_by_spend(facts, clock, params)
-            .unionByName(active_by_sessions(facts, clock), allowMissingColumns=True))
+    both = by_spend.unionByName(by_sessions, allowMissingColumns=True)
     return (both.groupBy("vertical_name", "campaign_id")
             .agg(F.min_by(named, order).alias("_name"))
             .select("vertical_name", "campaign_id",
                     F.coalesce("_name", "campaign_id").alias("campaign_name")))
 
 
+#: Inputs of the checks that are made of sessions, and the kind of their tagged rows.
+SESSION_INPUTS = {"conversions": rollups.CONVERSION, "sessions": rollups.START, "clickouts": rollups.CLICKOUT}
+
+
+def conversion_segments(per_second: DataFrame, slice_seconds: int) -> DataFrame:
+    """Segments (see ``stats.gap_segments``) of (vertical_name, s, n, last_us), with the last instant of each slice."""
+    return gap_segments(per_second, ["vertical_name"], "s", "n", slice_seconds, [F.max("last_us").alias("last_us")])
+
+
 class Scope:
     """Everything one evaluation reads: facts, clock, parameters, active pairs and rollups.
 
@@ -107,7 +121,7 @@ class Scope:
         """Materialise what the given alerts read, running independent writes concurrently.
 
         Three waves: the active pairs, the fact rollups (independent scans of
-        different tables and windows), then the metric tables. Jobs of one
+        different tables), then the metric tables. Jobs of one
         wave are submitted from ``threads`` driver threads so the scheduler
         overlaps them instead of running many small jobs back to back.
         """
@@ -118,17 +132,40 @@ class Scope:
         return self
 
     def _warm(self, names, threads: int = 4) -> None:
-        """Build the named shared inputs concurrently (no-op for those already built)."""
-        run_concurrently([lambda n=n: getattr(self, n) for n in names], threads, self.materialize.spark)
+        """Build the named shared inputs concurrently (no-op for those already built); those of the sessions from one scan."""
+        kinds = [SESSION_INPUTS[n] for n in names if n in SESSION_INPUTS]
+        others = [n for n in names if n not in SESSION_INPUTS]
+        tasks = [lambda: self._tagged(kinds)] if kinds else []
+        run_concurrently(tasks + [lambda n=n: getattr(self, n) for n in others], threads, self.materialize.spark)
 
     def shared(self, name: str, build) -> DataFrame:
         """A check's own intermediate, built and materialised once per scope."""
         return self._once(name, build)
 
+    def _tagged(self, kinds) -> None:
+        """Build the session rollups of ``kinds`` that there are none of yet, all of them from one scan of the sessions."""
+        with self._guard:
+            lock = self._locks.setdefault("tagged", threading.Lock())
+        with lock:
+            missing = [k for k in dict.fromkeys(kinds) if f"tagged-{k}" not in self._cache]
+            if missing:
+                tagged = self.materialize(self._session_rollups(missing), "-".join(["sessions", *missing]), by="kind")
+                self._cache.update({f"tagged-{k}": tagged for k in missing})
+
+    def _session_rollups(self, kinds) -> DataFrame:
+        return rollups.session_rollups(self.scoped, self.clock, kinds)
+
+    def _kind(self, kind: str) -> DataFrame:
+        self._tagged([kind])
+        return self._cache[f"tagged-{kind}"]
+
     @property
     def active(self) -> DataFrame:
         """(vertical_name, campaign_id, campaign_name) of active campaigns."""
-        return self._once("active", lambda: active_campaigns(self.facts, self.clock, self.params))
+        return self._once("active", self._active)
+
+    def _active(self) -> DataFrame:
+        return active_campaigns(self.facts, self.clock, self.params)
 
     @property
     def hourly(self) -> DataFrame:
@@ -136,19 +173,30 @@ class Scope:
 
     @property
     def conversions(self) -> DataFrame:
-        return self._once("conversions", lambda: rollups.conversion_rollup(self.scoped, self.clock, self.params))
+        return rollups.conversions_of(self._kind(rollups.CONVERSION))
 
     @property
     def sessions(self) -> DataFrame:
-        return self._once("sessions", lambda: rollups.session_rollup(self.scoped, self.clock))
+        return rollups.sessions_of(self._kind(rollups.START))
 
     @property
     def clickouts(self) -> DataFrame:
-        return self._once("clickouts", lambda: rollups.distinct_clickouts(self.scoped, self.clock))
+        if self.params.distinct == "bitmaps":
+            return self._once("clickout_bitmaps", lambda: rollups.bitmap_clickouts(self.scoped.sessions, self.clock))
+        return self._once("clickouts", lambda: rollups.clickouts_of(self._kind(rollups.CLICKOUT), self.clock))
 
     @property
-    def conversion_seconds(self) -> DataFrame:
-        return self._once("conversion_seconds", lambda: rollups.conversion_seconds(self.scoped, self.clock))
+    def conversion_segments(self) -> DataFrame:
+        """(vertical_name, slice, first, last, gaps, last_us): the conversions of four weeks by slices of time."""
+        return self._once("conversion_segments", lambda: conversion_segments(
+            self._conversion_seconds(), self.params.gap_slice_seconds))
+
+    def _conversion_seconds(self) -> DataFrame:
+        return rollups.conversion_seconds(self.facts, self.clock, self.pairs)
+
+    def older_conversions(self, campaigns: DataFrame) -> DataFrame:
+        """(campaign_id, last_us): latest conversion before the last 28 days, of the given campaigns."""
+        return rollups.older_conversions(self.facts, self.clock, campaigns)
 
     @property
     def daily_spend(self) -> DataFrame:

@@ -40,10 +40,16 @@ class Params:
     # Average the same-hour volume over all 7 days (days without
     # conversions count as 0) instead of only over days that have rows.
     volume_avg_zero_fill: bool = False
+    # How distinct click-out sessions are counted: 'rows' (one per campaign,
+    # session and window, any id type) or 'bitmaps' (integer ids that are
+    # dense within a campaign).
+    distinct: str = "rows"
 
     def __post_init__(self) -> None:
         if self.missing not in ("null", "zero"):
             raise ValueError("missing must be 'null' or 'zero'")
+        if self.distinct not in ("rows", "bitmaps"):
+            raise ValueError("distinct must be 'rows' or 'bitmaps'")
         if self.gap_slice_seconds <= 0:
             raise ValueError("gap_slice_seconds must be positive")
 

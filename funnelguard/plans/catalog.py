@@ -27,6 +27,7 @@ from ..sources import fixture
 from ..sources.config import explode_config
 from ..sources.facts import row_counts
 from .engine import evaluate_scope
+from .rollup_store import RollupStore, backfill
 from .sinks import alert_payloads, alert_summary, payload_fields
 
 
@@ -37,9 +38,9 @@ class Fixture:
                  params: Params | None = None):
         self.spark = spark
         self.facts = fixture.fixture_facts(spark, sf_dir, store=store_facts)
-        document = fixture.fixture_config(spark, sf_dir)
-        self.scope = Scope.build(self.facts, fixture.AS_OF, params, document.select("vertical_name"))
-        self.config = explode_config(document)
+        self.document = fixture.fixture_config(spark, sf_dir)
+        self.scope = Scope.build(self.facts, fixture.AS_OF, params, self.document.select("vertical_name"))
+        self.config = explode_config(self.document)
         self.policy = policy
 
     def variant(self, policy: str = "intended", **params) -> "Fixture":
@@ -109,6 +110,30 @@ def _automated(check) -> Callable[[Fixture], DataFrame]:
     return run
 
 
+def _store(fx: Fixture, updates: tuple[str, ...] = (fixture.AS_OF,), start: str | None = None, **options) -> RollupStore:
+    """A rollup store of the fixture's facts, in the run's folder."""
+    store = RollupStore(fx.spark, f"{fx.scope.materialize.folder}/store", **options)
+    for until in updates:
+        store.update(fx.facts, until, start)
+    return store
+
+
+def _q_incremental(fx: Fixture) -> DataFrame:
+    """alerts_all from a store that was updated twice, two hours apart."""
+    store = _store(fx, ("2024-01-30 13:00:00", fixture.AS_OF), "2024-01-02 00:00:00")
+    return evaluate_scope(store.scope(fixture.AS_OF, fx.scope.params, fx.scope.configured), fx.modes())
+
+
+def _q_stored_bitmaps(fx: Fixture) -> DataFrame:
+    store = _store(fx, distinct="bitmaps", grid_minutes=30)
+    return evaluate_scope(store.scope(fixture.AS_OF, fx.scope.params, fx.scope.configured), fx.modes())
+
+
+def _q_backfill(fx: Fixture) -> DataFrame:
+    store = _store(fx, start="2023-12-30 00:00:00")
+    return backfill(store, fx.document, fixture.BACKFILL)
+
+
 _QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     # sources, configuration, sinks
     "load_facts": lambda fx: row_counts(fx.facts),
@@ -177,6 +202,13 @@ _QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "same_hour_7d_avg_zero_fill": lambda fx: volume_drop.same_hour_average(fx.variant(volume_avg_zero_fill=True).scope),
     "cpa_history_without_today": lambda fx: _q_cpa_history(fx.variant(cpa_history_includes_today=False)),
     "roi_today_missing_zero": lambda fx: performance_decline.roi_today(fx.variant(missing="zero").scope),
+    "clickout_rate_24h_bitmaps": lambda fx: fb_to_clickout.rate_24h(fx.variant(distinct="bitmaps").scope),
+    "clickout_rate_prev_week_bitmaps": lambda fx: fb_to_clickout.rate_prev_week(fx.variant(distinct="bitmaps").scope),
+    # the rollup store
+    "rollup_store_rows": lambda fx: _store(fx).summary(),
+    "alerts_all_incremental": _q_incremental,
+    "alerts_all_bitmaps": _q_stored_bitmaps,
+    "alerts_backfill": _q_backfill,
 }
 
 

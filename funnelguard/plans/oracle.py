@@ -18,7 +18,6 @@ from ..sources.facts import DAILY, FUNNEL, HOURLY, SESSIONS
 
 P = Params()
 NOW = datetime.fromisoformat(fixture.AS_OF)
-TODAY = NOW.replace(hour=0, minute=0, second=0, microsecond=0)
 
 
 def _ts(value: datetime) -> str:
@@ -29,25 +28,28 @@ def _d(value: datetime) -> str:
     return f"DATE '{value.strftime('%Y-%m-%d')}'"
 
 
-CONST = {
-    "NOW": _ts(NOW),
-    "NOW_M1H": _ts(NOW - timedelta(hours=1)),
-    "NOW_M6H": _ts(NOW - timedelta(hours=6)),
-    "NOW_M24H": _ts(NOW - timedelta(hours=24)),
-    "NOW_M1D": _ts(NOW - timedelta(days=1)),
-    "NOW_M8D": _ts(NOW - timedelta(days=8)),
-    "NOW_M28D": _ts(NOW - timedelta(days=28)),
-    "TODAY_TS": _ts(TODAY),
-    "TODAY": _d(TODAY),
-    "TODAY_M1": _d(TODAY - timedelta(days=1)),
-    "TODAY_M7": _d(TODAY - timedelta(days=7)),
-    "D_NOW_M24H": _d(NOW - timedelta(hours=24)),
-    "D_NOW_M8D": _d(NOW - timedelta(days=8)),
-    "D_NOW_M1D": _d(NOW - timedelta(days=1)),
-    "HOUR": str(NOW.hour),
-    "INF": "CAST('inf' AS DOUBLE)",
-    "STAMP": f"'{NOW.strftime('%Y-%m-%dT%H-%M-%S.%f')}'",
-}
+def _constants(now: datetime) -> dict[str, str]:
+    """The literals of the SQL for one evaluation instant."""
+    today = now.replace(hour=0, minute=0, second=0, microsecond=0)
+    return {
+        "NOW": _ts(now),
+        "NOW_M1H": _ts(now - timedelta(hours=1)),
+        "NOW_M6H": _ts(now - timedelta(hours=6)),
+        "NOW_M24H": _ts(now - timedelta(hours=24)),
+        "NOW_M1D": _ts(now - timedelta(days=1)),
+        "NOW_M8D": _ts(now - timedelta(days=8)),
+        "NOW_M28D": _ts(now - timedelta(days=28)),
+        "TODAY_TS": _ts(today),
+        "TODAY": _d(today),
+        "TODAY_M1": _d(today - timedelta(days=1)),
+        "TODAY_M7": _d(today - timedelta(days=7)),
+        "D_NOW_M24H": _d(now - timedelta(hours=24)),
+        "D_NOW_M8D": _d(now - timedelta(days=8)),
+        "D_NOW_M1D": _d(now - timedelta(days=1)),
+        "HOUR": str(now.hour),
+        "INF": "CAST('inf' AS DOUBLE)",
+        "STAMP": f"'{now.strftime('%Y-%m-%dT%H-%M-%S.%f')}'",
+    }
 
 
 CAMPAIGN_ALERTS = "('highCPA', 'performanceDecline', 'fbToClickout', 'clickoutToConversion')"
@@ -652,6 +654,30 @@ FROM act a JOIN pd_t x USING (campaign_id)""",
 }
 
 
+# Queries that reach the same rows by another way.
+BODIES |= {"alerts_all_incremental": BODIES["alerts_all"], "alerts_all_bitmaps": BODIES["alerts_all"],
+           "clickout_rate_24h_bitmaps": BODIES["clickout_rate_24h"], "clickout_rate_prev_week_bitmaps": BODIES["clickout_rate_prev_week"]}
+
+BODIES["rollup_store_rows"] = f"""
+SELECT 'spend' AS table_name, CAST(NULL AS VARCHAR) AS kind, COUNT(*) AS stored_rows, CAST(SUM(n) AS BIGINT) AS fact_rows FROM (
+  SELECT COUNT(*) AS n FROM {HOURLY} WHERE "timestamp" >= $NOW_M28D AND "timestamp" < $NOW
+  GROUP BY vertical, campaign_id, campaign_name, date_trunc('hour', "timestamp"))
+UNION ALL SELECT 'sessions', kind, COUNT(*), CAST(SUM(n) AS BIGINT) FROM (
+  SELECT 'conversion' AS kind, COUNT(*) AS n FROM {SESSIONS} WHERE conversion_dt >= $NOW_M28D AND conversion_dt < $NOW
+  GROUP BY campaign_id, date_trunc('hour', conversion_dt)
+  UNION ALL SELECT 'second', COUNT(*) FROM {SESSIONS} WHERE conversion_dt >= $NOW_M28D AND conversion_dt < $NOW
+  GROUP BY campaign_id, date_trunc('second', conversion_dt)
+  UNION ALL SELECT 'start', COUNT(*) FROM {SESSIONS} WHERE session_dt >= $NOW_M28D AND session_dt < $NOW
+  GROUP BY campaign_id, page, date_trunc('hour', session_dt)
+  UNION ALL SELECT 'clickout', COUNT(*) FROM {SESSIONS} WHERE session_dt >= $NOW_M28D AND session_dt < $NOW AND postback_id IS NOT NULL
+  GROUP BY campaign_id, session_id, date_trunc('hour', session_dt)
+  UNION ALL SELECT 'seen', COUNT(*) FROM {SESSIONS} WHERE "timestamp" >= $NOW_M28D AND "timestamp" < $NOW
+  GROUP BY vertical, campaign_id, date_trunc('hour', "timestamp")) GROUP BY kind
+UNION ALL SELECT 'daily', NULL, COUNT(*), NULL FROM (SELECT 1 FROM {DAILY} WHERE date >= CAST($NOW_M28D AS DATE) AND date <= $TODAY GROUP BY campaign_id, date)
+UNION ALL SELECT 'funnel', NULL, COUNT(*), NULL FROM (
+  SELECT 1 FROM {FUNNEL} WHERE interaction_type = 'loader' AND date >= CAST($NOW_M28D AS DATE) AND date <= $TODAY GROUP BY campaign_id, page, date)"""
+
+
 #: The DOUBLE columns of each query, which both engines round to 6 decimals.
 DOUBLES: dict[str, str] = {
     "alert_modes_observed": "base_threshold percent_increase effective_threshold",
@@ -659,7 +685,9 @@ DOUBLES: dict[str, str] = {
     "cpa_history_without_today": "window_spend cpa",
     "roi_today_missing_zero": "todays_revenue todays_spend todays_roi",
     "alert_config": "base_threshold percent_increase",
-    "alerts_all": "calculated_value benchmark spend base_threshold",
+    **dict.fromkeys(("alerts_all", "alerts_all_incremental", "alerts_all_bitmaps"), "calculated_value benchmark spend base_threshold"),
+    "clickout_rate_24h_bitmaps": "current_fb_to_clickout_rate",
+    "clickout_rate_prev_week_bitmaps": "last_week_fb_to_clickout_rate",
     "alert_payload_json": "calculated_value benchmark spend leads base_threshold",
     "active_campaigns_by_spend": "recent_spend",
     "scope_to_active": "measure_sum",
@@ -704,17 +732,28 @@ DOUBLES: dict[str, str] = {
 }
 
 
-def _render(text: str) -> str:
+def _render(text: str, now: datetime = NOW) -> str:
+    constants = _constants(now)
     # longest names first so $NOW does not eat $NOW_M1H
-    for key in sorted(CONST, key=len, reverse=True):
-        text = text.replace("$" + key, CONST[key])
+    for key in sorted(constants, key=len, reverse=True):
+        text = text.replace("$" + key, constants[key])
     return text
 
 
+def _at(name: str, now: datetime) -> str:
+    return "WITH " + _render(CTES, now).strip() + "\n" + _rounded(_render(BODIES[name], now).strip(), DOUBLES.get(name, "").split())
+
+
+def _backfill() -> str:
+    """alerts_all at each of the fixture's instants."""
+    return "\nUNION ALL\n".join(
+        f"SELECT *, '{now.strftime('%Y-%m-%d %H:%M:%S')}' AS as_of FROM (\n{_at('alerts_all', now)}) AS q{k}"
+        for k, now in enumerate(datetime.fromisoformat(t) for t in fixture.BACKFILL))
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name -> DuckDB SQL over the pre-registered ``events`` view."""
-    prefix = "WITH " + _render(CTES).strip() + "\n"
-    return {name: prefix + _rounded(_render(body).strip(), DOUBLES.get(name, "").split()) for name, body in BODIES.items()}
+    return {name: _at(name, NOW) for name in BODIES} | {"alerts_backfill": _backfill()}
 
 
 def _rounded(body: str, names: list[str]) -> str:

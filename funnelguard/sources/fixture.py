@@ -14,6 +14,8 @@ from ..functions.materialize import Materializer, run_concurrently
 from .facts import DAILY, FUNNEL, HOURLY, SESSIONS, Facts, facts_from_frames
 
 AS_OF = "2024-01-30 15:00:00"
+#: Instants of the backfill query: over midnight, at which days and weekdays change.
+BACKFILL = ("2024-01-29 22:00:00", "2024-01-30 00:00:00", "2024-01-30 15:00:00")
 
 # --- Fixed values: fixture view definitions (shared with the DuckDB oracle) ---
 VIEW_SQL: dict[str, str] = {

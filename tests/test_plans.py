@@ -14,7 +14,7 @@ def _plan(df) -> str:
 
 def test_rollup_scan_pushes_time_range_and_prunes_columns(spark):
     fx = Fixture(spark, SF)
-    plan = _plan(rollups.conversion_rollup(fx.facts, fx.scope.clock, fx.scope.params))
+    plan = _plan(rollups.session_rollups(fx.facts, fx.scope.clock, [rollups.CONVERSION]))
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     assert "conversion_dt" in scan.split("PushedFilters:")[1]
     read_schema = scan.split("ReadSchema:")[1]
@@ -63,19 +63,33 @@ def test_action_count_does_not_grow_with_campaigns(spark):
     assert few == many, (few, many)
 
 
-def test_a_full_run_scans_the_sessions_table_a_fixed_number_of_times(spark, monkeypatch):
-    """Scans of the raw sessions that are not dropped, over every table the run writes; no raw conversion is shuffled."""
+def test_a_full_run_reads_the_sessions_three_times(spark, monkeypatch):
+    """Once for the active set, once for all session clocks, once for the gaps; no conversion is shuffled by campaign and second."""
     from funnelguard.functions.materialize import Materializer
 
     plans = []
     write = Materializer.__call__
-    monkeypatch.setattr(Materializer, "__call__", lambda self, df, name: (plans.append((name, _plan(df))), write(self, df, name))[1])
+    monkeypatch.setattr(Materializer, "__call__", lambda self, df, name, by=None: (
+        plans.append((name, _plan(df))), write(self, df, name, by))[1])
     fx = Fixture(spark, SF)
     plans.clear()
     fx.alerts().collect()
-    scans = [name for name, plan in plans for line in plan.splitlines()
-             if "FileScan parquet" in line and "fixture-facts" in line and "session_id" in line.split("ReadSchema:")[1] + line]
-    reads = {name: plan.count("sessions_full_lifecycle") for name, plan in plans}
-    assert sum(n > 0 for n in reads.values()) <= 7, reads
-    assert len(scans) <= 12, scans
-    assert all("Exchange hashpartitioning(conversion_dt" not in plan for _, plan in plans)
+    reads = {name: sum("FileScan parquet" in line and "session_dt" in line + line.split("ReadSchema:")[1] or
+                       "FileScan parquet" in line and "conversion_dt" in line for line in plan.splitlines()) for name, plan in plans}
+    reads = {name: n for name, n in reads.items() if n}
+    # the older sessions are read only if a vertical has no conversion in four weeks
+    silent = {name for name in reads if name.startswith("vertical_metrics") or name == "silent_campaigns"}
+    assert sum(n for name, n in reads.items() if name not in silent) <= 2, reads
+    active = dict(plans)["active"]
+    assert sum("FileScan parquet" in line and "session_id" in line for line in active.splitlines()) == 1
+    exchanges = [line for _, plan in plans for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("campaign_id" in line and ("s#" in line or "second#" in line) and "kind#" not in line for line in exchanges)
+
+
+def test_conversions_are_read_for_a_week_and_one_weekday(spark):
+    fx = Fixture(spark, SF)
+    ranges = rollups.recent_and_weekday(fx.scope.clock)
+    assert len(ranges) == 4 and sum((hi - lo).total_seconds() for lo, hi in ranges) < 11 * 86400
+    plan = _plan(rollups.hourly_rollup(fx.facts, fx.scope.clock, fx.scope.params))
+    pushed = next(line for line in plan.splitlines() if "FileScan parquet" in line).split("PushedFilters:")[1]
+    assert "Or(Or(Or(And(GreaterThanOrEqual(timestamp," in pushed

@@ -44,10 +44,8 @@ def main() -> None:
     sc = fx.scope
     stages = {
         "hourly rollup": rollups.hourly_rollup(fx.facts, sc.clock, sc.params),
-        "conversion rollup": rollups.conversion_rollup(fx.facts, sc.clock, sc.params),
-        "session rollup": rollups.session_rollup(fx.facts, sc.clock),
-        "distinct click-outs": rollups.distinct_clickouts(fx.facts, sc.clock),
-        "conversions per second": rollups.conversion_seconds(fx.facts, sc.clock),
+        "session rollups": rollups.session_rollups(fx.facts, sc.clock, list(rollups.session_windows(sc.clock))),
+        "conversions per second": rollups.conversion_seconds(fx.facts, sc.clock, sc.pairs),
         "funnel rollup": rollups.funnel_rollup(fx.facts, sc.clock, LOADER_STEP),
     }
     sc.prepare()
