@@ -1,11 +1,17 @@
 """Language-model scoring by an interpolated modified Kneser-Ney model of two or three words (operator 3).
 
-Counting is Spark shuffles of packed, map-side combined counts: of words
-by hash, which numbers the vocabulary, of pairs of word numbers by context,
-and, for three words, of triples by the place of their first pair among all
-pairs. Each task writes its range of the model as sorted arrays to the
-shared folder; workers map them into memory and search them for a batch's
-distinct words and pairs, so no worker holds the model.
+Texts are tokenized twice: once to count words by hash, which numbers the
+vocabulary, and once to store every text as word numbers. All else reads
+those. Counting is Spark shuffles of packed, map-side combined counts: of
+words by hash, of pairs of word numbers by context and, for three words, of
+triples by the place of their first pair among all pairs. The ranges of a
+shuffle are cut by the counts of the contexts, so that they are alike in
+size; a context that would fill more than one range is split by the word that
+follows. Each task writes its range of the model as sorted arrays, one file,
+to the shared folder; workers map the files that they need, a bounded number
+at a time, and search them for a batch's distinct pairs, so no worker holds
+the model. Keys are relative to their range, so that they fit 64 bits however
+many words and pairs there are.
 
 p(w | v) = max(c(v w) - D, 0) / c(v) + (D1 n1(v) + D2 n2(v) + D3 n3(v)) / c(v) * p(w), where p(w) does the
 same with the number of distinct words before w, over a uniform share for each known word and one unknown one.
@@ -16,7 +22,7 @@ the pairs v w in place of c(v w). Two starts stand before a text.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,12 +35,13 @@ from . import packed
 from .work import id_and_text, id_type, parts, stored, workspace
 
 FOLDS, HELD_OUT = 7, 2
-#: Words of the longest n-grams in the registered query.
+#: Words of the longest n-grams.
 ORDER = 3
-#: Stand-ins for the start and the end of a text; no word holds white space.
-START, END = b" ", b"\n"
+#: Stand-in for the end of a text; no word holds white space.
+END = b"\n"
 #: Tokens whose counts a task combines before it sends them, and input characters for each shard of the model.
 COMBINE, CHARS_PER_SHARD = 4_000_000, 16_000_000
+HALF = np.uint64(32)
 
 
 def word_hash(word: bytes) -> int:
@@ -70,14 +77,30 @@ def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array([word_hash(w) for w in distinct], np.uint64), codes, sizes
 
 
-def _by_shard(keys: np.ndarray, counts: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
-    """A row (shard, blob) for each shard that has some of the ascending keys."""
-    cuts = np.append(np.searchsorted(keys, first), len(keys))
-    rows = [(b, packed.pack(keys[lo:hi], counts[lo:hi])) for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if lo < hi]
-    return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())],
+def _rows(found: dict[int, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """A row (shard, blob) for each shard's ascending keys and counts."""
+    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([packed.pack(k, n) for k, n in found.values()], pa.binary())],
                                       ["shard", "blob"])
 
 
+class _Combiner:
+    """Counts of a task by shard, added up before they are sent."""
+
+    def __init__(self):
+        self.held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.size = 0
+
+    def add(self, shard: int, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.held.setdefault(shard, []).append((keys, counts))
+        self.size += len(keys)
+
+    def rows(self, least: int = 1) -> Iterator[pa.RecordBatch]:
+        """What is held, if there are ``least`` keys."""
+        if self.size >= least:
+            held, self.held, self.size = self.held, {}, 0
+            yield _rows({b: packed.summed(*map(np.concatenate, zip(*some, strict=True))) for b, some in sorted(held.items())})
+
+
 def _merge_shards(rows: DataFrame, shards: int, finish, schema: str) -> DataFrame:
     """``finish(shard, keys, counts)`` in a task for each shard: rows as lists that follow ``schema``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,35 +136,95 @@ def shard_words(words: int, shards: int) -> np.ndarray:
     return np.array([b * (words + 1) // shards for b in range(shards)] + [words + 1], np.int64)
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of rows (context, word) in order: the least row of each. A context with several ranges is split by word."""
+    contexts: np.ndarray
+    words: np.ndarray
+
+    def cuts(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Where the ranges begin among ascending rows, and the number of rows."""
+        at = np.searchsorted(contexts, self.contexts)
+        for b in np.flatnonzero(self.words > 0):
+            end = np.searchsorted(contexts, self.contexts[b], "right")
+            at[b] += np.searchsorted(words[at[b]:end], self.words[b])
+        at[0] = 0
+        return np.append(at, len(contexts))
+
+    def touched(self, contexts: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Range, first and last place + 1 of the ranges that have some of the ascending rows."""
+        cuts = self.cuts(contexts, words)
+        for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            yield b, int(cuts[b]), int(cuts[b + 1])
+
+    @property
+    def split(self) -> np.ndarray:
+        return np.unique(self.contexts[self.words > 0])
+
+    def width(self, b: int, end: int) -> int:
+        """Contexts that rows of range ``b`` can have; ``end`` is one above the last context of all."""
+        return int((self.contexts[b + 1] + 1 if b + 1 < len(self.contexts) else end) - self.contexts[b])
+
+
+def _bounds(counts: np.ndarray, first: int, before: int, each: int, words: int) -> list[tuple[int, int]]:
+    """(context, word) at which ranges of weight ``each`` begin, among contexts from ``first`` on with ``before`` weight before them."""
+    ends = before + np.cumsum(counts, dtype=np.int64)
+    marks = np.arange(-(-before // each), -(-int(ends[-1]) // each)) * each if len(ends) else np.zeros(0, np.int64)
+    at, n = np.unique(np.searchsorted(ends, marks, "right"), return_counts=True)
+    # a context with one mark begins a range; one with several is cut at equal numbers of words, which are numbered by hash
+    return [(first + int(c), words * k // int(m)) for c, m in zip(at, n, strict=True) for k in range(int(m))]
+
+
+def unique_rows(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows of two columns of numbers from -1 on, ascending, as two columns, with their counts and each row's place."""
+    if not len(a):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    if a.max() < (1 << 32) - 2 and b.max() < (1 << 32) - 2:
+        key = ((a + 1).astype(np.uint64) << HALF) | (b + 1).astype(np.uint64)
+        found, back, n = np.unique(key, return_inverse=True, return_counts=True)
+        return (found >> HALF).astype(np.int64) - 1, (found & np.uint64(0xFFFFFFFF)).astype(np.int64) - 1, n, back
+    # numbers beyond 32 bits: by their places among those of the batch
+    (of_a, at_a), (of_b, at_b) = np.unique(a, return_inverse=True), np.unique(b, return_inverse=True)
+    key = (at_a.astype(np.uint64) << HALF) | at_b.astype(np.uint64)
+    found, back, n = np.unique(key, return_inverse=True, return_counts=True)
+    return of_a[found >> HALF], of_b[found & np.uint64(0xFFFFFFFF)], n, back
+
+
 class _Vocabulary:
     """Word numbers: places of hashes among all sorted hashes."""
 
-    def __init__(self, folder: str, sizes: list[int]):
-        self.shards, self.first = packed.SortedShards(folder, "words", sizes), spread(len(sizes))
-        self.counts = [packed.mapped(folder, f"counts-{b}") if n else np.zeros(0, np.int64) for b, n in enumerate(sizes)]
-        self.words = int(self.shards.base[-1])
+    def __init__(self, shelf: packed.Shelf, sizes: list[int]):
+        self.shelf, self.sizes, self.first = shelf, sizes, spread(len(sizes))
+        self.base = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """-1 for words that were not learnt."""
         order = np.argsort(hashes)
-        found = np.empty(len(hashes), np.int64)
-        found[order] = self.shards.find(hashes[order], self.first)
-        return found
+        wanted, found = hashes[order], np.full(len(hashes), -1, np.int64)
+        cuts = np.append(np.searchsorted(wanted, self.first), len(wanted))
+        for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            if self.sizes[b]:
+                lo, hi, keys = cuts[b], cuts[b + 1], self.shelf[f"words-{b}"]["hashes"]
+                at = np.minimum(np.searchsorted(keys, wanted[lo:hi]), len(keys) - 1)
+                found[lo:hi] = np.where(keys[at] == wanted[lo:hi], at + self.base[b], -1)
+        out = np.empty(len(hashes), np.int64)
+        out[order] = found
+        return out
 
     def count(self, numbers: np.ndarray) -> np.ndarray:
-        return _gather(self.counts, self.shards.base, numbers)
+        return _gather(lambda b: self.shelf[f"words-{b}"]["counts"], self.base, numbers)
 
 
-def _gather(files: list[np.ndarray], first: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Values of numbers in files that start at ``first``; 0 for -1."""
+def _gather(values: Callable[[int], np.ndarray], base: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Values of numbers in arrays 0, 1, ... that start at ``base``; 0 for -1."""
     out = np.zeros(len(numbers), np.int64)
     order = np.argsort(numbers, kind="stable")
     ordered = numbers[order]
-    cuts = np.searchsorted(ordered, first)
-    for b, values in enumerate(files):
+    cuts = np.searchsorted(ordered, base)
+    for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
         lo, hi = cuts[b], cuts[b + 1]
-        if lo < hi:
-            out[order[lo:hi]] = values[ordered[lo:hi] - first[b]]
+        out[order[lo:hi]] = values(b)[ordered[lo:hi] - base[b]]
     return out
 
 
@@ -155,82 +238,121 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 
 @dataclass(frozen=True)
 class Model:
-    """Where the model lies and what is the same for all its parts."""
+    """Where the model lies and what is the same for all its parts; the lists have an entry for each shard at most."""
     folder: str
-    word_sizes: list[int]
-    pair_sizes: list[int]
+    order: int
     words: int
     train_tokens: int
-    pair_discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
+    word_sizes: list[int]
+    first_word: np.ndarray
+    pair_ranges: Ranges
+    pair_sizes: list[int]
+    split_contexts: dict[int, tuple[int, int, int, int]]
     followers: int
     spare: float
-    order: int = 2
-    triple_sizes: tuple[int, ...] = ()
+    word_discounts: tuple[float, float, float]
+    pair_discounts: tuple[float, float, float]
+    triple_ranges: Ranges | None = None
+    triple_sizes: list[int] | None = None
+    split_places: dict[int, tuple[int, int, int, int]] | None = None
     triple_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
 
+def word_bits(words: int) -> np.uint64:
+    """Bits of a word number in a key."""
+    return np.uint64(max(1, words.bit_length()))
+
+
+class _Pairs:
+    """Places of pairs (context, word) among all learnt ones, in order."""
+
+    def __init__(self, shelf: packed.Shelf, ranges: Ranges, sizes: list[int], words: int):
+        self.shelf, self.ranges, self.sizes, self.bits = shelf, ranges, sizes, word_bits(words)
+        self.base = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+
+    def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """-1 where an ascending pair was not learnt."""
+        place = np.full(len(contexts), -1, np.int64)
+        known = np.flatnonzero((contexts >= 0) & (words >= 0))
+        contexts, words = contexts[known], words[known]
+        for b, lo, hi in self.ranges.touched(contexts, words):
+            if self.sizes[b]:
+                keys = self.shelf[f"pairs-{b}"]["keys"]
+                wanted = ((contexts[lo:hi] - self.ranges.contexts[b]).astype(np.uint64) << self.bits) | words[lo:hi].astype(np.uint64)
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                place[known[lo:hi]] = np.where(keys[at] == wanted, at + self.base[b], -1)
+        return place
+
+    def last_words(self, places: np.ndarray) -> np.ndarray:
+        mask = (np.uint64(1) << self.bits) - np.uint64(1)
+        return _gather(lambda b: (self.shelf[f"pairs-{b}"]["keys"] & mask).astype(np.int64), self.base, places)
+
+
 class _Mapped:
     """A worker's view of the model."""
 
     def __init__(self, model: Model):
-        self.model, at = model, model.folder
-        self.vocabulary = _Vocabulary(at, model.word_sizes)
-        shards = len(model.pair_sizes)
-        self.first_word = shard_words(model.words, shards)
-        self.first_pair = self.first_word[:-1].astype(np.uint64) << np.uint64(32)
-        self.pairs = packed.SortedShards(at, "pairs", model.pair_sizes)
-        self.pair_counts = [packed.mapped(at, f"pair-counts-{b}") if n else np.zeros(0, np.int64) for b, n in enumerate(model.pair_sizes)]
-        width = np.diff(self.first_word)
-        self.contexts = [packed.mapped(at, f"contexts-{b}") if n else np.zeros((4, w), np.int64)
-                         for b, (n, w) in enumerate(zip(model.pair_sizes, width, strict=True))]
-        self.before = [packed.mapped(at, f"before-{b}") for b in range(shards)]
-        if model.order == 3:
-            sizes = list(model.triple_sizes)
-            self.bits = np.uint64(word_bits(model.words))
-            self.first_place = shard_words(sum(model.pair_sizes), len(sizes))
-            self.first_triple = self.first_place[:-1].astype(np.uint64) << self.bits
-            self.triples = packed.SortedShards(at, "triples", sizes)
-            self.triple_counts = [packed.mapped(at, f"triple-counts-{b}") if n else np.zeros(0, np.int64) for b, n in enumerate(sizes)]
-            self.many = [packed.mapped(at, f"many-{b}") if n else np.zeros(0, np.uint64) for b, n in enumerate(sizes)]
-            self.many_counts = [packed.mapped(at, f"many-counts-{b}") if n else np.zeros((4, 0), np.int64) for b, n in enumerate(sizes)]
+        self.model, self.shelf = model, packed.Shelf(model.folder)
+        self.vocabulary = _Vocabulary(self.shelf, model.word_sizes)
+        self.pairs = _Pairs(self.shelf, model.pair_ranges, model.pair_sizes, model.words)
+        self.bits = word_bits(model.words)
 
     def unigram(self, numbers: np.ndarray) -> np.ndarray:
         m = self.model
-        seen = _gather(self.before, self.first_word, numbers)
+        seen = _gather(lambda b: self.shelf[f"before-{b}"]["before"], m.first_word, numbers)
         share = m.spare / (m.words + 1)
         if not m.followers:
             return np.full(len(numbers), share)
         return np.maximum(seen - _discount(seen, m.word_discounts), 0) / m.followers + share
 
+    def contexts(self, numbers: np.ndarray) -> np.ndarray:
+        """Of contexts (-1: not learnt): how often a word follows, and how many do once, twice and more often."""
+        distinct, back = np.unique(numbers, return_inverse=True)
+        out = np.zeros((4, len(distinct)), np.int64)
+        known = np.flatnonzero(distinct >= 0)
+        ranges = self.model.pair_ranges
+        # the last range that begins at the context or before it is the only one, unless the context is split
+        which = np.searchsorted(ranges.contexts, distinct[known], "right") - 1
+        for b in np.unique(which).tolist():
+            if self.model.pair_sizes[b]:
+                own = known[which == b]
+                out[:, own] = self.shelf[f"stats-{b}"]["contexts"][:, distinct[own] - ranges.contexts[b]]
+        for i in known.tolist() if len(self.model.split_contexts) else ():
+            if int(distinct[i]) in self.model.split_contexts:
+                out[:, i] = self.model.split_contexts[int(distinct[i])]
+        return out[:, back]
+
     def bigram(self, contexts: np.ndarray, numbers: np.ndarray, place: np.ndarray) -> np.ndarray:
         """p(word | context) of distinct pairs at ``place`` among all pairs; -1 is unknown, of words, contexts and places."""
         m, p = self.model, self.unigram(numbers)
-        total, n1, n2, n3 = (_gather([c[k] for c in self.contexts], self.first_word, contexts) for k in range(4))
+        total, n1, n2, n3 = self.contexts(contexts)
         known = total > 0
-        count = _gather(self.pair_counts, self.pairs.base, place)
+        count = _gather(lambda b: self.shelf[f"stats-{b}"]["counts"], self.pairs.base, place)
         d1, d2, d3 = m.pair_discounts
         left = np.where(known, d1 * n1 + d2 * n2 + d3 * n3, 1.0)
         total = np.where(known, total, 1)
         return np.where(known, np.maximum(count - _discount(count, m.pair_discounts), 0) / total + left / total * p, p)
 
-
     def followed(self, places: np.ndarray) -> np.ndarray:
         """Of ascending places of pairs: how often a word follows, and how many do once, twice and more often."""
-        out = np.zeros((4, len(places)), np.int64)
-        cuts = np.append(np.searchsorted(places, self.first_place[:-1]), len(places))
-        for b, keys in enumerate(self.triples.files):
-            lo, hi = cuts[b], cuts[b + 1]
-            if lo < hi and len(keys):
-                wanted = places[lo:hi].astype(np.uint64)
+        m, out = self.model, np.zeros((4, len(places)), np.int64)
+        which = np.searchsorted(m.triple_ranges.contexts, places, "right") - 1
+        for b in np.unique(which).tolist():
+            if m.triple_sizes[b]:
+                lo, hi = np.searchsorted(which, [b, b + 1])
+                file = self.shelf[f"triples-{b}"]
+                keys, wanted = file["keys"], (places[lo:hi] - m.triple_ranges.contexts[b]).astype(np.uint64)
                 at = np.minimum(np.searchsorted(keys, wanted << self.bits), len(keys) - 1)
-                out[0, lo:hi] = np.where(keys[at] >> self.bits == wanted, self.triple_counts[b][at], 0)
+                out[0, lo:hi] = np.where(keys[at] >> self.bits == wanted, file["counts"][at], 0)
                 for k in (1, 2, 3):
                     out[k, lo:hi] = np.minimum(out[0, lo:hi], 3) == k
-                if len(self.many[b]):
-                    at = np.minimum(np.searchsorted(self.many[b], wanted), len(self.many[b]) - 1)
-                    hit = np.flatnonzero(self.many[b][at] == wanted)
-                    out[:, lo + hit] = self.many_counts[b][:, at[hit]]
+                if len(file["many"]):
+                    at = np.minimum(np.searchsorted(file["many"], wanted), len(file["many"]) - 1)
+                    hit = np.flatnonzero(file["many"][at] == wanted)
+                    out[:, lo + hit] = file["many_counts"][:, at[hit]]
+        for place, of in m.split_places.items():
+            lo, hi = np.searchsorted(places, [place, place + 1])
+            out[:, lo:hi] = np.array(of)[:, None]
         return out
 
     def trigram(self, place: np.ndarray, p: np.ndarray, back: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -239,34 +361,31 @@ class _Mapped:
         ``place`` has the ascending places of distinct pairs among all pairs (-1: not learnt), ``p`` their
         p(word | last word), ``back`` each token's pair.
         """
+        m = self.model
         places = np.append(place, self.pairs.base[-1])  # two starts
         known = np.flatnonzero(places >= 0)
         followed = np.zeros((4, len(places)), np.int64)
         followed[:, known] = self.followed(places[known])
         total, n1, n2, n3 = followed
-        d1, d2, d3 = self.model.triple_discounts
+        d1, d2, d3 = m.triple_discounts
         left = np.where(total > 0, d1 * n1 + d2 * n2 + d3 * n3, 1.0) / np.maximum(total, 1)
         before = _pair_before(back, sizes, len(place))
         there = np.flatnonzero((total > 0)[before] & (numbers >= 0))
-        keys = (places[before[there]].astype(np.uint64) << self.bits) | numbers[there].astype(np.uint64)
-        order = np.argsort(keys)
-        keys, count = keys[order], np.zeros(len(keys), np.int64)
-        cuts = np.append(np.searchsorted(keys, self.first_triple), len(keys))
-        for b, learnt in enumerate(self.triples.files):
-            lo, hi = cuts[b], cuts[b + 1]
-            if lo < hi and len(learnt):
-                at = np.minimum(np.searchsorted(learnt, keys[lo:hi]), len(learnt) - 1)
-                count[order[lo:hi]] = np.where(learnt[at] == keys[lo:hi], self.triple_counts[b][at], 0)
+        # known pairs ascend in place as they do in their number
+        which, words, _, again = unique_rows(before[there], numbers[there])
+        count = np.zeros(len(which), np.int64)
+        for b, lo, hi in m.triple_ranges.touched(places[which], words):
+            if m.triple_sizes[b]:
+                file = self.shelf[f"triples-{b}"]
+                wanted = ((places[which[lo:hi]] - m.triple_ranges.contexts[b]).astype(np.uint64) << self.bits) | words[lo:hi].astype(np.uint64)
+                at = np.minimum(np.searchsorted(file["keys"], wanted), len(file["keys"]) - 1)
+                count[lo:hi] = np.where(file["keys"][at] == wanted, file["counts"][at], 0)
         out = left[before] * p[back]
-        out[there] += np.maximum(count - _discount(count, self.model.triple_discounts), 0) / total[before[there]]
+        gain = np.maximum(count - _discount(count, m.triple_discounts), 0) / total[which] if len(which) else np.zeros(0)
+        out[there] += gain[again]
         return out
 
 
-def word_bits(words: int) -> int:
-    """Bits of a word number in the key of a triple."""
-    return max(1, words.bit_length())
-
-
 def _narrow(counts: np.ndarray) -> np.ndarray:
     """``counts`` in the least unsigned type that holds them."""
     return counts.astype(np.min_scalar_type(int(counts.max()))) if counts.size else counts
@@ -276,90 +395,161 @@ def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3)]
 
 
+def _pair_before(back: np.ndarray, sizes: np.ndarray, starts: int) -> np.ndarray:
+    """For each token, the pair before it, from each token's pair; ``starts`` stands for two starts."""
+    before = np.roll(back, 1)
+    before[np.cumsum(sizes) - sizes] = starts
+    return before
+
+
+def _kind(words: int) -> str:
+    """The type that stores word numbers and, as its largest value, words that were not learnt."""
+    return "<u4" if words < (1 << 32) - 1 else "<u8"
+
+
+def numbered(docs: DataFrame, folder: str, word_sizes: list[int], id_col: str, text_col: str) -> DataFrame:
+    """doc_id, held_out and tokens, each text as word numbers."""
+    kind, width = id_type(docs, id_col), _kind(sum(word_sizes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _Vocabulary(packed.Shelf(folder), word_sizes)
+        for batch in batches:
+            hashes, codes, sizes = coded(batch.column(2))
+            # -1 becomes the largest value
+            raw = vocabulary.numbers(hashes).astype(width)[codes].tobytes()
+            ends = np.concatenate(([0], np.cumsum(sizes))) * np.dtype(width).itemsize
+            tokens = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends.astype("<i8").tobytes()), pa.py_buffer(raw)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens.cast(pa.binary())], ["doc_id", "held_out", "tokens"])
+
+    rows = id_and_text(docs, id_col, text_col).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, tokens binary")
+
+
+def _read(tokens: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of a batch's texts one after the other, -1 for words that were not learnt, and each text's tokens."""
+    width = np.dtype(_kind(words))
+    sizes = pc.binary_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64) // width.itemsize
+    raw = np.frombuffer(b"".join(tokens.to_pylist()), width)
+    numbers = raw.astype(np.int64)
+    numbers[raw == np.iinfo(width).max] = -1
+    return numbers, sizes
+
+
+def _contexts(numbers: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:
+    """The word before each token; ``words`` stands for the start of a text."""
+    contexts = np.roll(numbers, 1)
+    contexts[np.cumsum(sizes) - sizes] = words
+    return contexts
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None,
-          chars_per_shard: int = CHARS_PER_SHARD, order: int = 2) -> Model:
+          chars_per_shard: int = CHARS_PER_SHARD, order: int = ORDER) -> Model:
     """Count the documents that are not held out and write the model's arrays to ``folder``, which must be shared.
 
     ``order`` is the number of words of the longest n-grams, two or three.
     """
+    return train_numbered(docs, id_col, text_col, folder, chars_per_shard, order)[0]
+
+
+def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None,
+                   chars_per_shard: int = CHARS_PER_SHARD, order: int = ORDER) -> tuple[Model, DataFrame]:
+    """:func:`train`, and the documents as word numbers, as :func:`score_numbered` reads them."""
     if order not in (2, 3):
         raise ValueError(f"the order of the model is 2 or 3, not {order}")
     spark = docs.sparkSession
     work = folder or workspace(spark, "kneser-ney")
     at = packed.shared_folder(work) + "/model"
     texts = id_and_text(docs, id_col, text_col).filter(~held_out(F.col("doc_id"))).select("text")
-    chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = parts(chars, chars_per_shard)
+    chars, rows = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    shards = parts(chars or 0, chars_per_shard)
     hash_first = spread(shards)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held = _Combiner()
         for batch in batches:
             hashes, codes, _ = coded(batch.column(0))
-            held.append((hashes, np.bincount(codes, minlength=len(hashes))))
-            size += len(hashes)
-            if size >= COMBINE:
-                yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), hash_first)
-                held, size = [], 0
-        if held:
-            yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), hash_first)
+            keys, counts = packed.summed(hashes, np.bincount(codes, minlength=len(hashes)))
+            cuts = np.append(np.searchsorted(keys, hash_first), len(keys))
+            for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                held.add(b, keys[cuts[b]:cuts[b + 1]], counts[cuts[b]:cuts[b + 1]])
+            yield from held.rows(COMBINE)
+        yield from held.rows()
 
     def keep_words(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
-        packed.save(at, f"words-{shard}", keys)
-        packed.save(at, f"counts-{shard}", counts.astype(np.uint32) if counts.max() < 1 << 32 else counts)
+        packed.save_together(at, f"words-{shard}", {"hashes": keys, "counts": _narrow(counts)})
         return [{"shard": shard, "words": len(keys), "tokens": int(counts.sum())}]
 
     made = {r.shard: r for r in _merge_shards(texts.mapInArrow(count_words, "shard int, blob binary"), shards, keep_words,
                                               "shard int,words long,tokens long").collect()}  # a row for each shard
     word_sizes = [made[b].words if b in made else 0 for b in range(shards)]
-    words, train_tokens = sum(word_sizes), sum(r.tokens for r in made.values())
-    if words >= (1 << 32) - 1:
-        raise ValueError("word numbers have 32 bits")
-    first_word = shard_words(words, shards)
-    first_pair = first_word[:-1].astype(np.uint64) << np.uint64(32)
+    word_tokens = [made[b].tokens if b in made else 0 for b in range(shards)]
+    words, train_tokens = sum(word_sizes), sum(word_tokens)
+    bits, first_word = word_bits(words), shard_words(words, shards)
+
+    table = stored(numbered(docs, at, word_sizes, id_col, text_col), f"{work}/numbered")
+    learnt = table.filter(~F.col("held_out")).select("tokens")
+    each = max(1, -(-(train_tokens + rows) // shards))
+
+    def ranges(sizes: list[int], weights: list[int], file: str, values: str) -> Ranges:
+        """Ranges of about ``each`` tokens of the contexts whose counts stand in files of the shards; the starts come last."""
+        first, before = np.concatenate(([0], np.cumsum(sizes))).tolist(), np.concatenate(([0], np.cumsum(weights))).tolist()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shelf = packed.Shelf(at)
+            for batch in batches:
+                for b in batch.column(0).to_pylist():
+                    found = _bounds(shelf[f"{file}-{b}"][values], first[b], before[b], each, words) if sizes[b] else []
+                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([w for _, w in found], pa.int64())],
+                                                     ["context", "word"])
+
+        found = [(r.context, r.word) for r in spark.range(0, shards, 1, shards).mapInArrow(run, "context long, word long").collect()]
+        found += _bounds(np.array([rows]), first[-1], before[-1], each, words)  # rows for about as many ranges as shards
+        ordered = sorted({(0, 0), *found})
+        return Ranges(np.array([c for c, _ in ordered], np.int64), np.array([w for _, w in ordered], np.int64))
+
+    pair_ranges = ranges(word_sizes, word_tokens, "words", "counts")
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _Vocabulary(at, word_sizes)
-        held, size = [], 0
+        held = _Combiner()
         for batch in batches:
-            keys, n = np.unique(_pairs(batch.column(0), vocabulary, words)[0], return_counts=True)
-            held.append((keys, n))
-            size += len(keys)
-            if size >= COMBINE:
-                yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), first_pair)
-                held, size = [], 0
-        if held:
-            yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), first_pair)
-
-    def keep_pairs(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
-        packed.save(at, f"pairs-{shard}", keys)
-        if order == 2:
-            keep_counts(shard, keys, counts)
-        after, n = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-        out = _by_shard(after, n, first_word[:-1].astype(np.uint64)).to_pylist()
-        return [{"shard": r["shard"], "blob": r["blob"]} for r in out] + [
-            {"shard": -1 - shard, "blob": len(keys).to_bytes(8, "little") + tally(counts)}]
-
-    def keep_counts(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
-        packed.save(at, f"pair-counts-{shard}", _narrow(counts))
-        context = (keys >> np.uint64(32)).astype(np.int64) - first_word[shard]
-        table = np.zeros((4, first_word[shard + 1] - first_word[shard]), np.int64)
-        table[0] = np.bincount(context, weights=counts, minlength=table.shape[1])
-        for k in (1, 2, 3):
-            table[k] = np.bincount(context[np.minimum(counts, 3) == k], minlength=table.shape[1])
-        packed.save(at, f"contexts-{shard}", table)
-        return [{"shard": shard, "tally": tally(counts)}]
+            numbers, sizes = _read(batch.column(0), words)
+            context, word, n, _ = unique_rows(_contexts(numbers, sizes, words), numbers)
+            _deal(held, pair_ranges, context, word, n, bits)
+            yield from held.rows(COMBINE)
+        yield from held.rows()
 
     def tally(counts: np.ndarray) -> bytes:
         return np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype("<i8").tobytes()
 
-    counted = stored(_merge_shards(texts.mapInArrow(count_pairs, "shard int, blob binary"), shards, keep_pairs,
+    def keep_stats(ranges: Ranges, end: int):
+        def run(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
+            context = (keys >> bits).astype(np.int64)
+            table = np.zeros((4, ranges.width(shard, end)), np.int64)
+            table[0] = np.bincount(context, weights=counts, minlength=table.shape[1])
+            for k in (1, 2, 3):
+                table[k] = np.bincount(context[np.minimum(counts, 3) == k], minlength=table.shape[1])
+            packed.save_together(at, f"stats-{shard}", {"counts": _narrow(counts), "contexts": _narrow(table)})
+            return [{"shard": shard, "tally": tally(counts), "own": table[:, 0].astype("<i8").tobytes()}]
+        return run
+
+    keep_pair_stats = keep_stats(pair_ranges, words + 1)
+
+    def keep_pairs(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
+        packed.save_together(at, f"pairs-{shard}", {"keys": keys, "seen": _narrow(counts)})
+        own = keep_pair_stats(shard, keys, counts)[0]["own"] if order == 2 else b""
+        after, n = np.unique(keys & ((np.uint64(1) << bits) - np.uint64(1)), return_counts=True)
+        cuts = np.append(np.searchsorted(after, first_word[:-1].astype(np.uint64)), len(after))
+        out = [{"shard": b, "blob": packed.pack(after[cuts[b]:cuts[b + 1]], n[cuts[b]:cuts[b + 1]])}
+               for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()]
+        return out + [{"shard": -1 - shard, "blob": len(keys).to_bytes(8, "little") + int(counts.sum()).to_bytes(8, "little") + tally(counts) + own}]
+
+    counted = stored(_merge_shards(learnt.mapInArrow(count_pairs, "shard int, blob binary"), len(pair_ranges.contexts), keep_pairs,
                                    "shard int,blob binary"), f"{work}/before")
 
     def keep_before(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
         dense = np.zeros(first_word[shard + 1] - first_word[shard], np.int64)
         dense[keys.astype(np.int64) - first_word[shard]] = counts
-        packed.save(at, f"before-{shard}", dense)
+        packed.save_together(at, f"before-{shard}", {"before": _narrow(dense)})
         return [{"shard": shard, "total": int(counts.sum()), **{f"n{k}": int((counts == k).sum()) for k in (1, 2, 3, 4)}}]
 
     sums = _merge_shards(counted.filter("shard >= 0"), shards, keep_before,
@@ -367,88 +557,91 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folde
     filled = {r.shard for r in sums}
     for b in range(shards):
         if b not in filled:
-            packed.save(at, f"before-{b}", np.zeros(first_word[b + 1] - first_word[b], np.int64))
+            packed.save_together(at, f"before-{b}", {"before": np.zeros(first_word[b + 1] - first_word[b], np.int64)})
+    # a row for each range: pairs, tokens, numbers of pairs by count, and the split context's part
     tallies = {-1 - r.shard: np.frombuffer(bytes(r.blob), "<i8") for r in counted.filter("shard < 0").collect()}
-    pair_sizes = [int(tallies[b][0]) if b in tallies else 0 for b in range(shards)]
-    pair_n = [int(sum(t[k] for t in tallies.values())) for k in range(1, 5)]
+    pair_sizes = [int(tallies[b][0]) if b in tallies else 0 for b in range(len(pair_ranges.contexts))]
     word_n = [sum(r[f"n{k}"] for r in sums) for k in (1, 2, 3, 4)]
     followers = sum(r.total for r in sums)
     d = discounts(word_n)
     many = words - word_n[0] - word_n[1]
     spare = (d[0] * word_n[0] + d[1] * word_n[1] + d[2] * many) / followers if followers else 1.0
     if order == 2:
-        return Model(at, word_sizes, pair_sizes, words, train_tokens, discounts(pair_n), d, followers, spare)
+        pair_n = [int(sum(t[k] for t in tallies.values())) for k in range(2, 6)]
+        split = _split_sums(pair_ranges, {b: t[6:10] for b, t in tallies.items()})
+        return Model(at, order, words, train_tokens, word_sizes, first_word, pair_ranges, pair_sizes, split, followers, spare, d,
+                     discounts(pair_n)), table
 
-    pairs, bits = sum(pair_sizes), np.uint64(word_bits(words))
-    if (pairs + 1).bit_length() + int(bits) > 64:
-        raise ValueError("the place of a pair and a word number have 64 bits together")
-    first_place = shard_words(pairs, shards)  # the place after the last pair stands for two starts
-    first_triple = first_place[:-1].astype(np.uint64) << bits
+    pairs = sum(pair_sizes)  # the place after the last pair stands for two starts
+    pair_weights = [int(tallies[b][1]) if b in tallies else 0 for b in range(len(pair_ranges.contexts))]
+    shards = len(pair_ranges.contexts)
+    triple_ranges = ranges(pair_sizes, pair_weights, "pairs", "seen")
 
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = _Vocabulary(at, word_sizes), packed.SortedShards(at, "pairs", pair_sizes)
-        held, size = [], 0
+        known, held = _Pairs(packed.Shelf(at), pair_ranges, pair_sizes, words), _Combiner()
         for batch in batches:
-            keys, numbers, _, sizes = _pairs(batch.column(0), vocabulary, words)
-            distinct, back = np.unique(keys, return_inverse=True)
-            places = np.append(known.find(distinct, first_pair), pairs)[_pair_before(back, sizes, len(distinct))]
-            keys, n = np.unique((places.astype(np.uint64) << bits) | numbers.astype(np.uint64), return_counts=True)
-            held.append((keys, n))
-            size += len(keys)
-            if size >= COMBINE:
-                yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), first_triple)
-                held, size = [], 0
-        if held:
-            yield _by_shard(*packed.summed(*map(np.concatenate, zip(*held, strict=True))), first_triple)
+            numbers, sizes = _read(batch.column(0), words)
+            context, word, _, back = unique_rows(_contexts(numbers, sizes, words), numbers)
+            places = np.append(known.find(context, word), pairs)
+            which, word, n, _ = unique_rows(_pair_before(back, sizes, len(context)), numbers)
+            _deal(held, triple_ranges, places[which], word, n, bits)
+            yield from held.rows(COMBINE)
+        yield from held.rows()
 
     def keep_triples(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
-        packed.save(at, f"triples-{shard}", keys)
-        packed.save(at, f"triple-counts-{shard}", _narrow(counts))
+        shelf = packed.Shelf(at)
         places = keys >> bits
         starts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
         width = np.diff(np.append(starts, len(keys)))
         # a pair with one follower has all that is wanted of it in that triple
         many = np.flatnonzero(width > 1)
         table = np.array([np.add.reduceat(counts, starts), *(np.add.reduceat((np.minimum(counts, 3) == k).astype(np.int64), starts)
-                                                             for k in (1, 2, 3))])[:, many]
-        packed.save(at, f"many-{shard}", places[starts[many]])
-        packed.save(at, f"many-counts-{shard}", _narrow(table))
-        known = packed.SortedShards(at, "pairs", pair_sizes)
-        place = places[starts].astype(np.int64)
-        last = np.where(place == pairs, words, _gather(known.files, known.base, place) & 0xFFFFFFFF).astype(np.uint64)
-        ends, n = np.unique((np.repeat(last, width) << np.uint64(32)) | (keys & ((np.uint64(1) << bits) - np.uint64(1))), return_counts=True)
-        return [{"shard": r["shard"], "blob": r["blob"]} for r in _by_shard(ends, n, first_pair).to_pylist()] + [
-            {"shard": -1 - shard, "blob": len(keys).to_bytes(8, "little") + tally(counts)}]
-
-    ended = stored(_merge_shards(texts.mapInArrow(count_triples, "shard int, blob binary"), shards, keep_triples,
+                                                             for k in (1, 2, 3))])
+        packed.save_together(at, f"triples-{shard}", {"keys": keys, "counts": _narrow(counts), "many": places[starts[many]],
+                                                      "many_counts": _narrow(table[:, many])})
+        own = table[:, 0] if places[0] == 0 else np.zeros(4, np.int64)  # of the range's first place
+        place = places[starts].astype(np.int64) + triple_ranges.contexts[shard]
+        last = np.full(len(place), words, np.int64)
+        inside = place < pairs
+        last[inside] = _Pairs(shelf, pair_ranges, pair_sizes, words).last_words(place[inside])
+        context, word, n, _ = unique_rows(np.repeat(last, width), (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64))
+        held = _Combiner()
+        _deal(held, pair_ranges, context, word, n, bits)
+        out = [{"shard": b, "blob": packed.pack(*some[0])} for b, some in held.held.items()]
+        return out + [{"shard": -1 - shard, "blob": len(keys).to_bytes(8, "little") + tally(counts) + own.astype("<i8").tobytes()}]
+
+    ended = stored(_merge_shards(learnt.mapInArrow(count_triples, "shard int, blob binary"), len(triple_ranges.contexts), keep_triples,
                                  "shard int,blob binary"), f"{work}/before-pairs")
     # every pair ends a triple, so that counts and pairs stand in the same order
-    middle = [np.frombuffer(bytes(r.tally), "<i8") for r in _merge_shards(
-        ended.filter("shard >= 0"), shards, keep_counts, "shard int,tally binary").collect()]  # a row for each shard
+    middle = {r.shard: r for r in _merge_shards(ended.filter("shard >= 0"), len(pair_ranges.contexts), keep_pair_stats,
+                                                "shard int,tally binary,own binary").collect()}  # a row for each range
     tallies = {-1 - r.shard: np.frombuffer(bytes(r.blob), "<i8") for r in ended.filter("shard < 0").collect()}
-    triple_sizes = tuple(int(tallies[b][0]) if b in tallies else 0 for b in range(shards))
-    pair_n = [int(sum(t[k] for t in middle)) for k in range(4)]
+    triple_sizes = [int(tallies[b][0]) if b in tallies else 0 for b in range(len(triple_ranges.contexts))]
+    pair_n = [int(sum(np.frombuffer(bytes(r.tally), "<i8")[k] for r in middle.values())) for k in range(4)]
     triple_n = [int(sum(t[k] for t in tallies.values())) for k in range(1, 5)]
-    return Model(at, word_sizes, pair_sizes, words, train_tokens, discounts(pair_n), d, followers, spare,
-                 3, triple_sizes, discounts(triple_n))
+    split = _split_sums(pair_ranges, {b: np.frombuffer(bytes(r.own), "<i8") for b, r in middle.items()})
+    split_places = _split_sums(triple_ranges, {b: t[5:9] for b, t in tallies.items()})
+    return Model(at, order, words, train_tokens, word_sizes, first_word, pair_ranges, pair_sizes, split, followers, spare, d,
+                 discounts(pair_n), triple_ranges, triple_sizes, split_places, discounts(triple_n)), table
 
 
-def _pair_before(back: np.ndarray, sizes: np.ndarray, starts: int) -> np.ndarray:
-    """For each token, the pair before it, from each token's pair; ``starts`` stands for two starts."""
-    before = np.roll(back, 1)
-    before[np.cumsum(sizes) - sizes] = starts
-    return before
+def _deal(held: _Combiner, ranges: Ranges, contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, bits: np.uint64) -> None:
+    """Add ascending rows (context, word) to the ranges that they belong to, as keys relative to these."""
+    for b, lo, hi in ranges.touched(contexts, words):
+        held.add(b, ((contexts[lo:hi] - ranges.contexts[b]).astype(np.uint64) << bits) | words[lo:hi].astype(np.uint64), counts[lo:hi])
 
 
-def _pairs(texts: pa.Array, vocabulary: _Vocabulary, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pair keys (context number, word number), word numbers, context numbers and tokens of each text; unknown: -1."""
-    hashes, codes, sizes = coded(texts)
-    numbers = vocabulary.numbers(hashes)[codes]
-    contexts = np.roll(numbers, 1)
-    starts = np.cumsum(sizes) - sizes
-    contexts[starts] = words  # the start of a text
-    keys = (contexts.astype(np.uint64) << np.uint64(32)) | (numbers.astype(np.uint64) & np.uint64(0xFFFFFFFF))
-    return keys, numbers, contexts, sizes
+def _split_sums(ranges: Ranges, own: dict[int, np.ndarray]) -> dict[int, tuple[int, int, int, int]]:
+    """Of each split context: how often a word follows, and how many do once, twice and more often, over all its ranges.
+
+    ``own`` has what each range found of its first context.
+    """
+    split, found = set(ranges.split.tolist()), {}
+    for b, part in own.items():
+        c = int(ranges.contexts[b])
+        if c in split:
+            found[c] = found.get(c, 0) + part.astype(np.int64)
+    return {c: tuple(int(x) for x in v) for c, v in found.items()}
 
 
 _views: dict[str, _Mapped] = {}
@@ -457,10 +650,15 @@ _views: dict[str, _Mapped] = {}
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity, one row per row of ``docs``.
 
-    A null or empty text is its end alone. Scores are sums of log10 probabilities over whole texts. A model
-    learnt from nothing gives every token probability 1.
+    A null or empty text is its end alone; repeated rows are scored each. Scores are sums of log10 probabilities over
+    whole texts. A model learnt from nothing gives every token probability 1. An empty table gives no rows.
     """
-    kind = id_type(docs, id_col)
+    return score_numbered(numbered(docs, model.folder, model.word_sizes, id_col, text_col), model)
+
+
+def score_numbered(table: DataFrame, model: Model) -> DataFrame:
+    """:func:`score` of texts that :func:`train_numbered` has numbered."""
+    kind = id_type(table, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model.folder not in _views:
@@ -469,15 +667,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         view = _views[model.folder]
         floor = math.log10(model.train_tokens + model.words + 1)
         for batch in batches:
-            keys, numbers, contexts, sizes = _pairs(batch.column(2), view.vocabulary, model.words)
+            numbers, sizes = _read(batch.column(2), model.words)
             # unknown words make different pairs alike, which is right: only their context and their being unknown matter
-            distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-            place = view.pairs.find(distinct, view.first_pair)
-            likely = view.bigram(contexts[first], numbers[first], place)
+            context, word, _, back = unique_rows(_contexts(numbers, sizes, model.words), numbers)
+            place = view.pairs.find(context, word)
+            likely = view.bigram(context, word, place)
             likely = view.trigram(place, likely, back, sizes, numbers) if model.order == 3 else likely[back]
             logs = np.log10(likely)
-            seen, where = np.unique(numbers, return_inverse=True)
-            base = (np.log10(view.vocabulary.count(seen) + 1.0) - floor)[where]
+            # a token's count from its pair's word
+            base = (np.log10(view.vocabulary.count(word) + 1.0) - floor)[back]
             starts = np.cumsum(sizes) - sizes
             total = np.add.reduceat(logs, starts) if len(starts) else np.zeros(0)
             columns = [sizes, np.add.reduceat((numbers >= 0).astype(np.int64), starts) if len(starts) else sizes,
@@ -486,6 +684,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, columns)], names)
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                "base_score double, score double, perplexity double")
+    return table.select("doc_id", "held_out", "tokens").mapInArrow(
+        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+             "base_score double, score double, perplexity double")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
+from collections import OrderedDict
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -64,22 +66,43 @@ def mapped(folder: str, name: str) -> np.ndarray:
     return np.load(f"{folder}/{name}.npy", mmap_mode="r")
 
 
-class SortedShards:
-    """Sorted key files 0, 1, ..., each above the one before it, searched as one array."""
-
-    def __init__(self, folder: str, name: str, sizes: list[int]):
-        self.files = [mapped(folder, f"{name}-{b}") if n else np.zeros(0, np.uint64) for b, n in enumerate(sizes)]
-        self.base = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-
-    def find(self, wanted: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Place of each of the ascending ``wanted`` keys among all keys, -1 if absent. ``first`` has each shard's least possible key."""
-        place = np.full(len(wanted), -1, np.int64)
-        cuts = np.append(np.searchsorted(wanted, first), len(wanted))
-        for b, keys in enumerate(self.files):
-            lo, hi = cuts[b], cuts[b + 1]
-            if lo < hi and len(keys):
-                at = np.searchsorted(keys, wanted[lo:hi])
-                at[at == len(keys)] = 0
-                found = keys[at] == wanted[lo:hi]
-                place[lo:hi] = np.where(found, at + self.base[b], -1)
-        return place
+def save_together(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
+    """Write several arrays as one file, whole or not at all, so that a reader needs one handle for them."""
+    os.makedirs(folder, exist_ok=True)
+    head, at = {}, 0
+    for key, values in arrays.items():
+        head[key] = (values.dtype.str, list(values.shape), at)
+        at += -(-values.nbytes // 64) * 64
+    text = json.dumps(head).encode()
+    start = -(-(8 + len(text)) // 64) * 64
+    part = f"{folder}/{name}.{uuid.uuid4().hex}.part"
+    with open(part, "wb") as f:
+        f.write(len(text).to_bytes(8, "little") + text + bytes(start - 8 - len(text)))
+        for key, values in arrays.items():
+            f.seek(start + head[key][2])
+            f.write(np.ascontiguousarray(values).data)
+        f.truncate(start + at)
+    os.replace(part, f"{folder}/{name}.arrays")
+
+
+class Shelf:
+    """Files of :func:`save_together`, mapped when first asked for; at most ``limit`` of them are held open."""
+
+    def __init__(self, folder: str, limit: int = 96):
+        self.folder, self.limit = folder, limit
+        self.held: OrderedDict[str, dict[str, np.ndarray]] = OrderedDict()
+
+    def __getitem__(self, name: str) -> dict[str, np.ndarray]:
+        if name in self.held:
+            self.held.move_to_end(name)
+            return self.held[name]
+        while len(self.held) >= self.limit:
+            self.held.popitem(last=False)  # a map goes when nothing refers to it any more
+        raw = np.memmap(f"{self.folder}/{name}.arrays", np.uint8, "r")
+        size = int(raw[:8].view("<u8")[0])
+        start, found = -(-(8 + size) // 64) * 64, {}
+        for key, (kind, shape, at) in json.loads(bytes(raw[8:8 + size])).items():
+            dtype, count = np.dtype(kind), int(np.prod(shape))
+            found[key] = raw[start + at:start + at + dtype.itemsize * count].view(dtype).reshape(shape)
+        self.held[name] = found
+        return found

@@ -20,8 +20,8 @@ def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return kneser_ney.score(docs, kneser_ney.train(docs, order=kneser_ney.ORDER))
+    model, numbered = kneser_ney.train_numbered(documents(spark, sf_dir))
+    return kneser_ney.score_numbered(numbered, model)
 
 
 def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,6 +76,79 @@ def test_redaction(frame):
     assert rows[2].text is None and rows[3].text == "clean" and rows[4].text == ""
 
 
+def brute_markov(texts):
+    """Spans of all kinds of each text, by the models counted in plain Python over the same texts."""
+    n, alphabet = len(secret_scan.ALPHABET), secret_scan.ALPHABET
+    counts = {True: np.full((n, n), secret_scan.ADDED), False: np.full((n, n), secret_scan.ADDED)}
+    base = [sorted(brute_base(t)) for t in texts]
+    seen = {True: {}, False: {}}
+    for t, spans in zip(texts, base, strict=True):
+        for m in re.finditer(secret_scan.LEARNT, t or ""):
+            random = any(s < m.end() and m.start() < e for s, _, e in spans)
+            if not random or not re.search(secret_scan.KEYWORD, m.group()):
+                for a, b in zip(m.group(), m.group()[1:]):
+                    seen[random][a, b] = seen[random].get((a, b), 0) + 1
+    for random, found in seen.items():
+        for (a, b), c in found.items():
+            counts[random][alphabet.index(a), alphabet.index(b)] += c if random else max(c - secret_scan.ONCE, 0)
+    logs = {r: np.log(c / c.sum(1, keepdims=True)) for r, c in counts.items()}
+    table = np.minimum(secret_scan.MOST, logs[True] - logs[False])
+    out = []
+    for t, spans in zip(texts, base, strict=True):
+        found = list(spans)
+        for m in re.finditer(secret_scan.JUDGED, t or ""):
+            if not any(s < m.end() and m.start() < e for s, _, e in spans):
+                at = [alphabet.index(c) for c in m.group()]
+                if sum(table[a, b] for a, b in zip(at, at[1:])) / (len(at) - 1) >= secret_scan.LEAST_RATIO:
+                    found.append((m.start(), 3, m.end()))
+        out.append(sorted(found))
+    return out
+
+
+def noisy(rng, pieces):
+    """A text of words, identifiers, secrets of all kinds and odd characters, some of which touch."""
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/")
+    def one():
+        k = rng.choice(9, p=[.15, .15, .2, .1, .1, .02, .1, .1, .08])
+        body = "".join(rng.choice(letters, rng.integers(12, 40)))
+        return ["word", "some_long_identifier_name", f"password={body}", f"AKIA{body.upper().replace('+', 'X').replace('/', 'Y')}",
+                "".join(rng.choice(list("0123456789abcdef"), rng.integers(10, 30))), body, "🙂é日", f"token: {body}AKIA{body.upper()}", "x\ny"][k]
+    return "".join(one() + rng.choice([" ", "", ",", " "]) for _ in range(pieces))
+
+
+def test_spans_of_the_models_and_redaction_against_plain_python(frame):
+    rng = np.random.default_rng(12)
+    texts = [None, "", *(noisy(rng, int(n)) for n in rng.integers(1, 60, 60)), noisy(rng, 3000)]
+    want = brute_markov(texts)
+    assert sum(k == 3 for spans in want for _, k, _ in spans) > 3
+    df = frame(texts)
+    got = {r.doc_id: r.spans for r in secret_scan.scan(df).collect()}
+    assert got == {i: ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in spans) for i, spans in enumerate(want)}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    for i, (t, spans) in enumerate(zip(texts, want, strict=True)):
+        at, out = 0, ""
+        for s, _, e in spans:
+            if s >= at:
+                out += t[at:s] + "[SECRET]"
+            at = max(at, e)
+        assert clean[i] == (t if t is None else out + t[at:])
+
+
+def test_time_follows_the_length_of_a_text(frame):
+    import time
+
+    rng = np.random.default_rng(13)
+    unit = noisy(rng, 2000)
+    took = []
+    for times in (8, 40):
+        df = frame([(1, unit * times), (2, "a b")])
+        start = time.perf_counter()
+        got = {r.doc_id: r.n_hex for r in secret_scan.scan(df).collect()}
+        took.append(time.perf_counter() - start)
+        assert got[1] >= times and got[2] == 0
+    assert took[1] < 8 * max(took[0], 2), (len(unit), took)
+
+
 def test_no_documents(frame):
     assert secret_scan.scan(frame([])).collect() == [] and secret_scan.redact(frame([])).collect() == []
     assert fingerprints.with_next(frame([])).collect() == []

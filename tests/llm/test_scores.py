@@ -71,7 +71,7 @@ def brute(rows):
 
 
 def check(df, rows, **limits):
-    got = kneser_ney.score(df, kneser_ney.train(df, **limits)).collect()
+    got = kneser_ney.score(df, kneser_ney.train(df, order=2, **limits)).collect()
     key = lambda r: (str(r[0]), *r[1:5], round(r[5], 6), round(r[6], 6))
     assert len(got) == len(rows)
     for a, b in zip(sorted(map(key, got)), sorted(map(key, brute(rows))), strict=True):
@@ -125,7 +125,7 @@ def brute_triples(rows):
     return [(d, sum(math.log10(p(*x)) for x in zip([" ", " ", *w], [" ", *w], w))) for d, t in rows for w in [words(t)]]
 
 
-@pytest.mark.parametrize("limits", [{}, {"chars_per_shard": 500}])
+@pytest.mark.parametrize("limits", [{}, {"chars_per_shard": 500}, {"chars_per_shard": 60}])
 def test_triples(frame, edge_texts, limits):
     rows = [*enumerate(edge_texts), (3, "\n"), (None, "the cat sat"), (None, "new words"),
             *((100 + i, "the cat sat on the mat and the dog sat on the cat " * (i % 4)) for i in range(20))]
@@ -145,6 +145,55 @@ def test_query_scores_by_triples(spark):
     assert got.keys() == want.keys() and np.allclose([got[d] for d in want], list(want.values()), atol=1e-5)
 
 
+def test_a_hot_context_is_split_and_scores_stay(frame):
+    # one word begins a third of all pairs, and one pair a third of all triples
+    rows = [(i, " ".join(f"the cat w{(7 * i + j) % 97} the cat w{(5 * i + j) % 61}" for j in range(12))) for i in range(40)]
+    for order, brute_of in ((2, lambda r: [(x[0], x[6]) for x in brute(r)]), (3, brute_triples)):
+        model, table = kneser_ney.train_numbered(frame(rows), chars_per_shard=400, order=order)
+        assert len(model.split_contexts) >= 1
+        assert order == 2 or len(model.split_places) >= 1
+        got = {r.doc_id: r.score for r in kneser_ney.score_numbered(table, model).collect()}
+        want = dict(brute_of(rows))
+        assert got.keys() == want.keys() and np.allclose([got[d] for d in want], list(want.values()), atol=1e-6)
+
+
+def test_rows_of_large_numbers_and_ranges():
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(-1, 40, 500), rng.integers(-1, 9, 500)
+    small, large = kneser_ney.unique_rows(a, b), kneser_ney.unique_rows(a + (a >= 0) * (1 << 40), b)
+    assert np.array_equal(small[0] + (small[0] >= 0) * (1 << 40), large[0])
+    assert all(np.array_equal(x, y) for x, y in zip(small[1:], large[1:], strict=True))
+    want = sorted(set(zip(a.tolist(), b.tolist())))
+    assert list(zip(small[0].tolist(), small[1].tolist())) == want
+    counts = np.array([1, 50, 3, 0, 2, 90, 1])
+    bounds = kneser_ney._bounds(counts, 10, 5, 20, 100)
+    assert bounds == [(11, 0), (11, 33), (11, 66), (15, 0), (15, 25), (15, 50), (15, 75)] or len(bounds) == len(set(bounds))
+    ranges = kneser_ney.Ranges(np.array([0, 11, 11, 15]), np.array([0, 0, 50, 0]))
+    rows = sorted({(int(c), int(w)) for c, w in zip(rng.integers(0, 20, 300), rng.integers(0, 100, 300))})
+    cuts = ranges.cuts(np.array([c for c, _ in rows]), np.array([w for _, w in rows]))
+    for b, least in enumerate([(0, 0), (11, 0), (11, 50), (15, 0)]):
+        assert cuts[b] == sum(r < least for r in rows)
+
+
+def test_many_shards_need_few_file_handles(frame, monkeypatch):
+    import gc
+    import os
+
+    rows = [(i, " ".join(f"w{(i * 31 + j * 7) % 400}" for j in range(60))) for i in range(60)]
+    model, _ = kneser_ney.train_numbered(frame(rows), chars_per_shard=60)
+    assert sum(n > 0 for n in model.triple_sizes) > 100
+    view = kneser_ney._Mapped(model)
+    view.shelf.limit = 20
+    gc.collect()
+    before = len(os.listdir("/proc/self/fd"))
+    numbers = np.arange(-1, model.words)
+    context, word, _, back = kneser_ney.unique_rows(np.roll(np.tile(numbers, 3), 1), np.tile(numbers, 3))
+    place = view.pairs.find(context, word)
+    view.trigram(place, view.bigram(context, word, place), back, np.array([len(back)]), word[back])
+    gc.collect()
+    assert len(view.shelf.held) <= 20 and len(os.listdir("/proc/self/fd")) - before <= 20
+
+
 def test_no_triples(frame):
     model = kneser_ney.train(frame([]), order=3)
     assert [r.score for r in kneser_ney.score(frame([(1, "a b")]), model).collect()] == [0.0]
