@@ -55,6 +55,8 @@ class ChunkEncoder:
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.bytes_of[i] = len(token)
+        # a text that holds the string of an added token goes to the library whole, which gives it that token's id
+        self.added = [] if tokenizer.encode_special_tokens else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.model = tokenizer.model
         self.letters = {b: ord(c) for b, c in enumerate(byte_characters())}
         self.space = chr(self.letters[0x20])
@@ -90,7 +92,8 @@ class ChunkEncoder:
     def _learn(self, chunks: set[str]) -> None:
         batch, chars, recent, older = [], 0, self.recent, self.older
         for chunk in chunks:
-            # str.isalpha() is \p{L} throughout, so what follows the letters is the next match
+            # what str.isalpha() takes for letters are letters to the library too, which knows some more, so that what follows
+            # them is the next match
             if len(chunk) < WORD_CHARS and chunk[:-1].isalpha():
                 if chunk[-1].isalpha():
                     recent[chunk] = self._word(chunk)
@@ -111,6 +114,14 @@ class ChunkEncoder:
         self.chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not whole:
+            return self._encode(texts)
+        alone = dict(zip(whole, self._whole([texts[i] for i in whole]), strict=True))
+        rest = iter(self._encode([t for i, t in enumerate(texts) if i not in alone]))
+        return [alone[i] if i in alone else next(rest) for i in range(len(texts))]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.recent) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
             self.older, self.recent, self.chars = self.recent, {}, 0
         recent = self.recent

@@ -30,9 +30,7 @@ def encoder_of(spec: str) -> ChunkEncoder:
 
     key = hash(spec)
     if key not in _encoders:
-        tokenizer = Tokenizer.from_str(spec)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _encoders[key] = ChunkEncoder(tokenizer)
+        _encoders[key] = ChunkEncoder(Tokenizer.from_str(spec))
     return _encoders[key]
 
 

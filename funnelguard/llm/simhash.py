@@ -205,9 +205,10 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits:
     classes = stored(table.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{folder}/classes")
     blocked = stored(blocks(classes, max_bits, block_rows, folder), f"{folder}/blocks")
     star = stars(links(blocked, blocked.count(), max_bits), f"{folder}/stars")
-    rooted = classes.join(star, F.col("fp") == F.col("u"), "left").select(
-        "fp", "least", F.coalesce("v", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = stored(classes.join(star, F.col("fp") == F.col("u"), "left").select(
+        "fp", "least", F.coalesce("v", "fp").alias("root")), f"{folder}/rooted")
+    # kept apart, so that both sides of the join are shuffles, in which adaptive execution splits a large component
+    lowest = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), f"{folder}/lowest")
     labels = stored(rooted.join(lowest, "root").select("fp", "component_id"), f"{folder}/labels")
     return table.join(labels, "fp").select("doc_id", "fp", "component_id")
 

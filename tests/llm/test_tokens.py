@@ -21,9 +21,7 @@ JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(JSON)
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +47,23 @@ def test_chunks_give_the_ids_of_whole_texts(library, texts):
         assert " ".join(cut(t)) == t
 
 
+def test_strings_of_added_tokens_become_their_ids(library):
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+    texts = ["hello <|endoftext|> x", "a b", *(f"one {a} two{a}three" for a in added), "", *added]
+    got = [np.frombuffer(g, "<u4").tolist() for g in ChunkEncoder(library).encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert all(len(library.encode(a, add_special_tokens=False).ids) == 1 for a in added)
+
+
+def test_letters_of_python_are_letters_of_the_library():
+    import sys
+
+    import regex
+
+    python = {chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalpha()}
+    assert all(regex.fullmatch(r"\p{L}", c) for c in python)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(ODD, st.text(max_size=30)))
 def test_ranks_give_the_ids_of_the_rank_library(spec, rank_encoder, text):
