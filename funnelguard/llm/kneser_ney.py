@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import packed
-from .work import id_and_text, id_type, parts, stored, workspace
+from .work import id_and_text, id_type, parts, release, stored, workspace
 
 FOLDS, HELD_OUT = 7, 2
 #: Words of the longest n-grams.
@@ -41,6 +41,8 @@ ORDER = 3
 END = b"\n"
 #: Tokens whose counts a task combines before it sends them, and input characters for each shard of the model.
 COMBINE, CHARS_PER_SHARD = 4_000_000, 16_000_000
+#: Tokens looked up together: more of them share words, pairs and places in the model's files.
+TOGETHER = 1_500_000
 HALF = np.uint64(32)
 
 
@@ -277,15 +279,15 @@ class _Pairs:
         contexts, words = contexts[known], words[known]
         for b, lo, hi in self.ranges.touched(contexts, words):
             if self.sizes[b]:
-                keys = self.shelf[f"pairs-{b}"]["keys"]
+                file = self.shelf[f"pairs-{b}"]
                 wanted = ((contexts[lo:hi] - self.ranges.contexts[b]).astype(np.uint64) << self.bits) | words[lo:hi].astype(np.uint64)
-                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                place[known[lo:hi]] = np.where(keys[at] == wanted, at + self.base[b], -1)
+                at = packed.places_of(file, wanted)
+                place[known[lo:hi]] = np.where(at >= 0, at + self.base[b], -1)
         return place
 
     def last_words(self, places: np.ndarray) -> np.ndarray:
         mask = (np.uint64(1) << self.bits) - np.uint64(1)
-        return _gather(lambda b: (self.shelf[f"pairs-{b}"]["keys"] & mask).astype(np.int64), self.base, places)
+        return _gather(lambda b: (packed.whole(self.shelf[f"pairs-{b}"]) & mask).astype(np.int64), self.base, places)
 
 
 class _Mapped:
@@ -296,6 +298,7 @@ class _Mapped:
         self.vocabulary = _Vocabulary(self.shelf, model.word_sizes)
         self.pairs = _Pairs(self.shelf, model.pair_ranges, model.pair_sizes, model.words)
         self.bits = word_bits(model.words)
+        self.low_bits = np.uint32(min(31, int(self.bits)))
 
     def unigram(self, numbers: np.ndarray) -> np.ndarray:
         m = self.model
@@ -324,7 +327,9 @@ class _Mapped:
 
     def bigram(self, contexts: np.ndarray, numbers: np.ndarray, place: np.ndarray) -> np.ndarray:
         """p(word | context) of distinct pairs at ``place`` among all pairs; -1 is unknown, of words, contexts and places."""
-        m, p = self.model, self.unigram(numbers)
+        m = self.model
+        distinct, back = np.unique(numbers, return_inverse=True)
+        p = self.unigram(distinct)[back]
         total, n1, n2, n3 = self.contexts(contexts)
         known = total > 0
         count = _gather(lambda b: self.shelf[f"stats-{b}"]["counts"], self.pairs.base, place)
@@ -341,9 +346,12 @@ class _Mapped:
             if m.triple_sizes[b]:
                 lo, hi = np.searchsorted(which, [b, b + 1])
                 file = self.shelf[f"triples-{b}"]
-                keys, wanted = file["keys"], (places[lo:hi] - m.triple_ranges.contexts[b]).astype(np.uint64)
-                at = np.minimum(np.searchsorted(keys, wanted << self.bits), len(keys) - 1)
-                out[0, lo:hi] = np.where(keys[at] >> self.bits == wanted, file["counts"][at], 0)
+                wanted = (places[lo:hi] - m.triple_ranges.contexts[b]).astype(np.uint64)
+                at, inside = packed.least_from(file, wanted << self.bits)
+                # the low halves of a pair's keys differ in a word's bits alone, unless those are more
+                own = (inside & (file["low"][at] >> self.low_bits == (wanted << self.bits).astype(np.uint32) >> self.low_bits)
+                       if self.bits < 32 else packed.whole(file, at) >> self.bits == wanted)
+                out[0, lo:hi] = np.where(own, file["counts"][at], 0)
                 for k in (1, 2, 3):
                     out[k, lo:hi] = np.minimum(out[0, lo:hi], 3) == k
                 if len(file["many"]):
@@ -378,8 +386,8 @@ class _Mapped:
             if m.triple_sizes[b]:
                 file = self.shelf[f"triples-{b}"]
                 wanted = ((places[which[lo:hi]] - m.triple_ranges.contexts[b]).astype(np.uint64) << self.bits) | words[lo:hi].astype(np.uint64)
-                at = np.minimum(np.searchsorted(file["keys"], wanted), len(file["keys"]) - 1)
-                count[lo:hi] = np.where(file["keys"][at] == wanted, file["counts"][at], 0)
+                at = packed.places_of(file, wanted)
+                count[lo:hi] = np.where(at >= 0, file["counts"][at], 0)
         out = left[before] * p[back]
         gain = np.maximum(count - _discount(count, m.triple_discounts), 0) / total[which] if len(which) else np.zeros(0)
         out[there] += gain[again]
@@ -425,6 +433,20 @@ def numbered(docs: DataFrame, folder: str, word_sizes: list[int], id_col: str, t
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, tokens binary")
 
 
+def _together(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they have about :data:`TOGETHER` tokens of ``width`` bytes in a column; one of more stays as it is."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if size >= TOGETHER * width:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+            held, size = [], 0
+    if size or held:
+        found = pa.Table.from_batches(held).combine_chunks().to_batches()
+        yield found[0] if found else held[0]
+
+
 def _read(tokens: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of a batch's texts one after the other, -1 for words that were not learnt, and each text's tokens."""
     width = np.dtype(_kind(words))
@@ -458,7 +480,7 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"the order of the model is 2 or 3, not {order}")
     spark = docs.sparkSession
     work = folder or workspace(spark, "kneser-ney")
-    at = packed.shared_folder(work) + "/model"
+    at, seen = packed.shared_folder(work) + "/model", packed.shared_folder(work) + "/seen"
     texts = id_and_text(docs, id_col, text_col).filter(~held_out(F.col("doc_id"))).select("text")
     chars, rows = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     shards = parts(chars or 0, chars_per_shard)
@@ -484,21 +506,22 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     word_sizes = [made[b].words if b in made else 0 for b in range(shards)]
     word_tokens = [made[b].tokens if b in made else 0 for b in range(shards)]
     words, train_tokens = sum(word_sizes), sum(word_tokens)
-    bits, first_word = word_bits(words), shard_words(words, shards)
+    bits, first_word, token_bytes = word_bits(words), shard_words(words, shards), np.dtype(_kind(words)).itemsize
 
-    table = stored(numbered(docs, at, word_sizes, id_col, text_col), f"{work}/numbered")
+    table = stored(numbered(docs, at, word_sizes, id_col, text_col), f"{work}/numbered", "zstd")
+    release(spark)
     learnt = table.filter(~F.col("held_out")).select("tokens")
     each = max(1, -(-(train_tokens + rows) // shards))
 
-    def ranges(sizes: list[int], weights: list[int], file: str, values: str) -> Ranges:
+    def ranges(sizes: list[int], weights: list[int], place: str, file: str) -> Ranges:
         """Ranges of about ``each`` tokens of the contexts whose counts stand in files of the shards; the starts come last."""
         first, before = np.concatenate(([0], np.cumsum(sizes))).tolist(), np.concatenate(([0], np.cumsum(weights))).tolist()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shelf = packed.Shelf(at)
+            shelf = packed.Shelf(place)
             for batch in batches:
                 for b in batch.column(0).to_pylist():
-                    found = _bounds(shelf[f"{file}-{b}"][values], first[b], before[b], each, words) if sizes[b] else []
+                    found = _bounds(shelf[f"{file}-{b}"]["counts"], first[b], before[b], each, words) if sizes[b] else []
                     yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([w for _, w in found], pa.int64())],
                                                      ["context", "word"])
 
@@ -507,11 +530,11 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ordered = sorted({(0, 0), *found})
         return Ranges(np.array([c for c, _ in ordered], np.int64), np.array([w for _, w in ordered], np.int64))
 
-    pair_ranges = ranges(word_sizes, word_tokens, "words", "counts")
+    pair_ranges = ranges(word_sizes, word_tokens, at, "words")
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Combiner()
-        for batch in batches:
+        for batch in _together(batches, 0, token_bytes):
             numbers, sizes = _read(batch.column(0), words)
             context, word, n, _ = unique_rows(_contexts(numbers, sizes, words), numbers)
             _deal(held, pair_ranges, context, word, n, bits)
@@ -535,7 +558,9 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keep_pair_stats = keep_stats(pair_ranges, words + 1)
 
     def keep_pairs(shard: int, keys: np.ndarray, counts: np.ndarray) -> list[dict]:
-        packed.save_together(at, f"pairs-{shard}", {"keys": keys, "seen": _narrow(counts)})
+        packed.save_together(at, f"pairs-{shard}", packed.halved(keys))
+        if order == 3:
+            packed.save_together(seen, f"pairs-{shard}", {"counts": _narrow(counts)})
         own = keep_pair_stats(shard, keys, counts)[0]["own"] if order == 2 else b""
         after, n = np.unique(keys & ((np.uint64(1) << bits) - np.uint64(1)), return_counts=True)
         cuts = np.append(np.searchsorted(after, first_word[:-1].astype(np.uint64)), len(after))
@@ -560,6 +585,7 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             packed.save_together(at, f"before-{b}", {"before": np.zeros(first_word[b + 1] - first_word[b], np.int64)})
     # a row for each range: pairs, tokens, numbers of pairs by count, and the split context's part
     tallies = {-1 - r.shard: np.frombuffer(bytes(r.blob), "<i8") for r in counted.filter("shard < 0").collect()}
+    release(spark, f"{work}/before")
     pair_sizes = [int(tallies[b][0]) if b in tallies else 0 for b in range(len(pair_ranges.contexts))]
     word_n = [sum(r[f"n{k}"] for r in sums) for k in (1, 2, 3, 4)]
     followers = sum(r.total for r in sums)
@@ -575,11 +601,12 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = sum(pair_sizes)  # the place after the last pair stands for two starts
     pair_weights = [int(tallies[b][1]) if b in tallies else 0 for b in range(len(pair_ranges.contexts))]
     shards = len(pair_ranges.contexts)
-    triple_ranges = ranges(pair_sizes, pair_weights, "pairs", "seen")
+    triple_ranges = ranges(pair_sizes, pair_weights, seen, "pairs")
+    release(spark, f"{work}/seen")
 
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = _Pairs(packed.Shelf(at), pair_ranges, pair_sizes, words), _Combiner()
-        for batch in batches:
+        for batch in _together(batches, 0, token_bytes):
             numbers, sizes = _read(batch.column(0), words)
             context, word, _, back = unique_rows(_contexts(numbers, sizes, words), numbers)
             places = np.append(known.find(context, word), pairs)
@@ -597,7 +624,7 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         many = np.flatnonzero(width > 1)
         table = np.array([np.add.reduceat(counts, starts), *(np.add.reduceat((np.minimum(counts, 3) == k).astype(np.int64), starts)
                                                              for k in (1, 2, 3))])
-        packed.save_together(at, f"triples-{shard}", {"keys": keys, "counts": _narrow(counts), "many": places[starts[many]],
+        packed.save_together(at, f"triples-{shard}", {**packed.halved(keys), "counts": _narrow(counts), "many": _narrow(places[starts[many]]),
                                                       "many_counts": _narrow(table[:, many])})
         own = table[:, 0] if places[0] == 0 else np.zeros(4, np.int64)  # of the range's first place
         place = places[starts].astype(np.int64) + triple_ranges.contexts[shard]
@@ -612,10 +639,12 @@ def train_numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ended = stored(_merge_shards(learnt.mapInArrow(count_triples, "shard int, blob binary"), len(triple_ranges.contexts), keep_triples,
                                  "shard int,blob binary"), f"{work}/before-pairs")
+    release(spark)
     # every pair ends a triple, so that counts and pairs stand in the same order
     middle = {r.shard: r for r in _merge_shards(ended.filter("shard >= 0"), len(pair_ranges.contexts), keep_pair_stats,
                                                 "shard int,tally binary,own binary").collect()}  # a row for each range
     tallies = {-1 - r.shard: np.frombuffer(bytes(r.blob), "<i8") for r in ended.filter("shard < 0").collect()}
+    release(spark, f"{work}/before-pairs")
     triple_sizes = [int(tallies[b][0]) if b in tallies else 0 for b in range(len(triple_ranges.contexts))]
     pair_n = [int(sum(np.frombuffer(bytes(r.tally), "<i8")[k] for r in middle.values())) for k in range(4)]
     triple_n = [int(sum(t[k] for t in tallies.values())) for k in range(1, 5)]
@@ -666,7 +695,7 @@ def score_numbered(table: DataFrame, model: Model) -> DataFrame:
             _views[model.folder] = _Mapped(model)
         view = _views[model.folder]
         floor = math.log10(model.train_tokens + model.words + 1)
-        for batch in batches:
+        for batch in _together(batches, 2, np.dtype(_kind(model.words)).itemsize):
             numbers, sizes = _read(batch.column(2), model.words)
             # unknown words make different pairs alike, which is right: only their context and their being unknown matter
             context, word, _, back = unique_rows(_contexts(numbers, sizes, model.words), numbers)
@@ -675,7 +704,8 @@ def score_numbered(table: DataFrame, model: Model) -> DataFrame:
             likely = view.trigram(place, likely, back, sizes, numbers) if model.order == 3 else likely[back]
             logs = np.log10(likely)
             # a token's count from its pair's word
-            base = (np.log10(view.vocabulary.count(word) + 1.0) - floor)[back]
+            distinct, at = np.unique(word, return_inverse=True)
+            base = (np.log10(view.vocabulary.count(distinct) + 1.0) - floor)[at][back]
             starts = np.cumsum(sizes) - sizes
             total = np.add.reduceat(logs, starts) if len(starts) else np.zeros(0)
             columns = [sizes, np.add.reduceat((numbers >= 0).astype(np.int64), starts) if len(starts) else sizes,

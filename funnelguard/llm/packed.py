@@ -85,6 +85,49 @@ def save_together(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None
     os.replace(part, f"{folder}/{name}.arrays")
 
 
+def halved(keys: np.ndarray) -> dict[str, np.ndarray]:
+    """Ascending 64-bit keys as their low 32 bits, and where each value of the high ones begins."""
+    high = (keys >> np.uint64(32)).astype(np.int64)
+    return {"low": keys.astype(np.uint32), "starts": np.searchsorted(high, np.arange(int(high[-1]) + 2)).astype(np.uint32 if len(keys) < 1 << 32 else np.int64)}
+
+
+def whole(file: dict[str, np.ndarray], places: np.ndarray | None = None) -> np.ndarray:
+    """The 64-bit keys of :func:`halved` at ``places``, or all of them."""
+    if places is None:
+        high = np.repeat(np.arange(len(file["starts"]) - 1), np.diff(file["starts"].astype(np.int64)))
+        return (high.astype(np.uint64) << np.uint64(32)) | file["low"]
+    high = np.searchsorted(file["starts"], places, "right") - 1
+    return (high.astype(np.uint64) << np.uint64(32)) | file["low"][places]
+
+
+def least_from(file: dict[str, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the first key of :func:`halved` that is not below each of the ascending ``wanted``, and whether its high bits are theirs.
+
+    Where all keys are below, the last place.
+    """
+    high, starts, low = (wanted >> np.uint64(32)).astype(np.int64), file["starts"], file["low"]
+    small = wanted.astype(np.uint32)
+    first = np.flatnonzero(np.r_[True, high[1:] != high[:-1]]) if len(high) else np.zeros(0, np.int64)
+    kinds = np.minimum(high[first], len(starts) - 2)
+    begin, end = starts[kinds].astype(np.int64), starts[kinds + 1].astype(np.int64)
+    past = high[first] > len(starts) - 2
+    at = np.empty(len(wanted), np.int64)
+    for lo, hi, a, b, none in zip(first.tolist(), [*first[1:].tolist(), len(high)], begin.tolist(), end.tolist(), past.tolist(), strict=True):
+        if none:
+            at[lo:hi] = len(low)
+        else:
+            at[lo:hi] = low[a:b].searchsorted(small[lo:hi])
+            at[lo:hi] += a
+    inside = at < np.repeat(np.where(past, 0, end), np.diff(np.append(first, len(high))))
+    return np.minimum(at, len(low) - 1), inside
+
+
+def places_of(file: dict[str, np.ndarray], wanted: np.ndarray) -> np.ndarray:
+    """Place of each of the ascending ``wanted`` among the keys of :func:`halved`, -1 if absent."""
+    at, inside = least_from(file, wanted)
+    return np.where(inside & (file["low"][at] == wanted.astype(np.uint32)), at, -1)
+
+
 class Shelf:
     """Files of :func:`save_together`, mapped when first asked for; at most ``limit`` of them are held open."""
 

@@ -38,12 +38,23 @@ def workspace(spark: SparkSession, label: str) -> str:
     return folder
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, codec: str | None = None) -> DataFrame:
     """``df`` written to ``path`` and read back: computed once, with its lineage cut."""
-    df.write.parquet(path)
+    writer = df.write if codec is None else df.write.option("compression", codec)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that no later step reads, and let go of the shuffles of finished steps.
+
+    Spark deletes a shuffle's files once the driver's JVM has collected its handle, which in a quiet driver can take long.
+    """
+    for path in paths:
+        _delete(spark, path)
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of the session by bytes as well as rows, for tables of long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

@@ -262,3 +262,20 @@ def test_class_prior(share):
     p, n = rng.normal(1.5, 1, (3000, 5)), rng.normal(-1.5, 1, (3000, 5))
     unlabelled = np.where(rng.random((3000, 1)) < share, rng.normal(1.5, 1, (3000, 5)), n)
     assert abs(quality.class_prior(p, unlabelled) - share) < 0.08
+
+
+def test_halved_keys_are_found_as_whole_ones():
+    from funnelguard.llm import packed
+
+    rng = np.random.default_rng(3)
+    for top in (1 << 20, 1 << 36, 1 << 45):
+        keys = np.unique(rng.integers(0, top, 3000, dtype=np.uint64))
+        file = packed.halved(keys)
+        assert np.array_equal(packed.whole(file), keys)
+        wanted = np.sort(np.concatenate([keys[::7], rng.integers(0, top + top // 8, 2000, dtype=np.uint64)]))
+        want = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        at, inside = packed.least_from(file, wanted)
+        assert np.array_equal(at, want)
+        assert np.array_equal(inside, (keys[want] >> np.uint64(32) == wanted >> np.uint64(32)) & (keys[want] >= wanted))
+        assert np.array_equal(packed.places_of(file, wanted), np.where(keys[want] == wanted, want, -1))
+        assert np.array_equal(packed.whole(file, want), keys[want])
