@@ -100,7 +100,7 @@ def test_only_what_the_wanted_alerts_read_is_built(spark):
         assert alerts.count() == 1
         run, = os.listdir(f"{root}/funnelguard")
         assert sorted(os.listdir(f"{root}/funnelguard/{run}")) == [
-            "active", "campaign_metrics-highCPA", "conversions", "cpa_trimmed", "hourly"]
+            "active", "campaign_metrics-highCPA", "cpa_trimmed", "hourly", "sessions-conversion"]
     assert os.listdir(f"{root}/funnelguard") == []  # the folder goes with the block
     with pytest.raises(ZeroDivisionError), evaluation(facts, cfg, AS_OF, work_dir=root):
         1 / 0  # noqa: B018

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 TYPE_NAMES = {"double": "DOUBLE", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
 SUBSET = ("alerts_all", "alert_payload_json", "alert_config", "scope_to_active", "last_conversion", "active_campaigns", "alert_modes", "same_hour_7d_avg", "conversion_gaps", "gap_median",
           "cpa_history", "cpa_trimmed", "cpa_threshold", "high_cpa_controlled", "roi_today",
-          "clickout_rate_prev_week", "conversion_rate_week_ago", "lp_abandonment_automated")
+          "clickout_rate_prev_week", "clickout_rate_prev_week_bitmaps", "rollup_store_rows", "alerts_all_incremental", "conversion_rate_week_ago", "lp_abandonment_automated")
 
 
 @pytest.fixture(scope="module")
