@@ -28,7 +28,7 @@ from ..sources.config import explode_config
 from ..sources.facts import row_counts
 from .engine import evaluate_scope
 from .rollup_store import RollupStore, backfill
-from .sinks import alert_payloads, alert_summary, payload_fields
+from .sinks import alert_payloads, alert_summary, payload_fields, publish, published
 
 
 class Fixture:
@@ -110,6 +110,14 @@ def _automated(check) -> Callable[[Fixture], DataFrame]:
     return run
 
 
+def _q_published(fx: Fixture) -> DataFrame:
+    """What is published after a run that was repeated, in part and whole."""
+    path, alerts = f"{fx.scope.materialize.folder}/published", fx.alerts()
+    for some in (alerts.where("alert_name = 'highCPA'"), alerts, alerts):
+        publish(some, path, fixture.AS_OF)
+    return payload_fields(published(fx.spark, path))
+
+
 def _store(fx: Fixture, updates: tuple[str, ...] = (fixture.AS_OF,), start: str | None = None, **options) -> RollupStore:
     """A rollup store of the fixture's facts, in the run's folder."""
     store = RollupStore(fx.spark, f"{fx.scope.materialize.folder}/store", **options)
@@ -204,6 +212,7 @@ _QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "roi_today_missing_zero": lambda fx: performance_decline.roi_today(fx.variant(missing="zero").scope),
     "clickout_rate_24h_bitmaps": lambda fx: fb_to_clickout.rate_24h(fx.variant(distinct="bitmaps").scope),
     "clickout_rate_prev_week_bitmaps": lambda fx: fb_to_clickout.rate_prev_week(fx.variant(distinct="bitmaps").scope),
+    "alerts_published": _q_published,
     # the rollup store
     "rollup_store_rows": lambda fx: _store(fx).summary(),
     "alerts_all_incremental": _q_incremental,

@@ -655,7 +655,7 @@ FROM act a JOIN pd_t x USING (campaign_id)""",
 
 
 # Queries that reach the same rows by another way.
-BODIES |= {"alerts_all_incremental": BODIES["alerts_all"], "alerts_all_bitmaps": BODIES["alerts_all"],
+BODIES |= {"alerts_published": BODIES["alert_payload_json"], "alerts_all_incremental": BODIES["alerts_all"], "alerts_all_bitmaps": BODIES["alerts_all"],
            "clickout_rate_24h_bitmaps": BODIES["clickout_rate_24h"], "clickout_rate_prev_week_bitmaps": BODIES["clickout_rate_prev_week"]}
 
 BODIES["rollup_store_rows"] = f"""
@@ -688,7 +688,7 @@ DOUBLES: dict[str, str] = {
     **dict.fromkeys(("alerts_all", "alerts_all_incremental", "alerts_all_bitmaps"), "calculated_value benchmark spend base_threshold"),
     "clickout_rate_24h_bitmaps": "current_fb_to_clickout_rate",
     "clickout_rate_prev_week_bitmaps": "last_week_fb_to_clickout_rate",
-    "alert_payload_json": "calculated_value benchmark spend leads base_threshold",
+    **dict.fromkeys(("alert_payload_json", "alerts_published"), "calculated_value benchmark spend leads base_threshold"),
     "active_campaigns_by_spend": "recent_spend",
     "scope_to_active": "measure_sum",
     "alert_modes": "base_threshold percent_increase effective_threshold",

@@ -9,9 +9,10 @@ downstream notifier reads the partition.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timewin import to_utc_naive
@@ -88,6 +89,32 @@ def write_alerts(alerts: DataFrame, path: str, as_of: datetime | str, fmt: str =
     alerts.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/as_of={run_stamp(as_of)}")
 
 
+PUBLISHED = "as_of string, alert_key string, payload string"
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`publish` has written so far: (as_of, alert_key, payload)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], PUBLISHED)
+    return spark.read.schema(PUBLISHED + ", batch string").parquet(path).drop("batch")
+
+
+def publish(alerts: DataFrame, path: str, as_of: datetime | str) -> DataFrame:
+    """Append the payloads whose key was not published before, each key once, as one batch; returns the batch.
+
+    A notifier sends a batch's rows. Running an evaluation again, or another one that overlaps it, publishes only keys
+    that are new; a run that fails leaves no batch, as Spark commits a write's files at its end, of each task one attempt.
+    There is one publisher of a path at a time.
+    """
+    spark = alerts.sparkSession
+    fresh = (alert_payloads(alerts, as_of).dropDuplicates(["alert_key"])
+             .join(published(spark, path).select("alert_key"), "alert_key", "left_anti").select("as_of", "alert_key", "payload"))
+    batch = f"{path.rstrip('/')}/batch={run_stamp(as_of)}-{uuid.uuid4().hex[:8]}"
+    fresh.write.parquet(batch)
+    return spark.read.schema(PUBLISHED).parquet(batch)
+
+
 def alert_summary(alerts: DataFrame) -> DataFrame:
     """K3: number of fired alerts per (alert_name, vertical_name)."""
     return alerts.groupBy("alert_name", "vertical_name").agg(F.count(F.lit(1)).alias("alert_count"))

@@ -6,7 +6,10 @@ import json
 import math
 import uuid
 
-from funnelguard.plans.sinks import alert_payloads, alert_summary, payload_fields, write_alerts
+import pytest
+from pyspark.sql import functions as F
+
+from funnelguard.plans.sinks import alert_payloads, alert_summary, payload_fields, publish, published, write_alerts
 from funnelguard.schemas import ALERT
 from funnelguard.session import ensure_checkpoint_dir
 
@@ -65,3 +68,26 @@ def test_keys_and_infinite_numbers(spark):
     assert docs[1]["spend"] == 0.0 and docs[1]["leads"] == 3 and docs[1]["calculated_value_is_infinite"] is False
     fields = payload_fields(alert_payloads(spark.createDataFrame(rows, ALERT), "2024-01-30")).collect()
     assert [r.spend_applies for r in fields] == [False, True] and fields[1].leads == 3.0
+
+
+def test_each_key_is_published_once(spark):
+    path = f"{ensure_checkpoint_dir(spark)}/published-{uuid.uuid4().hex}"
+    alerts = spark.createDataFrame(ROWS, ALERT)
+    assert published(spark, path).count() == 0
+    assert publish(alerts.limit(1), path, "2024-01-30 15:00:00").count() == 1
+    assert publish(alerts.unionByName(alerts), path, "2024-01-30 15:00:00").count() == 1  # the other one, once
+    assert publish(alerts, path, "2024-01-30 15:00:00").count() == 0
+    assert publish(alerts, path, "2024-01-30 16:00:00").count() == 2
+    rows = published(spark, path).collect()
+    assert len(rows) == 4 == len({r.alert_key for r in rows})
+
+
+def test_a_failed_publication_leaves_nothing_and_can_be_repeated(spark):
+    path = f"{ensure_checkpoint_dir(spark)}/published-{uuid.uuid4().hex}"
+    alerts = spark.createDataFrame(ROWS, ALERT).repartition(2)
+    # one row fails while its task runs, after others may have been written
+    broken = alerts.withColumn("campaign_name", F.when(F.col("alert_name") == "highCPA", F.raise_error(F.lit("killed"))).otherwise(F.col("campaign_name")))
+    with pytest.raises(Exception, match="killed"):
+        publish(broken, path, "2024-01-30 15:00:00")
+    assert published(spark, path).count() == 0
+    assert publish(alerts, path, "2024-01-30 15:00:00").count() == 2 == published(spark, path).count()
