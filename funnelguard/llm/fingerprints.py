@@ -5,10 +5,6 @@ every character, and of each window of w hashes the least is chosen, the
 rightmost of equal ones, with its position. Two texts that share w + k - 1
 characters in a row therefore share a chosen hash, wherever those stand, and
 none is chosen from fewer than k.
-
-:func:`with_chosen` does the same over units, runs of up to six characters
-counted from the start of each word: a character more or less in a long run
-without white space changes all units after it.
 """
 
 from __future__ import annotations
@@ -18,57 +14,34 @@ from pyspark.sql import functions as F
 
 from .work import id_and_text, parts, stored, workspace
 
-UNIT = r"\S{1,6}"
-#: Units hashed together, and hashes in a window.
-UNITS, WINDOW = 4, 4
 #: Characters hashed together, and hashes in a window (a power of two).
 CHARS, CHAR_WINDOW = 24, 16
 #: Bytes of a character in UTF-32, and the low bits of a hash that give way to the place of its first byte, from 1.
 WIDE, BYTES = 4, (1 << 31) - 1
-#: Low bits of a hash that give way to its position while windows are compared.
-PLACE = (1 << 28) - 1
-#: Documents in one range of ids.
-DOCS_PER_RANGE = 1_000
-
-
-def with_chosen(rows: DataFrame, text: str, put: str, units: int = UNITS, window: int = WINDOW) -> DataFrame:
-    """``rows`` and a column ``put``: array<struct<hash, pos>>, the chosen k-grams of column ``text`` with their positions.
-
-    Positions count units from 0. A text of fewer than ``units`` units is hashed as one; one of fewer hashes
-    than ``window`` has one window; one without units (empty, white space) has an empty array, a null none.
-    Hashes are compared by their upper 36 bits and then by position, from the right.
-    """
-    def gram(i: Column) -> Column:
-        # past the end there is null, which a hash passes over
-        return F.xxhash64(*(F.get("__u", i + j) for j in range(units)))
-
-    def starts(of: str, length: int) -> Column:
-        return F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(of) - length))
-
-    # each step is a column of its own, so that it is worked out once and not at each place that uses it; elements are
-    # fetched one by one, as slice() and array_distinct() of structs take time with the whole array
-    cut = rows.withColumn("__u", F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)))
-    keys = cut.withColumn("__k", F.when(F.size("__u") > 0, F.transform(
-        starts("__u", units), lambda i: gram(i).bitwiseAND(F.lit(~PLACE)).bitwiseOR((F.lit(PLACE) - i).cast("long")))))
-    least = keys.withColumn("__l", F.when(F.size("__k") > 0, F.transform(
-        starts("__k", window), lambda i: F.least(*(F.get("__k", i + j) for j in range(window))) if window > 1 else F.get("__k", i))))
-    fresh = least.withColumn("__f", F.filter("__l", lambda k, i: (i == 0) | (k != F.get("__l", F.greatest(i - 1, F.lit(0))))))
-    none = F.expr("CAST(array() AS array<struct<hash:bigint,pos:int>>)")
-    placed = fresh.withColumn("__p", F.transform("__f", lambda k: (F.lit(PLACE) - k.bitwiseAND(F.lit(PLACE))).cast("int")))
-    return placed.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(F.transform(
-        "__p", lambda i: F.struct(gram(i).alias("hash"), i.alias("pos"))), none))).drop("__u", "__k", "__l", "__f", "__p")
+#: Windows looked at together: what is held of a text at a time, beside its characters and what is chosen.
+SEGMENT = 1 << 14
+#: Documents in one range of ids, and ranges at most: their first ids are broadcast. Beyond that ranges take more documents.
+DOCS_PER_RANGE, MOST_RANGES = 1_000, 1 << 14
 
 
 def bare(text: Column) -> Column:
     return F.regexp_replace(text, r"\s+", "")
 
 
-def with_chosen_chars(rows: DataFrame, text: str, put: str, chars: int = CHARS, window: int = CHAR_WINDOW) -> DataFrame:
+def let(value: Column, use) -> Column:
+    """``use`` of ``value``, which is worked out once: as a variable of a function it is not copied or repeated at each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def with_chosen_chars(rows: DataFrame, text: str, put: str, chars: int = CHARS, window: int = CHAR_WINDOW,
+                      segment: int = SEGMENT) -> DataFrame:
     """``rows`` and a column ``put``: array<struct<hash, pos, at>>, the chosen k-grams of characters of column ``text``.
 
     Positions count characters that are not white space, from 0; ``at`` is the first window that has chosen the
-    k-gram. Short, empty and null texts as in :func:`with_chosen`. Hashes are compared by their upper 33 bits and
-    then by position, from the right.
+    k-gram. A text of fewer than ``chars`` characters is hashed as one k-gram; one of fewer hashes than ``window`` has
+    one window; one without characters (empty, white space) has an empty array, a null none. Hashes are compared by their upper 33 bits and
+    then by position, from the right. Windows are looked at in segments of ``segment``, one after the other, so that
+    only what is chosen takes memory with the length of a text; the result does not depend on it.
     """
     if window < 1 or window & (window - 1):
         raise ValueError(f"the window is a power of two, not {window}")
@@ -77,37 +50,47 @@ def with_chosen_chars(rows: DataFrame, text: str, put: str, chars: int = CHARS,
         # characters are all as wide, so that a k-gram is cut out without a walk from the start
         return F.xxhash64(F.substring(whole, place, F.lit(WIDE * chars)))
 
-    def once(run) -> Column:
-        # as a variable of a function the bytes are fetched once; a column of bytes is copied at each use
-        return F.get(F.transform(F.array("__b"), run), F.lit(0))
-
-    wide = rows.withColumn("__b", F.encode(bare(F.col(text)), "UTF-32"))
-    last = F.greatest(F.lit(1), F.octet_length("__b") - WIDE * chars + 1)
-    least = wide.withColumn("__k", F.when(F.octet_length("__b") > 0, once(lambda b: F.transform(
-        F.sequence(F.lit(1), last, F.lit(WIDE)), lambda j: gram(b, j).bitwiseOR(F.lit(BYTES)) - j))))
-    width, names = 1, ["__k"]
-    while width < window:  # the least of twice as many hashes at each step; past the end there is null, which least() passes over
-        of = names[-1]
-        names.append(f"__l{width}")
-        least = least.withColumn(names[-1], F.transform(of, lambda x, i: F.least(x, F.get(of, i + width))))  # noqa: B023
-        width *= 2
-    of = names[-1]
-    full = F.greatest(F.lit(0), F.size("__k") - window)
-    fresh = least.withColumn("__f", F.filter(of, lambda x, i: (i == 0) | ((x != F.get(of, i - 1)) & (i <= full))))
-
     def place(x: Column) -> Column:
         return (F.lit(BYTES) - x.bitwiseAND(F.lit(BYTES))).cast("int")
 
     def pos(x: Column) -> Column:
         return F.floor((place(x) - 1) / WIDE).cast("int")
 
-    # the window goes on to a k-gram when that enters as the least, or when the one before has left
-    at = lambda x, i: F.when(i == 0, F.lit(0)).when(x < F.get("__f", i - 1), pos(x) - (window - 1)).otherwise(
-        pos(F.get("__f", i - 1)) + 1)
+    def least(keys: Column, width: int, use) -> Column:
+        # the least of twice as many hashes at each step; past the end there is null, which least() passes over
+        if width == window:
+            return use(keys)
+        return let(F.transform(keys, lambda x, i: F.least(x, F.get(keys, i + width))), lambda wider: least(wider, 2 * width, use))
+
+    def chosen(b: Column, grams: Column, s: Column) -> Column:
+        # a segment starts one window before its own, whose choice its first one is compared with and which is dropped at the end
+        first = F.greatest(F.lit(0), s * segment - 1)
+        end = F.least(grams, (s + 1) * segment + (window - 1))
+        keys = F.transform(F.sequence(first * WIDE + 1, end * WIDE - (WIDE - 1), F.lit(WIDE)),
+                           lambda j: gram(b, j).bitwiseOR(F.lit(BYTES)) - j)
+        full = F.greatest(F.lit(0), end - first - window)
+
+        def fresh(minima: Column) -> Column:
+            return F.filter(minima, lambda x, i: (i == 0) | ((x != F.get(minima, i - 1)) & (i <= full)))
+
+        # the window goes on to a k-gram when that enters as the least, or when the one before has left
+        def at(found: Column, x: Column, i: Column) -> Column:
+            return F.when(i == 0, F.lit(0)).when(x < F.get(found, i - 1), pos(x) - (window - 1)).otherwise(pos(F.get(found, i - 1)) + 1)
+
+        def result(found: Column) -> Column:
+            structs = F.transform(found, lambda x, i: F.struct(
+                gram(b, place(x)).alias("hash"), pos(x).alias("pos"), at(found, x, i).alias("at")))
+            return F.filter(structs, lambda _, i: (s == 0) | (i > 0))
+
+        return let(keys, lambda k: least(k, 1, lambda minima: let(fresh(minima), result)))
+
+    wide = rows.withColumn("__b", F.encode(bare(F.col(text)), "UTF-32"))
+    grams = F.greatest(F.lit(1), F.floor(F.octet_length("__b") / WIDE).cast("int") - (chars - 1))
+    windows = F.greatest(F.lit(1), grams - (window - 1))
     none = F.expr("CAST(array() AS array<struct<hash:bigint,pos:int,at:int>>)")
-    return fresh.withColumn(put, F.when(F.col(text).isNotNull(), F.coalesce(once(lambda b: F.transform(
-        "__f", lambda x, i: F.struct(gram(b, place(x)).alias("hash"), pos(x).alias("pos"), at(x, i).alias("at")))), none))).drop(
-            "__b", "__f", *names)
+    found = let(F.col("__b"), lambda b: let(grams, lambda n: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.floor((windows - 1) / segment).cast("int")), lambda s: chosen(b, n, s)))))
+    return wide.withColumn(put, F.when(F.col(text).isNotNull(), F.when(F.octet_length("__b") > 0, found).otherwise(none))).drop("__b")
 
 
 def placed_hashes(found: Column, by=0) -> Column:
@@ -130,27 +113,24 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def fingerprints(docs: DataFrame, units: int = UNITS, window: int = WINDOW, id_col: str = "doc_id",
-                 text_col: str = "text", chars: int | None = None) -> DataFrame:
+def fingerprints(docs: DataFrame, chars: int = CHARS, window: int = CHAR_WINDOW, id_col: str = "doc_id",
+                 text_col: str = "text", segment: int = SEGMENT) -> DataFrame:
     """doc_id and found, the chosen hashes with their positions, one row per row of ``docs``.
 
-    With ``chars``, of that many characters in a row, else of units. Null and empty texts have none. An empty
-    table gives no rows.
+    Null and empty texts have none; repeated rows each have their own. An empty table gives no rows.
     """
     rows = id_and_text(docs, id_col, text_col)
-    if chars is None:
-        return with_chosen(rows, "text", "found", units, window).select("doc_id", "found")
-    return with_chosen_chars(rows, "text", "found", chars, window).select("doc_id", placed_hashes(F.col("found")).alias("found"))
+    return with_chosen_chars(rows, "text", "found", chars, window, segment).select("doc_id", placed_hashes(F.col("found")).alias("found"))
 
 
 def in_ranges(texts: DataFrame, per_range: int, folder: str) -> DataFrame:
     """``texts`` with a range number and, in each range, a copy (ghost) of the first row of the next one.
 
     Ranges follow doc_id; after the last comes the first. Only ids are sorted here, and one id of each range
-    is broadcast: as many rows as there are ranges.
+    is broadcast, ``MOST_RANGES`` at most; rows of a range are sorted and streamed, so that larger ones spill.
     """
     ids = texts.select("doc_id")
-    ranges = parts(texts.count(), per_range)
+    ranges = min(parts(texts.count(), per_range), MOST_RANGES)
     bounds = stored(ids.repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id().alias("at"))
                     .agg(F.min(F.struct("doc_id")).alias("low")).filter("low IS NOT NULL"), f"{folder}/bounds")
     # one row: the sorted first ids of the ranges, in chunks, so that a range is found in two short searches

@@ -154,36 +154,12 @@ def test_no_documents(frame):
     assert fingerprints.with_next(frame([])).collect() == []
 
 
-def units(t):
-    out = []
-    for word in re.findall(r"[^ \t\n\x0b\x0c\r]+", t or ""):
-        out += [word[i: i + 6] for i in range(0, len(word), 6)]
-    return out
-
-
-def rows_of(spark, sql):
-    return spark.sql(sql).collect()
-
-
 def brute_chosen(hashes, w=4):
     """Positions chosen from hashes of k-grams, the rightmost least of each window."""
     spans = range(max(1, len(hashes) - w + 1)) if hashes else ()
     return sorted({max(i for i in range(s, min(s + w, len(hashes))) if hashes[i] == min(hashes[s: s + w])) for s in spans})
 
 
-def test_winnowing(frame, edge_texts, spark):
-    texts = [*edge_texts, "a b c d e", "a b c d e f g h", "same " * 50, "ab cd ef gh ij kl mn op qr st uv wx yz " * 3]
-    grams = [(i, p, u[p: p + 4]) for i, t in enumerate(texts) for u in [units(t)] for p in range(max(1, len(u) - 3) if u else 0)]
-    hashed = spark.createDataFrame(grams, "i int, p int, u array<string>").selectExpr("i", "p", "xxhash64(u) AS h").collect()
-    by_text = {}
-    for r in sorted(hashed, key=lambda r: (r.i, r.p)):
-        by_text.setdefault(r.i, []).append(r.h)
-    got = {r.doc_id: r.found for r in fingerprints.fingerprints(frame(texts, extra=True)).collect()}
-    for i in range(len(texts)):
-        h = by_text.get(i, [])
-        assert [(f.hash, f.pos) for f in got[i]] == [(h[p], p) for p in brute_chosen(h)], texts[i]
-
-
 def chars_of(spark, texts, k):
     bare = [re.sub("[ \t\n\x0b\x0c\r]", "", t or "") for t in texts]
     grams = [(i, p, bytearray(t[p: p + k].encode("utf-32-be"))) for i, t in enumerate(bare) for p in range(max(1, len(t) - k + 1) if t else 0)]
@@ -195,9 +171,10 @@ def chars_of(spark, texts, k):
 
 def test_winnowing_of_characters(frame, edge_texts, spark):
     texts = [*edge_texts, "same " * 50, "ab cd ef gh ij kl mn op qr st uv wx yz " * 3]
-    for k, w in ((24, 16), (3, 4), (2, 1)):
+    for k, w, segment in ((24, 16, 1 << 14), (24, 16, 64), (3, 4, 1 << 14), (3, 4, 5), (2, 1, 1 << 14), (2, 1, 3)):
         hashes = chars_of(spark, texts, k)
-        got = {r.doc_id: r.found for r in fingerprints.fingerprints(frame(texts, extra=True), window=w, chars=k).collect()}
+        got = {r.doc_id: r.found for r in fingerprints.fingerprints(
+            frame(texts, extra=True), window=w, chars=k, segment=segment).collect()}
         for i, t in enumerate(texts):
             assert [(f.hash, f.pos) for f in got[i]] == [(hashes[i][p], p) for p in brute_chosen(hashes[i], w)], t
 
@@ -219,6 +196,25 @@ def test_a_character_more_in_a_long_run_changes_little(frame):
         assert got[1].near_next > 0.95 and got[2].near_next > 0.95
 
 
+def test_a_very_long_text(frame, spark):
+    rng = np.random.default_rng(7)
+    text = "".join(rng.choice(list("abcdefgh "), 1_000_000))
+    hashes = np.array(chars_of(spark, [text], 24)[0])
+    # hashes as the operator compares them: the upper 33 bits, then the place from the right
+    keys = (hashes | ((1 << 31) - 1)) - 4 * np.arange(len(hashes)) - 1
+    lows = np.lib.stride_tricks.sliding_window_view(keys, 16).min(axis=1)
+    chosen = ((1 << 31) - 2 - (lows[np.r_[True, lows[1:] != lows[:-1]]] & ((1 << 31) - 1))) // 4
+    got = fingerprints.fingerprints(frame([(1, text), (2, "short")])).filter("doc_id = 1").first().found
+    assert [f.pos for f in got] == chosen.tolist() and [f.hash for f in got] == hashes[chosen].tolist()
+
+
+def test_ranges_beyond_the_most(frame, monkeypatch):
+    monkeypatch.setattr(fingerprints, "MOST_RANGES", 3)
+    got = {r.doc_id: r for r in fingerprints.with_next(frame([(i, f"text {i} " * 9) for i in range(40)]), per_range=2).collect()}
+    assert len(got) == 40
+    assert all(got[i].edited_text[got[i].n_chars - got[i].n_chars // 4:] == (f"text {(i + 1) % 40} " * 9)[: got[i].n_chars // 4] for i in got)
+
+
 def test_next_and_edited_texts(frame, edge_texts):
     rows = [*enumerate(edge_texts), *((100 + i, f"number {i} of some texts " * (i % 5)) for i in range(40))]
     order = sorted(rows)
